@@ -78,3 +78,31 @@ def geodetic_to_ecef(lon_deg: Column, lat_deg: Column, height_m: Column, axis_m:
 
 def sigma_bound_km(base: Column, growth_per_day: Column, seconds: Column) -> Column:
     return base + growth_per_day * F.abs(seconds) / 86400.0
+
+
+def classical_elements(pos: tuple, vel: tuple, mu: float = MU) -> dict[str, Column]:
+    """Elements of an inertial state; undefined angles of circular or equatorial orbits are zero."""
+    tiny = 1e-12
+    r, v2, rv = norm3(*pos), dot(vel, vel), dot(pos, vel)
+    h = cross(pos, vel)
+    hn = norm3(*h)
+    node = (-h[1], h[0], F.lit(0.0))
+    nn = norm3(*node)
+    ev = tuple(((v2 - mu / r) * p - rv * v) / mu for p, v in zip(pos, vel))
+    e = norm3(*ev)
+    energy = v2 / 2 - mu / r
+    a = F.when(energy < 0, -mu / (2 * energy))
+
+    def arc(cosine: Column, flip: Column) -> Column:
+        base = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
+        return F.when(flip, 2 * math.pi - base).otherwise(base)
+
+    raan = F.when(nn > tiny, arc(node[0] / nn, node[1] < 0)).otherwise(0.0)
+    argp = F.when((nn > tiny) & (e > tiny), arc(dot(node, ev) / (nn * e), ev[2] < 0)).otherwise(0.0)
+    nu = F.when(e > tiny, arc(dot(ev, pos) / (e * r), rv < 0)).otherwise(0.0)
+    ecc = 2 * F.atan2(F.sqrt(1 - e) * F.sin(nu / 2), F.sqrt(1 + e) * F.cos(nu / 2))
+    return {
+        "sma_m": a, "eccentricity": e, "inclination": F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), h[2] / hn))), "raan": raan, "arg_perigee": argp,
+        "true_anomaly": nu, "mean_anomaly": F.when(e < 1, F.pmod(ecc - e * F.sin(ecc), F.lit(2 * math.pi))),
+        "mean_motion": F.sqrt(F.lit(mu) / (a * a * a)), "period_s": 2 * math.pi * F.sqrt(a * a * a / mu), "angular_momentum": hn, "energy": energy,
+    }

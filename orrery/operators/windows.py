@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from orrery.functions.ids import quiet_id
 from orrery.functions.time import iso_milli_form
 from orrery.operators.coverage import span_coverage
-from orrery.operators.joins import overlaps_merged
-from orrery.operators.scan import DAY_US, HOUR_US, prefix_scan, slot
+from orrery.operators.joins import overlaps_merged, points_in_windows
+from orrery.operators.scan import DAY_US, HOUR_US, neighbour, prefix_scan, row_index, slot
 from orrery.session import cut
 
 PRE_US, POST_US = 6 * HOUR_US, 24 * HOUR_US
@@ -111,3 +111,43 @@ def tail_windows(windows: DataFrame, by: Sequence[str], end: str, days: int, as_
     w = windows if as_of_us is None else windows.where(F.col(end) <= as_of_us)
     last = w.groupBy(*by).agg((F.max(end) - days * DAY_US).alias("cutoff"))
     return w.join(last, list(by)).where(F.col(end) >= F.col("cutoff"))
+
+
+def coverage_matched(controls: DataFrame, events: DataFrame, ident: Sequence[str], seed: int) -> DataFrame:
+    """Down-sample controls per entity so their share of tier A follows the events' share.
+
+    ``tier`` is 'A' or anything else. The pick takes the smallest hash ranks of each
+    (entity, pool); ranks are two-level scans over hash bands, so a huge pool is spread.
+    """
+    share = events.groupBy("entity_id").agg((F.count_if(F.col("tier") == "A") / F.count(F.lit(1))).alias("_frac"))
+    n = controls.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("tier") == "A").alias("_na"))
+    plan = n.join(share, "entity_id").where("_frac > 0 and _na > 0")
+    plan = plan.withColumn("_total", F.least(F.col("_n"), F.floor(F.col("_na") / F.col("_frac"))))
+    plan = plan.withColumn("_want_a", F.least(F.col("_na"), F.bround(F.col("_frac") * F.col("_total")).cast("bigint")))
+    plan = plan.withColumn("_want_o", F.least(F.col("_n") - F.col("_na"), F.col("_total") - F.col("_want_a")))
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ident[:2]]))
+    pool = controls.join(plan.select("entity_id", "_want_a", "_want_o"), "entity_id").withColumns({"_pool": F.col("tier") == "A", "_h": h})
+    band = F.conv(F.substring("_h", 1, 2), 16, 10).cast("bigint")
+    ranked = row_index(pool, ["entity_id", "_pool"], ["_h", *ident], band, "_rank")
+    return ranked.where(F.col("_rank") <= F.when(F.col("_pool"), F.col("_want_a")).otherwise(F.col("_want_o"))).drop("_pool", "_h", "_rank", "_want_a", "_want_o")
+
+
+def quiet_arcs(states: DataFrame, events: DataFrame, arc_us: int, max_gap_us: int) -> DataFrame:
+    """Per entity the longest stretch between event windows whose central arc is continuous and clean.
+
+    ``states`` has entity_id, t and a boolean ``bad``.
+    """
+    edge = states.groupBy("entity_id").agg(F.min("t").alias("_a"), F.max("t").alias("_z"))
+    w = events.select("entity_id", "ws", "we").join(edge, "entity_id", "left_semi")
+    nxt = neighbour(w, ["entity_id"], ["ws", "we"], slot("ws", DAY_US), ["ws"], name="_n", ahead=True)
+    between = nxt.join(edge, "entity_id").select("entity_id", F.col("we").alias("lo"), F.coalesce(F.col("_n.ws"), F.col("_z")).alias("hi"))
+    head = edge.join(w.groupBy("entity_id").agg(F.min("ws").alias("_f")), "entity_id", "left").select("entity_id", F.col("_a").alias("lo"), F.coalesce("_f", "_z").alias("hi"))
+    mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("bigint")
+    gaps = between.unionByName(head).where(F.col("hi") - F.col("lo") >= arc_us).withColumns({"c0": mid - arc_us // 2, "c1": mid + arc_us // 2})
+    pts = neighbour(states.select("entity_id", "t", "bad"), ["entity_id"], ["t"], slot("t", DAY_US), ["t"])
+    inside = points_in_windows(pts, gaps, ["entity_id"], "t", "c0", "c1")
+    facts = inside.groupBy("entity_id", "lo", "hi").agg(
+        F.max("bad").alias("_bad"), F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("prev.t") >= F.col("c0"), F.col("t") - F.col("prev.t"))).alias("_gap")
+    )
+    good = facts.where(~F.col("_bad") & (F.col("_n") > 1) & (F.col("_gap") <= max_gap_us))
+    return good.groupBy("entity_id").agg(F.max_by(F.struct("lo", "hi"), F.struct(F.col("hi") - F.col("lo"), -F.col("lo"))).alias("_w")).select("entity_id", "_w.*")

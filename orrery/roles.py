@@ -122,6 +122,39 @@ def series(spark: SparkSession, d: str) -> DataFrame:
     return s.withColumn("t", F.col("t") + off * 1_000_000)
 
 
+def estimates(spark: SparkSession, d: str) -> DataFrame:
+    """Predicted against precise positions per event: large, with tiers, statuses and propagation times."""
+    li = table(spark, d, "lineitem")
+    ox, oy, oz = F.col("l_extendedprice") * 100.0, F.col("l_quantity") * 1e5, F.col("l_partkey") * 10.0
+    return li.select(
+        F.col("l_suppkey").alias("entity_id"), "l_orderkey", "l_linenumber", micros("l_shipdate").alias("t"), tier_of_flag().alias("tier"),
+        ox.alias("ox"), oy.alias("oy"), oz.alias("oz"), (ox + F.col("l_discount") * 1e4).alias("ix"), (oy + F.col("l_tax") * 1e4).alias("iy"),
+        (oz + (F.col("l_linenumber") - 3) * 50.0).alias("iz"), (F.col("l_quantity") + 100.0).alias("ovx"), (F.col("l_quantity") + 7000.0).alias("ovy"), F.lit(50.0).alias("ovz"),
+        ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 1111) % 500_000).cast("double").alias("prop_s"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 1), 300.0).otherwise(0.0).alias("extrap_s"),
+        F.when(F.col("l_discount") == 0.05, "propagation_too_far").otherwise("computed").alias("tle_status"),
+        F.when(F.col("l_tax") == 0.08, "insufficient_coverage").otherwise("computed").alias("orbit_status"),
+        F.when(F.col("l_linestatus") == "O", "computed").otherwise("insufficient_coverage").alias("slr_status"),
+    )
+
+
+def tier_of_flag() -> Column:
+    return F.when(F.col("l_returnflag") == "A", "A").when(F.col("l_returnflag") == "R", "B").otherwise("C")
+
+
+def effects(spark: SparkSession, d: str) -> DataFrame:
+    """Per-window responses at volume: element shift, orbit shift, bracket times, tier; some NULL."""
+    li = table(spark, d, "lineitem")
+    x = (F.col("l_discount") - 0.05) * F.col("l_extendedprice") * 1e-5
+    return li.select(
+        F.col("l_suppkey").alias("entity_id"), "l_orderkey", "l_linenumber", tier_of_flag().alias("tier"), micros("l_shipdate").alias("t"),
+        F.when(F.col("l_linenumber") != 7, x).alias("delta_sma_km"),
+        F.when(F.col("l_linenumber") != 6, x * 1000.0 * 0.6 + (F.col("l_tax") - 0.04) * 10.0).alias("orbit_shift_m"),
+        (F.col("l_orderkey") % 48 + F.col("l_linenumber")).cast("double").alias("gap_h"), F.col("l_quantity").alias("qty"), F.col("l_linestatus").alias("ls"),
+        F.abs(F.col("l_tax") * 100).alias("tax_pct"),
+    )
+
+
 CTES = f"""
 ev AS (SELECT event_id, user_id AS entity_id, epoch_us(ts) AS t, event_type, value, CAST(regexp_extract(props, '\\d+') AS INTEGER) AS k FROM events),
 elements AS (SELECT event_id, entity_id, t, 0.06 + value*1e-6 AS mean_motion, 0.9 + k*0.001 AS inclination, 0.001 + k*1e-5 AS eccentricity,
@@ -142,6 +175,15 @@ orbit_files AS (SELECT entity_id, (CASE WHEN part%3=0 THEN 'POEORB' ELSE 'MOEORB
 ranging_files AS (SELECT entity_id, 'npt_' || entity_id || '_' || day AS path, day*{DAY} AS s, (day+1)*{DAY} AS e FROM (SELECT DISTINCT entity_id, t//{DAY} AS day FROM ranging)),
 spans AS (SELECT o_custkey%100 AS entity_id, o_orderkey, epoch_us(o_orderdate) AS s, epoch_us(o_orderdate) + (o_orderkey%5+1)*{DAY} AS e, o_orderpriority AS family, o_orderstatus AS status FROM orders),
 shipments AS (SELECT l_suppkey AS entity_id, epoch_us(l_shipdate) AS t, l_orderkey, l_linenumber, l_partkey, l_quantity AS qty, l_extendedprice AS price, l_discount, l_tax, l_returnflag AS rf, l_linestatus AS ls FROM lineitem),
+estimates AS (SELECT l_suppkey AS entity_id, l_orderkey, l_linenumber, epoch_us(l_shipdate) AS t, CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'B' ELSE 'C' END AS tier,
+  l_extendedprice*100.0::DOUBLE AS ox, l_quantity*1e5 AS oy, l_partkey*10.0::DOUBLE AS oz, l_extendedprice*100.0::DOUBLE+l_discount*1e4 AS ix, l_quantity*1e5+l_tax*1e4 AS iy, l_partkey*10.0::DOUBLE+(l_linenumber-3)*50.0::DOUBLE AS iz,
+  l_quantity+100.0::DOUBLE AS ovx, l_quantity+7000.0::DOUBLE AS ovy, 50.0::DOUBLE AS ovz, ((l_orderkey*37+l_linenumber*1111)%500000)::DOUBLE AS prop_s, CASE WHEN l_linestatus='O' AND l_linenumber=1 THEN 300.0::DOUBLE ELSE 0.0::DOUBLE END AS extrap_s,
+  CASE WHEN l_discount=0.05::DOUBLE THEN 'propagation_too_far' ELSE 'computed' END AS tle_status, CASE WHEN l_tax=0.08::DOUBLE THEN 'insufficient_coverage' ELSE 'computed' END AS orbit_status,
+  CASE WHEN l_linestatus='O' THEN 'computed' ELSE 'insufficient_coverage' END AS slr_status FROM lineitem),
+effects AS (SELECT l_suppkey AS entity_id, l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'B' ELSE 'C' END AS tier, epoch_us(l_shipdate) AS t,
+  CASE WHEN l_linenumber<>7 THEN (l_discount-0.05::DOUBLE)*l_extendedprice*1e-5 END AS delta_sma_km,
+  CASE WHEN l_linenumber<>6 THEN (l_discount-0.05::DOUBLE)*l_extendedprice*1e-5*1000.0::DOUBLE*0.6::DOUBLE + (l_tax-0.04::DOUBLE)*10.0::DOUBLE END AS orbit_shift_m,
+  (l_orderkey%48+l_linenumber)::DOUBLE AS gap_h, l_quantity AS qty, l_linestatus AS ls, abs(l_tax*100) AS tax_pct FROM lineitem),
 series AS (SELECT * REPLACE (t + ((l_orderkey*7 + l_linenumber)%86400)*1000000 AS t) FROM shipments)
 """
 
