@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.functions.orbit import MU, norm3
 from orrery.functions.time import full_year, micros
+from orrery.operators.scan import row_index
 
 # Provider column names (lower case) and their canonical names.
 STATE_ALIASES = {
@@ -106,3 +108,32 @@ def decode_seconds_since(units: Column, calendar: Column, seconds: Column) -> Co
     base = F.coalesce(*[F.try_to_timestamp(ref, F.lit(f)) for f in ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SS", "yyyy-MM-dd HH:mm:ss.S", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")])
     ok = F.lower(calendar).isin("standard", "gregorian", "proleptic_gregorian")
     return F.when(ok, micros(base) + F.bround(seconds * 1e6).cast("bigint"))
+
+
+def velocity_unit(states: DataFrame, by: list[str], order: list[str], samples: int = 99) -> DataFrame:
+    """Unit of the raw speeds of each file from the median ratio to circular speed over its first samples."""
+    ratio = F.col("raw_speed") / F.sqrt(F.lit(MU) / norm3(F.col("x"), F.col("y"), F.col("z")))
+    first = states.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rn") <= samples)
+    med = first.groupBy(*by).agg(F.percentile(ratio, 0.5).alias("median_ratio"))  # at most 99 values per file
+    m = F.col("median_ratio")
+    return med.withColumns({
+        "scale": F.when(m.between(0.8, 1.3), 1.0).otherwise(0.1),
+        "basis": F.when(m.between(0.8, 1.3), "m/s_as_written").when(m.between(8, 13), "dm/s_spec").otherwise("dm/s_spec_default_unresolved"),
+    })
+
+
+def even_samples(df: DataFrame, by: list[str], order: list[str], bucket: Column, limit: int) -> DataFrame:
+    """Rows at evenly spaced (half-even rounded) positions of each group, at most ``limit``."""
+    n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    x = row_index(df, by, order, bucket, "_pos").join(n, by)
+    take = F.least(F.col("_n"), F.lit(limit)).cast("int")
+    wanted = F.transform(F.sequence(F.lit(0), take - 1), lambda i: F.bround(i * (F.col("_n") - 1) / F.greatest(take - 1, F.lit(1))).cast("bigint"))
+    return x.where(F.array_contains(wanted, F.col("_pos") - 1)).drop("_pos", "_n")
+
+
+def slice_plan(df: DataFrame, order: list[str], start: int, count: int | None) -> DataFrame:
+    """1-based slice of an ordered plan."""
+    if start < 1 or (count is not None and count < 1):
+        raise ValueError("start and count are 1-based and positive")
+    out = df.orderBy(*order).offset(start - 1)
+    return out if count is None else out.limit(count)
