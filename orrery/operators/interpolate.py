@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.orbit import LIGHT, norm3
-from orrery.operators.joins import Probe, count_probes
+from orrery.operators.joins import Probe, asof_probes, count_probes
 from orrery.operators.scan import DAY_US, row_index, slot
+from orrery.session import cut
 
 NEIGHBOURS = 10
 EDGE_US = 900_000_000
@@ -98,14 +99,13 @@ def range_residuals(observations: DataFrame, arc_states: DataFrame, by: Sequence
     by = list(by)
     arc_key = [*by, "arc"]
     idx = row_index(arc_states, arc_key, ["t"], slot("t", width_us), "_pos").withColumn("_c0", F.floor((F.col("_pos") - 1) / SPLINE_CHUNK).cast("bigint"))
+    idx = cut(idx)
     inside = F.col("_pos") - 1 - F.col("_c0") * SPLINE_CHUNK
     homes = F.array_compact(F.array(F.col("_c0"), F.when((inside < HALO) & (F.col("_c0") > 0), F.col("_c0") - 1), F.when(inside >= SPLINE_CHUNK - HALO, F.col("_c0") + 1)))
-    cut = idx.withColumn("_chunk", F.explode(homes))
+    chunks = idx.withColumn("_chunk", F.explode(homes))
     bounds = idx.groupBy(*arc_key, F.col("_c0").alias("_chunk")).agg(F.min("t").alias("_lo"))
     ends = arc_states.groupBy(*arc_key).agg(F.min("t").alias("_a"), F.max("t").alias("_z"), F.count(F.lit(1)).alias("_n"))
     margin = (F.col("_z") - F.col("_a")) / F.greatest(F.col("_n") - 1, F.lit(1))
-    from orrery.operators.joins import asof_probes
-
     home = asof_probes(observations, bounds.join(ends, arc_key), ["obs_id"], by, "_lo", ["arc", "_chunk", "_a", "_z", "_n"], {"_h": Probe("t")}, width_us=width_us)
     obs = home.where("_h is not null").select(*observations.columns, "_h.*").where((F.col("t") >= F.col("_a") + margin) & (F.col("t") <= F.col("_z") - margin))
     schema = "obs_id bigint, computed_m double"
@@ -124,7 +124,7 @@ def range_residuals(observations: DataFrame, arc_states: DataFrame, by: Sequence
         return pd.DataFrame({"obs_id": o["obs_id"].to_numpy(), "computed_m": dist})
 
     keys = [*arc_key, "_chunk"]
-    solved = cut.groupBy(*keys).cogroup(obs.groupBy(*keys)).applyInPandas(solve, schema)
+    solved = chunks.groupBy(*keys).cogroup(obs.groupBy(*keys)).applyInPandas(solve, schema)
     return observations.join(solved, "obs_id").where(~F.isnan("computed_m")).withColumn("oc_m", F.col("range_m") - F.col("computed_m"))
 
 
@@ -135,8 +135,8 @@ def holdout_errors(states: DataFrame, by: Sequence[str], per_file: int = 5, *, w
     by = list(by)
     x = row_index(states, by, ["t"], slot("t", width_us), "_no")
     n = states.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).where("_rows >= 24")
-    x = x.join(n, by)
+    x = cut(x.join(n, by))
     even, odd = x.where("_no % 2 = 1"), x.where("_no % 2 = 0 AND _no > 4 AND _no < _rows - 4")
-    picks = top_k(odd.withColumn("_h", F.md5(F.concat_ws("|", *by, "t"))), by, ["_h", "t"], per_file).select(*by, F.col("t").alias("t0"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az"))
+    picks = cut(top_k(odd.withColumn("_h", F.md5(F.concat_ws("|", *by, "t"))), by, ["_h", "t"], per_file).select(*by, F.col("t").alias("t0"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az")))
     got = polynomial_states(picks, even, [*by, "t0"], by, "t0", width_us=width_us).where("orbit_x_m is not null")
     return got.withColumn("error_m", norm3(F.col("orbit_x_m") - F.col("ax"), F.col("orbit_y_m") - F.col("ay"), F.col("orbit_z_m") - F.col("az")))

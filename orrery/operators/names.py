@@ -27,7 +27,8 @@ def canonical(df: DataFrame, aliases: dict[str, str], schema: dict[str, str]) ->
 
 def melt(df: DataFrame, ids: list[str], prefix: str) -> DataFrame:
     wide = [c for c in df.columns if c.startswith(prefix)]
-    return df.unpivot(ids, wide, "auxiliary_field", "auxiliary_value").where(F.col("auxiliary_value").isNotNull())
+    long = df.unpivot(ids, wide, "auxiliary_field", "auxiliary_value").where(F.col("auxiliary_value").isNotNull())
+    return long.withColumn("auxiliary_field", F.lower("auxiliary_field"))
 
 
 def shell(inclination_deg: Column) -> Column:

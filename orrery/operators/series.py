@@ -14,6 +14,7 @@ from orrery.functions.orbit import MU
 from orrery.operators.names import ramp
 from orrery.operators.quantiles import exact_quantiles
 from orrery.operators.scan import DAY_US, neighbour, prefix_scan, row_index, slot
+from orrery.session import cut
 
 CHUNK_ROWS = 4_096
 
@@ -56,7 +57,8 @@ def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], valu
     count = series.groupBy(*by).agg(F.count(value).alias("_valid"))
     period = 2 * math.pi * F.sqrt(F.pow("_a", F.lit(3.0)) / MU) if period_s is None else period_s
     plan = stats.join(count, by).where("step_s > 0 and _valid >= 8").select(*by, F.greatest(F.lit(2), F.bround(period / F.col("step_s"))).cast("int").alias("_w"))
-    cut = chunked(series.join(plan, by), by, order, F.col("_w"), slot(order[0], width_us))
+    plan = cut(plan)
+    chunks = chunked(series.join(plan, by), by, order, F.col("_w"), slot(order[0], width_us))
     cols = series.columns
     schema = T.StructType([*series.schema.fields, T.StructField(name, T.DoubleType())])
 
@@ -66,7 +68,7 @@ def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], valu
         pdf[name] = pdf[value].rolling(window=w, center=True, min_periods=max(2, w // 2)).mean()
         return pdf.loc[pdf["_core"], [*cols, name]]
 
-    smoothed = cut.groupBy(*by, "_chunk").applyInPandas(smooth, schema)
+    smoothed = chunks.groupBy(*by, "_chunk").applyInPandas(smooth, schema)
     short = series.join(plan, by, "left_anti").withColumn(name, F.lit(None).cast("double"))
     return smoothed.unionByName(short)
 
@@ -118,7 +120,7 @@ def injected_responses(
     h = (F.col("t") - F.col("_t0")) / hour_us
     x = series.join(mid, by).withColumn("amount", grid).withColumn(value, F.col(value) + F.col("amount") * ramp(h, F.lit(ramp_h)))
     keys = [*by, "amount"]
-    p = period_mean(x.select(*keys, "t", "_t0", value), keys, ["t"], value, period_s=period_s)
+    p = cut(period_mean(cut(x.select(*keys, "t", "_t0", value)), keys, ["t"], value, period_s=period_s))
     hh, m = (F.col("t") - F.col("_t0")) / hour_us, F.col("period_mean")
     before = F.when((hh >= -pre_h - band_h) & (hh < -pre_h), m)
     after = F.when((hh > post_h) & (hh <= post_h + band_h), m)
@@ -131,7 +133,7 @@ def injected_responses(
         catalog.append((mean(q1) - mean(q0)).alias(f"_c{i}"))
     est = p.groupBy(*keys).agg(*catalog).join(orbit, keys, "left")
     rows = F.array(*[F.struct(F.lit(float(s)).alias("spacing_h"), F.col(f"_c{i}").alias("catalog")) for i, s in enumerate(spacings_h)])
-    est = est.select(*keys, (F.col("_oa") - F.col("_ob")).alias("orbit"), F.explode(rows).alias("r")).select(*keys, "orbit", "r.*")
+    est = cut(est).select(*keys, (F.col("_oa") - F.col("_ob")).alias("orbit"), F.explode(rows).alias("r")).select(*keys, "orbit", "r.*")
     base = est.where("amount = 0").select(*by, "spacing_h", F.col("orbit").alias("_bo"), F.col("catalog").alias("_bc"))
     out = est.where("amount <> 0").join(base, [*by, "spacing_h"])
     return out.select(*by, "amount", "spacing_h", (F.col("orbit") - F.col("_bo")).alias("orbit_estimate"), (F.col("catalog") - F.col("_bc")).alias("catalog_estimate"))

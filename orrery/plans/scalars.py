@@ -269,7 +269,7 @@ def p25(spark, d):
     return R.table(spark, d, "events").select("event_id", rnd(names.time_uncertainty(role, token, k * 60.0), 9).alias("uncertainty_s"))
 
 
-@query("p26_melt", "SELECT l_orderkey, l_linenumber, f AS auxiliary_field, v AS auxiliary_value FROM (SELECT l_orderkey, l_linenumber, unnest([{'f':'High_Order_discount','v':l_discount},{'f':'High_Order_tax','v':nullif(l_tax,0)}], recursive:=true) FROM lineitem) WHERE v IS NOT NULL")
+@query("p26_melt", "SELECT l_orderkey, l_linenumber, f AS auxiliary_field, v AS auxiliary_value FROM (SELECT l_orderkey, l_linenumber, unnest([{'f':'high_order_discount','v':l_discount},{'f':'high_order_tax','v':nullif(l_tax,0)}], recursive:=true) FROM lineitem) WHERE v IS NOT NULL")
 def p26(spark, d):
     """Wide ``High_Order_*`` columns to long rows without the NULLs."""
     li = R.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_discount").alias("High_Order_discount"), F.nullif(F.col("l_tax"), F.lit(0.0)).alias("High_Order_tax"))

@@ -33,25 +33,25 @@ def v01(spark, d):
 
 def smooth_series(spark, d):
     """One row per (entity, epoch) with a slowly varying axis."""
-    return R.series(spark, d).groupBy("entity_id", "t").agg((7e6 + F.max("price") * 0.01).alias("sma"))
+    return R.series(spark, d).groupBy("entity_id", "t").agg((7e6 + F.sqrt(F.max("price"))).alias("sma"))
 
 
-SM_CTE = "sm AS (SELECT entity_id, t, 7e6+max(price)*0.01 AS sma FROM series GROUP BY 1,2)"
+SM_CTE = "sm AS (SELECT entity_id, t, 7e6+sqrt(max(price)) AS sma FROM series GROUP BY 1,2)"
 W_CTE = f"smw AS (SELECT sm.*, w FROM sm JOIN (SELECT entity_id, greatest(2, round_even(20*86400.0/median(g),0))::BIGINT AS w FROM (SELECT entity_id, (t-lag(t) OVER (PARTITION BY entity_id ORDER BY t))/1e6 AS g FROM sm) GROUP BY 1) q ON q.entity_id=sm.entity_id)"
 
 
-@query("v02_period_mean", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc, {rsql('CASE WHEN n>=greatest(2,w//2) THEN m END', 4)} AS period_mean FROM (SELECT *, avg(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS m, count(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS n FROM smw)", SM_CTE, W_CTE))
+@query("v02_period_mean", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc, {rsql('CASE WHEN n>=greatest(2,w//2) THEN m END', 3)} AS period_mean FROM (SELECT *, avg(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS m, count(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS n FROM smw)", SM_CTE, W_CTE))
 def v02(spark, d):
     """Centred mean over one period; the row width differs per entity."""
     p = series.period_mean(smooth_series(spark, d), ["entity_id"], ["t"], "sma", period_s=F.lit(20 * 86400.0))
-    return p.select("entity_id", iso("t").alias("epoch_utc"), rnd("period_mean", 4).alias("period_mean"))
+    return p.select("entity_id", iso("t").alias("epoch_utc"), rnd("period_mean", 3).alias("period_mean"))
 
 
-@query("v03_backward_mean", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc, {rsql(f'avg(sma) OVER (PARTITION BY entity_id ORDER BY t RANGE BETWEEN 30*{DAY_US} PRECEDING AND CURRENT ROW)', 4)} AS backward_mean FROM sm", SM_CTE))
+@query("v03_backward_mean", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc, {rsql(f'avg(sma) OVER (PARTITION BY entity_id ORDER BY t RANGE BETWEEN 30*{DAY_US} PRECEDING AND CURRENT ROW)', 3)} AS backward_mean FROM sm", SM_CTE))
 def v03(spark, d):
     """Mean over the 30 days up to each row."""
     b = series.backward_mean(smooth_series(spark, d), ["entity_id"], "t", "sma", 30 * DAY_US)
-    return b.select("entity_id", iso("t").alias("epoch_utc"), rnd("backward_mean", 4).alias("backward_mean"))
+    return b.select("entity_id", iso("t").alias("epoch_utc"), rnd("backward_mean", 3).alias("backward_mean"))
 
 
 ARC_CTE = f"""g0 AS (SELECT entity_id, t, t-lag(t) OVER (PARTITION BY entity_id ORDER BY t) AS g FROM sm),
@@ -161,7 +161,8 @@ def t04(spark, d):
     return q.select("estimator", "finite", F.when(ok, F.col("ci")[0]).alias("ci_low"), F.when(ok, F.col("ci")[1]).alias("ci_high"))
 
 
-@query("t04_bootstrap_median_ci", oracle(f"SELECT count(m) AS n, {rsql('median(m)')} AS median_m, {rsql('quantile_cont(m, (SELECT 0.5-1.959963984540054/(2*sqrt(count(delta_sma_km))) FROM effects))')} AS ci_low, {rsql('quantile_cont(m, (SELECT 0.5+1.959963984540054/(2*sqrt(count(delta_sma_km))) FROM effects))')} AS ci_high FROM (SELECT abs(delta_sma_km)*1000.0 AS m FROM effects)"))
+@query("t04_bootstrap_median_ci", oracle(f"""SELECT n, {rsql('l[floor(p1)::BIGINT+1]+(l[ceil(p1)::BIGINT+1]-l[floor(p1)::BIGINT+1])*(p1-floor(p1))')} AS median_m, {rsql('l[floor(p2)::BIGINT+1]+(l[ceil(p2)::BIGINT+1]-l[floor(p2)::BIGINT+1])*(p2-floor(p2))')} AS ci_low,
+ {rsql('l[floor(p3)::BIGINT+1]+(l[ceil(p3)::BIGINT+1]-l[floor(p3)::BIGINT+1])*(p3-floor(p3))')} AS ci_high FROM (SELECT n, l, 0.5*(n-1) AS p1, (0.5-1.959963984540054::DOUBLE/(2*sqrt(n)))*(n-1) AS p2, (0.5+1.959963984540054::DOUBLE/(2*sqrt(n)))*(n-1) AS p3 FROM (SELECT count(m) AS n, list_sort(list(m) FILTER (m IS NOT NULL)) AS l FROM (SELECT abs(delta_sma_km)*1000.0 AS m FROM effects)))"""))
 def t04b(spark, d):
     """Median response with its many-resample bootstrap interval."""
     e = R.effects(spark, d).select((F.abs("delta_sma_km") * 1000.0).alias("m"))
@@ -221,14 +222,14 @@ def t08(spark, d):
 FUS = f"1.0/pow({BOUND}*1000.0,2)"
 
 
-@query("t09_inverse_variance_fusion", oracle(f"""SELECT l_orderkey, l_linenumber, CASE WHEN a AND b THEN 'fused' WHEN a THEN 'tle_only' WHEN b THEN 'pod_only' ELSE 'no_sources' END AS fusion_status, {rsql('CASE WHEN a AND b THEN (w1*ix+100.0*ox)/(w1+100.0) WHEN a THEN ix WHEN b THEN ox END', 3)} AS fused_x_m, {rsql(f'CASE WHEN a AND b THEN sqrt(1.0/(w1+100.0)) WHEN a THEN {BOUND}*1000.0 WHEN b THEN 0.1 END', 5)} AS fused_sigma_m
+@query("t09_inverse_variance_fusion", oracle(f"""SELECT l_orderkey, l_linenumber, CASE WHEN a AND b THEN 'fused' WHEN a THEN 'tle_only' WHEN b THEN 'pod_only' ELSE 'no_sources' END AS fusion_status, {rsql('CASE WHEN a AND b THEN (w1*ix+100.0*ox)/(w1+100.0) WHEN a THEN ix WHEN b THEN ox END', 3)} AS fused_x_m, {rsql(f'CASE WHEN a AND b THEN sqrt(1.0/(w1+100.0)) WHEN a THEN {BOUND}*1000.0 WHEN b THEN 0.1 END', 7)} AS fused_sigma_m
  FROM (SELECT *, tle_status='computed' AS a, orbit_status='computed' AS b, {FUS} AS w1 FROM estimates)"""))
 def t09(spark, d):
     """Weighted combination of two position estimates, with the one-source fall-backs."""
     e = R.estimates(spark, d)
     cols = lambda p: tuple(F.col(f"{p}{a}") for a in "xyz")
     f = state.fuse(cols("i"), cols("o"), bound() * 1000.0, F.col("tle_status") == "computed", F.col("orbit_status") == "computed")
-    return e.select("l_orderkey", "l_linenumber", f["fusion_status"].alias("fusion_status"), rnd(f["fused_x_m"], 3).alias("fused_x_m"), rnd(f["fused_sigma_m"], 5).alias("fused_sigma_m"))
+    return e.select("l_orderkey", "l_linenumber", f["fusion_status"].alias("fusion_status"), rnd(f["fused_x_m"], 3).alias("fused_x_m"), rnd(f["fused_sigma_m"], 7).alias("fused_sigma_m"))
 
 
 @query("t10_fusion_experiment", oracle(f"SELECT l_orderkey, l_linenumber, {rsql('te')} AS predicted_km, {rsql('de')} AS second_km, {rsql('fe')} AS fused_km, fe<=1.05*least(te,de) AS not_worse FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY t, l_orderkey, l_linenumber, ox, oy) AS rk FROM fus) WHERE rk<=40", EST_CTE, FUSE_CTE))
@@ -252,14 +253,14 @@ def span_events(spark, d):
 ANG = f"(t0/{DAY_US}.0*{2 * math.pi / 400.0!r}+e.entity_id)"
 
 
-@query("t11_state_interpolation", oracle(f"""SELECT o_orderkey, CASE WHEN beyond<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, {rsql('CASE WHEN beyond<=900000000 THEN beyond/1e6 END', 3)} AS extrapolation_s, CASE WHEN beyond<=900000000 THEN true END AS close_to_truth
+@query("t11_state_interpolation", oracle(f"""SELECT o_orderkey, CASE WHEN beyond<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, {rsql('CASE WHEN beyond<=900000000 THEN beyond/1e6 END', 3)} AS extrapolation_s, coalesce(beyond<=900000000,false) AS close_to_truth
  FROM (SELECT o_orderkey, greatest(a-t0, t0-z, 0) AS beyond FROM (SELECT o_orderkey, entity_id, s + o_orderkey%86400*1000000 AS t0 FROM spans) e LEFT JOIN (SELECT entity_id, min(t) AS a, max(t) AS z FROM series GROUP BY 1) q ON q.entity_id=e.entity_id)"""))
 def t11(spark, d):
     """Ten-point interpolation at each event time; the smooth truth must be recovered to a thousandth of the radius."""
     p = interpolate.polynomial_states(span_events(spark, d), smooth_arc(spark, d), ["o_orderkey"], ["entity_id"], "t0", width_us=30 * DAY_US)
     a = F.col("t0") / DAY_US * (2 * math.pi / 400.0) + F.col("entity_id")
     err = orbit.norm3(F.col("orbit_x_m") - 7e6 * F.cos(a), F.col("orbit_y_m") - 7e6 * F.sin(a), F.col("orbit_z_m") - 1e5 * F.sin(a / 2))
-    return p.select("o_orderkey", "orbit_state_status", rnd("extrapolation_s", 3).alias("extrapolation_s"), (err < 7e3).alias("close_to_truth"))
+    return p.select("o_orderkey", "orbit_state_status", rnd("extrapolation_s", 3).alias("extrapolation_s"), F.coalesce(err < 7e3, F.lit(False)).alias("close_to_truth"))
 
 
 @query("t12_holdout_selfcheck")
@@ -272,7 +273,7 @@ def t12(spark, d):
 @query("t13_range_residuals")
 def t13(spark, d):
     """Observed minus computed ranges on splined arcs, with the stations' positions at each epoch."""
-    arc = series.arcs(smooth_arc(spark, d), ["entity_id"], factor=10.0, width_us=30 * DAY_US)
+    arc = cut(series.arcs(smooth_arc(spark, d), ["entity_id"], factor=10.0, width_us=30 * DAY_US))
     ev = span_events(spark, d)
     a = F.col("t0") / DAY_US * (2 * math.pi / 400.0) + F.col("entity_id")
     sx = (F.col("o_orderkey") % 20) * 1e4 + 6e6
