@@ -1,11 +1,13 @@
 """Exact linear-interpolated quantiles without gathering a group in one task.
 
-``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here the order statistics are found by narrowing: values are counted once per
-(group, value), then each level splits the still-open value range into cells,
-counts rows per cell with a combinable aggregate, and keeps only the cell that
-holds the wanted rank. Each level uses the real min/max of the kept cell, so
-outliers cost one level and no resolution.
+``percentile`` keeps every distinct value of a group in one aggregation buffer, so
+it is used only for groups whose number of distinct values has been counted and is
+small. The order statistics of the other groups are found by narrowing: each level
+splits the still-open value range into cells, counts rows per cell with a combinable
+aggregate, and keeps only the cell that holds the wanted rank. Each level uses the
+real min/max of the kept cell, so outliers cost one level and no resolution. Both
+branches read the same (group, value) counts; where no group is large, adaptive
+execution drops the narrowing stages.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS = 65_536
+SMALL_GROUP = 100_000
 
 
 def _narrow(counts: DataFrame, open_cells: DataFrame, keys: list[str], cell: Column) -> DataFrame:
@@ -48,6 +51,7 @@ def exact_quantiles(
     *,
     levels: int = 2,
     cells: int = CELLS,
+    small: int = SMALL_GROUP,
 ) -> DataFrame:
     """One row per group with each output = the ``p`` quantile of its non-null input.
 
@@ -75,17 +79,16 @@ def exact_quantiles(
     keys = [*by, "_m"]
     counts = long.where(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
 
-    probs = {m: sorted({p for a, (_, p) in outputs.items() if where[a] == m}) for m in range(len(measures))}
-    ks = None
-    for m, ps in probs.items():
-        ranks = F.array(
-            *[f(F.lit(p) * (F.col("_total") - 1)).cast("bigint") + 1 for p in ps for f in (F.floor, F.ceil)]
-        )
-        ks = ranks if ks is None else F.when(F.col("_m") == m, ranks).otherwise(ks)
-    cells_open = (
-        counts.groupBy(*keys)
-        .agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .select(*keys, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.array_distinct(ks).alias("_ks"), "_total")
+    ps = sorted({p for _, p in outputs.values()})
+    stats = counts.groupBy(*keys).agg(
+        F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_distinct")
+    )
+    few = stats.where(F.col("_distinct") <= small).select(*keys)
+    direct = counts.join(few, keys).groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(p) for p in ps]), F.col("_n")).alias("_q"))
+
+    ranks = F.array(*[f(F.lit(p) * (F.col("_total") - 1)).cast("bigint") + 1 for p in ps for f in (F.floor, F.ceil)])
+    cells_open = stats.where(F.col("_distinct") > small).select(
+        *keys, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.array_distinct(ranks).alias("_ks"), "_total"
     )
     width = F.col("_hi") - F.col("_lo")
     linear = F.when(
@@ -94,23 +97,22 @@ def exact_quantiles(
     for _ in range(levels):
         cells_open = _narrow(counts, cells_open, keys, linear)
     found = _narrow(counts, cells_open, keys, F.col("_v"))
-
     table = (
         found.select(*keys, "_total", F.col("_lo").alias("_v"), F.explode("_ks").alias("_k"))
         .groupBy(*keys)
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"),
-            F.first("_total").alias("_total"),
-        )
+        .agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"), F.first("_total").alias("_total"))
     )
-    cols = []
-    for alias, (_, p) in outputs.items():
+
+    def at(p: float) -> Column:
         pos = F.lit(p) * (F.col("_total") - 1)
         lo = F.col("_at")[F.floor(pos).cast("bigint") + 1]
         hi = F.col("_at")[F.ceil(pos).cast("bigint") + 1]
-        value = lo + (hi - lo) * (pos - F.floor(pos))
-        cols.append(F.max(F.when(F.col("_m") == where[alias], value)).alias(alias))
-    out = table.groupBy(*by).agg(*cols)
+        return lo + (hi - lo) * (pos - F.floor(pos))
+
+    narrowed = table.select(*keys, F.array(*[at(p) for p in ps]).alias("_q"))
+    both = direct.unionByName(narrowed)
+    picks = [F.max(F.when(F.col("_m") == where[a], F.get("_q", F.lit(ps.index(p))))).alias(a) for a, (_, p) in outputs.items()]
+    out = both.groupBy(*by).agg(*picks)
     return out.drop("_g") if whole else out
 
 

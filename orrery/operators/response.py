@@ -9,6 +9,7 @@ from orrery.functions.orbit import angle_delta, norm3, sma_from_mean_motion, vis
 from orrery.operators.joins import bracket_join, points_in_windows
 from orrery.operators.quantiles import exact_quantiles
 from orrery.operators.scan import HOUR_US
+from orrery.session import cut
 
 BAND_US = 12 * HOUR_US
 MIN_BAND = 2
@@ -42,7 +43,7 @@ def orbit_response(windows: DataFrame, states: DataFrame, margin_us: int = BAND_
     """Median radius and vis-viva semi-major axis before and after each window."""
     pos, vel = tuple(map(F.col, ("x", "y", "z"))), tuple(map(F.col, ("vx", "vy", "vz")))
     pts = states.select("entity_id", "t", norm3(*pos).alias("radius"), vis_viva_sma(pos, inertial_velocity(pos, vel)).alias("sma"))
-    b = band_samples(pts, windows, margin_us).where("band <> 'during'")
+    b = cut(band_samples(pts, windows, margin_us).where("band <> 'during'"))
     n = b.groupBy("annotation_id").agg(
         *[F.count_if(F.col("band") == x).alias(f"orbit_samples_{x}") for x in ("before", "after")],
         *[F.count_if((F.col("band") == x) & F.col("sma").isNotNull()).alias(f"_n_{x}") for x in ("before", "after")],

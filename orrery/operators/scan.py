@@ -87,10 +87,14 @@ def neighbour(
 ) -> DataFrame:
     """Attach the previous (or next) row of the entity as struct ``name``; NULL at the end."""
     b = df.withColumn("_b", bucket)
-    key = F.struct(*order)
     pay = F.struct(*payload)
-    edge = (F.min_by if ahead else F.max_by)(pay, key).alias("_edge")
-    ends = b.groupBy(*by, "_b").agg(edge)
+    pick = F.min_by if ahead else F.max_by
+    if len(order) == 1:
+        # plain columns keep the edge aggregate in the hash path; all of them take the same row
+        edges = [pick(c, order[0]).alias(f"_e{i}") for i, c in enumerate(payload)]
+        ends = b.groupBy(*by, "_b").agg(*edges).select(*by, "_b", F.struct(*[F.col(f"_e{i}").alias(c) for i, c in enumerate(payload)]).alias("_edge"))
+    else:
+        ends = b.groupBy(*by, "_b").agg(pick(pay, F.struct(*order)).alias("_edge"))
     across = Window.partitionBy(*by).orderBy("_b")
     local = Window.partitionBy(*by, "_b").orderBy(*order)
     step = F.lead if ahead else F.lag

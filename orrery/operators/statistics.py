@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.scan import prefix_scan
+from orrery.session import cut
 
 # Noise floors (m), uncertainty fit bins (days), coverage references, tolerances.
 SIGMA_X_M, SIGMA_Y_M = 24.0, 1.1
@@ -143,6 +144,7 @@ def equivalence(df: DataFrame, by: Sequence[str], group: str, value: str, tolera
     """Two one-sided Welch tests per pair of labels: effect sizes, p-values and verdict."""
     by = list(by)
     g = with_quantiles(df.where(F.col(value).isNotNull()), [*by, group], [F.count(F.lit(1)).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("v")], {"md": (F.col(value), 0.5)}).where(F.col("n") >= min_group)
+    g = cut(g)
     side = lambda s: g.select(*by, F.col(group).alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "m", "v", "md")])
     p = side("left").join(side("right"), by).where(F.col("left") < F.col("right")).withColumn("tolerance", tolerance)
     ea, eb = F.col("v_left") / F.col("n_left"), F.col("v_right") / F.col("n_right")
@@ -195,7 +197,7 @@ def sigma_model(estimates: DataFrame) -> DataFrame:
 
 def calibration(estimates: DataFrame, model: DataFrame, group: Column) -> DataFrame:
     """Empirical coverage at 1, 2, 3 sigma per group and overall, inside the validity domain."""
-    x = estimates.join(F.broadcast(model))  # one-row side
+    x = estimates.join(F.broadcast(cut(model)))  # one-row side
     bound = F.col("base_km") + F.col("growth_km_per_day") * F.abs("prop_s") / 86400.0
     x = x.select(F.explode(F.array(F.lit("all"), group)).alias("grp"), "res", bound.alias("_b"), (F.abs("prop_s") <= VALIDITY_S).alias("_in"))
     hits = [F.avg(F.when(F.col("_in"), (F.col("res") <= k * F.col("_b")).cast("double"))).alias(f"_k{k}") for k in NOMINAL]

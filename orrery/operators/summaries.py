@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orrery.functions.orbit import altitude_km, norm3
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.scan import DAY_US, neighbour, prefix_scan, slot
+from orrery.session import cut
 
 
 def with_all(df: DataFrame, cols: Sequence[str], sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
@@ -41,10 +42,10 @@ def response_summary(per_window: DataFrame, tier: str = "coverage_tier") -> Data
     return with_quantiles(x, ["entity_id", tier], counts, outs)
 
 
-def coverage_fields(points: DataFrame, by: Sequence[str], t: str = "t") -> DataFrame:
+def coverage_fields(points: DataFrame, by: Sequence[str], t: str = "t", width_us: int = 30 * DAY_US) -> DataFrame:
     """First/last epoch, distinct years, median cadence (h) and largest gap (d) per group."""
     by = list(by)
-    near = neighbour(points.select(*by, t), by, [t], slot(t, DAY_US), [t])
+    near = neighbour(points.select(*by, t), by, [t], slot(t, width_us), [t])
     gap_days = (F.col(t) - F.col(f"prev.{t}")) / 1e6 / 86400.0
     aggs = [
         F.min(t).alias("first_t"), F.max(t).alias("last_t"), F.countDistinct(F.year(F.timestamp_micros(t))).alias("years_covered"),
@@ -109,7 +110,7 @@ def side_statistics(samples: DataFrame, by: Sequence[str], side: str, value: str
     """Before/after statistics after removing values farther than ``clip`` from their side's median."""
     by = list(by)
     med = exact_quantiles(samples, [*by, side], {"_center": (F.col(value), 0.5)})
-    kept = samples.join(med, [*by, side]).where(F.abs(F.col(value) - F.col("_center")) <= clip)
+    kept = cut(samples.join(med, [*by, side]).where(F.abs(F.col(value) - F.col("_center")) <= clip))
     val = lambda s: F.when(F.col(side) == s, F.col(value))
     aggs = [F.count(val(s)).alias(f"n_{s}") for s in ("before", "after")] + [F.sqrt(F.avg(val(s) * val(s))).alias(f"rms_{s}") for s in ("before", "after")]
     out = with_quantiles(kept, by, aggs, {f"median_{s}": (val(s), 0.5) for s in ("before", "after")})

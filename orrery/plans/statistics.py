@@ -43,7 +43,7 @@ W_CTE = f"smw AS (SELECT sm.*, w FROM sm JOIN (SELECT entity_id, greatest(2, rou
 @query("v02_period_mean", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc, {rsql('CASE WHEN n>=greatest(2,w//2) THEN m END', 3)} AS period_mean FROM (SELECT *, avg(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS m, count(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS n FROM smw)", SM_CTE, W_CTE))
 def v02(spark, d):
     """Centred mean over one period; the row width differs per entity."""
-    p = series.period_mean(smooth_series(spark, d), ["entity_id"], ["t"], "sma", period_s=F.lit(20 * 86400.0))
+    p = series.period_mean(smooth_series(spark, d), ["entity_id"], ["t"], "sma", period_s=F.lit(20 * 86400.0), width_us=365 * DAY_US)
     return p.select("entity_id", iso("t").alias("epoch_utc"), rnd("period_mean", 3).alias("period_mean"))
 
 

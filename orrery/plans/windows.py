@@ -238,7 +238,7 @@ def l03(spark, d):
 LABEL_CTE = """lab AS (SELECT c.o_orderkey AS candidate_id, c.entity_id, coalesce(a.comb,0) AS comb, coalesce(a.pod,0)>0 AS hp, coalesce(a.tle,0)>0 AS ht, coalesce(a.slr,0)>0 AS hs, coalesce(a.srcs,'') AS evidence_sources, coalesce(f.tc,false) AS tc, coalesce(f.sc,false) AS sc, coalesce(f.thin,false) AS thin, f.ty, coalesce(i.ids,'') AS evidence_ids, coalesce(f.n,0) AS n
  FROM spans c LEFT JOIN (SELECT candidate_id, coalesce(max(pos) FILTER (source='pod'),0)+coalesce(max(pos) FILTER (source='slr'),0)+coalesce(max(pos) FILTER (source='tle'),0) AS comb, max(pos) FILTER (source='pod') AS pod, max(pos) FILTER (source='tle') AS tle, max(pos) FILTER (source='slr') AS slr, string_agg(source, ',' ORDER BY source) FILTER (pos>0) AS srcs FROM src GROUP BY 1) a ON a.candidate_id=c.o_orderkey
  LEFT JOIN (SELECT candidate_id, bool_or(source='tle' AND NOT supports_event) AS tc, bool_or(source='slr' AND NOT supports_event) AS sc, bool_or(source='slr' AND details='insufficient_slr_coverage') AS thin, arg_min(maneuver_type, seq) FILTER (maneuver_type NOT IN ('collision_avoidance','unknown')) AS ty, count(*) AS n FROM evid GROUP BY 1) f ON f.candidate_id=c.o_orderkey
- LEFT JOIN (SELECT candidate_id, string_agg(evidence_id, ',' ORDER BY evidence_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY seq) AS rk FROM evid) WHERE rk<=20 GROUP BY 1) i ON i.candidate_id=c.o_orderkey),
+ LEFT JOIN (SELECT candidate_id, string_agg(DISTINCT evidence_id, ',' ORDER BY evidence_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY seq) AS rk FROM evid) WHERE rk<=20 GROUP BY 1) i ON i.candidate_id=c.o_orderkey),
 labr AS (SELECT *, CASE WHEN tc THEN 'tle_conflict' WHEN sc AND thin THEN 'slr_insufficient_coverage' WHEN sc THEN 'slr_conflict' WHEN NOT hp THEN 'missing_pod' WHEN NOT ht THEN 'missing_tle' WHEN NOT (hs AND comb>=0.8) THEN 'combined_score_below_threshold' ELSE '' END AS ignore_reason FROM lab),
 labx AS (SELECT *, CASE WHEN ignore_reason='' THEN 'event' ELSE 'ignore' END AS event_label,
  '{"pod":"' || CASE WHEN hp THEN 'pass' ELSE 'missing' END || '","slr":"' || CASE WHEN NOT tc AND sc AND thin THEN 'insufficient' WHEN NOT tc AND sc THEN 'conflict' WHEN hs THEN 'pass' ELSE 'missing' END || '","tle":"' || CASE WHEN tc THEN 'conflict' WHEN ht THEN 'pass' ELSE 'missing' END || '"}' AS gate_status_json FROM labr)"""
