@@ -15,20 +15,38 @@ from orrery.session import scratch_dir
 from orrery.streaming import streams
 
 
-def deliveries(spark, d, rows, *, overlap_us=0, parts=3, heartbeat=False):
-    """Write rows as successive deliveries by time; each repeats the last ``overlap_us`` of the one before."""
+def feed(spark, rows, drain, *, overlap_us=0, parts=3, heartbeat=False):
+    """Deliver rows by time, one folder after the other, and drain after each.
+
+    Every drain is a restart from the checkpoint that takes one delivery as one
+    micro-batch. Deliveries repeat the last ``overlap_us`` of the one before. A heartbeat is
+    a last row far ahead of the data, which moves the watermark past everything before it.
+    """
     root = scratch_dir(spark, "stream")
     rows = rows.withColumn("t", F.timestamp_micros("t_us"))
     lo, hi = rows.agg(F.min("t_us"), F.max("t_us")).first()
     step = (hi - lo) // parts + 1
     for i in range(parts):
         a = lo + i * step - (overlap_us if i else 0)
-        rows.where((F.col("t_us") >= a) & (F.col("t_us") < lo + (i + 1) * step)).coalesce(1).write.parquet(f"{root}/in/part{i}")
+        rows.where((F.col("t_us") >= a) & (F.col("t_us") < lo + (i + 1) * step)).write.parquet(f"{root}/in/part{i}")
+        drain(root, rows.schema)
     if heartbeat:
-        # a last row far ahead of the data moves the watermark past everything before it
         beat = rows.agg((F.max("t_us") + 30 * DAY_US).alias("t_us"))
-        beat.select(*[(F.lit(-1) if c == "entity_id" else F.col("t_us") if c == "t_us" else F.timestamp_micros("t_us") if c == "t" else F.lit(None)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]).write.parquet(f"{root}/in/part9")
-    return root, rows.schema
+        beat.select(*[(F.lit(-1) if c == "entity_id" else F.col("t_us") if c == "t_us" else F.timestamp_micros("t_us") if c == "t" else F.lit(None)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]).write.parquet(f"{root}/in/part{parts}")
+        drain(root, rows.schema)
+    return root
+
+
+def appending(spark, make):
+    """Drain of the stream ``make(source)`` into the table ``out`` of the delivery root."""
+    def drain(root, schema):
+        streams.drain_append(make(streams.open_stream(spark, f"{root}/in", schema)), f"{root}/out", f"{root}/ck")
+
+    return drain
+
+
+def distinct(source):
+    return streams.distinct_deliveries(source, ["entity_id", "t"], "t", "3 days")
 
 
 def state_rows(spark, d):
@@ -37,56 +55,50 @@ def state_rows(spark, d):
 
 @query("r01_incremental_cursor", oracle("SELECT entity_id, count(*) AS n FROM states GROUP BY 1"))
 def r01(spark, d):
-    """Two drains with one checkpoint: the second reads only what arrived since, the overlap is absorbed."""
-    root, schema = deliveries(spark, d, state_rows(spark, d), overlap_us=1_800_000_000)
-    for _ in range(2):
-        s = streams.distinct_deliveries(streams.open_stream(spark, f"{root}/in", schema), ["entity_id", "t"], "t", "2 days")
-        streams.drain_append(s, f"{root}/out", f"{root}/ck")
+    """Successive drains with one checkpoint: each reads only what arrived since, the half-hour overlap is absorbed."""
+    root = feed(spark, state_rows(spark, d), appending(spark, distinct), overlap_us=1_800_000_000)
     return spark.read.parquet(f"{root}/out").groupBy("entity_id").agg(F.count("*").alias("n"))
 
 
 @query("r02_dedup_overlapping_deliveries", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc FROM states"))
 def r02(spark, d):
     """A day of overlap between deliveries, each key kept once."""
-    root, schema = deliveries(spark, d, state_rows(spark, d), overlap_us=DAY_US)
-    s = streams.distinct_deliveries(streams.open_stream(spark, f"{root}/in", schema), ["entity_id", "t"], "t", "3 days")
-    streams.drain_append(s, f"{root}/out", f"{root}/ck")
+    root = feed(spark, state_rows(spark, d), appending(spark, distinct), overlap_us=DAY_US)
     return spark.read.parquet(f"{root}/out").select("entity_id", iso("t_us").alias("epoch_utc"))
 
 
-def pairs(spark, d, rows):
-    root, schema = deliveries(spark, d, rows, heartbeat=True)
-    s = streams.consecutive_pairs(streams.open_stream(spark, f"{root}/in", schema), "t", "1 hour")
-    streams.drain_append(s, f"{root}/out", f"{root}/ck")
+def pairs(spark, rows):
+    root = feed(spark, rows, appending(spark, lambda s: streams.consecutive_pairs(s, "t", "1 hour")), heartbeat=True)
     return spark.read.parquet(f"{root}/out")
 
 
 @query("r03_cross_batch_cadence", oracle(f"SELECT entity_id, count(g) AS total, count(*) FILTER (g<={DAY_US}) AS within_day FROM (SELECT entity_id, t-lag(t) OVER (PARTITION BY entity_id ORDER BY t) AS g FROM states) GROUP BY 1 HAVING count(g)>0"))
 def r03(spark, d):
     """Consecutive-row cadence counted across micro-batches."""
-    p = pairs(spark, d, state_rows(spark, d))
+    p = pairs(spark, state_rows(spark, d))
     return p.groupBy("entity_id").agg(F.count("*").alias("total"), F.count_if(F.col("t_us") - F.col("prev_us") <= DAY_US).alias("within_day"))
 
 
 @query("r04_cadence_windows", oracle(f"SELECT 'tumbling' AS kind, entity_id, {iso_sql(f't//{HOUR_US}*{HOUR_US}')} AS window_start_utc, count(*) AS n FROM states GROUP BY 2,3 UNION ALL SELECT 'sliding', entity_id, {iso_sql('w')}, count(*) FROM (SELECT entity_id, unnest([t//1800000000*1800000000, t//1800000000*1800000000-1800000000]) AS w FROM states) GROUP BY 2,3"))
 def r04(spark, d):
     """Tumbling and sliding hourly counts in update mode, latest value per key."""
-    root, schema = deliveries(spark, d, state_rows(spark, d))
-    out = None
-    for kind, slide in (("tumbling", None), ("sliding", "30 minutes")):
-        s = streams.cadence_windows(streams.open_stream(spark, f"{root}/in", schema), ["entity_id"], "t", "1 day", "1 hour", slide)
-        x = streams.drain_upsert(s, ["entity_id", "window_start"], f"{root}/{kind}", f"{root}/ck_{kind}")
-        x = x.select(F.lit(kind).alias("kind"), "entity_id", iso(F.unix_micros("window_start")).alias("window_start_utc"), "n")
-        out = x if out is None else out.unionByName(x)
-    return out
+    kinds = {"tumbling": None, "sliding": "30 minutes"}
+    latest = {}
+
+    def drain(root, schema):
+        for kind, slide in kinds.items():
+            w = streams.cadence_windows(streams.open_stream(spark, f"{root}/in", schema), ["entity_id"], "t", "1 day", "1 hour", slide)
+            latest[kind] = streams.drain_upsert(w, ["entity_id", "window_start"], f"{root}/{kind}", f"{root}/ck_{kind}")
+
+    feed(spark, state_rows(spark, d), drain)
+    rows = [x.select(F.lit(k).alias("kind"), "entity_id", iso(F.unix_micros("window_start")).alias("window_start_utc"), "n") for k, x in latest.items()]
+    return rows[0].unionByName(rows[1])
 
 
 @query("r05_session_arcs", oracle(f"SELECT entity_id, {iso_sql('min(t)')} AS arc_start_utc, {iso_sql('max(t)')} AS last_utc, count(*) AS n FROM (SELECT *, sum(CASE WHEN g IS NULL OR g>={12 * HOUR_US} THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS arc FROM (SELECT *, t-lag(t) OVER (PARTITION BY entity_id ORDER BY t) AS g FROM states)) GROUP BY entity_id, arc"))
 def r05(spark, d):
     """Session windows with a twelve-hour hole."""
-    root, schema = deliveries(spark, d, state_rows(spark, d), heartbeat=True)
-    s = streams.session_arcs(streams.open_stream(spark, f"{root}/in", schema), ["entity_id"], "t", "1 hour", "12 hours")
-    streams.drain_append(s, f"{root}/out", f"{root}/ck")
+    root = feed(spark, state_rows(spark, d), appending(spark, lambda s: streams.session_arcs(s, ["entity_id"], "t", "1 hour", "12 hours")), heartbeat=True)
     o = spark.read.parquet(f"{root}/out").where("entity_id >= 0")
     return o.select("entity_id", iso(F.unix_micros("arc_start")).alias("arc_start_utc"), iso(F.unix_micros("last_t")).alias("last_utc"), "n")
 
@@ -95,14 +107,19 @@ def r05(spark, d):
 def r06(spark, d):
     """Element steps over 100 m alerted once both elements are closed."""
     e = R.elements(spark, d).select("entity_id", F.col("t").alias("t_us"), sma_from_mean_motion(F.col("mean_motion")).alias("value"))
-    p = pairs(spark, d, e).where(F.abs(F.col("v") - F.col("prev_v")) > 100)
+    p = pairs(spark, e).where(F.abs(F.col("v") - F.col("prev_v")) > 100)
     return p.select("entity_id", iso("prev_us").alias("bracket_start_utc"), iso("t_us").alias("bracket_end_utc"), rnd(F.col("v") - F.col("prev_v"), 3).alias("delta_m"))
 
 
 @query("r07_snapshot_upsert", oracle(f"SELECT entity_id, count(*) AS n, {iso_sql('max(t)')} AS last_utc FROM states GROUP BY 1"))
 def r07(spark, d):
     """Running per-entity totals upserted by idempotent micro-batch partitions."""
-    root, schema = deliveries(spark, d, state_rows(spark, d))
-    s = streams.open_stream(spark, f"{root}/in", schema).groupBy("entity_id").agg(F.count("*").alias("n"), F.max("t_us").alias("last_us"))
-    x = streams.drain_upsert(s, ["entity_id"], f"{root}/out", f"{root}/ck")
+    latest = []
+
+    def drain(root, schema):
+        g = streams.open_stream(spark, f"{root}/in", schema).groupBy("entity_id").agg(F.count("*").alias("n"), F.max("t_us").alias("last_us"))
+        latest.append(streams.drain_upsert(g, ["entity_id"], f"{root}/out", f"{root}/ck"))
+
+    feed(spark, state_rows(spark, d), drain)
+    x = latest[-1]
     return x.select("entity_id", "n", iso("last_us").alias("last_utc"))

@@ -18,9 +18,14 @@ def effective_start(requested_us: int, end_us: int, last_end_us: int | None, ove
     return start if start <= end_us else None
 
 
-def open_stream(spark: SparkSession, path: str, schema, *, files_per_trigger: int = 1) -> DataFrame:
-    """File source in arrival order; progress lives in the sink's checkpoint."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", True).parquet(path)
+def open_stream(spark: SparkSession, path: str, schema, *, files_per_trigger: int | None = None) -> DataFrame:
+    """File source in arrival order; progress lives in the sink's checkpoint.
+
+    Without a limit everything that has arrived is one micro-batch. A limit must not split
+    files whose rows interleave by more than the watermark delay.
+    """
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    return (reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).parquet(path)
 
 
 def drain_append(stream: DataFrame, out: str, checkpoint: str) -> None:
