@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "response_summary_rollups", "j01_bracketing_asof", "j05_interval_overlap_audit", "j06_presence_counts", "d01_keep_last", "d04_prioritised_dedup_rules",
+    "a01_response_summary_rollups", "j01_bracketing_asof", "j05_interval_overlap_audit", "j06_presence_counts", "d01_keep_last", "d04_prioritised_dedup_rules",
     "w02_interval_merge", "w05_quiet_window_mining", "l04_candidate_labelling", "a08_epoch_coverage", "a15_bias_calibration", "a20_sigma_coverage",
     "t01_ols_slopes", "t05_ks_statistic", "t08_sigma_calibration", "v02_period_mean", "v09_benjamini_hochberg", "s04_sessioned_ranging_ingest",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.flags import coverage_tier, covered, missing_flags, missing_sources
-from orrery.operators.joins import Probe, count_overlaps, count_probes
+from orrery.operators.joins import Probe, count_overlaps, probe_counts
 from orrery.operators.scan import HOUR_US
 
 
@@ -16,7 +16,7 @@ def _ms(df: DataFrame, t: str = "t") -> DataFrame:
 
 def _counts(windows: DataFrame, points: DataFrame, t: str, probes: dict[str, Probe]) -> DataFrame:
     cols = ["annotation_id", "entity_id", *dict.fromkeys(p.t for p in probes.values())]
-    return count_probes(windows.select(*dict.fromkeys(cols)), points, ["annotation_id"], ["entity_id"], t, probes).select("annotation_id", *probes)
+    return probe_counts(windows.select(*dict.fromkeys(cols)), points, ["annotation_id"], ["entity_id"], t, probes)
 
 
 def presence_coverage(windows: DataFrame, elements: DataFrame, states: DataFrame, ranging: DataFrame, margin_us: int = 24 * HOUR_US) -> DataFrame:

@@ -131,7 +131,7 @@ def nearest_join(
     return out
 
 
-def count_probes(
+def probe_counts(
     left: DataFrame,
     points: DataFrame,
     key: Sequence[str],
@@ -141,9 +141,9 @@ def count_probes(
     *,
     width_us: int = DAY_US,
 ) -> DataFrame:
-    """Per probe the number of points at or before its time (before it if ``strict``; at or after it if ``forward``).
+    """Per key and probe the number of points at or before its time (before it if ``strict``; at or after it if ``forward``).
 
-    Differences of such counts give the points in any interval and the spans that
+    One row per key of ``left``, with one column per probe. Differences of such counts give the points in any interval and the spans that
     overlap any window in linear work: no (point, window) pair is formed.
     """
     key, by = list(key), list(by)
@@ -166,7 +166,12 @@ def count_probes(
     for i, (name, p) in enumerate(probes.items()):
         value = F.coalesce("_all", F.lit(0)) - below if p.forward else below
         picks.append(F.max(F.when(F.col("_probe") == i, value)).alias(name))
-    return left.join(found.groupBy(*key).agg(*picks), key, "left")
+    return found.groupBy(*key).agg(*picks)
+
+
+def count_probes(left: DataFrame, points: DataFrame, key: Sequence[str], by: Sequence[str], point_t: str, probes: dict[str, Probe], **kw) -> DataFrame:
+    """``left`` with the counts of :func:`probe_counts`."""
+    return left.join(probe_counts(left, points, key, by, point_t, probes, **kw), list(key), "left")
 
 
 def count_within(
@@ -188,9 +193,9 @@ def count_overlaps(
     Exact for windows with lo < hi and spans with s <= e.
     """
     w = windows.select(*dict.fromkeys([*key, *by, lo, hi]))
-    begun = count_probes(w, spans, key, by, s, {"_begun": Probe(hi, strict=True)}, width_us=width_us)
-    ended = count_probes(w, spans, key, by, e, {"_ended": Probe(lo)}, width_us=width_us)
-    n = begun.select(*key, "_begun").join(ended.select(*key, "_ended"), list(key)).select(*key, (F.col("_begun") - F.col("_ended")).alias(name))
+    begun = probe_counts(w, spans, key, by, s, {"_begun": Probe(hi, strict=True)}, width_us=width_us)
+    ended = probe_counts(w, spans, key, by, e, {"_ended": Probe(lo)}, width_us=width_us)
+    n = begun.join(ended, list(key)).select(*key, (F.col("_begun") - F.col("_ended")).alias(name))
     return windows.join(n, list(key), "left")
 
 

@@ -50,7 +50,7 @@ def responses(spark, d):
 Q3 = lambda e, s: f"{rsql(f'quantile_cont(abs({e}),0.5)', s)}"
 
 
-@query("response_summary_rollups", oracle(f"""SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, coalesce(coverage_tier,'ALL') AS coverage_tier, count(*) AS window_count, count(*) FILTER (tle_response='computed') AS tle_computed_count, count(*) FILTER (orbit_response='computed') AS orbit_computed_count, count(*) FILTER (slr_response='computed') AS slr_computed_count,
+@query("a01_response_summary_rollups", oracle(f"""SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, coalesce(coverage_tier,'ALL') AS coverage_tier, count(*) AS window_count, count(*) FILTER (tle_response='computed') AS tle_computed_count, count(*) FILTER (orbit_response='computed') AS orbit_computed_count, count(*) FILTER (slr_response='computed') AS slr_computed_count,
  {rsql('quantile_cont(abs(delta_sma_km),0.25)')} AS p25_abs_delta_sma_km, {rsql('quantile_cont(abs(delta_sma_km),0.5)')} AS median_abs_delta_sma_km, {rsql('quantile_cont(abs(delta_sma_km),0.75)')} AS p75_abs_delta_sma_km, {rsql('quantile_cont(abs(orbit_radius_shift_m),0.5)', 3)} AS median_abs_orbit_radius_shift_m,
  {rsql('quantile_cont(abs(orbit_sma_shift_m),0.5)', 2)} AS median_abs_orbit_sma_shift_m, {rsql('quantile_cont(slr_bias_shift_m,0.5)')} AS median_slr_bias_shift_m, {rsql('quantile_cont(slr_rms_before_m,0.5)')} AS median_slr_rms_before_m FROM resp GROUP BY CUBE (entity_id, coverage_tier)""", *RESP))
 def a01(spark, d):
