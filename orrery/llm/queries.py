@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import jaccard, quality
+from orrery.llm import decontaminate, jaccard, quality
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"), 0.8)
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of every document with benchmark items, tolerant of substituted words."""
+    return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
