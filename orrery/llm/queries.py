@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, jaccard, quality
+from orrery.llm import decontaminate, jaccard, mixing, quality
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,16 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, sampling chance and draw of every document."""
+    m = mixing.mix(table(spark, sf_dir, "documents"))
+    return m.select("row.doc_id", "source", "lang", "topic", F.col("n").alias("tokens"), F.round("weight", 5).alias("weight"), F.round("p", 5).alias("p"), "kept")
+
+
+ORACLES["op8_mixing"] = mixing.ORACLE_SQL
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
