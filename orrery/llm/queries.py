@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, jaccard, mixing, quality
+from orrery.llm import decontaminate, jaccard, mixing, quality, tokens
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as range-coded files and read back."""
+    return tokens.write_and_read(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked weight, sampling chance and draw of every document."""
