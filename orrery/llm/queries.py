@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, jaccard, mixing, quality, tokens
+from orrery.llm import decontaminate, jaccard, mixing, quality, tokens, warc
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.write_and_read(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of the archives, read back from them."""
+    return warc.write_and_read(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc"] = warc.ORACLE_SQL
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked weight, sampling chance and draw of every document."""
