@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, jaccard, mixing, quality, tokens, warc
+from orrery.llm import decontaminate, fingerprint, jaccard, mixing, quality, tokens, warc
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_document_fingerprints"] = fingerprint.ORACLE_SQL
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document: five-word shingles, similarity 0.8 or more."""
