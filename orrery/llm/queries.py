@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, fingerprint, jaccard, mixing, quality, tokens, warc
+from orrery.llm import decontaminate, fingerprint, jaccard, mixing, quality, tokens, toxicity, warc
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as range-coded files and read back."""
