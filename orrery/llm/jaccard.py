@@ -205,7 +205,7 @@ def verified_links(items: DataFrame, info: DataFrame, candidates: DataFrame, thr
     sizes = members.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("chars") / BLOCK_CHARS)).cast("int").alias("blocks"))
     plan = members.join(sizes, "root").select("id", "weight", "root", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("mine"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    units = items.join(plan, "id").select("id", "weight", "text", "root", "mine", other).select(
+    units = items.join(plan.hint("merge"), "id").select("id", "weight", "text", "root", "mine", other).select(
         F.concat_ws("-", "root", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"),
         F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"), "id", "weight", "text",
     )
