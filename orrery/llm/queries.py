@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, fingerprint, jaccard, mixing, quality, tokens, toxicity, warc
+from orrery.llm import decontaminate, fingerprint, jaccard, mixing, quality, substrings, tokens, toxicity, warc
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"), 0.8)
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of documents that other documents repeat, and which of them go."""
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of every document with benchmark items, tolerant of substituted words."""
