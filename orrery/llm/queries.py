@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, fingerprint, jaccard, mixing, quality, substrings, tokens, toxicity, warc
+from orrery.llm import decontaminate, fingerprint, htmltext, jaccard, mixing, quality, substrings, tokens, toxicity, warc
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
