@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HIDDEN = frozenset("head script style template noscript iframe object noembed noframes datalist audio video canvas svg math area map select".split())
+HIDDEN = frozenset("head title script style template noscript iframe object noembed noframes datalist audio video canvas svg math area map select".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript".split())
+HEAD = frozenset("base basefont bgsound link meta title script style noscript template".split())  # what a head may hold
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr fieldset listing".split())
 BLOCK = SPACED | frozenset("html body address article aside center details dialog dd dir div dt figcaption footer form header hgroup legend li main nav search section summary tbody thead tfoot tr td th caption optgroup option".split())
@@ -84,7 +85,13 @@ class Page:
         self.buffers = [Buffer()]
         self.hidden = self.pre = 0
 
+    def leave_head(self) -> None:
+        if self.open and self.open[-1].tag == "head":
+            self.close()
+
     def text(self, text: str) -> None:
+        if self.hidden and text and not text.isspace():
+            self.leave_head()
         if self.hidden or not text:
             return
         text = unescape(text)
@@ -111,6 +118,8 @@ class Page:
         return False
 
     def start(self, tag: str, attributes: str) -> None:
+        if tag not in HEAD:
+            self.leave_head()
         if tag == "br":
             if not self.hidden:
                 self.buffers[-1].flush(even_empty=True)
