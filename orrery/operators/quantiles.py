@@ -1,13 +1,16 @@
 """Exact linear-interpolated quantiles without gathering a group in one task.
 
-``percentile`` keeps every distinct value of a group in one aggregation buffer, so
-it is used only for groups whose number of distinct values has been counted and is
-small. The order statistics of the other groups are found by narrowing: each level
-splits the still-open value range into cells, counts rows per cell with a combinable
-aggregate, and keeps only the cell that holds the wanted rank. Each level uses the
-real min/max of the kept cell, so outliers cost one level and no resolution. Both
-branches read the same (group, value) counts; where no group is large, adaptive
-execution drops the narrowing stages.
+One combined count decides: if every group has at most ``BOUND`` rows, ``percentile`` answers all measures in a
+single aggregation. Otherwise values are narrowed to the cells that hold a wanted rank:
+
+1. Equal values of a group are counted first (combined before the shuffle, which hashes the value too).
+2. Groups of more than ``BOUND`` distinct values get ``FAN`` - 1 splitters from a mergeable sketch. Such groups are
+   few against the values; they are copied ``SALTS`` times and joined on (group, salt), so the values of one group
+   spread over that many tasks.
+3. Values are counted by (group, cell), and only cells that hold a wanted rank keep their values, by a join on
+   (group, cell). Splitters follow the values' own distribution, so tails cost nothing.
+4. This repeats on the kept cells until the largest has at most ``BOUND`` values, checked by an aggregate; only
+   then are values put in order, within a cell.
 """
 
 from __future__ import annotations
@@ -17,42 +20,82 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 65_536
-SMALL_GROUP = 100_000
-
-
-def _narrow(counts: DataFrame, open_cells: DataFrame, keys: list[str], cell: Column) -> DataFrame:
-    live = counts.join(open_cells, keys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    per_cell = live.groupBy(*keys, "_lo", cell.alias("_cell")).agg(
-        F.sum("_n").alias("_n"),
-        F.min("_v").alias("_vlo"),
-        F.max("_v").alias("_vhi"),
-        F.first("_below").alias("_below"),
-        F.first("_ks").alias("_ks"),
-        F.first("_total").alias("_total"),
-    )
-    upto = Window.partitionBy(*keys, "_lo").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = per_cell.withColumn("_cum", F.sum("_n").over(upto) + F.col("_below"))
-    hit = ranked.withColumn("_hit", F.expr("filter(_ks, k -> k <= _cum and k > _cum - _n)")).where(F.size("_hit") > 0)
-    return hit.select(
-        *keys,
-        F.col("_vlo").alias("_lo"),
-        F.col("_vhi").alias("_hi"),
-        (F.col("_cum") - F.col("_n")).alias("_below"),
-        F.col("_hit").alias("_ks"),
-        "_total",
-    )
-
-
-def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    outputs: dict[str, tuple[Column, float]],
-    *,
-    levels: int = 2,
-    cells: int = CELLS,
-    small: int = SMALL_GROUP,
-) -> DataFrame:
+from orrery.session import cut
+
+BOUND = 100_000
+SIDE = 32
+FAN = SIDE * SIDE
+SALTS = 64
+
+
+def _salted(groups: DataFrame) -> DataFrame:
+    return groups.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _assign(values: DataFrame, keys: list[str], bound: int) -> DataFrame:
+    """values with ``_c``: the cell within the group, 0 where the group has at most ``bound`` distinct values."""
+    values = values.withColumn("_s", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+    large = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") > bound).select(*keys)
+    shares = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+    inside = values.join(_salted(large), [*keys, "_s"])
+    splits = inside.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("_d"), F.percentile_approx("_v", shares, F.lit(8 * FAN)).alias("_p"))
+    # the sketches of the salts, one row each, are merged by taking quantiles of their quantiles' union
+    splits = splits.select(*keys, F.explode("_p").alias("_x")).groupBy(*keys).agg(F.percentile_approx("_x", shares, F.lit(8 * FAN)).alias("_splits"))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.get(F.col("_splits"), i * SIDE - 1))
+    values = values.join(_salted(splits.withColumn("_coarse", coarse)), [*keys, "_s"], "left")
+    row = F.size(F.filter("_coarse", lambda x: x <= F.col("_v")))
+    fine = F.slice(F.col("_splits"), row * SIDE + 1, F.lit(SIDE))
+    cell = row * SIDE + F.size(F.filter(fine, lambda x: x <= F.col("_v")))
+    return values.withColumn("_c", F.when(F.col("_splits").isNull(), 0).otherwise(cell)).drop("_s", "_splits", "_coarse")
+
+
+def _keep(values: DataFrame, keys: list[str]) -> DataFrame:
+    """The values of cells that hold one of the ranks ``_ks``, with the rows of the group below the cell."""
+    cells = values.groupBy(*keys, "_c").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_d"), F.first("_ks").alias("_ks"), F.first("_below").alias("_from"))
+    upto = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # FAN rows at most
+    cells = cells.withColumn("_cum", F.col("_from") + F.sum("_rows").over(upto))
+    hit = cells.withColumn("_ks", F.expr("filter(_ks, k -> k <= _cum and k > _cum - _rows)")).where(F.size("_ks") > 0)
+    hit = hit.select(*keys, "_c", (F.col("_cum") - F.col("_rows")).alias("_below"), "_ks", "_d")
+    return values.drop("_below", "_ks").join(hit, [*keys, "_c"])
+
+
+def _narrowed(df: DataFrame, by: list[str], measures: list[Column], ps: list[float], bound: int) -> DataFrame:
+    """(by, _m, _q): for each group and measure the quantiles ``ps``."""
+    if len(measures) == 1:
+        long = df.select(*by, F.lit(0).alias("_m"), measures[0].alias("_v"))
+    else:
+        packed = F.array(*[F.struct(F.lit(i).alias("m"), c.alias("v")) for i, c in enumerate(measures)])
+        long = df.select(*by, F.explode(packed).alias("_p")).select(*by, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
+    keys = [*by, "_m"]
+    counts = cut(long.where(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    ranks = F.array_distinct(F.array(*[f(F.lit(p) * (F.col("_total") - 1)).cast("bigint") + 1 for p in ps for f in (F.floor, F.ceil)]))
+
+    values = _assign(counts, keys, bound)
+    cells = values.groupBy(*keys, "_c").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_d"))
+    upto = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # FAN rows at most
+    cells = cells.withColumn("_cum", F.sum("_rows").over(upto)).join(totals.withColumn("_ks", ranks), keys)
+    hit = cells.withColumn("_ks", F.expr("filter(_ks, k -> k <= _cum and k > _cum - _rows)")).where(F.size("_ks") > 0)
+    kept = cut(values.join(hit.select(*keys, "_c", (F.col("_cum") - F.col("_rows")).alias("_below"), "_ks", "_d"), [*keys, "_c"]))
+    path = [*keys, "_c"]
+    while (kept.agg(F.max("_d")).first()[0] or 0) > bound:
+        cell = f"_c{len(path)}"
+        kept, path = kept.withColumnRenamed("_c", cell), [*path[:-1], cell]
+        kept = cut(_keep(_assign(kept.drop("_d"), path, bound), path))
+        path = [*path, "_c"]
+    ordered = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = kept.withColumn("_cum", F.col("_below") + F.sum("_n").over(ordered)).withColumn("_k", F.explode(F.expr("filter(_ks, k -> k <= _cum and k > _cum - _n)")))
+    table = at.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("_k", "_v"))).alias("_at")).join(totals, keys)  # two ranks for each p
+
+    def value(p: float) -> Column:
+        pos = F.lit(p) * (F.col("_total") - 1)
+        lo, hi = (F.col("_at")[f(pos).cast("bigint") + 1] for f in (F.floor, F.ceil))
+        return lo + (hi - lo) * (pos - F.floor(pos))
+
+    return table.select(*keys, F.array(*[value(p) for p in ps]).alias("_q"))
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], outputs: dict[str, tuple[Column, float]], *, bound: int = BOUND) -> DataFrame:
     """One row per group with each output = the ``p`` quantile of its non-null input.
 
     ``outputs`` maps alias -> (input column, p). Groups whose inputs are all NULL
@@ -62,57 +105,25 @@ def exact_quantiles(
     if whole:
         df, by = df.withColumn("_g", F.lit(1)), ["_g"]
     by = list(by)
-    measures: list[tuple[Column, str]] = []
+    measures: list[Column] = []
     where: dict[str, int] = {}
     for alias, (col, _) in outputs.items():
-        text = str(col)
-        hit = next((i for i, (_, s) in enumerate(measures) if s == text), None)
+        hit = next((i for i, m in enumerate(measures) if str(m) == str(col)), None)
         if hit is None:
-            measures.append((col, text))
+            measures.append(col)
             hit = len(measures) - 1
         where[alias] = hit
-    if len(measures) == 1:
-        long = df.select(*by, F.lit(0).alias("_m"), measures[0][0].cast("double").alias("_v"))
-    else:
-        packed = F.array(*[F.struct(F.lit(i).alias("m"), c.cast("double").alias("v")) for i, (c, _) in enumerate(measures)])
-        long = df.select(*by, F.explode(packed).alias("_p")).select(*by, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
-    keys = [*by, "_m"]
-    counts = long.where(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-
+    df = df.select(*by, *[F.when(~F.isnan(c.cast("double")), c.cast("double")).alias(f"_v{i}") for i, c in enumerate(measures)])
+    columns = [F.col(f"_v{i}") for i in range(len(measures))]
     ps = sorted({p for _, p in outputs.values()})
-    stats = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_distinct")
-    )
-    few = stats.where(F.col("_distinct") <= small).select(*keys)
-    direct = counts.join(few, keys).groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(p) for p in ps]), F.col("_n")).alias("_q"))
-
-    ranks = F.array(*[f(F.lit(p) * (F.col("_total") - 1)).cast("bigint") + 1 for p in ps for f in (F.floor, F.ceil)])
-    cells_open = stats.where(F.col("_distinct") > small).select(
-        *keys, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.array_distinct(ranks).alias("_ks"), "_total"
-    )
-    width = F.col("_hi") - F.col("_lo")
-    linear = F.when(
-        width > 0, F.least(F.lit(cells - 1), F.floor((F.col("_v") - F.col("_lo")) / width * cells).cast("int"))
-    ).otherwise(F.lit(0))
-    for _ in range(levels):
-        cells_open = _narrow(counts, cells_open, keys, linear)
-    found = _narrow(counts, cells_open, keys, F.col("_v"))
-    table = (
-        found.select(*keys, "_total", F.col("_lo").alias("_v"), F.explode("_ks").alias("_k"))
-        .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"), F.first("_total").alias("_total"))
-    )
-
-    def at(p: float) -> Column:
-        pos = F.lit(p) * (F.col("_total") - 1)
-        lo = F.col("_at")[F.floor(pos).cast("bigint") + 1]
-        hi = F.col("_at")[F.ceil(pos).cast("bigint") + 1]
-        return lo + (hi - lo) * (pos - F.floor(pos))
-
-    narrowed = table.select(*keys, F.array(*[at(p) for p in ps]).alias("_q"))
-    both = direct.unionByName(narrowed)
-    picks = [F.max(F.when(F.col("_m") == where[a], F.get("_q", F.lit(ps.index(p))))).alias(a) for a, (_, p) in outputs.items()]
-    out = both.groupBy(*by).agg(*picks)
+    if (df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) <= bound:
+        every = F.array(*[F.lit(p) for p in ps])
+        some = F.coalesce(*columns).isNotNull()
+        q = df.where(some).groupBy(*by).agg(*[F.percentile(c, every).alias(f"_q{i}") for i, c in enumerate(columns)])
+        out = q.select(*by, *[F.get(F.col(f"_q{where[a]}"), F.lit(ps.index(p))).alias(a) for a, (_, p) in outputs.items()])
+    else:
+        q = _narrowed(df, by, columns, ps, bound)
+        out = q.groupBy(*by).agg(*[F.max(F.when(F.col("_m") == where[a], F.get("_q", F.lit(ps.index(p))))).alias(a) for a, (_, p) in outputs.items()])
     return out.drop("_g") if whole else out
 
 

@@ -1,30 +1,56 @@
 """Quantiles, tests, resampling and interpolation against direct computation."""
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.operators import interpolate, state, statistics
+from orrery.operators import interpolate, quantiles, state, statistics
 from orrery.operators.dedup import prioritised
 from orrery.operators.quantiles import exact_quantiles
 from orrery.operators.series import period_mean
 from orrery.operators.windows import pick_evenly
+from orrery.session import cut
 
 
-@pytest.mark.parametrize("small", [5, 100_000])
-def test_quantiles_with_outliers_and_ties(spark, small):
+@pytest.mark.parametrize("bound", [5, 100_000])
+def test_quantiles_with_outliers_and_ties(spark, bound):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 900), "v": np.round(rng.lognormal(0, 5, 900), 3)})
     pdf.loc[:200, "v"] = 1.5
     pdf.loc[0, "v"] = 1e30
-    got = exact_quantiles(spark.createDataFrame(pdf), ["g"], {"a": (F.col("v"), 0.5), "b": (F.col("v"), 0.95), "c": (-F.col("v"), 0.25)}, small=small).toPandas().set_index("g")
+    got = exact_quantiles(spark.createDataFrame(pdf), ["g"], {"a": (F.col("v"), 0.5), "b": (F.col("v"), 0.95), "c": (-F.col("v"), 0.25)}, bound=bound).toPandas().set_index("g")
     for g, x in pdf.groupby("g"):
         assert np.allclose(got.loc[g, ["a", "b", "c"]].astype(float), [x.v.quantile(0.5), x.v.quantile(0.95), (-x.v).quantile(0.25)], rtol=1e-12)
 
 
+def test_large_groups_are_never_in_one_task(spark, monkeypatch):
+    """A heavy-tailed group ends in cells under the bound, and no shuffle on the group alone carries values."""
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": np.repeat([1, 2], 60_000), "v": np.concatenate([rng.lognormal(0, 14, 60_000), rng.normal(size=60_000)])})
+    made = []
+    monkeypatch.setattr(quantiles, "cut", lambda df: made.append(cut(df)) or made[-1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound, rounds in ((10_000, 2), (30, 3)):
+            made.clear()
+            got = exact_quantiles(spark.createDataFrame(pdf), ["g"], {"m": (F.col("v"), 0.5), "q": (F.col("v"), 0.99)}, bound=bound)
+            assert len(made) == rounds
+            path = [c for c in made[-1].columns if c in ("g", "_m") or c.startswith("_c")]
+            assert made[-1].groupBy(*path).count().agg(F.max("count")).first()[0] <= bound
+            assert {(r.g, r.m, r.q) for r in got.collect()} == {(g, x.v.quantile(0.5), x.v.quantile(0.99)) for g, x in pdf.groupby("g")}
+        values = spark.createDataFrame(pdf).select("g", F.lit(0).alias("_m"), F.col("v").alias("_v"), F.lit(1).alias("_n"))
+        plan = quantiles._assign(values, ["g", "_m"], 100)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        alone = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(g#\d+L, (?:_m#\d+, )?\d+\)", plan)
+        assert not [columns for columns in alone if "_v#" in columns]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_student_t():
     # fixed table values
     assert np.allclose(statistics.student_t_cdf(np.array([0.0, 1.812461, -2.228139, 12.7062]), np.array([5.0, 10.0, 10.0, 1.0])), [0.5, 0.95, 0.025, 0.975], atol=1e-6)
