@@ -62,7 +62,7 @@ def ranging(spark: SparkSession, d: str) -> DataFrame:
 
 def annotations(spark: SparkSession, d: str) -> DataFrame:
     """Reported events with their analysis window of -6 h .. +24 h."""
-    ev = _events(spark, d, "error").where(F.col("value") >= 100)
+    ev = _events(spark, d, "error")
     return ev.select(
         F.concat(F.lit("ann_"), F.substring(F.sha1(F.concat_ws("|", "entity_id", "t")), 1, 12)).alias("annotation_id"),
         "entity_id", F.col("t").alias("event_t"), (F.col("t") - 6 * HOUR).alias("ws"), (F.col("t") + 24 * HOUR).alias("we"),
@@ -71,7 +71,7 @@ def annotations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def external_times(spark: SparkSession, d: str) -> DataFrame:
-    return _events(spark, d, "signup").where(F.col("value") >= 100).select("event_id", "entity_id", F.col("t").alias("xt"), "value")
+    return _events(spark, d, "signup").select("event_id", "entity_id", F.col("t").alias("xt"), "value")
 
 
 def targets(spark: SparkSession, d: str) -> DataFrame:
@@ -166,8 +166,8 @@ ranging AS (SELECT event_id, entity_id, t, k%20 AS station_id, CASE WHEN k<50 TH
   CASE WHEN k=17 THEN NULL ELSE (4.9e5+value*2e4)*2/{LIGHT!r}::DOUBLE + CASE WHEN k=13 THEN 1e-8::DOUBLE ELSE 0.0::DOUBLE END END AS tof_s, 4.9e5+value*2e4 AS range_m,
   CASE WHEN k=0 THEN 0.0::DOUBLE ELSE value/1000.0::DOUBLE END AS sigma_m, k%30 AS num_returns, CASE WHEN k=99 THEN ' CompassI6B ' ELSE 'target' END AS target_name FROM ev WHERE event_type='purchase'),
 annotations AS (SELECT 'ann_' || substr(sha1(entity_id || '|' || t),1,12) AS annotation_id, entity_id, t AS event_t, t-6*{HOUR} AS ws, t+24*{HOUR} AS we,
-  value*k*10 AS uncertainty_s, value, k FROM ev WHERE event_type='error' AND value>=100),
-external_times AS (SELECT event_id, entity_id, t AS xt, value FROM ev WHERE event_type='signup' AND value>=100),
+  value*k*10 AS uncertainty_s, value, k FROM ev WHERE event_type='error'),
+external_times AS (SELECT event_id, entity_id, t AS xt, value FROM ev WHERE event_type='signup'),
 targets AS (SELECT c_custkey AS entity_id, c_mktsegment AS batch, c_acctbal>0 AS enabled, c_name AS target_name FROM customer),
 orbit_files AS (SELECT entity_id, (CASE WHEN part%3=0 THEN 'POEORB' ELSE 'MOEORB' END) || '_' || entity_id || '_' || part AS path,
   CASE WHEN part%2=0 THEN 'pod' ELSE 'precise_orbit' END AS source_type, min(t) AS s, max(t) AS e, count(*) AS n, part
