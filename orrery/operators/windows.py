@@ -133,9 +133,10 @@ def coverage_matched(controls: DataFrame, events: DataFrame, ident: Sequence[str
 
 
 def quiet_arcs(states: DataFrame, events: DataFrame, arc_us: int, max_gap_us: int) -> DataFrame:
-    """Per entity the longest stretch between event windows whose central arc is continuous and clean.
+    """Per entity the first and last state in the central arc of the longest stretch between event windows whose
+    central arc is continuous and clean.
 
-    ``states`` has entity_id, t and a boolean ``bad``.
+    ``states`` has entity_id, t and a boolean ``bad``. Returns entity_id, the stretch (lo, hi) and the arc (a0, a1).
     """
     edge = states.groupBy("entity_id").agg(F.min("t").alias("_a"), F.max("t").alias("_z"))
     w = events.select("entity_id", "ws", "we").join(edge, "entity_id", "left_semi")
@@ -147,7 +148,7 @@ def quiet_arcs(states: DataFrame, events: DataFrame, arc_us: int, max_gap_us: in
     pts = neighbour(states.select("entity_id", "t", "bad"), ["entity_id"], ["t"], slot("t", DAY_US), ["t"])
     inside = points_in_windows(pts, gaps, ["entity_id"], "t", "c0", "c1")
     facts = inside.groupBy("entity_id", "lo", "hi").agg(
-        F.max("bad").alias("_bad"), F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("prev.t") >= F.col("c0"), F.col("t") - F.col("prev.t"))).alias("_gap")
+        F.max("bad").alias("_bad"), F.count(F.lit(1)).alias("_n"), F.min("t").alias("a0"), F.max("t").alias("a1"), F.max(F.when(F.col("prev.t") >= F.col("c0"), F.col("t") - F.col("prev.t"))).alias("_gap")
     )
     good = facts.where(~F.col("_bad") & (F.col("_n") > 1) & (F.col("_gap") <= max_gap_us))
-    return good.groupBy("entity_id").agg(F.max_by(F.struct("lo", "hi"), F.struct(F.col("hi") - F.col("lo"), -F.col("lo"))).alias("_w")).select("entity_id", "_w.*")
+    return good.groupBy("entity_id").agg(F.max_by(F.struct("lo", "hi", "a0", "a1"), F.struct(F.col("hi") - F.col("lo"), -F.col("lo"))).alias("_w")).select("entity_id", "_w.*")

@@ -227,15 +227,14 @@ def p21(spark, d):
     )
 
 
-@query("p22_json_metrics", "SELECT event_id, '{\"obs\":{\"k\":' || k || ',\"type\":\"' || event_type || '\"},\"user\":' || user_id || '}' AS metrics_json, k AS parsed_k, CASE WHEN k%10=0 THEN '{}' ELSE props END AS safe_json FROM (SELECT *, CAST(regexp_extract(props,'\\d+') AS INT) k FROM events)")
+@query("p22_json_metrics", "SELECT event_id, '{\"obs\":{\"k\":' || k || ',\"type\":\"' || event_type || '\"},\"user\":' || user_id || '}' AS metrics_json, k AS parsed_k, CASE WHEN k%10=0 THEN '{}' WHEN k%10=5 THEN '{\"a\":1}' ELSE props END AS safe_json FROM (SELECT *, CAST(regexp_extract(props,'\\d+') AS INT) k FROM events)")
 def p22(spark, d):
     """Nested metrics written with sorted keys and read back; unreadable JSON becomes {}."""
     k = F.get_json_object("props", "$.k").cast("int")
     ev = R.table(spark, d, "events").withColumn("k", k)
     nested = F.to_json(F.struct(F.struct("k", F.col("event_type").alias("type")).alias("obs"), F.col("user_id").alias("user")))
-    broken = F.when(F.col("k") % 10 == 0, F.lit("{not json")).otherwise(F.col("props"))
-    good = F.from_json(broken, "k int", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    safe = F.when(good["k"].isNull(), F.lit("{}")).otherwise(broken)
+    broken = F.when(F.col("k") % 10 == 0, F.lit("{not json")).when(F.col("k") % 10 == 5, F.lit('{"a":1}')).otherwise(F.col("props"))
+    safe = F.when(F.try_parse_json(broken).isNull(), F.lit("{}")).otherwise(broken)
     return ev.select("event_id", nested.alias("metrics_json"), F.from_json("props", "k int")["k"].alias("parsed_k"), safe.alias("safe_json"))
 
 

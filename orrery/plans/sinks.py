@@ -38,13 +38,20 @@ def k03(spark, d):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-@query("k04_release_manifest", oracle("SELECT count(*) AS rows, true AS all_hashed, 0::BIGINT AS differing FROM states"))
+@query("k04_release_manifest", oracle("SELECT count(*) AS rows, true AS all_hashed, 1::BIGINT AS differing, min('entity_id=' || entity_id) AS altered FROM states"))
 def k04(spark, d):
-    """Hash, size and rows of every snapshot file, verified against a second reading."""
-    path = scratch_dir(spark, "manifest") + "/orbit"
+    """Hash, size and rows of every snapshot file; a copy with one altered file is told by that file's name."""
+    base = scratch_dir(spark, "manifest")
+    path, copy = base + "/orbit", base + "/copy"
     release.write_snapshot(R.states(spark, d), path)
     m = release.manifest(spark, path)
-    bad = release.verify(m, release.manifest(spark, path)).agg(F.count("*").alias("differing"))
+    first, second = (r.path for r in m.orderBy("path").limit(2).collect())
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    fs = hadoop.Path(base).getFileSystem(conf)
+    hadoop.FileUtil.copy(fs, hadoop.Path(path), fs, hadoop.Path(copy), False, True, conf)
+    hadoop.FileUtil.copy(fs, hadoop.Path(f"{path}/{second}"), fs, hadoop.Path(f"{copy}/{first}"), False, True, conf)
+    bad = release.verify(release.manifest(spark, copy), m).agg(F.count("*").alias("differing"), F.min(F.substring_index("path", "/", 1)).alias("altered"))
     s = m.agg(F.sum("rows").alias("rows"), F.min((F.length("sha256") == 64) & (F.col("bytes") > 0)).alias("all_hashed"))
     return s.join(F.broadcast(bad))  # two one-row tables
 

@@ -113,16 +113,17 @@ def w07(spark, d):
     return windows.coverage_matched(s.where("ls = 'O'"), s.where("ls = 'F'"), ["l_orderkey", "l_linenumber", "l_partkey"], seed=42).select("l_orderkey", "l_linenumber")
 
 
-@query("w08_quiet_arc", oracle(f"""SELECT entity_id, {iso_sql('lo')} AS gap_start_utc, {iso_sql('hi')} AS gap_end_utc FROM (
+@query("w08_quiet_arc", oracle(f"""SELECT entity_id, {iso_sql('lo')} AS gap_start_utc, {iso_sql('hi')} AS gap_end_utc, {iso_sql(f'(SELECT min(t) FROM states s WHERE s.entity_id=q.entity_id AND s.t BETWEEN (lo+hi)//2-5*{DAY_US}//2 AND (lo+hi)//2+5*{DAY_US}//2)')} AS arc_start_utc,
+ {iso_sql(f'(SELECT max(t) FROM states s WHERE s.entity_id=q.entity_id AND s.t BETWEEN (lo+hi)//2-5*{DAY_US}//2 AND (lo+hi)//2+5*{DAY_US}//2)')} AS arc_end_utc FROM (
  SELECT g.*, row_number() OVER (PARTITION BY g.entity_id ORDER BY hi-lo DESC, lo) AS rk FROM g WHERE hi-lo>=5*{DAY_US}
  AND NOT EXISTS (SELECT 1 FROM states s WHERE s.entity_id=g.entity_id AND s.k=7 AND s.t BETWEEN (lo+hi)//2-5*{DAY_US}//2 AND (lo+hi)//2+5*{DAY_US}//2)
- AND coalesce((SELECT max(gap) FROM (SELECT t - lag(t) OVER (ORDER BY t) AS gap FROM states s WHERE s.entity_id=g.entity_id AND s.t BETWEEN (lo+hi)//2-5*{DAY_US}//2 AND (lo+hi)//2+5*{DAY_US}//2)), 9e18) <= 4*{DAY_US}) WHERE rk=1""",
+ AND coalesce((SELECT max(gap) FROM (SELECT t - lag(t) OVER (ORDER BY t) AS gap FROM states s WHERE s.entity_id=g.entity_id AND s.t BETWEEN (lo+hi)//2-5*{DAY_US}//2 AND (lo+hi)//2+5*{DAY_US}//2)), 9e18) <= 4*{DAY_US}) q WHERE rk=1""",
     f"""edge AS (SELECT entity_id, min(t) AS a, max(t) AS z FROM states GROUP BY 1), w AS (SELECT a.entity_id, a.ws, a.we FROM annotations a JOIN edge e USING (entity_id)),
  g AS (SELECT entity_id, lo, hi FROM (SELECT entity_id, we AS lo, lead(ws) OVER (PARTITION BY entity_id ORDER BY ws, we) AS nx FROM w), LATERAL (SELECT coalesce(nx, (SELECT z FROM edge e WHERE e.entity_id=w.entity_id)) AS hi) UNION ALL SELECT e.entity_id, e.a, coalesce((SELECT min(ws) FROM w WHERE w.entity_id=e.entity_id), e.z) FROM edge e)""".replace("FROM w), LATERAL (SELECT coalesce(nx, (SELECT z FROM edge e WHERE e.entity_id=w.entity_id)) AS hi)", "FROM w) q JOIN edge USING (entity_id), LATERAL (SELECT coalesce(nx, z) AS hi)")))
 def w08(spark, d):
     """Longest event-free stretch per entity whose central five days are continuous and clean."""
     s = R.states(spark, d).withColumn("bad", F.col("k") == 7)
-    return windows.quiet_arcs(s, R.annotations(spark, d), arc_us=5 * DAY_US, max_gap_us=4 * DAY_US).select("entity_id", iso("lo").alias("gap_start_utc"), iso("hi").alias("gap_end_utc"))
+    return windows.quiet_arcs(s, R.annotations(spark, d), arc_us=5 * DAY_US, max_gap_us=4 * DAY_US).select("entity_id", iso("lo").alias("gap_start_utc"), iso("hi").alias("gap_end_utc"), iso("a0").alias("arc_start_utc"), iso("a1").alias("arc_end_utc"))
 
 
 @query("w09_acquisition_windows", oracle(f"""SELECT a.annotation_id, {iso_sql('ws-'+str(DAY_US))} AS plan_start_utc, {iso_sql('we+'+str(DAY_US))} AS plan_end_utc, {iso_sql('lo-30*'+str(DAY_US))} AS target_start_utc, {iso_sql('least(hi+30*'+str(DAY_US)+', 1706745600000000)')} AS target_end_utc, rn AS window_index FROM (

@@ -36,10 +36,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for staged output.
 
     On a cluster this is under the shared folder named in ``spark.checkpoint.dir``;
-    only where that is unset (tests, local runs) a machine-local folder is made.
+    a machine-local folder is made only for a local master (tests), where one machine is all there is.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"spark-{purpose}-", dir="/tmp")
     return os.path.join(root, f"{purpose}-{os.urandom(6).hex()}")
 

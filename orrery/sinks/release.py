@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.functions.time import normalise_iso_text
 
+#: Bytes hashed at a time.
+PIECE = 4 << 20
+
 
 def write_snapshot(df: DataFrame, path: str, entity: str = "entity_id", t: str = "t", *, max_rows: int = 5_000_000) -> None:
     """zstd parquet per entity, rows in time order.
@@ -37,12 +44,25 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Name, bytes, SHA-256 and row count of every file below a folder.
 
-    Files are hashed where they are read, so their size must fit a task; snapshots
-    bound it with ``max_rows``. Row counts come from a column-free scan.
+    Files are listed without their content and hashed piece by piece, so they may have any size. Row counts come
+    from a column-free scan.
     """
     inside = lambda c: F.substring_index(c, path.rstrip("/") + "/", -1)
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
-    hashed = raw.select(inside(F.col("path")).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", F.col("length").alias("bytes"))
+
+    def digest(batches):
+        for b in batches:
+            hashes = []
+            for uri in b.column(0).to_pylist():
+                fs, name = pafs.FileSystem.from_uri(uri)
+                h = hashlib.sha256()
+                with fs.open_input_stream(name, compression=None) as stream:
+                    while piece := stream.read(PIECE):
+                        h.update(piece)
+                hashes.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hashes, pa.string())], ["path", "bytes", "sha256"])
+
+    hashed = listed.mapInArrow(digest, "path string, bytes bigint, sha256 string").withColumn("path", inside(F.col("path")))
     rows = spark.read.option("recursiveFileLookup", True).parquet(path).groupBy(inside(F.col("_metadata.file_path")).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
     return hashed.join(rows, "path", "left").na.fill(0, ["rows"])
 
@@ -81,19 +101,25 @@ def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def canonicalise_csv(spark: SparkSession, path: str, time_columns: Sequence[str]) -> None:
-    """Rewrite the time columns of a CSV table to ISO form: staged write, then the folder is swapped by rename."""
+    """Rewrite the time columns of a CSV table to ISO form: staged write, then the folder is swapped by rename.
+
+    Staged and set-aside folders get a name of their own on every run. A rename that fails raises, and the table
+    is put back; the old table is deleted only once the new one is in place.
+    """
     df = spark.read.csv(path, header=True)
     missing = set(time_columns) - set(df.columns)
     if missing:
         raise ValueError(f"time columns not in the table: {sorted(missing)}")
-    staged = path.rstrip("/") + "_staged"
-    df.withColumns({c: normalise_iso_text(F.col(c)) for c in time_columns}).write.mode("overwrite").option("header", True).csv(staged)
-    jvm = spark._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    run = uuid.uuid4().hex
+    new, keep, old = (spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + end) for end in (f"_staged_{run}", f"_previous_{run}", ""))
+    df.withColumns({c: normalise_iso_text(F.col(c)) for c in time_columns}).write.option("header", True).csv(new.toString())
     fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    keep = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "_previous")
-    fs.rename(old, keep)
-    fs.rename(new, old)
+    if not fs.rename(old, keep):
+        raise OSError(f"{path} cannot be set aside")
+    if not fs.rename(new, old):
+        back = fs.rename(keep, old)
+        raise OSError(f"the new table cannot take the place of {path}; the old one is {'back' if back else 'at ' + keep.toString()}")
+    fs.delete(keep, True)
 
 
 def label_bundle(parts: Sequence[DataFrame], targets: DataFrame) -> tuple[DataFrame, DataFrame]:
