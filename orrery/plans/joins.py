@@ -204,7 +204,18 @@ def match_lists(spark, d):
     return q, x
 
 
-@query("j10_greedy_unique_match")
+GREEDY_CTE = """qn AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY event_t, annotation_id) AS seq FROM annotations),
+xn AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY xt, event_id) AS seq FROM external_times),
+gp AS (SELECT days, entity_id, q.seq AS qs, x.seq AS rs, row_number() OVER (PARTITION BY days, entity_id ORDER BY abs(xt-event_t), q.seq, x.seq) AS i
+  FROM qn q JOIN xn x USING (entity_id) JOIN (VALUES {days}) v(days) ON abs(xt-event_t) <= days*86400000000),
+gr AS (SELECT DISTINCT days, entity_id, 0::BIGINT AS i, []::BIGINT[] AS uq, []::BIGINT[] AS ur FROM gp
+  UNION ALL SELECT g.days, g.entity_id, p.i, CASE WHEN list_contains(uq, qs) OR list_contains(ur, rs) THEN uq ELSE list_append(uq, qs) END, CASE WHEN list_contains(uq, qs) OR list_contains(ur, rs) THEN ur ELSE list_append(ur, rs) END
+  FROM gr g JOIN gp p ON p.days = g.days AND p.entity_id = g.entity_id AND p.i = g.i + 1),
+gm AS (SELECT days, entity_id, unnest(uq) AS qs, unnest(ur) AS rs FROM (SELECT days, entity_id, arg_max(uq, i) AS uq, arg_max(ur, i) AS ur FROM gr GROUP BY 1, 2)),
+gx AS (SELECT m.days, m.entity_id, q.seq, q.annotation_id, x.event_id, x.xt - q.event_t AS off FROM gm m JOIN qn q ON q.entity_id = m.entity_id AND q.seq = qs JOIN xn x ON x.entity_id = m.entity_id AND x.seq = rs)"""
+
+
+@query("j10_greedy_unique_match", oracle(f"SELECT entity_id, annotation_id, event_id, {rsql('off/1e6')} AS offset_s FROM gx", GREEDY_CTE.format(days="(1.0)"), recursive=True))
 def j10(spark, d):
     """Bijective match of reported and external event times within a day."""
     q, x = match_lists(spark, d)

@@ -12,7 +12,7 @@ from orrery.functions.time import iso
 from orrery.operators import joins, matching, names, qc, response, summaries
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.scan import DAY_US, HOUR_US, neighbour, slot
-from orrery.plans.joins import BRACKET_CTE, NEAREST_CTE, PRESENCE_CTE, SMA_SQL, STATUS_CTE, covered_windows, match_lists
+from orrery.plans.joins import BRACKET_CTE, GREEDY_CTE, NEAREST_CTE, PRESENCE_CTE, SMA_SQL, STATUS_CTE, covered_windows, match_lists
 from orrery.plans.registry import query
 from orrery.plans.scalars import SHELL_SQL, W
 from orrery.plans.windows import LAB, labelled, quiet
@@ -345,7 +345,14 @@ def match_report(spark, d, tolerance_us):
     return q, x, matching.greedy_match(q, x, "event_t", "xt", tolerance_us)
 
 
-@query("a26_cross_match_summary")
+ONE_DAY = GREEDY_CTE.format(days="(1.0)")
+MATCHED_CTE = """sp AS (SELECT entity_id, min(xt) AS x0, max(xt) AS x1 FROM external_times GROUP BY 1),
+me AS (SELECT q.entity_id, q.value, q.annotation_id, q.event_t, (g.off IS NOT NULL)::INT AS hit, g.off, x0 IS NOT NULL AS covered, coalesce(q.event_t BETWEEN x0 AND x1, false) AS inside
+  FROM qn q LEFT JOIN gx g ON g.entity_id = q.entity_id AND g.seq = q.seq LEFT JOIN sp ON sp.entity_id = q.entity_id)"""
+
+
+@query("a26_cross_match_summary", oracle(f"""SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, count(*) AS events, count(*) FILTER (hit=1) AS matched, {rsql('avg(hit)', 4)} AS rate_all, {rsql('avg(hit) FILTER (covered)', 4)} AS rate_covered, {rsql('avg(hit) FILTER (inside)', 4)} AS rate_in_span,
+ {rsql('quantile_cont(abs(off), 0.5)/60e6', 1)} AS median_abs_offset_min, {rsql('quantile_cont(value, 0.5) FILTER (hit=1)', 3)} AS median_value_matched, {rsql('quantile_cont(value, 0.5) FILTER (hit=0)', 3)} AS median_value_unmatched FROM me GROUP BY ROLLUP(entity_id)""", ONE_DAY, MATCHED_CTE, recursive=True))
 def a26(spark, d):
     """Forward, reverse and in-span match rates per entity and overall."""
     q, x, m = match_report(spark, d, DAY_US)
@@ -360,7 +367,20 @@ def a26(spark, d):
     return qq.select("entity_id", "events", "matched", rnd("rate_all", 4).alias("rate_all"), rnd("rate_covered", 4).alias("rate_covered"), rnd("rate_in_span", 4).alias("rate_in_span"), rnd(F.col("off50") / 60e6, 1).alias("median_abs_offset_min"), rnd("value_matched", 3).alias("median_value_matched"), rnd("value_unmatched", 3).alias("median_value_unmatched"))
 
 
-@query("a27_tolerance_sweep")
+@query("a26_event_match_table", oracle(f"""SELECT annotation_id, entity_id, CASE WHEN hit=1 THEN 'matched' WHEN near IS NULL THEN 'no_external' WHEN near <= {DAY_US} THEN 'taken' ELSE 'out_of_tolerance' END AS status,
+ {rsql('off/60e6', 3)} AS offset_min, {rsql('near/60e6', 3)} AS nearest_min, value AS magnitude FROM (SELECT me.*, (SELECT min(abs(xt-event_t)) FROM external_times x WHERE x.entity_id=me.entity_id) AS near FROM me)""", ONE_DAY, MATCHED_CTE, recursive=True))
+def a26_events(spark, d):
+    """Per reported event: matched, taken by another event, out of tolerance or without external times; offsets."""
+    q, x, m = match_report(spark, d, DAY_US)
+    near = joins.nearest_join(q, x, ["annotation_id"], ["entity_id"], "event_t", "xt", ["event_id"])
+    near = near.select("annotation_id", "entity_id", "seq", "value", F.abs(F.col("nearest.xt") - F.col("event_t")).alias("near"))
+    e = near.join(m.select("entity_id", F.col("query_seq").alias("seq"), "offset_us"), ["entity_id", "seq"], "left")
+    status = F.when(F.col("offset_us").isNotNull(), "matched").when(F.col("near").isNull(), "no_external").when(F.col("near") <= DAY_US, "taken").otherwise("out_of_tolerance")
+    return e.select("annotation_id", "entity_id", status.alias("status"), rnd(F.col("offset_us") / 60e6, 3).alias("offset_min"), rnd(F.col("near") / 60e6, 3).alias("nearest_min"), F.col("value").alias("magnitude"))
+
+
+@query("a27_tolerance_sweep", oracle(f"""SELECT n.entity_id, days::DOUBLE AS tolerance_days, matched, {rsql('matched/external', 4)} AS rate FROM (SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, days, count(*) AS matched FROM gx GROUP BY GROUPING SETS ((entity_id, days), (days))) n
+ LEFT JOIN (SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, count(*) AS external FROM external_times GROUP BY ROLLUP(entity_id)) t ON t.entity_id=n.entity_id""", GREEDY_CTE.format(days="(0.5),(1.0),(2.0)"), recursive=True))
 def a27(spark, d):
     """Match counts and rates at three tolerances, per entity and overall."""
     q, x = match_lists(spark, d)
@@ -372,12 +392,12 @@ def a27(spark, d):
     return n.join(total, "entity_id", "left").select("entity_id", "tolerance_days", "matched", rnd(F.col("matched") / F.col("external"), 4).alias("rate"))
 
 
-@query("a28_offset_histogram", oracle("SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, bin_start_min, bin_start_min+60.0 AS bin_end_min, count(*) AS n FROM (SELECT entity_id, floor(off/60e6/60.0)*60.0 AS bin_start_min FROM (SELECT entity_id, CASE WHEN lo IS NULL OR hi-event_t < event_t-lo THEN hi-event_t ELSE lo-event_t END AS off FROM nb WHERE lo IS NOT NULL OR hi IS NOT NULL)) GROUP BY GROUPING SETS ((entity_id, bin_start_min),(bin_start_min))", NEAREST_CTE.format("annotations", "elements", "entity_id", "event_t")))
+@query("a28_offset_histogram", oracle("SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, bin_start_min, bin_start_min+60.0 AS bin_end_min, count(*) AS n FROM (SELECT entity_id, floor(off/60e6/60.0)*60.0 AS bin_start_min FROM gx) GROUP BY GROUPING SETS ((entity_id, bin_start_min),(bin_start_min))", ONE_DAY, recursive=True))
 def a28(spark, d):
-    """Signed offsets to the nearest record in hourly bins per entity and overall."""
-    n = joins.nearest_join(R.annotations(spark, d), R.elements(spark, d), ["annotation_id"], ["entity_id"], "event_t", "t", ["event_id"]).where("nearest IS NOT NULL")
-    b = F.floor((F.col("nearest.t") - F.col("event_t")) / 60e6 / 60.0) * 60.0
-    x = summaries.with_all(n.select("entity_id", b.alias("bin_start_min")), ["entity_id"])
+    """Signed offsets of the one-to-one matches in hourly bins per entity and overall."""
+    _, _, m = match_report(spark, d, DAY_US)
+    b = F.floor(F.col("offset_us") / 60e6 / 60.0) * 60.0
+    x = summaries.with_all(m.select("entity_id", b.alias("bin_start_min")), ["entity_id"])
     return x.groupBy("entity_id", "bin_start_min").agg(F.count(ONE).alias("n")).select("entity_id", "bin_start_min", (F.col("bin_start_min") + 60.0).alias("bin_end_min"), "n")
 
 

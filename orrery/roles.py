@@ -188,9 +188,9 @@ series AS (SELECT * REPLACE (t + ((l_orderkey*7 + l_linenumber)%86400)*1000000 A
 """
 
 
-def oracle(body: str, *extra: str) -> str:
+def oracle(body: str, *extra: str, recursive: bool = False) -> str:
     """SQL text with the role tables in front. ``extra`` are more CTEs."""
-    return "WITH " + ",\n".join([CTES.strip(), *extra]) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join([CTES.strip(), *extra]) + "\n" + body
 
 
 def iso_sql(t: str) -> str:
