@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orrery.functions.orbit import MU, norm3
 from orrery.functions.time import full_year, micros
 from orrery.operators.scan import row_index
+from orrery.sources import filenames
 
 # Provider column names (lower case) and their canonical names.
 STATE_ALIASES = {
@@ -53,19 +54,15 @@ def family_rank(name: Column) -> Column:
     return F.when(up.startswith("SWOT_VOR") | up.contains("MOEORB"), 1).otherwise(0)
 
 
-def _group(name: Column, pattern: str, n: int = 1) -> Column:
-    g = F.regexp_extract(name, pattern, n)
-    return F.when(g != "", g)
-
-
 def arc_start_day(name: Column, first_year: Column | None = None, last_year: Column | None = None) -> Column:
     """Days from 2000-01-01 to the arc start named in the file; -1 without a token.
 
     ``first_year`` / ``last_year`` bound the mission: a two-digit year is taken in the
     century that fits it, else by the pivot 57.
     """
-    up = F.upper(name)
-    token = _group(up, r"\.B(\d{5})\.")
+    toks = filenames.tokens(F.upper(name))
+    one = lambda *shapes: filenames.digits_at(toks, F.get(filenames.find(toks, *shapes), F.lit(0)))
+    token = one(filenames.FIRST_DAY)
     yy = F.substring(token, 1, 2).cast("int")
     year = full_year(yy, 57)
     if first_year is not None or last_year is not None:
@@ -79,9 +76,8 @@ def arc_start_day(name: Column, first_year: Column | None = None, last_year: Col
         old, new = fits(1900 + yy), fits(2000 + yy)
         year = F.when(old & ~new, 1900 + yy).when(new & ~old, 2000 + yy).otherwise(year)
     sp3 = F.unix_date(F.date_add(F.make_date(year, F.lit(1), F.lit(1)), F.substring(token, 3, 3).cast("int") - 1))
-    pair = _group(up, r"_(\d{8})_\d{6}_\d{8}_\d{6}")
-    valid = _group(up, r"V(\d{8})T\d{6}")
-    stamp = F.coalesce(pair, valid)
+    span = one(filenames.DATE, filenames.CLOCK, filenames.DATE, filenames.CLOCK)
+    stamp = F.substring(F.coalesce(span, one(filenames.VALID_FROM)), 1, 8)
     dated = F.unix_date(F.to_date(stamp, "yyyyMMdd"))
     since_2000 = F.lit(10_957)
     return F.when(token.isNotNull(), sp3 - since_2000).when(stamp.isNotNull(), dated - since_2000).otherwise(-1)

@@ -1,4 +1,7 @@
-"""Time spans read from provider file names."""
+"""Time spans read from provider file names.
+
+A name is a list of tokens between ``_`` and ``.``; each notation is told by the shape of its tokens.
+"""
 
 from __future__ import annotations
 
@@ -8,39 +11,68 @@ from pyspark.sql import functions as F
 from orrery.functions.time import day_of_year_us, full_year, micros
 from orrery.operators.scan import DAY_US
 
+# Shapes of time tokens, as the providers' naming conventions prescribe them.
+DATE = r"^\d{8}$"  # yyyyMMdd
+CLOCK = r"^\d{6}$"  # HHmmss; alone: yyyyMM
+VALID_FROM = r"^V\d{8}T\d{6}$"  # start of validity; the end is the next token
+YEAR_DAY_MINUTE = r"^\d{11}$"  # yyyyDDDHHmm
+LENGTH_IN_DAYS = r"^\d{2}D$"
+FIRST_DAY, LAST_DAY = r"^[bB]\d{5}$", r"^[eE]\d{5}$"  # yyDDD
+
+
+def tokens(name: Column) -> Column:
+    return F.split(name, r"[._]")
+
+
+def find(toks: Column, *shapes: str) -> Column:
+    """Positions (from 0) at which consecutive tokens have these shapes."""
+    def here(i: Column) -> Column:
+        ok = F.lit(True)
+        for k, shape in enumerate(shapes):
+            ok = ok & F.coalesce(F.get(toks, i + k).rlike(shape), F.lit(False))
+        return ok
+
+    return F.filter(F.sequence(F.lit(0), F.size(toks) - 1), here)
+
+
+def digits_at(toks: Column, position: Column, count: int = 1) -> Column:
+    """The digits of ``count`` tokens from a position on; NULL beyond the name."""
+    return F.regexp_replace(F.concat(*[F.get(toks, position + k) for k in range(count)]), r"\D", "")
+
+
+def _moment(text: Column) -> Column:
+    return micros(F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")))
+
 
-def _stamp(date: Column, time: Column) -> Column:
-    return micros(F.try_to_timestamp(F.concat(date, time), F.lit("yyyyMMddHHmmss")))
+def _number(text: Column, start: int, width: int) -> Column:
+    return F.substring(text, start, width).try_cast("int")
 
 
 def orbit_span(name: Column) -> Column:
-    """struct(s, e) from the four name notations, tried in order; NULL when none fits."""
-    g = lambda p, i: F.nullif(F.regexp_extract(name, p, i), F.lit(""))
-    sen = r"_V(\d{8})T(\d{6})_(\d{8})T(\d{6})_"
-    a = F.struct(_stamp(g(sen, 1), g(sen, 2)).alias("s"), _stamp(g(sen, 3), g(sen, 4)).alias("e"))
-    pairs = F.regexp_extract_all(name, F.lit(r"_(\d{8}_\d{6})"), F.lit(1))
-    n = F.size(pairs)
-    split = lambda i: F.replace(F.get(pairs, i), F.lit("_"), F.lit(""))
-    two = lambda i: micros(F.try_to_timestamp(split(i), F.lit("yyyyMMddHHmmss")))
-    b = F.struct(F.when(n >= 2, two(n - 2)).alias("s"), F.when(n >= 2, two(n - 1)).alias("e"))
-    rnx = r"_(\d{11})_(\d{2})D_"
-    tok = g(rnx, 1)
-    piece = lambda i, w: F.substring(tok, i, w).try_cast("int")
-    rs = day_of_year_us(piece(1, 4), piece(5, 3)) + (piece(8, 2) * 60 + piece(10, 2)).cast("bigint") * 60_000_000
-    c = F.struct(rs.alias("s"), (rs + g(rnx, 2).try_cast("int") * F.lit(DAY_US)).alias("e"))
-    sp3 = r"\.b(\d{2})(\d{3})\.e(\d{2})(\d{3})\."
-    day = lambda i: day_of_year_us(full_year(g(sp3, i).try_cast("int"), 57), g(sp3, i + 1).try_cast("int"))
-    e = F.struct(day(1).alias("s"), (day(3) + DAY_US).alias("e"))
-    pick = F.lit(None).cast("struct<s:bigint,e:bigint>")
-    for cand in (e, c, b, a):
-        pick = F.when(cand["s"].isNotNull() & cand["e"].isNotNull(), cand).otherwise(pick)
-    return pick
+    """struct(s, e) by the first notation whose tokens the name holds; NULL when none fits."""
+    toks = tokens(name)
+    valid = F.get(find(toks, VALID_FROM), F.lit(0))
+    stamped = find(toks, DATE, CLOCK)
+    count = F.size(stamped)
+    started = digits_at(toks, F.get(find(toks, YEAR_DAY_MINUTE, LENGTH_IN_DAYS), F.lit(0)), 2)
+    minute = (_number(started, 8, 2) * 60 + _number(started, 10, 2)).cast("bigint") * 60_000_000
+    start = day_of_year_us(_number(started, 1, 4), _number(started, 5, 3)) + minute
+    arc = digits_at(toks, F.get(find(toks, FIRST_DAY, LAST_DAY), F.lit(0)), 2)
+    day = lambda at: day_of_year_us(full_year(_number(arc, at, 2), 57), _number(arc, at + 2, 3))
+    spans = [
+        (_moment(digits_at(toks, valid)), _moment(digits_at(toks, valid + 1))),
+        (_moment(digits_at(toks, F.get(stamped, count - 2), 2)), _moment(digits_at(toks, F.get(stamped, count - 1), 2))),
+        (start, start + _number(started, 12, 2) * F.lit(DAY_US)),
+        (day(1), day(6) + DAY_US),
+    ]
+    return F.coalesce(*[F.when(s.isNotNull() & e.isNotNull(), F.struct(s.alias("s"), e.alias("e"))) for s, e in spans])
 
 
 def ranging_span(name: Column) -> Column:
-    """Daily token -> one day, else monthly token -> one month."""
-    d = F.nullif(F.regexp_extract(name, r"[_.](\d{8})(?:\D|$)", 1), F.lit(""))
-    m = F.nullif(F.regexp_extract(name, r"[_.](\d{6})(?:\D|$)", 1), F.lit(""))
+    """Daily token -> one day, else monthly token -> one month. The first token is the product's name."""
+    toks = tokens(name)
+    first = lambda shape: F.get(toks, F.get(F.filter(find(toks, shape), lambda i: i > 0), F.lit(0)))
+    d, m = first(DATE), first(CLOCK)
     day, month = F.try_to_date(d, "yyyyMMdd"), F.try_to_date(F.concat(m, F.lit("01")), "yyyyMMdd")
     us = lambda c: F.unix_date(c).cast("bigint") * DAY_US
     daily = F.struct(us(day).alias("s"), (us(day) + DAY_US).alias("e"))

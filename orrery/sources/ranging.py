@@ -18,18 +18,33 @@ def one_way(tof_s: Column) -> Column:
     return tof_s / 2 * LIGHT
 
 
+# First and last column of each field of the record.
+SPANS = {"target": (1, 7), "yy": (8, 9), "doy": (10, 12), "tod": (13, 24), "station": (25, 28), "tof": (46, 57), "sigma": (58, 64), "np": (115, 115), "returns": (116, 119)}
+
+
 def fixed_width_fields(v: Column) -> dict[str, Column]:
     """Columns of the fixed-width record, trimmed text."""
-    span = {"target": (1, 7), "yy": (8, 9), "doy": (10, 12), "tod": (13, 24), "station": (25, 28), "tof": (46, 57), "sigma": (58, 64), "np": (115, 115), "returns": (116, 119)}
-    return {k: F.trim(cols(v, *s)) for k, s in span.items()}
+    return {k: F.trim(cols(v, *s)) for k, s in SPANS.items()}
+
+
+# Fixed values of the record: fewest digits of its required fields, and the ranges of two of them.
+FEWEST = {"target": 6, "yy": 1, "doy": 1, "tod": 1, "station": 4, "tof": 1}
+RANGES = {"doy": (1, 366), "tod": (0, 863_999_999_999)}
 
 
 def looks_fixed_width(v: Column) -> Column:
-    f = fixed_width_fields(v)
-    return (
-        (F.length(v) >= 57) & digits(f["target"]) & (F.length(f["target"]) >= 6) & digits(f["yy"]) & digits(f["doy"]) & f["doy"].try_cast("int").between(1, 366)
-        & digits(f["tod"]) & (f["tod"].try_cast("bigint") < 864_000_000_000) & digits(f["station"]) & (F.length(f["station"]) == 4) & digits(f["tof"])
-    )
+    """Whether every required field is a number of its size and range."""
+    ok = F.length(v) >= SPANS["tof"][1]
+    for name, fewest in FEWEST.items():
+        text = F.trim(cols(v, *SPANS[name]))
+        ok = ok & digits(text) & (F.length(text) >= fewest)
+        if name in RANGES:
+            ok = ok & text.try_cast("bigint").between(*RANGES[name])
+    return ok
+
+
+# Header and configuration record types that may open a sessioned file.
+CRD_RECORDS = [f"H{k}" for k in range(1, 10)] + [f"C{k}" for k in range(10)]
 
 
 def detect_format(lines: DataFrame) -> DataFrame:
@@ -41,7 +56,7 @@ def detect_format(lines: DataFrame) -> DataFrame:
     fmt = (
         F.when(F.col("head").isNull(), "unknown")
         .when(up.startswith("<!DOCTYPE") | up.startswith("<HTML"), "html_error_page")
-        .when(h.rlike(r"(?i)^(?:h[1-9]|c[0-9])(?:\s|$)"), "crd")
+        .when(F.upper(F.get(F.split(h, r"\s"), F.lit(0))).isin(CRD_RECORDS), "crd")
         .when(h == "99999", "legacy_npt")
         .when(looks_fixed_width(F.col("head")), "merit_monthly")
         .otherwise("unknown")
