@@ -49,26 +49,26 @@ def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], valu
     """Centred mean over one period of rows; NULL with too few values, or fewer than 8 rows in the series.
 
     The window is max(2, round(period / median step)) rows and needs half of it
-    filled; an even window reaches one row further back than ahead. The width differs
-    per series, so each chunk is one grouped map.
+    filled; an even window reaches one row further back than ahead. A window's sum is
+    the difference of two running sums, found by row number.
     """
     by = list(by)
     stats = exact_quantiles(series, by, {"_a": (F.col(value), 0.5)}).join(median_step_s(series, by, width_us), by)
-    count = series.groupBy(*by).agg(F.count(value).alias("_valid"))
+    count = series.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_valid"))
     period = 2 * math.pi * F.sqrt(F.pow("_a", F.lit(3.0)) / MU) if period_s is None else period_s
-    plan = stats.join(count, by).where("step_s > 0 and _valid >= 8").select(*by, F.greatest(F.lit(2), F.bround(period / F.col("step_s"))).cast("int").alias("_w"))
+    plan = stats.join(count, by).where("step_s > 0 and _valid >= 8").select(*by, "_a", "_rows", F.greatest(F.lit(2), F.bround(period / F.col("step_s"))).cast("bigint").alias("_w"))
     plan = cut(plan)
-    chunks = chunked(series.join(plan, by), by, order, F.col("_w"), slot(order[0], width_us))
-    cols = series.columns
-    schema = T.StructType([*series.schema.fields, T.StructField(name, T.DoubleType())])
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        w = int(pdf["_w"].iloc[0])
-        pdf[name] = pdf[value].rolling(window=w, center=True, min_periods=max(2, w // 2)).mean()
-        return pdf.loc[pdf["_core"], [*cols, name]]
-
-    smoothed = chunks.groupBy(*by, "_chunk").applyInPandas(smooth, schema)
+    # running sums around the median: small numbers, so differences of sums keep their digits
+    off = F.coalesce(F.col(value) - F.col("_a"), F.lit(0.0))
+    sums = {"_pos": ("sum", F.lit(1).cast("bigint")), "_s": ("sum", off), "_n": ("sum", F.col(value).isNotNull().cast("bigint"))}
+    x = prefix_scan(series.join(plan, by), by, order, slot(order[0], width_us), sums)
+    x = x.withColumns({"_lo": F.col("_pos") - F.floor(F.col("_w") / 2) - 1, "_hi": F.least(F.col("_rows"), F.col("_pos") + F.col("_w") - 1 - F.floor(F.col("_w") / 2))})
+    x = cut(x)
+    at = lambda tag: x.select(*by, F.col("_pos").alias(f"_{tag}"), F.col("_s").alias(f"_s{tag}"), F.col("_n").alias(f"_n{tag}"))
+    both = x.join(at("hi"), [*by, "_hi"]).join(at("lo"), [*by, "_lo"], "left")
+    n = F.col("_nhi") - F.coalesce("_nlo", F.lit(0))
+    mean = F.col("_a") + (F.col("_shi") - F.coalesce("_slo", F.lit(0.0))) / n
+    smoothed = both.select(*series.columns, F.when(n >= F.greatest(F.lit(2), F.floor(F.col("_w") / 2)), mean).alias(name))
     short = series.join(plan, by, "left_anti").withColumn(name, F.lit(None).cast("double"))
     return smoothed.unionByName(short)
 

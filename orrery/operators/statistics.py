@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -48,18 +49,26 @@ def slopes(pairs: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") -> D
 def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = 2000, seed: int = 42) -> DataFrame:
     """OLS and Deming slope of each bootstrap replicate.
 
-    Every row draws a Poisson(1) weight per replicate from a generator seeded by its own
-    ``key``, so the result does not depend on partitioning or retries. A task keeps only
-    six sums per replicate and emits one row each; rows are neither repeated nor gathered.
+    Every row draws a Poisson(1) weight per replicate from a hash of its ``key`` and the
+    replicate's number, so the result does not depend on partitioning or retries. A task keeps
+    only six sums per replicate and emits one row each; rows are neither repeated nor gathered.
     """
+    steps = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(16)])  # distribution of the weights
+    lanes = np.random.default_rng(seed).integers(1, 2**63, replicates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def weights(keys: np.ndarray) -> np.ndarray:
+        h = (keys.astype(np.uint64)[:, None] + np.uint64(0x9E3779B97F4A7C15)) * lanes
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        return np.searchsorted(steps, (h >> np.uint64(11)).astype(float) / 2.0**53, side="right").astype(float)
+
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((6, replicates))
         for pdf in batches:
-            for lo in range(0, len(pdf), 512):
-                part = pdf.iloc[lo : lo + 512]
-                w = np.vstack([np.random.default_rng([seed, int(k)]).poisson(1.0, replicates) for k in part[key]])
+            for lo in range(0, len(pdf), 256):
+                part = pdf.iloc[lo : lo + 256]
                 x, y = part["x"].to_numpy(), part["y"].to_numpy()
-                sums += np.vstack([np.ones_like(x), x, y, x * x, y * y, x * y]) @ w
+                sums += np.vstack([np.ones_like(x), x, y, x * x, y * y, x * y]) @ weights(part[key].to_numpy())
         yield pd.DataFrame(dict(zip(("n", "sx", "sy", "qxx", "qyy", "qxy"), sums), replicate=np.arange(replicates)))
 
     clean = pairs.where("x is not null and y is not null").select(key, "x", "y")

@@ -287,12 +287,12 @@ def s12(spark, d):
 
 @query("s13_evidence_parquet_scan", oracle(f"SELECT entity_id, event_id, {rsql('x', 2)} AS x FROM states WHERE entity_id IN (SELECT entity_id FROM annotations)"))
 def s13(spark, d):
-    """Partitioned snapshot read back with column pruning and dynamic partition pruning by the annotated entities."""
+    """Bucketed snapshot read back with column pruning and dynamic partition pruning by the annotated entities' buckets."""
     path = scratch_dir(spark, "snapshot") + "/orbit"
     release.write_snapshot(R.states(spark, d), path)
-    s = spark.read.parquet(path).select("entity_id", "event_id", "x")
-    ids = R.annotations(spark, d).select(F.col("entity_id").cast("int").alias("entity_id")).distinct()
-    return s.join(ids, "entity_id").select(F.col("entity_id").cast("bigint").alias("entity_id"), "event_id", rnd("x", 2).alias("x"))
+    s = spark.read.parquet(path).select("bucket", "entity_id", "event_id", "x")
+    ids = R.annotations(spark, d).select("entity_id").distinct().withColumn("bucket", release.bucket_of())
+    return s.join(ids, ["bucket", "entity_id"]).select("entity_id", "event_id", rnd("x", 2).alias("x"))
 
 
 def solution_lines(spark, d):
@@ -401,9 +401,10 @@ def s20(spark, d):
 
 @query("s21_file_bounds", oracle(f"SELECT entity_id, {iso_sql('min(t)')} AS start_utc, {iso_sql('max(t)')} AS end_utc, count(*) AS rows, min(t)<={CLIP[0]} AND max(t)>={CLIP[1]} AS has_full_window FROM states GROUP BY 1"))
 def s21(spark, d):
-    """Bounds per file and whether the files of an entity span the window."""
-    s = R.states(spark, d).withColumn("part", F.floor(F.col("t") / (3 * DAY_US)))
-    w = tables.full_window(tables.file_bounds(s, ["entity_id", "part"]), *CLIP)
+    """Bounds of written files from their footers, and whether the files of an entity span the window."""
+    path = scratch_dir(spark, "bounds") + "/states"
+    R.states(spark, d).select("entity_id", "t").repartition("entity_id").write.partitionBy("entity_id").parquet(path)
+    w = tables.full_window(tables.footer_bounds(spark, path).withColumn("entity_id", F.regexp_extract("path", r"entity_id=(\d+)/", 1).cast("bigint")), *CLIP)
     return w.select("entity_id", iso("start_t").alias("start_utc"), iso("end_t").alias("end_utc"), "rows", "has_full_window")
 
 

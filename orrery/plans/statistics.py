@@ -43,7 +43,7 @@ W_CTE = f"smw AS (SELECT sm.*, w FROM sm JOIN (SELECT entity_id, greatest(2, rou
 @query("v02_period_mean", oracle(f"SELECT entity_id, {iso_sql('t')} AS epoch_utc, {rsql('CASE WHEN n>=greatest(2,w//2) THEN m END', 3)} AS period_mean FROM (SELECT *, avg(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS m, count(sma) OVER (PARTITION BY entity_id ORDER BY t ROWS BETWEEN (w//2) PRECEDING AND (w-1-w//2) FOLLOWING) AS n FROM smw)", SM_CTE, W_CTE))
 def v02(spark, d):
     """Centred mean over one period; the row width differs per entity."""
-    p = series.period_mean(smooth_series(spark, d), ["entity_id"], ["t"], "sma", period_s=F.lit(20 * 86400.0), width_us=365 * DAY_US)
+    p = series.period_mean(smooth_series(spark, d), ["entity_id"], ["t"], "sma", period_s=F.lit(20 * 86400.0), width_us=30 * DAY_US)
     return p.select("entity_id", iso("t").alias("epoch_utc"), rnd("period_mean", 3).alias("period_mean"))
 
 
@@ -153,7 +153,7 @@ def t03(spark, d):
 def t04(spark, d):
     """Bootstrap intervals of the OLS and Deming slope by Poisson resampling inside the scan."""
     p = pairs(spark, d).withColumn("key", F.xxhash64("l_orderkey", "l_linenumber", "x").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)))
-    b = statistics.bootstrap_slopes(p, "key", replicates=200)
+    b = statistics.bootstrap_slopes(p, "key")
     est = F.explode(F.array(F.struct(F.lit("ols").alias("estimator"), F.col("ols_slope").alias("s")), F.struct(F.lit("deming").alias("estimator"), F.col("deming_slope").alias("s"))))
     x = b.select(est.alias("e")).select("e.*")
     q = x.groupBy("estimator").agg(F.count("s").alias("finite"), F.percentile("s", F.array(F.lit(0.025), F.lit(0.975))).alias("ci"))  # one value per replicate
@@ -170,12 +170,20 @@ def t04b(spark, d):
     return q.select(F.col("n").cast("bigint").alias("n"), rnd("median").alias("median_m"), rnd("ci_low").alias("ci_low"), rnd("ci_high").alias("ci_high"))
 
 
-@query("t05_ks_statistic", oracle(f"""SELECT entity_id, lt AS left, rt AS right, {rsql('max(abs(ca::DOUBLE/na-cb::DOUBLE/nb))')} AS ks_statistic, any_value(na) AS n_left, any_value(nb) AS n_right FROM (
- SELECT *, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY entity_id, lt, rt) AS na, sum(b) OVER (PARTITION BY entity_id, lt, rt) AS nb FROM (SELECT entity_id, lt, rt, v, CAST(count(*) FILTER (tier=lt) AS BIGINT) AS a, CAST(count(*) FILTER (tier=rt) AS BIGINT) AS b FROM (SELECT entity_id, tier, qty AS v FROM effects) e, (VALUES ('A','B'),('A','C'),('B','C')) p(lt,rt) WHERE tier IN (lt,rt) GROUP BY 1,2,3,4) WINDOW w AS (PARTITION BY entity_id, lt, rt ORDER BY v)) WHERE na>=5 AND nb>=5 GROUP BY 1,2,3""".replace("any_value(na) AS", "CAST(any_value(na) AS BIGINT) AS").replace("any_value(nb) AS", "CAST(any_value(nb) AS BIGINT) AS")))
+KS_CTE = """ks0 AS (SELECT entity_id, lt, rt, max(abs(ca::DOUBLE/na-cb::DOUBLE/nb)) AS d, CAST(any_value(na) AS BIGINT) AS n_left, CAST(any_value(nb) AS BIGINT) AS n_right FROM (
+ SELECT *, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY entity_id, lt, rt) AS na, sum(b) OVER (PARTITION BY entity_id, lt, rt) AS nb FROM (SELECT entity_id, lt, rt, v, CAST(count(*) FILTER (tier=lt) AS BIGINT) AS a, CAST(count(*) FILTER (tier=rt) AS BIGINT) AS b FROM (SELECT entity_id, tier, qty AS v FROM effects) e, (VALUES ('A','B'),('A','C'),('B','C')) p(lt,rt) WHERE tier IN (lt,rt) GROUP BY 1,2,3,4) WINDOW w AS (PARTITION BY entity_id, lt, rt ORDER BY v)) WHERE na>=5 AND nb>=5 GROUP BY 1,2,3),
+ks1 AS (SELECT *, sqrt(n_left*n_right/(n_left+n_right)::DOUBLE) AS en FROM ks0), ks2 AS (SELECT *, (en+0.12::DOUBLE+0.11::DOUBLE/en)*d AS lam FROM ks1),
+ks AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE WHEN lam < 0.2 THEN 1.0::DOUBLE ELSE 2.0*list_sum(list_transform(range(1,21), lambda j: (CASE WHEN j%2=1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END)*exp(-2.0*j*j*lam*lam))) END)) AS p FROM ks2)"""
+
+
+@query("t05_ks_statistic", oracle(f"""SELECT CAST(entity_id AS VARCHAR) AS entity_id, lt AS left, rt AS right, {rsql('d')} AS ks_statistic, {rsql('p')} AS ks_pvalue, n_left, n_right FROM ks
+ UNION ALL SELECT 'ALL_WITHIN_TARGET', lt, rt, {rsql('median(d)')}, {rsql('median(p)')}, CAST(sum(n_left) AS BIGINT), CAST(sum(n_right) AS BIGINT) FROM ks GROUP BY 2,3""", KS_CTE))
 def t05(spark, d):
-    """Kolmogorov-Smirnov statistic of each pair of tiers within each entity."""
-    k = statistics.ks_pairs(R.effects(spark, d), ["entity_id"], "tier", "qty", F.floor(F.col("_v") / 4).cast("bigint"))
-    return k.select("entity_id", "left", "right", rnd("ks_statistic").alias("ks_statistic"), "n_left", "n_right")
+    """Kolmogorov-Smirnov statistic and p of each pair of tiers within each entity, and their medians over entities."""
+    k = cut(statistics.ks_pairs(R.effects(spark, d), ["entity_id"], "tier", "qty", F.floor(F.col("_v") / 4).cast("bigint")))
+    over = with_quantiles(k, ["left", "right"], [F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")], {"ks_statistic": (F.col("ks_statistic"), 0.5), "ks_pvalue": (F.col("ks_pvalue"), 0.5)})
+    rows = k.withColumn("entity_id", F.col("entity_id").cast("string")).unionByName(over.withColumn("entity_id", F.lit("ALL_WITHIN_TARGET")))
+    return rows.select("entity_id", "left", "right", rnd("ks_statistic").alias("ks_statistic"), rnd("ks_pvalue").alias("ks_pvalue"), "n_left", "n_right")
 
 
 def tost(spark, d):

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyarrow import parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,9 +68,25 @@ def read_time_lists(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("entity_id", F.explode("timestamps").alias("x")).select("entity_id", micros(parse_utc(F.col("x"))).alias("xt"))
 
 
-def file_bounds(points: DataFrame, by: Sequence[str], t: str = "t") -> DataFrame:
-    """First and last moment and row count per file."""
-    return points.groupBy(*by).agg(F.min(t).alias("start_t"), F.max(t).alias("end_t"), F.count(F.lit(1)).alias("rows"))
+def footer_bounds(spark: SparkSession, path: str, t: str = "t") -> DataFrame:
+    """(path, start_t, end_t, rows) of every parquet file below a folder, from its footer alone: the statistics of its
+    row groups. Files without rows or without statistics have NULL bounds."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
+
+    def read(batches):
+        for b in batches:
+            rows = []
+            for uri in b.column(0).to_pylist():
+                fs, name = pafs.FileSystem.from_uri(uri)
+                with fs.open_input_file(name) as f:
+                    meta = pq.read_metadata(f)
+                k = meta.schema.names.index(t)
+                stats = [meta.row_group(i).column(k).statistics for i in range(meta.num_row_groups)]
+                known = bool(stats) and all(x is not None and x.has_min_max for x in stats)
+                rows.append((uri, min(x.min for x in stats) if known else None, max(x.max for x in stats) if known else None, meta.num_rows))
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["path", "start_t", "end_t", "rows"])
+
+    return listed.mapInArrow(read, "path string, start_t bigint, end_t bigint, rows bigint")
 
 
 def full_window(bounds: DataFrame, start_us: int, end_us: int) -> DataFrame:
