@@ -25,10 +25,12 @@ def feed(spark, rows, drain, *, overlap_us=0, parts=3, heartbeat=False):
     root = scratch_dir(spark, "stream")
     rows = rows.withColumn("t", F.timestamp_micros("t_us"))
     lo, hi = rows.agg(F.min("t_us"), F.max("t_us")).first()
-    step = (hi - lo) // parts + 1
+    step, last_end = (hi - lo) // parts + 1, None
     for i in range(parts):
-        a = lo + i * step - (overlap_us if i else 0)
-        rows.where((F.col("t_us") >= a) & (F.col("t_us") < lo + (i + 1) * step)).write.parquet(f"{root}/in/part{i}")
+        end = lo + (i + 1) * step - 1
+        a = streams.effective_start(lo, end, last_end, overlap_us) if overlap_us else lo + i * step
+        last_end = end
+        rows.where(F.col("t_us").between(a, end)).write.parquet(f"{root}/in/part{i}")
         drain(root, rows.schema)
     if heartbeat:
         beat = rows.agg((F.max("t_us") + 30 * DAY_US).alias("t_us"))
@@ -69,7 +71,7 @@ def r02(spark, d):
 
 def pairs(spark, rows):
     root = feed(spark, rows, appending(spark, lambda s: streams.consecutive_pairs(s, "t", "1 hour")), heartbeat=True)
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").where("not late")
 
 
 @query("r03_cross_batch_cadence", oracle(f"SELECT entity_id, count(g) AS total, count(*) FILTER (g<={DAY_US}) AS within_day FROM (SELECT entity_id, t-lag(t) OVER (PARTITION BY entity_id ORDER BY t) AS g FROM states) GROUP BY 1 HAVING count(g)>0"))

@@ -34,15 +34,27 @@ def drain_append(stream: DataFrame, out: str, checkpoint: str) -> None:
 
 
 def drain_upsert(stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str) -> DataFrame:
-    """Update-mode results written as one partition per micro-batch, and the latest row per key.
+    """Update-mode results merged into a snapshot of one row per key; returns the snapshot.
 
-    A repeated micro-batch overwrites its own partition, so retries leave no duplicates.
+    Each micro-batch writes version ``batch_id`` from the version before it and its own rows, so a drain reads one
+    compacted base and what is new, and a repeated micro-batch writes the same version again. Versions older than
+    the one before are deleted.
     """
+    spark = stream.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = lambda n: f"{out}/version={n}"
+
     def put(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        rows = batch.withColumn("_age", F.lit(1))
+        if fs.exists(hadoop.Path(folder(batch_id - 1))):
+            rows = rows.unionByName(batch.sparkSession.read.parquet(folder(batch_id - 1)).withColumn("_age", F.lit(0)))
+        keep_one(rows, list(keys), ["_age"], last=True).drop("_age", "copies").write.mode("overwrite").parquet(folder(batch_id))
+        fs.delete(hadoop.Path(folder(batch_id - 2)), True)
 
     stream.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return keep_one(stream.sparkSession.read.parquet(out), list(keys), ["batch"], last=True).drop("batch", "copies")
+    last = max(int(f.getPath().getName().partition("=")[2]) for f in fs.listStatus(hadoop.Path(out)))
+    return spark.read.parquet(folder(last))
 
 
 def distinct_deliveries(stream: DataFrame, keys: Sequence[str], t: str, delay: str) -> DataFrame:
@@ -65,7 +77,7 @@ def session_arcs(stream: DataFrame, by: Sequence[str], t: str, delay: str, gap:
 
 # last closed row, then the rows still open to late arrivals
 _STATE = "last_us long, last_v double, seen long, open_us array<long>, open_v array<double>"
-_PAIRS = "entity_id long, prev_us long, t_us long, prev_v double, v double"
+_PAIRS = "entity_id long, prev_us long, t_us long, prev_v double, v double, late boolean"
 
 
 def _close_pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -80,21 +92,25 @@ def _close_pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
         if us > mark:
             keep.append((us, v))
             continue
-        if seen and us > last_us:
-            out.append((key[0], last_us, us, last_v, v))
-        if not seen or us > last_us:
-            last_us, last_v, seen = us, v, 1
+        if seen and us <= last_us:
+            out.append((key[0], None, us, None, v, True))
+            continue
+        if seen:
+            out.append((key[0], last_us, us, last_v, v, False))
+        last_us, last_v, seen = us, v, 1
     state.update((last_us, last_v, seen, [u for u, _ in keep], [x for _, x in keep]))
     if keep:
         state.setTimeoutTimestamp(max(int(keep[-1][0] // 1000) + 1, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame(out, columns=["entity_id", "prev_us", "t_us", "prev_v", "v"])
+    names = ["entity_id", "prev_us", "t_us", "prev_v", "v", "late"]
+    yield pd.DataFrame(out, columns=names).astype({"prev_us": "Int64", "prev_v": "float64"})
 
 
 def consecutive_pairs(stream: DataFrame, t: str, delay: str) -> DataFrame:
     """Consecutive rows of an entity across micro-batches, emitted once both are closed by the watermark.
 
     ``stream`` has entity_id, the timestamp ``t``, ``t_us`` and ``value``. Rows may arrive in any
-    order within the delay; the state holds one closed row and the open ones.
+    order within the delay; the state holds one closed row and the open ones. A row that comes after
+    later ones were closed forms no pair; it is returned marked ``late``, to be counted.
     """
     s = stream.withWatermark(t, delay)
     return s.groupBy("entity_id").applyInPandasWithState(_close_pairs, _PAIRS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
