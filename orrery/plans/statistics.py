@@ -198,7 +198,23 @@ def t06(spark, d):
     return tost(spark, d).select("entity_id", "left", "right", "n_left", "n_right", rnd("mean_delta").alias("mean_delta"), rnd("median_delta").alias("median_delta"), rnd("cohens_d", 4).alias("cohens_d"), rnd("welch_df", 3).alias("welch_df"), rnd("t_low", 5).alias("t_low"))
 
 
-@query("t06_equivalence_verdicts")
+def t_cdf_sql(t: str, dof: str, n: int = 400) -> str:
+    """Student-t distribution function by Simpson's rule over the angle atan(t / sqrt(dof))."""
+    weight = f"(CASE WHEN i = 0 OR i = {n} THEN 1.0::DOUBLE WHEN i % 2 = 1 THEN 4.0::DOUBLE ELSE 2.0::DOUBLE END)"
+    area = f"list_sum(list_transform(range(0, {n + 1}), lambda i: {weight} * pow(cos(atan({t}/sqrt({dof})) * i / {n}), {dof} - 1)))"
+    return f"(0.5::DOUBLE + exp(lgamma(({dof}+1)/2) - lgamma({dof}/2)) / sqrt(pi()) * atan({t}/sqrt({dof})) / (3.0*{n}) * {area})"
+
+
+TOST_CTE = f"""g AS (SELECT entity_id, tier, count(*) AS n, avg(p) AS m, var_samp(p) AS v, median(p) AS md FROM (SELECT *, qty*1.5+tax_pct AS p FROM effects) GROUP BY 1,2),
+e0 AS (SELECT a.entity_id, a.tier AS lt, b.tier AS rt, a.m-b.m AS d, a.md-b.md AS dm, sqrt(a.v/a.n+b.v/b.n) AS se, pow(a.v/a.n+b.v/b.n,2)/(pow(a.v/a.n,2)/(a.n-1)+pow(b.v/b.n,2)/(b.n-1)) AS dof FROM g a JOIN g b ON a.entity_id=b.entity_id AND a.tier<b.tier WHERE a.n>=5 AND b.n>=5),
+e1 AS (SELECT *, (d+2.0::DOUBLE)/se AS tl, (d-2.0::DOUBLE)/se AS th FROM e0), e2 AS (SELECT *, {t_cdf_sql('tl', 'dof')} AS cl, {t_cdf_sql('th', 'dof')} AS ch FROM e1),
+e3 AS (SELECT *, greatest(1-cl, ch) AS raw, CASE WHEN d > 0 THEN 1-ch ELSE cl END AS pe FROM e2), e4 AS (SELECT *, {rsql('raw')} AS p FROM e3),
+e5 AS (SELECT *, row_number() OVER (ORDER BY p, entity_id, lt, rt) AS rk, count(*) OVER () AS total FROM e4),
+e6 AS (SELECT *, least(1.0::DOUBLE, min(p*total/rk) OVER (ORDER BY rk DESC)) AS adj FROM e5)"""
+
+
+@query("t06_equivalence_verdicts", oracle(f"""SELECT entity_id, lt AS left, rt AS right, p AS p_tost, {rsql('pe')} AS p_exceeds, CASE WHEN raw < 0.05 THEN 'equivalent' WHEN abs(dm) >= 2.0 THEN 'exceeds_tolerance' ELSE 'inconclusive' END AS verdict,
+ {rsql('adj')} AS p_adjusted, adj < 0.05 AS equivalent_bh FROM e6""", TOST_CTE))
 def t06b(spark, d):
     """p-values, verdicts and false-discovery adjustment over the whole family."""
     t = tost(spark, d).withColumn("p_tost", F.bround("p_tost", 6))
