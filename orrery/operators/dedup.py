@@ -22,15 +22,16 @@ RULE_PUBLISHED, RULE_POR, RULE_POE, RULE_ARC, RULE_TIE = "parsed_over_published"
 def prioritised(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Best row per key by (origin, family, later arc, name) and, per rule, how many rows it dropped.
 
-    ``origin`` 0 is a parsed file, 1 a published seed. Rows are grouped on the ranking
-    columns before they meet the winner, so many equal copies become one counted row.
+    ``origin`` 0 is a parsed file, 1 a published seed. The table is read and grouped once, on the ranking columns;
+    both the winner and the counts come from those groups, so many equal copies become one counted row.
     """
     rank = ["origin", "family", "neg_arc", "name"]
     x = df.withColumn("neg_arc", -F.col("arc"))
-    best = keep_one(x, keys, rank)
-    kinds = x.groupBy(*keys, *rank).agg(F.count(F.lit(1)).alias("_n"))
-    won = best.select(*keys, *[F.col(c).alias(f"_k_{c}") for c in rank])
-    j = kinds.join(won, list(keys))
+    rest = [c for c in x.columns if c not in keys and c not in rank]
+    kinds = x.groupBy(*keys, *rank).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*rest)).alias("_rest"))
+    best = kinds.groupBy(*keys).agg(F.min(F.struct(*rank, "_rest")).alias("_b"), F.sum("_n").alias("copies"))
+    won = best.select(*keys, *[F.col(f"_b.{c}").alias(f"_k_{c}") for c in rank])
+    j = kinds.drop("_rest").join(won, list(keys))
     same = F.lit(True)
     for c in rank:
         same = same & (F.col(c) == F.col(f"_k_{c}"))
@@ -42,7 +43,7 @@ def prioritised(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFram
         .otherwise(RULE_TIE)
     )
     dropped = j.select(*keys, rule.alias("rule"), (F.col("_n") - F.when(same, 1).otherwise(0)).alias("dropped")).where("dropped > 0")
-    return best.drop("neg_arc"), dropped
+    return best.select(*keys, *[F.col(f"_b.{c}") for c in rank if c != "neg_arc"], "_b._rest.*", "copies"), dropped
 
 
 def dominant_entity(df: DataFrame, by: Sequence[str], entity: str) -> DataFrame:
