@@ -190,8 +190,8 @@ def j08(spark, d):
 def j09(spark, d):
     """Overlapping candidates of each window ranked by series, newest version, name."""
     p = file_pairs(spark, d)
-    ranked = p.groupBy("annotation_id").agg(F.array_sort(F.collect_list(F.struct("source_type", (-F.col("part")).alias("v"), "path"))).alias("c"))
-    return ranked.select("annotation_id", F.posexplode("c").alias("i", "x")).select("annotation_id", F.col("x.path").alias("path"), (F.col("i") + 1).cast("bigint").alias("choice"))
+    order = Window.partitionBy("annotation_id").orderBy("source_type", F.desc("part"), "path")  # sorted and spilled, never held as a list
+    return p.select("annotation_id", "path", F.row_number().over(order).cast("bigint").alias("choice"))
 
 
 def numbered(df, t, extra=()):
