@@ -24,6 +24,8 @@ from orrery.llm.common import fold, held_out, labelled_sample, texts
 #: Labelled rows the fit may use at most (documented bound; scoring always covers every row).
 MAX_FIT_ROWS = 200_000
 FOURIER, RIDGE, GRID, SUMS = 256, 1.0, 1000, 16
+#: Bytes of text measured at once (a longer text is measured alone).
+PIECE = 4 << 20
 
 _CLASSES = np.full(256, 8, np.uint8)
 _CLASSES[97:123] = 0  # lower case
@@ -39,6 +41,9 @@ NAMES = ["bytes", "words", "upper", "digits", "blanks", "lines", "stops", "calls
 
 def statistics(column: pa.Array) -> np.ndarray:
     """One row of statistics for each text of an Arrow string column without nulls."""
+    if column.nbytes > PIECE and len(column) > 1:
+        half = len(column) // 2
+        return np.concatenate([statistics(column.slice(0, half)), statistics(column.slice(half))])
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
