@@ -73,19 +73,21 @@ def next_lower(keys: DataFrame, level: int = 0) -> DataFrame:
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     """``docs`` with next_<column> of the document after it in descending doc_id, after the last of the first.
 
-    Documents are dealt by spans of BUCKET ids; the top document of each span is also sent to the span above.
+    Documents are dealt once, by spans of BUCKET ids; each is followed within its span, and the last of a span by
+    the top document of the span below, which alone moves again. ``text`` is among ``carried`` and never null.
     """
     bucket = F.floor(F.col("doc_id") / BUCKET)
-    tops = docs.where("doc_id is not null").groupBy(bucket.alias("k")).agg(F.max("doc_id").alias("top"))
-    highest = tops.agg(F.max("k").alias("highest"))
-    below = next_lower(tops.select("k")).crossJoin(highest).select(F.col("k").alias("bucket"), F.coalesce("lower", "highest").alias("k"))  # one row on the right
-    halo = below.join(tops, "k").select("bucket", F.col("top").alias("doc_id"))
-    own = docs.where("doc_id is not null").withColumn("bucket", bucket).withColumn("halo", F.lit(0))
-    extra = docs.join(halo, "doc_id").select(*docs.columns, "bucket", F.lit(1).alias("halo"))
-    order = Window.partitionBy("bucket").orderBy("halo", F.desc("doc_id"), "text")
-    out = own.unionByName(extra).withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}).where("halo = 0").drop("bucket", "halo")
-    first = docs.join(tops.agg(F.max("top").alias("doc_id")), "doc_id").groupBy().agg(F.min(F.struct(F.col("text").alias("by"), *carried)).alias("first"))
-    loose = docs.where("doc_id is null").join(first).select(*docs.columns, *(F.coalesce(F.col(f"first.{c}"), F.col(c)).alias(f"next_{c}") for c in carried))
+    spans = docs.where("doc_id is not null").select(bucket.alias("k")).distinct()
+    highest = spans.agg(F.max("k").alias("highest"))
+    below = next_lower(spans).crossJoin(highest).select(F.col("k").alias("bucket"), F.coalesce("lower", "highest").alias("k"))  # one row on the right
+    order = Window.partitionBy("bucket").orderBy(F.desc("doc_id"), "text")
+    dealt = docs.where("doc_id is not null").withColumn("bucket", bucket)
+    dealt = dealt.withColumns({"at": F.row_number().over(order), **{f"next_{c}": F.lead(c).over(order) for c in carried}})
+    heads = dealt.where("at = 1").select(F.col("bucket").alias("k"), F.struct(*carried).alias("head"))
+    out = dealt.join(heads.join(below, "k").drop("k"), "bucket", "left")
+    out = out.select(*docs.columns, *(F.when(F.col("next_text").isNull(), F.col(f"head.{c}")).otherwise(F.col(f"next_{c}")).alias(f"next_{c}") for c in carried))
+    first = heads.join(highest, F.col("k") == F.col("highest")).select("head")
+    loose = docs.where("doc_id is null").join(first, F.lit(True), "left").select(*docs.columns, *(F.coalesce(F.col(f"head.{c}"), F.col(c)).alias(f"next_{c}") for c in carried))
     return out.unionByName(loose)
 
 
