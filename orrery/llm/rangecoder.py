@@ -20,6 +20,7 @@ LOW, FULL = 1 << 32, 1 << 48  # the range stays between these
 CELLS = 10  # bits of the decoder's table into the order-0 scale
 CONTEXTS = 12  # bits of an order-2 context
 BLOCK = 8192  # ids
+ROOM = 128  # words kept free ahead of every block
 STANDING = np.array([1, 1, 3, 2, 3, 2, 3, 2], np.int32)  # by standing and hit: 0 none, 1 fresh, 2 right, 3 wrong before
 FIRST, EVERY = (16, 32, 64, 128), 256  # steps after which order-0 intervals are renewed
 
@@ -89,18 +90,21 @@ class Model:
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Each block of ids as self-contained bytes. Lengths fall by one at most, the longer ones first."""
-    alphabets, symbols = zip(*(np.unique(b, return_inverse=True) for b in blocks), strict=True)
-    sizes, longest = np.array([len(a) for a in alphabets]), len(blocks[0])
+    longest, alphabets = len(blocks[0]), []
     grid = np.zeros((longest, len(blocks)), np.int32)
-    for i, s in enumerate(symbols):
-        grid[: len(s), i] = s
+    for i, b in enumerate(blocks):
+        alphabet, grid[: len(b), i] = np.unique(b, return_inverse=True)
+        alphabets.append(alphabet)
+    sizes = np.array([len(a) for a in alphabets])
     short = sum(len(b) == longest for b in blocks)
     m = Model(sizes)
     low, span = np.zeros(len(blocks), np.int64), np.full(len(blocks), FULL, np.int64)
-    words = np.empty((len(blocks), 2 * longest + 8), np.uint32)
+    words = np.empty((len(blocks), longest // 2 + 2 * ROOM), np.uint32)
     used = np.zeros(len(blocks), np.int64)
     for step in range(longest):
         k = short if step == longest - 1 else len(blocks)
+        if step % (ROOM // 2) == 0 and used.max() + 2 * ROOM > words.shape[1]:  # an id takes two words at most
+            words = np.pad(words, ((0, 0), (0, longest // 4 + 2 * ROOM)))
         s = grid[step, :k].astype(np.int64)
         p1, p2, q1, q2 = m.predict(k)
         at = m.row[:k] + s
@@ -156,11 +160,12 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
         heads.append((n, crc))
     longest = heads[0][0]
     short = sum(n == longest for n, _ in heads)
-    words = np.zeros((len(coded), max(map(len, bodies)) + 2), np.int64)
+    words = np.zeros((len(coded), max(map(len, bodies)) + 2), np.uint16)
     for i, b in enumerate(bodies):
         words[i, : len(b)] = b
     m = Model(np.array([len(a) for a in alphabets]))
-    diff = (words[:, 0] << 32) | (words[:, 1] << 16) | words[:, 2]
+    head = words[:, :3].astype(np.int64)
+    diff = (head[:, 0] << 32) | (head[:, 1] << 16) | head[:, 2]
     span = np.full(len(coded), FULL, np.int64)
     used = np.full(len(coded), 3)
     grid = np.zeros((longest, len(coded)), np.int32)
@@ -196,7 +201,7 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
         span[:k] = r * (q0 * (e - c) + ((q1 * hit1 + q2 * hit2) << ORDER0))
         i = np.flatnonzero(span < LOW)
         while len(i):
-            diff[i] = (diff[i] << WORD) | words[i, used[i]]
+            diff[i] = (diff[i] << WORD) | words[i, used[i]].astype(np.int64)
             used[i] += 1
             span[i] <<= WORD
             i = i[span[i] < LOW]

@@ -34,9 +34,9 @@ from orrery.session import scratch_dir
 MAGIC = b"IDRC0001"
 END_ID = 1
 #: Ids a group of blocks holds; the coder's memory goes with it.
-GROUP_IDS = 1 << 24
-#: Characters a file should hold.
-FILE_CHARS = 40_000_000
+GROUP_IDS = 1 << 23
+#: A file should hold a 200th of all characters, within these bounds.
+FILE_PART, FILE_LEAST, FILE_MOST = 200, 20_000_000, 2_000_000_000
 #: Pieces a task remembers, and the longest it does.
 PIECES, PIECE_CHARS = 400_000, 64
 
@@ -50,12 +50,28 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {}
+        self.marks = dict(zip(("", ",", "."), self.ids(["", ",", "."]), strict=True))
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
+        """Remember new pieces. The tokenizer lowers case and parts letters and digits from marks, so ``Word.`` is
+        ``word`` and the mark, and many pieces share a stem."""
         if len(self.known) + len(pieces) > PIECES:
             self.known = {"": b""}
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
+        if len(self.stems) + len(pieces) > PIECES:
+            self.stems = {}
+        stem_of = {}
+        for p in pieces:
+            end = p[-1] if p[-1] in ",." else ""
+            stem = p[:-1] if end else p
+            stem_of[p] = (stem.lower(), end) if stem.isascii() and stem.isalnum() else (p, "")
+        new = [s for s in {s for s, _ in stem_of.values()} if s not in self.stems]
+        self.stems.update(zip(new, self.ids(new), strict=True))
+        for p, (stem, end) in stem_of.items():
+            self.known[p] = self.stems[stem] + self.marks[end]
 
     def encode(self, batch: list[str]):
         """The ids of each text of a batch."""
@@ -66,7 +82,8 @@ class Tokens:
                 whole = [p for p in new if len(p) > PIECE_CHARS]
                 self.learn([p for p in new if len(p) <= PIECE_CHARS])
                 if whole or any(p not in self.known for p in pieces):  # long pieces, and pieces dropped as the table was emptied
-                    own = dict(zip(missing := sorted({p for p in pieces if p not in self.known}), (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)), strict=True))
+                    missing = sorted({p for p in pieces if p not in self.known})
+                    own = dict(zip(missing, self.ids(missing), strict=True))
                     yield b"".join([self.known[p] if p in self.known else own[p] for p in pieces])
                     continue
             yield b"".join(map(self.known.__getitem__, pieces))
@@ -121,7 +138,7 @@ def write(docs: DataFrame, base: str, tokenizer: str | None = None, end_id: int
     tokenizer = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     rows = texts(docs)
     chars = rows.agg(F.sum(F.length("text"))).first()[0]
-    files = max(1, -(-(chars or 0) // FILE_CHARS))
+    files = max(1, -(-(chars or 0) // min(max((chars or 0) // FILE_PART, FILE_LEAST), FILE_MOST)))
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):

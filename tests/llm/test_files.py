@@ -49,7 +49,7 @@ def expected(rows):
 
 
 def test_token_files_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(tokens, "FILE_CHARS", 4000)
+    monkeypatch.setattr(tokens, "FILE_LEAST", 4000)
     rng = random.Random(4)
     odd = ["", None, "Don't  stop\n\t\r now", "ﬁ Ünïcödé İ ñ 日本語 é x y z", "<|endoftext|> a<|startoftext|>b", "a" * 5000, "it 's 'll", "\x1f \x85 tab\tnew\x0bline", "1 2 345 &&& $%"]
     texts = odd + ["".join(rng.choice("abcdeé ,.\n") for _ in range(rng.randrange(2000))) for _ in range(30)]
