@@ -2,8 +2,8 @@
 
 A seed is a fixed mask over a run of words: positions marked 1 are hashed, others ignored, so a hit survives
 substitutions at the ignored positions. Test and training text are hashed at every position and joined on
-(seed, hash). Around each hit the texts are compared word by word on that diagonal: equal words count +1,
-different ones -1, and the best-scoring stretch through the hit is the overlap.
+(seed, hash). Around each hit the texts are compared word by word on that diagonal: the longest stretch through the
+hit with a share of ``MIN_SHARE`` of equal words is the overlap. Words beyond it are sought anew.
 
 The test side is a query set: it is cut into blocks of bounded size, each block is broadcast, and the training
 texts are scanned against it. Any number of blocks gives the same rows; none of the training text is shuffled.
@@ -73,14 +73,15 @@ def seed(h: np.ndarray, mask: str) -> np.ndarray:
     return combine(h, kept)[: max(n, 0)] + np.uint64(int(mask, 2)) if n > 0 else np.empty(0, np.uint64)
 
 
-def best_stretch(equal: np.ndarray, hit: int) -> tuple[int, int]:
-    """Ends [a, b) of the stretch through ``hit`` with the highest score (+1 equal, -1 different); longest on a tie."""
-    score = np.where(equal, 1, -1)
-    right = np.cumsum(score[hit:])
-    left = np.cumsum(score[hit::-1])
-    b = len(right) - 1 - int(np.argmax(right[::-1]))
-    a = len(left) - 1 - int(np.argmax(left[::-1]))
-    a, b = hit - a, hit + b + 1
+def longest_stretch(equal: np.ndarray, hit: int) -> tuple[int, int]:
+    """Ends [a, b) of the longest stretch through ``hit`` with a share of MIN_SHARE of equal words, less different ends."""
+    score = np.where(equal, 1 - MIN_SHARE, -MIN_SHARE)
+    right, left = np.cumsum(score[hit:]), np.cumsum(score[hit::-1]) - score[hit]
+    reach = np.maximum.accumulate(right[::-1])[::-1]  # best score of any end from here on
+    ahead = np.searchsorted(-reach, left + 1e-9, "right") - 1  # the last end that makes up for each beginning
+    size = np.where(ahead >= 0, np.arange(len(left)) + ahead, -1)
+    k = int(size.argmax())
+    a, b = hit - k, hit + int(ahead[k]) + 1
     while b > a and not equal[b - 1]:
         b -= 1
     while a < b and not equal[a]:
@@ -107,10 +108,13 @@ def overlaps(block: Block, h: np.ndarray) -> list[tuple[int, int, int, int, int,
             continue
         back, ahead = min(p, q - first), min(len(h) - p, last - q)
         equal = h[p - back : p + ahead] == block.words[q - back : q + ahead]
-        a, b = best_stretch(equal, back)
+        if np.count_nonzero(equal) < min(MIN_EQUAL, last - first):  # nothing on this diagonal can do
+            done[(item, p - q)] = len(h)
+            continue
+        a, b = longest_stretch(equal, back)
         n = int(equal[a:b].sum())
-        done[(item, p - q)] = p - back + b
-        if b > a and n >= min(MIN_EQUAL, last - first) and n >= MIN_SHARE * (b - a):
+        if b > a and n >= min(MIN_EQUAL, last - first) and n >= MIN_SHARE * (b - a) - 1e-9:
+            done[(item, p - q)] = p - back + b
             found.append((item, p - back + a, p - back + b, q - back + a - first, q - back + b - first, n, n / (b - a)))
     return sorted(set(found))
 

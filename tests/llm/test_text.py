@@ -197,3 +197,18 @@ def test_pages_against_a_plain_reader(spark):
         p.feed(source[r.page_id] if "</html>" in source[r.page_id] else "")
         if p.out:
             assert "".join(r.text.replace("- ", "").split()) == "".join("".join(p.out).replace("- ", "").split())
+
+
+@pytest.mark.parametrize(("parts", "found"), [
+    ((20, -12, 20), [(0, 20), (32, 52)]), ((20, -15, 25), [(0, 20), (35, 60)]), ((20, -4, 12), [(0, 36)]), ((9, -1, 3), [(0, 13)]), ((9, -9, 30), [(0, 48)]), ((9, -12, 30), [(21, 51)]), ((30,), [(0, 30)]),
+])
+def test_halves_of_a_rewritten_item(parts, found):
+    """Copying more of an item does not hide what is copied. Parts: equal words, or different ones."""
+    item = [f"i{k}" for k in range(sum(map(abs, parts)))]
+    doc, at = [], 0
+    for n in parts:
+        doc += item[at : at + n] if n > 0 else [f"d{at + k}" for k in range(-n)]
+        at += abs(n)
+    block = decontaminate.Block([(1, " ".join(item))])
+    got = decontaminate.overlaps(block, decontaminate.Lexicon().hashes(decontaminate.tokens("a b c " + " ".join(doc) + " d e f")))
+    assert [(o[3], o[4]) for o in got] == found and all(o[6] >= decontaminate.MIN_SHARE for o in got)
