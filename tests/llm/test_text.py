@@ -212,3 +212,31 @@ def test_halves_of_a_rewritten_item(parts, found):
     block = decontaminate.Block([(1, " ".join(item))])
     got = decontaminate.overlaps(block, decontaminate.Lexicon().hashes(decontaminate.tokens("a b c " + " ".join(doc) + " d e f")))
     assert [(o[3], o[4]) for o in got] == found and all(o[6] >= decontaminate.MIN_SHARE for o in got)
+
+
+def test_every_pattern_of_substitutions_is_hit():
+    """Fewest differences that leave no mask whole, by enumeration of the last words: always over a fifth."""
+    span = max(map(len, decontaminate.SEEDS))
+    masks = [(int(m, 2), len(m)) for m in decontaminate.SEEDS]
+    fewest = {0: 0}  # last words (1: equal) -> fewest differences
+    for n in range(1, 201):
+        then = {}
+        for last, different in fewest.items():
+            for equal in (0, 1):
+                now = (last << 1 | equal) & ((1 << span) - 1)
+                if not any(n >= size and now & mask == mask for mask, size in masks):
+                    then[now] = min(then.get(now, n), different + 1 - equal)
+        fewest = then
+        assert n < 12 or min(fewest.values()) > n * (1 - decontaminate.MIN_SHARE) + 1e-9
+
+
+@pytest.mark.parametrize(("length", "changed"), [(12, 2), (14, 2), (16, 3), (20, 4), (25, 5)])
+def test_short_items_with_changed_words(length, changed):
+    rng = random.Random(length)
+    item = [f"i{k}" for k in range(length)]
+    block, lexicon = decontaminate.Block([(1, " ".join(item))]), decontaminate.Lexicon()
+    for _ in range(300):
+        swap = set(rng.sample(range(length), changed))
+        doc = "a b c " + " ".join("swap" if k in swap else w for k, w in enumerate(item)) + " d e f"
+        got = decontaminate.overlaps(block, lexicon.hashes(decontaminate.tokens(doc)))
+        assert max(o[5] for o in got) == length - changed
