@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, fingerprint, htmltext, jaccard, mixing, quality, substrings, tokens, toxicity, warc
+from orrery.llm import chat, decontaminate, fingerprint, htmltext, infill, jaccard, mixing, quality, resampling, substrings, tokens, toxicity, warc
 from orrery.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,30 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut and rearranged text of every document, and the text restored from it, as digests."""
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_fill_in_middle"] = infill.ORACLE_SQL
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in the draw towards the benchmark's words."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_importance_resampling"] = resampling.ORACLE_SQL
+
+
+@query
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and one of control strings, formatted and read back."""
+    return chat.read_back(chat.format_chats(chat.with_check(table(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op13_chat_formatting"] = chat.ORACLE_SQL

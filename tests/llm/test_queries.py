@@ -24,7 +24,7 @@ def test_against_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) and set(QUERIES) <= names
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14)) and set(QUERIES) <= names
 
 
 def test_pipeline_stages(spark):
