@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.session import scratch_dir
 
 #: Words a worker keeps hashed; the table is emptied when full, so memory stays bounded whatever the vocabulary.
-LEXICON_ROWS = 400_000
+LEXICON_ROWS = 200_000
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -36,6 +43,43 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def giving_back(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task whose worker returns freed memory to the system when it ends. Workers live on and serve later stages, next
+    to a heap that never shrinks; what one stage's tables took would add to what the next one needs."""
+
+    @wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
+def running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` up to and with every row in ``order``, distributed: each partition of a range sort
+    sums its own rows, and one row a partition carries on. ``order`` should tell rows apart, so that no hot key stays whole."""
+    at = df.columns.index(value)
+
+    def run(batches):
+        total, part = 0, TaskContext.get().partitionId()
+        for b in batches:
+            sums = total + np.cumsum(b.column(at).to_numpy(zero_copy_only=False).astype(np.int64))
+            yield b.append_column("_part", pa.array(np.full(len(sums), part), pa.int64())).append_column("_sum", pa.array(sums, pa.int64()))
+            total = int(sums[-1]) if len(sums) else total
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", _part long, _sum long"
+    sorted_ = store(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "running")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sorted_.groupBy("_part").agg(F.max("_sum").alias("n")).select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_carry"))
+    return sorted_.join(F.broadcast(carry), "_part").withColumn(name, F.col("_sum") + F.col("_carry")).drop("_part", "_sum", "_carry")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """Texts and labels (0.0/1.0) of rows that may be learned from, at most about ``max_rows`` of them by id hash.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import Lexicon, combine, texts
+from orrery.llm.common import Lexicon, combine, giving_back, texts
 
 #: 1: the word counts, 0: any word. Every stretch of 12 words or more with a fifth of them substituted, in any
 #: pattern, holds one of these (enumerated in the tests), so no overlap within the limits below is missed.
@@ -136,7 +136,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), [pa.int64()] * 2 + [pa.int32()] * 5 + [pa.float64()], strict=True)], ["doc_id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "equal", "share"])
 
-        part = texts(docs).mapInArrow(scan, SCHEMA)
+        part = texts(docs).mapInArrow(giving_back(scan), SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], SCHEMA)
 
@@ -166,5 +166,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for b in batches:
                 yield b.filter(pa.array([not overlaps(block, lexicon.hashes(tokens(t or ""))) for t in b.column(k).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(giving_back(keep), docs.schema)
     return docs

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import Lexicon, shingles, store, texts
+from orrery.llm.common import Lexicon, giving_back, shingles, store, texts
 from orrery.llm.components import components
 
 #: Bands of ROWS values: a pair at 0.8 shares no band with a chance of 6e-5, one at 0.85 of 3e-7.
@@ -192,7 +192,7 @@ def compare_units(units: DataFrame, threshold: float, tolerance: float) -> DataF
         if rows:
             yield out(flush(rows, lexicon))
 
-    return units.mapInArrow(run, "id long, links long, weight_links long, root long")
+    return units.mapInArrow(giving_back(run), "id long, links long, weight_links long, root long")
 
 
 def verified_links(items: DataFrame, info: DataFrame, candidates: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -220,7 +220,7 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = TOL
     of the same word sequence. text_links: different word sequences linked to it; links: rows of those, and copies.
     """
     rows = texts(docs)
-    marks = store(rows.mapInArrow(_fingerprint, "doc_id long, key binary, bands array<long>, chars long"), "bands")
+    marks = store(rows.mapInArrow(giving_back(_fingerprint), "doc_id long, key binary, bands array<long>, chars long"), "bands")
     known = marks.where("doc_id is not null")
     same = store(known.groupBy("key").agg(F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars")), "classes")
     leads = known.join(same, (known.key == same.key) & (known.doc_id == same.text_id), "left_semi")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import fold, held_out, labelled_sample, texts
+from orrery.llm.common import fold, giving_back, held_out, labelled_sample, texts
 
 #: Labelled rows the fit may use at most (documented bound; scoring always covers every row).
 MAX_FIT_ROWS = 200_000
@@ -167,7 +167,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(model.score(statistics(b.column(2))).clip(0, 1))], ["doc_id", "held_out", "score"])
 
-    return rows.mapInArrow(rate, "doc_id long, held_out boolean, score double")
+    return rows.mapInArrow(giving_back(rate), "doc_id long, held_out boolean, score double")
 
 
 def keep_good(docs: DataFrame, model: Model | None, at_least: float = 0.7) -> DataFrame:
@@ -181,4 +181,4 @@ def keep_good(docs: DataFrame, model: Model | None, at_least: float = 0.7) -> Da
             text = b.column(k).fill_null("")
             yield b.filter(pa.array(model.score(statistics(text)) >= at_least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)

@@ -19,7 +19,7 @@ ORDER0, TOTAL, WORD = 14, 22, 16  # bits of the order-0 scale, of the mixture's
 LOW, FULL = 1 << 32, 1 << 48  # the range stays between these
 CELLS = 10  # bits of the decoder's table into the order-0 scale
 CONTEXTS = 12  # bits of an order-2 context
-BLOCK = 8192  # ids
+BLOCK = 4096  # ids
 ROOM = 128  # words kept free ahead of every block
 STANDING = np.array([1, 1, 3, 2, 3, 2, 3, 2], np.int32)  # by standing and hit: 0 none, 1 fresh, 2 right, 3 wrong before
 FIRST, EVERY = (16, 32, 64, 128), 256  # steps after which order-0 intervals are renewed

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import store, texts
+from orrery.llm.common import giving_back, running_total, store, texts
 
 BUCKETS = 10_000
 WIDTH = 1
@@ -173,7 +173,7 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS, width: int = WIDTH) -
         i = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": i, "n": total[i]})
 
-    parts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, "bucket long, n long")
+    parts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(giving_back(run), "bucket long, n long")
     out = np.zeros(buckets, np.int64)
     for row in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[row.bucket] = row.n
@@ -211,7 +211,7 @@ def weigh(docs: DataFrame, gain: np.ndarray, width: int = WIDTH) -> DataFrame:
             row += len(rows)
 
     rows = texts(docs).select(F.col("text").cast("binary").alias("text"), "doc_id")
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long, row long")
+    return rows.mapInArrow(giving_back(run), "doc_id long, n_words long, n_features long, weight long, row long")
 
 
 def noise(doc_id: Column, seed: int = SEED) -> Column:
@@ -220,23 +220,6 @@ def noise(doc_id: Column, seed: int = SEED) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
-def number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """``df`` with the position of every row in ``order`` (from 1). Each partition of a range sort counts its own rows."""
-    position = "_at"
-
-    def run(batches):
-        n, part = 0, TaskContext.get().partitionId()
-        for b in batches:
-            yield b.append_column("_part", pa.array([part] * b.num_rows, pa.int64())).append_column(position, pa.array(range(n + 1, n + 1 + b.num_rows), pa.int64()))
-            n += b.num_rows
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + f", _part long, {position} long"
-    ranged = store(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "ranked")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    carry = ranged.groupBy("_part").agg(F.count("*").alias("n")).select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("carry"))
-    return ranged.join(F.broadcast(carry), "_part").withColumn(name, F.col(position) + F.col("carry")).drop("_part", position, "carry")
-
-
 def resample(docs: DataFrame, target: DataFrame, per_cent: int = PER_CENT, least_words: int = LEAST_WORDS, buckets: int = BUCKETS, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """doc_id, n_features, weight, score, rank of every document; ``rank`` is null where it is not drawn."""
     gain = gains(bucket_counts(docs, buckets, width), bucket_counts(target, buckets, width))
@@ -251,7 +234,8 @@ def resample(docs: DataFrame, target: DataFrame, per_cent: int = PER_CENT, least
     if not last.want:
         return scored.select(*columns, F.lit(None).cast("long").alias("rank"))
     chosen = F.col("able") & (F.col("score") >= last.last)
-    ranked = number(scored.where(chosen).select(*columns, "row"), [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row")], "rank")
+    ranked = scored.where(chosen).select(*columns, "row", F.lit(1).alias("one"))
+    ranked = running_total(ranked, [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row")], "one", "rank")
     ranked = ranked.select(*columns, F.when(F.col("rank") <= last.want, F.col("rank")).alias("rank"))
     return scored.where(~chosen).select(*columns, F.lit(None).cast("long").alias("rank")).union(ranked)
 

@@ -28,17 +28,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.llm import rangecoder, shards
-from orrery.llm.common import texts
+from orrery.llm.common import giving_back, texts
 from orrery.session import scratch_dir
 
 MAGIC = b"IDRC0001"
 END_ID = 1
 #: Ids a group of blocks holds; the coder's memory goes with it.
-GROUP_IDS = 1 << 23
+GROUP_IDS = 1 << 22
 #: A file should hold a 200th of all characters, within these bounds.
 FILE_PART, FILE_LEAST, FILE_MOST = 200, 20_000_000, 2_000_000_000
-#: Pieces a task remembers, and the longest it does.
-PIECES, PIECE_CHARS = 400_000, 64
+#: Pieces a task remembers, as many stems, and the longest piece it does.
+PIECES, PIECE_CHARS = 150_000, 64
+#: Texts a task takes out of an Arrow batch at once.
+TEXTS = 128
 
 
 class Tokens:
@@ -147,13 +149,14 @@ def write(docs: DataFrame, base: str, tokenizer: str | None = None, end_id: int
             if b.num_rows and out is None:
                 out = FileWriter(base, f"ids-{TaskContext.get().partitionId():06d}.bin")
                 tokens = Tokens(tokenizer)
-            if b.num_rows:
-                for doc_id, ids in zip(b.column(0).to_pylist(), tokens.encode(b.column(1).to_pylist()), strict=True):
+            for i in range(0, b.num_rows, TEXTS):
+                some = b.slice(i, TEXTS)
+                for doc_id, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist()), strict=True):
                     out.add(doc_id, ids + end)
         if out is not None:
             yield shards.batch([out.close()], WRITTEN)
 
-    written = rows.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, "name string, temporary string, shard long, documents long, ids long, bytes long")
+    written = rows.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(giving_back(run), "name string, temporary string, shard long, documents long, ids long, bytes long")
     manifest = shards.commit(base, written)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
@@ -204,7 +207,7 @@ def read(base: str, manifest: DataFrame) -> DataFrame:
                             rows = []
                 yield shards.batch(rows, READ)
 
-    return shards.spread(manifest.select("name", "start")).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.spread(manifest.select("name", "start")).mapInArrow(giving_back(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -1,38 +1,42 @@
 """Deterministic sharded WARC writer and reader.
 
-Pages are range-partitioned by shard and sorted by page_id; a shard is a span of ids that
-follows from the pages' ids and sizes alone, so the files do not depend on the cluster. Each record is a gzip member of its own; a shard rolls to its next file before a record
-would take it past ``ROLL_BYTES`` of compressed data. Every header is made anew from the row: record id, date (a
+Pages are range-partitioned by shard and sorted by page_id, then digest. A shard starts where the running sum of html
+bytes in that order passes the next multiple of the shard's size, so shards are even whatever the ids are, and the
+files follow from the pages alone, not from the cluster. The running sum is a distributed one over short rows (id,
+digest, bytes); html is moved once. Each record is a gzip member of its own; a shard rolls to its next file before a
+record would take it past ``ROLL_BYTES`` of compressed data. Every header is made anew from the row: record id, date (a
 parameter), digests, lengths. Of equal payloads of at least ``MIN_REVISIT`` bytes the one with the smallest page_id
 is the response; others are revisits that name it. Files get their names by manifest commit (``shards``).
 
-The page a revisit names comes from a combined aggregate by digest; html is moved once, to its range, along with
-the short rows that mark revisits.
+The page a revisit names comes from a combined aggregate by digest; short rows that mark revisits, by id and digest,
+travel to the shard along with the pages.
 
-Cases: a null html or an empty one is an empty payload and a response; a null page_id sorts first, is written
-without an id header and is a response always; rows of one page_id with one payload are all responses if it is the
-smallest, else all revisits; an empty table writes no file and returns no rows; a null url is written as empty
+Cases: a null html or an empty one is an empty payload and a response; null page_ids sort first, by digest, are written
+without an id header and are responses always; rows of one page_id with one payload are all responses if it is the
+smallest, else all revisits; of one page_id with several payloads each follows its own digest; an empty table writes no file and returns no rows; a null url is written as empty
 URI; line ends in a url are percent-coded; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
 import hashlib
 import io
 import zlib
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm import shards
-from orrery.llm.common import store
+from orrery.llm.common import running_total, store
 from orrery.session import scratch_dir
 
 MIN_REVISIT = 100
 ROLL_BYTES = 64 << 20
-#: A shard should hold a 200th of the html, within these bounds in bytes; its span of ids follows from that.
+#: A shard should hold a 200th of the html, within these bounds in bytes.
 SHARD_PART, SHARD_LEAST, SHARD_MOST = 200, 2 << 20, 512 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -42,14 +46,24 @@ WRITTEN = pa.schema([("name", pa.string()), ("temporary", pa.string()), ("shard"
 
 def pages_of(pages: DataFrame) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url"), F.lit("")).alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url"), F.lit("")).alias("url"), payload.alias("payload"))
+    return rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
 
 
-def revisits(pages: DataFrame) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload a smaller page_id has."""
-    marks = store(pages.where("page_id is not null and length(payload) >= %d" % MIN_REVISIT).select("page_id", F.unhex(F.sha2("payload", 256)).alias("digest")), "digests")
-    first = marks.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to != last").drop("last")
-    return marks.join(first, "digest").where("page_id != refers_to").select("page_id", "refers_to").distinct()
+def revisits(marks: DataFrame) -> DataFrame:
+    """(page_id, digest, refers_to) of the pages whose payload a smaller page_id has. marks: (page_id, digest, bytes)."""
+    known = marks.where(f"page_id is not null and bytes >= {MIN_REVISIT}").select("page_id", "digest")
+    first = known.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to != last").drop("last")
+    return known.join(first, "digest").where("page_id != refers_to").select("page_id", "digest", "refers_to").distinct()
+
+
+def shard_starts(marks: DataFrame, shard_bytes: int) -> list[tuple]:
+    """First key (id given?, id or 0, digest) of each shard, in order: some total / shard_bytes of them."""
+    sizes = marks.groupBy("page_id", "digest").agg(F.sum("bytes").alias("bytes"))
+    running = running_total(sizes, [F.asc_nulls_first("page_id"), F.asc("digest")], "bytes", "upto")
+    shard = F.floor((F.col("upto") - F.col("bytes")) / shard_bytes)
+    key = F.struct(F.col("page_id").isNotNull().alias("given"), F.coalesce("page_id", F.lit(0)).alias("page_id"), "digest")
+    return [(r.at.given, r.at.page_id, bytes(r.at.digest)) for r in running.groupBy(shard.alias("shard")).agg(F.min(key).alias("at")).orderBy("shard").collect()]
 
 
 def _urn(page_id: int) -> str:
@@ -90,8 +104,7 @@ class ShardWriter:
         if self.stream is not None and self.size + len(member) > self.roll:
             self.close()
         if self.stream is None:
-            label = "null" if self.shard is None else f"{self.shard:012d}"
-            self.name = f"pages-{label}-{self.part:05d}.warc.gz"
+            self.name = f"pages-{self.shard:08d}-{self.part:05d}.warc.gz"
             self.stream, self.temporary = shards.open_temporary(self.base, self.name)
             self.size = self.records = 0
             self.sha = hashlib.sha256()
@@ -107,39 +120,43 @@ class ShardWriter:
             self.stream, self.part = None, self.part + 1
 
 
-def write(pages: DataFrame, base: str, date: str = DATE, roll: int = ROLL_BYTES, shard_ids: int | None = None) -> DataFrame:
+def write(pages: DataFrame, base: str, date: str = DATE, roll: int = ROLL_BYTES, shard_bytes: int | None = None) -> DataFrame:
     """Write the archives under ``base``; returns the manifest (name, shard, part, records, bytes, sha256)."""
     rows = pages_of(pages)
-    total, first, last = rows.agg(F.coalesce(F.sum(F.length("payload")), F.lit(0)), F.min("page_id"), F.max("page_id")).first()
-    span = 1 if first is None else last - first + 1
-    want = min(max(total // SHARD_PART, SHARD_LEAST), SHARD_MOST)
-    shard_ids = shard_ids or max(1, min(span, span * want // max(total, 1)))
-    tasks = min(max(1, span // shard_ids), 10_000)
+    marks = store(rows.select("page_id", "digest", F.length("payload").cast("long").alias("bytes")), "digests")
+    total = marks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    starts = shard_starts(marks, shard_bytes or min(max(total // SHARD_PART, SHARD_LEAST), SHARD_MOST))
     none = F.lit(None)
-    both = rows.select("page_id", F.lit(1).alias("kind"), "url", "payload", none.cast("long").alias("refers_to")).union(
-        revisits(rows).select("page_id", F.lit(0), none.cast("string"), none.cast("binary"), "refers_to")
+    both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", none.cast("long").alias("refers_to")).union(
+        revisits(marks).select("page_id", "digest", F.lit(0), none.cast("string"), none.cast("binary"), "refers_to")
     )
-    both = both.withColumn("shard", F.floor(F.col("page_id") / shard_ids))
+
+    @F.pandas_udf("long")
+    def shard_of(given: pd.Series, page_id: pd.Series, digest: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(starts, key) - 1 for key in zip(given, page_id, digest, strict=True)], dtype="int64")
+
+    both = both.withColumn("shard", shard_of(F.col("page_id").isNotNull(), F.coalesce("page_id", F.lit(0)), F.col("digest")))
 
     def run(batches):
-        writer, target = None, (None, None)
+        writer, target = None, (None, None, None)
         for b in batches:
-            for shard, page_id, kind, url, payload, refers_to in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for shard, page_id, digest, kind, url, payload, refers_to in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if kind == 0:
-                    target = (page_id, refers_to)
+                    target = (page_id, digest, refers_to)
                     continue
                 if writer is None or writer.shard != shard:
                     if writer is not None:
                         writer.close()
                         yield shards.batch(writer.done, WRITTEN)
                     writer = ShardWriter(base, shard, roll)
-                mine = target[1] if page_id is not None and target[0] == page_id and len(payload) >= MIN_REVISIT else None
+                mine = target[2] if target[:2] == (page_id, digest) else None
                 writer.add(gzip_member(record(page_id, url, payload, mine, date)))
         if writer is not None:
             writer.close()
             yield shards.batch(writer.done, WRITTEN)
 
-    dealt = both.select("shard", "page_id", "kind", "url", "payload", "refers_to").repartitionByRange(int(tasks), "shard").sortWithinPartitions("shard", "page_id", "kind", "url", "payload")
+    tasks = min(max(1, len(starts)), 10_000)
+    dealt = both.select("shard", "page_id", "digest", "kind", "url", "payload", "refers_to").repartitionByRange(tasks, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
     written = dealt.mapInArrow(run, "name string, temporary string, shard long, part long, records long, bytes long, sha256 string")
     return shards.commit(base, written)
 

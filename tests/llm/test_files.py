@@ -108,7 +108,7 @@ def test_warc_files_do_not_depend_on_partitions(spark):
     made = []
     for parts in (1, 7):
         base = scratch_dir(spark, "warc")
-        made.append({(r.name, r.records, r.bytes, r.sha256) for r in warc.write(pages(spark, page_rows(), parts), base, roll=1500, shard_ids=40).collect()})
+        made.append({(r.name, r.records, r.bytes, r.sha256) for r in warc.write(pages(spark, page_rows(), parts), base, roll=1500, shard_bytes=4000).collect()})
     assert made[0] == made[1] and len(made[0]) > 6
     assert all(size <= 1500 or n == 1 for _, n, size, _ in made[0])
 
@@ -121,6 +121,24 @@ def test_warc_odd_rows(spark):
     assert warc.write_and_read(pages(spark, [])).count() == 0
 
 
+def test_warc_one_id_with_several_payloads(spark):
+    a, b, c = "a" * 150, "b" * 170, "c" * 99
+    rows = [(3, "u", a), (7, "u", a), (7, "u", b), (7, "u", c), (9, "u", b), (9, "u", c), (-(2**63), "u", c), (2**63 - 1, "u", a), (2**63 - 2, "u", a), (None, "u", a)]
+    base = scratch_dir(spark, "warc")
+    manifest = warc.write(pages(spark, rows), base, shard_bytes=200)
+    assert sorted((tuple(r) for r in warc.read(base, manifest).collect()), key=str) == plain(rows)
+    bodies = {block.partition(b"\r\n\r\n")[2].decode() for r in manifest.collect() for h, block in warc.records(warc.shards.open_final(base, r.name)) if h["WARC-Type"] == "response"}
+    assert bodies == {a, b, c}
+
+
+def test_warc_shards_are_even_whatever_the_ids(spark):
+    for rows in ([(i, "u", f"{i:0200d}") for i in [*range(2000), 10**12]], [(None, "u", f"{i:0200d}") for i in range(2000)] + [(1, "u", "x")], [(5, "u", f"{i:0200d}") for i in range(2000)]):
+        base = scratch_dir(spark, "warc")
+        manifest = warc.write(pages(spark, rows), base, shard_bytes=20_000).collect()
+        assert len({r.shard for r in manifest}) == 21 or len({r.shard for r in manifest}) == 20
+        assert sum(r.records for r in manifest) == len(rows) and max(r.records for r in manifest) <= 102
+
+
 def test_damaged_archive_is_told():
     data = bytearray(warc.gzip_member(warc.record(1, "u", b"z" * 50, None)))
     import io
