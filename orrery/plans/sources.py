@@ -1,4 +1,5 @@
-"""Ingest queries. Provider text is derived from the driver tables line by line, then parsed back."""
+"""Ingest queries. Provider files are written from the driver tables, plain and gzipped, several for each group of
+entities, and read back in splits."""
 
 from __future__ import annotations
 
@@ -16,15 +17,29 @@ from orrery.plans.registry import query
 from orrery.roles import iso_sql, oracle, rnd, rsql
 from orrery.session import scratch_dir
 from orrery.sinks import release
-from orrery.sources import elements, filenames, manoeuvres, orbits, ranging, stations, tables
+from orrery.sinks.lines import write_lines
+from orrery.sources import elements, filenames, lines, manoeuvres, orbits, ranging, stations, tables
 
-WIDE = 8 * DAY_US  # line numbers below are 8 x epoch + k
+#: A provider file holds up to 16 entities and ten days of them: its keys, and its name in SQL.
+PART_US = 10 * DAY_US
+F_OF = "CAST(floor(entity_id / 64) * 4 + entity_id % 4 AS INT)"
+FILE = f"((entity_id//64*4 + entity_id%4) || '-' || (t//{PART_US}))"
 
 
-def emit(df, file, t, *parts):
-    """(condition, text) pairs of each row become numbered lines of a file."""
-    rows = F.array_compact(F.array(*[F.when(cond, F.struct((F.col(t) * 8 + i).alias("line_no"), text.alias("value"))) for i, (cond, text) in enumerate(parts)]))
-    return df.select(file.cast("string").alias("file"), F.explode(rows).alias("l")).select("file", "l.*")
+def read_back(spark, rows, purpose):
+    """Write (f, part, at, i, value) as text files and read them: every third file gzipped, every other with CR LF and a byte order mark."""
+    path = f"{scratch_dir(spark, purpose)}/files"
+    key = F.col("f") + F.col("part")
+    write_lines(rows, path, ["at", "i"], compressed=key % 3 == 1, crlf=key % 2 == 1, marked=key % 2 == 1)
+    name = lambda k: F.regexp_extract("file", f"{k}=(-?\\d+)", 1)
+    return lines.read_lines(spark, path).withColumn("file", F.concat_ws("-", name("f"), name("part")))
+
+
+def emit(df, purpose, *parts):
+    """(condition, text) pairs of each row become lines of its file, in order of time."""
+    rows = F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(i).alias("i"), text.alias("value"))) for i, (cond, text) in enumerate(parts)]))
+    part = F.floor(F.col("t") / PART_US).cast("int").alias("part")
+    return read_back(df.sparkSession, df.select(F.expr(F_OF).alias("f"), part, F.struct("t", "event_id").alias("at"), F.explode(rows).alias("l")).select("f", "part", "at", "l.*"), purpose)
 
 
 YES = True
@@ -50,21 +65,21 @@ def element_lines(spark, d):
     e = e.withColumns({"l1": l1, "l2": l2})
     flip = lambda line, hit: F.concat(line, ((elements.checksum(line) + F.when(hit, 1).otherwise(0)) % 10).cast("string"))
     one, two = flip(F.col("l1"), c.isin(0, 5)), flip(F.col("l2"), c == 5)
-    return emit(e, F.col("entity_id"), "t", (c == 3, F.lit("0 SOME NAME")), (lit(YES), one), (lit(YES), F.when(c == 1, F.substring(two, 1, 60)).otherwise(two)), (c == 4, F.lit("2 stray line")))
+    return emit(e, "elements", (c == 3, F.lit("0 SOME NAME")), (lit(YES), one), (lit(YES), F.when(c == 1, F.substring(two, 1, 60)).otherwise(two)), (c == 4, F.lit("2 stray line")))
 
 
 def parsed_elements(spark, d):
-    return elements.parse_pairs(element_lines(spark, d), chunk=WIDE)
+    return elements.parse_pairs(element_lines(spark, d))
 
 
-@query("s01_element_set_ingest", oracle(f"SELECT CAST(e.entity_id AS VARCHAR) AS file, lpad(CAST(e.entity_id%100000 AS VARCHAR),5,'0') AS entity_id, {iso_sql(f'e.t//864*864')} AS epoch_utc, {rsql('round(mean_motion*'+repr(1440.0/(2*math.pi))+',8)*'+repr(2*math.pi/1440.0), 9)} AS mean_motion, {rsql('radians(round(degrees(inclination),4))', 8)} AS inclination, {rsql('round(eccentricity*1e7)/1e7', 7)} AS eccentricity, {rsql('(round_even(v.value*100,0)::BIGINT%100000)*1e-9', 10)} AS bstar FROM elements e JOIN ev v ON v.event_id=e.event_id WHERE v.k%10 IN (3,4,7,8,9)"))
+@query("s01_element_set_ingest", oracle(f"SELECT {FILE.replace('entity_id', 'e.entity_id').replace('(t//', '(e.t//')} AS file, lpad(CAST(e.entity_id%100000 AS VARCHAR),5,'0') AS entity_id, {iso_sql(f'e.t//864*864')} AS epoch_utc, {rsql('round(mean_motion*'+repr(1440.0/(2*math.pi))+',8)*'+repr(2*math.pi/1440.0), 9)} AS mean_motion, {rsql('radians(round(degrees(inclination),4))', 8)} AS inclination, {rsql('round(eccentricity*1e7)/1e7', 7)} AS eccentricity, {rsql('(round_even(v.value*100,0)::BIGINT%100000)*1e-9', 10)} AS bstar FROM elements e JOIN ev v ON v.event_id=e.event_id WHERE v.k%10 IN (3,4,7,8,9)"))
 def s01(spark, d):
     """Line pairs with checksums and cross-checks to element rows."""
     p = elements.accepted(parsed_elements(spark, d))
     return p.select("file", "entity_id", iso("t").alias("epoch_utc"), rnd("mean_motion", 9).alias("mean_motion"), rnd("inclination", 8).alias("inclination"), rnd("eccentricity", 7).alias("eccentricity"), rnd("bstar", 10).alias("bstar"))
 
 
-@query("s01_element_set_ledger", oracle("""SELECT CAST(entity_id AS VARCHAR) AS file, reason, count(*) AS n FROM (SELECT entity_id, unnest(CASE k%10 WHEN 0 THEN ['checksum_line1'] WHEN 1 THEN ['short_line'] WHEN 2 THEN ['norad_mismatch'] WHEN 3 THEN ['name_lines','pairs_accepted'] WHEN 4 THEN ['pairs_accepted','unrecognized_line'] WHEN 5 THEN ['checksum_line1','checksum_line2'] WHEN 6 THEN ['bad_epoch'] ELSE ['pairs_accepted'] END) AS reason FROM ev WHERE event_type='view') GROUP BY 1,2"""))
+@query("s01_element_set_ledger", oracle(f"""SELECT {FILE} AS file, reason, count(*) AS n FROM (SELECT entity_id, t, unnest(CASE k%10 WHEN 0 THEN ['checksum_line1'] WHEN 1 THEN ['short_line'] WHEN 2 THEN ['norad_mismatch'] WHEN 3 THEN ['name_lines','pairs_accepted'] WHEN 4 THEN ['pairs_accepted','unrecognized_line'] WHEN 5 THEN ['checksum_line1','checksum_line2'] WHEN 6 THEN ['bad_epoch'] ELSE ['pairs_accepted'] END) AS reason FROM ev WHERE event_type='view') GROUP BY 1,2"""))
 def s01b(spark, d):
     """Every rejected pair and stray line counted by reason."""
     return elements.reject_ledger(parsed_elements(spark, d))
@@ -78,11 +93,11 @@ def manoeuvre_lines(spark, d):
     imp = F.concat(stamp(F.col("m")), F.lit(" "), F.when(F.col("k") % 2 == 0, "26").otherwise("26.812"))
     c = F.col("k") % 3
     line = F.when(c == 0, head).when(c == 1, F.concat(head, F.lit(" CODE1 2"))).otherwise(F.concat(head, F.lit(" CODE2 1 "), imp, F.lit(" 0.1 0.2 0.3")))
-    return emit(e, F.col("entity_id"), "t", (F.col("k") == 50, F.lit("# comment")), (lit(YES), line))
+    return emit(e, "history", (F.col("k") == 50, F.concat(F.lit("# comment "), F.unhex(F.lit("FF")).cast("string"))), (lit(YES), line))
 
 
-@query("s02_manoeuvre_history_ingest", oracle(f"""SELECT CAST(entity_id AS VARCHAR) AS file, {iso_sql('ev_t')} AS event_utc, CASE WHEN k%3=2 THEN 'first_impulse_time' ELSE 'reported_operation_end_time' END AS role, {iso_sql('ev_t-6*'+str(HOUR_US))} AS window_start_utc, {rsql('CASE WHEN k%3=2 THEN CASE WHEN k%2=0 THEN 0.5 ELSE 0.0005 END ELSE k*60.0+30.0 END', 6)} AS uncertainty_s, CASE k%3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS impulses, CASE k%3 WHEN 0 THEN '' WHEN 1 THEN 'CODE1' ELSE 'CODE2' END AS code
- FROM (SELECT *, CASE WHEN k%3=2 THEN m+CASE WHEN k%2=0 THEN 26000000 ELSE 26812000 END ELSE m+k::BIGINT*60000000 END AS ev_t FROM (SELECT *, t//60000000*60000000 AS m FROM ev WHERE event_type='error'))"""))
+@query("s02_manoeuvre_history_ingest", oracle(f"""SELECT file, {iso_sql('ev_t')} AS event_utc, CASE WHEN k%3=2 THEN 'first_impulse_time' ELSE 'reported_operation_end_time' END AS role, {iso_sql('ev_t-6*'+str(HOUR_US))} AS window_start_utc, {rsql('CASE WHEN k%3=2 THEN CASE WHEN k%2=0 THEN 0.5 ELSE 0.0005 END ELSE k*60.0+30.0 END', 6)} AS uncertainty_s, CASE k%3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS impulses, CASE k%3 WHEN 0 THEN '' WHEN 1 THEN 'CODE1' ELSE 'CODE2' END AS code
+ FROM (SELECT DISTINCT file, m, k, CASE WHEN k%3=2 THEN m+CASE WHEN k%2=0 THEN 26000000 ELSE 26812000 END ELSE m+k::BIGINT*60000000 END AS ev_t FROM (SELECT *, {FILE} AS file, t//60000000*60000000 AS m FROM ev WHERE event_type='error'))"""))
 def s02(spark, d):
     """Records of 9, 11 and 16+ tokens to annotations with windows and time uncertainty."""
     p = manoeuvres.parse_history(manoeuvre_lines(spark, d), "history")
@@ -107,7 +122,7 @@ def fixed_lines(spark, d):
         F.lpad((F.col("station_id") + 7000).cast("string"), 4, "0"), F.lit("    "), F.lit("0000000"), F.lit("000000"), F.lpad(F.col("ps").cast("string"), 12, "0"),
         F.lpad((F.col("k") * 10).cast("string"), 7, "0"), F.lit("5320"), F.rpad(F.lit(""), 46, " "), (F.col("k") % 10).cast("string"), F.lpad(F.col("num_returns").cast("string"), 4, "0"),
     )
-    return emit(s, F.col("entity_id"), "t", (lit(YES), F.when(F.col("k") % 10 == 1, F.substring(line, 1, 40)).otherwise(line)))
+    return emit(s, "monthly", (lit(YES), F.when(F.col("k") % 10 == 1, F.substring(line, 1, 40)).otherwise(line)))
 
 
 SHOT_CTE = f"shot AS (SELECT r.*, v.k, round_even(range_m*2/299792458.0::DOUBLE*1e12,0)::BIGINT AS ps, t//100*100 AS te FROM ranging r JOIN (SELECT event_id, k FROM ev) v ON v.event_id=r.event_id)"
@@ -115,14 +130,14 @@ WINDOWS = "CASE WHEN k%10 IN (1,2,3,4) THEN 10.0 WHEN k%10=5 THEN 5.0 WHEN k%10=
 RNG = "ps*1e-12::DOUBLE/2*299792458.0::DOUBLE"
 
 
-@query("s03_fixed_width_ranging_ingest", oracle(f"""SELECT CAST(entity_id AS VARCHAR) AS file, CASE WHEN k%10 IN (0,1) THEN 'malformed_record' WHEN entity_id%4=3 THEN 'epoch_outside_mission_window' ELSE 'accepted' END AS status, CASE WHEN k%10>1 AND entity_id%4<>3 THEN {iso_sql('te')} END AS epoch_utc, {rsql(f'CASE WHEN k%10>1 AND entity_id%4<>3 THEN {RNG} END', 3)} AS range_m, {rsql(f'CASE WHEN k%10>1 AND entity_id%4<>3 THEN {WINDOWS} END', 1)} AS window_s FROM shot""", SHOT_CTE))
+@query("s03_fixed_width_ranging_ingest", oracle(f"""SELECT {FILE} AS file, CASE WHEN k%10 IN (0,1) THEN 'malformed_record' WHEN entity_id%4=3 THEN 'epoch_outside_mission_window' ELSE 'accepted' END AS status, CASE WHEN k%10>1 AND entity_id%4<>3 THEN {iso_sql('te')} END AS epoch_utc, {rsql(f'CASE WHEN k%10>1 AND entity_id%4<>3 THEN {RNG} END', 3)} AS range_m, {rsql(f'CASE WHEN k%10>1 AND entity_id%4<>3 THEN {WINDOWS} END', 1)} AS window_s FROM shot""", SHOT_CTE))
 def s03(spark, d):
     """Column slices, century by mission window or launch year, picoseconds to metres, counted rejects."""
-    lines = fixed_lines(spark, d)
-    e = R.table(spark, d, "events").select(F.col("user_id").alias("e")).distinct()
+    text = fixed_lines(spark, d)
+    e = R.ranging(spark, d).select(F.expr(F_OF).alias("e"), F.floor(F.col("t") / PART_US).alias("part")).distinct()
     # every fourth file has a mission that ends before its data, the next one has no window at all
-    mission = e.where("e % 4 <> 2").select(F.col("e").cast("string").alias("file"), F.lit(1577836800000000).alias("start_t"), F.when(F.col("e") % 4 == 3, F.lit(1640995200000000)).alias("end_t"))
-    p = ranging.parse_fixed_width(lines, mission)
+    mission = e.where("e % 4 <> 2").select(F.concat_ws("-", "e", "part").alias("file"), F.lit(1577836800000000).alias("start_t"), F.when(F.col("e") % 4 == 3, F.lit(1640995200000000)).alias("end_t"))
+    p = ranging.parse_fixed_width(text, mission)
     return p.select("file", F.coalesce("reject_reason", F.lit("accepted")).alias("status"), iso("t").alias("epoch_utc"), rnd("range_m", 3).alias("range_m"), rnd("window_s", 1).alias("window_s"))
 
 
@@ -136,17 +151,17 @@ def session_lines(spark, d):
     full = F.concat_ws(" ", kind, sod, tof, F.lit("std1 2"), F.lit("30.0"), F.col("num_returns").cast("string"), (k * 10).cast("string"))
     data = F.when(k % 13 == 2, F.concat_ws(" ", kind, sod, tof)).when(k % 13 == 3, F.concat_ws(" ", kind, F.lit("abc"), tof, F.lit("std1 2 30 1 1"))).when(k % 13 == 4, F.lit("ZZ 1 2 3 4 5")).when(k % 13 == 5, F.lit("93 free form")).otherwise(full)
     return emit(
-        s, F.col("entity_id"), "t", (k % 9 == 0, F.lit("H8")), (k % 4 == 0, F.concat(F.lit("H2 STAT "), F.col("station_id").cast("string"), F.lit(" 1 1 4"))),
+        s, "sessions", (k % 9 == 0, F.lit("H8")), (k % 4 == 0, F.concat(F.lit("H2 STAT "), F.col("station_id").cast("string"), F.lit(" 1 1 4"))),
         (k % 7 != 0, F.concat(F.lit("H4 1 "), F.date_format(ts, "yyyy MM dd"), F.lit(" 00 00 00 2024 12 31 23 59 59 0"))), (lit(YES), data),
     )
 
 
-@query("s04_sessioned_ranging_ingest", oracle(f"""SELECT CAST(entity_id AS VARCHAR) AS file, reason AS status, {iso_sql("CASE WHEN reason='accepted' THEN day+te%86400000000 END")} AS epoch_utc, {rsql(f"CASE WHEN reason='accepted' THEN {RNG} END", 3)} AS range_m, coalesce(CAST(stn AS VARCHAR),'') AS station_id FROM (
+@query("s04_sessioned_ranging_ingest", oracle(f"""SELECT file, reason AS status, {iso_sql("CASE WHEN reason='accepted' THEN day+te%86400000000 END")} AS epoch_utc, {rsql(f"CASE WHEN reason='accepted' THEN {RNG} END", 3)} AS range_m, coalesce(CAST(stn AS VARCHAR),'') AS station_id FROM (
  SELECT *, CASE WHEN k%13=4 THEN 'unknown_record_type' WHEN k%13=2 THEN 'short_record' WHEN k%13=3 THEN 'malformed_record' WHEN coalesce(day,-1)<0 THEN 'epoch_reference_missing' ELSE 'accepted' END AS reason FROM (
- SELECT *, last_value(CASE WHEN k%7<>0 THEN t//86400000000*86400000000 WHEN k%9=0 THEN -1 END IGNORE NULLS) OVER w AS day, last_value(CASE WHEN k%4=0 THEN station_id END IGNORE NULLS) OVER w AS stn FROM shot WINDOW w AS (PARTITION BY entity_id ORDER BY t ROWS UNBOUNDED PRECEDING))) WHERE k%13<>5""", SHOT_CTE))
+ SELECT *, {FILE} AS file, last_value(CASE WHEN k%7<>0 THEN t//86400000000*86400000000 WHEN k%9=0 THEN -1 END IGNORE NULLS) OVER w AS day, last_value(CASE WHEN k%4=0 THEN station_id END IGNORE NULLS) OVER w AS stn FROM shot WINDOW w AS (PARTITION BY {FILE} ORDER BY t, event_id ROWS UNBOUNDED PRECEDING))) WHERE k%13<>5""", SHOT_CTE))
 def s04(spark, d):
     """Data rows take date and station from the session headers before them; session ends clear the date."""
-    p = ranging.parse_sessions(session_lines(spark, d), chunk=WIDE)
+    p = ranging.parse_sessions(session_lines(spark, d))
     return p.select("file", F.coalesce("reject_reason", F.lit("accepted")).alias("status"), iso("t").alias("epoch_utc"), rnd("range_m", 3).alias("range_m"), F.coalesce("station_id", F.lit("")).alias("station_id"))
 
 
@@ -156,15 +171,15 @@ def pass_lines(spark, d):
     ts = F.timestamp_micros("t")
     head = F.when(k % 11 == 0, F.lit("BADHEADER")).otherwise(F.concat(F.lit("2001001"), F.date_format(ts, "yy"), F.lpad(F.dayofyear(ts).cast("string"), 3, "0"), F.lpad((F.col("station_id") + 7000).cast("string"), 4, "0"), F.lit("0000")))
     data = F.concat(F.lpad(F.col("tod").cast("string"), 12, "0"), F.lpad(F.col("ps").cast("string"), 12, "0"), F.lpad((k * 10).cast("string"), 7, "0"), F.lit("000000000000"), F.lpad(F.col("num_returns").cast("string"), 4, "0"), F.lit("0000000"))
-    return emit(s, F.col("entity_id"), "t", (k % 3 == 0, F.lit("99999")), (k % 3 == 0, head), (lit(YES), F.when(k % 13 == 0, F.substring(data, 1, 30)).otherwise(data)))
+    return emit(s, "passes", (k % 3 == 0, F.lit("99999")), (k % 3 == 0, head), (lit(YES), F.when(k % 13 == 0, F.substring(data, 1, 30)).otherwise(data)))
 
 
-@query("s05_pass_header_ranging_ingest", oracle(f"""SELECT CAST(entity_id AS VARCHAR) AS file, reason AS status, {iso_sql("CASE WHEN reason='accepted' THEN day+te%86400000000 END")} AS epoch_utc, {rsql(f"CASE WHEN reason='accepted' THEN {RNG} END", 3)} AS range_m, CASE WHEN reason='accepted' THEN stn END AS station_id FROM (
- SELECT *, CASE WHEN day IS NULL THEN 'data_without_active_pass' WHEN k%13=0 THEN 'short_data_record' ELSE 'accepted' END AS reason FROM (SELECT *, last_value(CASE WHEN k%3=0 AND k%11<>0 THEN t//86400000000*86400000000 END IGNORE NULLS) OVER w AS day, last_value(CASE WHEN k%3=0 AND k%11<>0 THEN CAST(station_id+7000 AS VARCHAR) END IGNORE NULLS) OVER w AS stn FROM shot WINDOW w AS (PARTITION BY entity_id ORDER BY t ROWS UNBOUNDED PRECEDING)))
- UNION ALL SELECT CAST(entity_id AS VARCHAR), 'malformed_header_record', NULL, NULL, NULL FROM shot WHERE k%3=0 AND k%11=0""", SHOT_CTE))
+@query("s05_pass_header_ranging_ingest", oracle(f"""SELECT file, reason AS status, {iso_sql("CASE WHEN reason='accepted' THEN day+te%86400000000 END")} AS epoch_utc, {rsql(f"CASE WHEN reason='accepted' THEN {RNG} END", 3)} AS range_m, CASE WHEN reason='accepted' THEN stn END AS station_id FROM (
+ SELECT *, CASE WHEN day IS NULL THEN 'data_without_active_pass' WHEN k%13=0 THEN 'short_data_record' ELSE 'accepted' END AS reason FROM (SELECT *, {FILE} AS file, last_value(CASE WHEN k%3=0 AND k%11<>0 THEN t//86400000000*86400000000 END IGNORE NULLS) OVER w AS day, last_value(CASE WHEN k%3=0 AND k%11<>0 THEN CAST(station_id+7000 AS VARCHAR) END IGNORE NULLS) OVER w AS stn FROM shot WINDOW w AS (PARTITION BY {FILE} ORDER BY t, event_id ROWS UNBOUNDED PRECEDING)))
+ UNION ALL SELECT {FILE}, 'malformed_header_record', NULL, NULL, NULL FROM shot WHERE k%3=0 AND k%11=0""", SHOT_CTE))
 def s05(spark, d):
     """Pass headers announced by 99999 carried to their data rows."""
-    p = ranging.parse_passes(pass_lines(spark, d), chunk=WIDE)
+    p = ranging.parse_passes(pass_lines(spark, d))
     return p.select("file", F.coalesce("reject_reason", F.lit("accepted")).alias("status"), iso("t").alias("epoch_utc"), rnd("range_m", 3).alias("range_m"), "station_id")
 
 
@@ -175,23 +190,25 @@ def block_lines(spark, d):
     num = lambda c: F.format_string("%14.6f", c)
     unit = F.when(F.col("entity_id") % 2 == 0, 10.0).otherwise(1.0)
     star = F.concat(F.lit("*  "), F.date_format(ts, "yyyy MM dd HH mm"), F.lit(" "), F.format_string("%11.8f", (F.col("t") % 60_000_000) / 1e6))
-    p = F.concat(F.lit("PL01"), num(F.col("x") / 1000), num(F.col("y") / 1000), num(F.col("z") / 1000), num(F.col("clock")))
-    v = F.concat(F.lit("VL01"), num(F.col("vx") * unit), num(F.col("vy") * unit), num(F.col("vz") * unit))
-    return emit(s, F.col("entity_id"), "t", (lit(YES), F.when(k % 19 == 0, F.lit("*  bad epoch")).otherwise(star)), (lit(YES), F.when(k % 17 == 0, F.lit("PL01 garbage")).otherwise(p)), (k % 5 != 0, v))
+    sat = F.lpad((F.floor(F.col("entity_id") / 4) % 16).cast("string"), 3, "0")
+    p = F.concat(F.lit("P"), sat, num(F.col("x") / 1000), num(F.col("y") / 1000), num(F.col("z") / 1000), num(F.col("clock")))
+    v = F.concat(F.lit("V"), sat, num(F.col("vx") * unit), num(F.col("vy") * unit), num(F.col("vz") * unit))
+    return emit(s, "orbits", (lit(YES), F.when(k % 19 == 0, F.lit("*  bad epoch")).otherwise(star)), (lit(YES), F.when(k % 17 == 0, F.concat(F.lit("P"), sat, F.lit(" garbage"))).otherwise(p)), (k % 5 != 0, v))
 
 
-@query("s06_epoch_block_orbit_ingest", oracle(f"SELECT CAST(entity_id AS VARCHAR) AS file, {iso_sql('t')} AS epoch_utc, {rsql('round(x/1000,6)*1000', 3)} AS x, {rsql('CASE WHEN k<>7 THEN round(clock,6) END', 6)} AS clock, {rsql('CASE WHEN k%5<>0 THEN CASE WHEN entity_id%2=0 THEN round(vy*10,6)*0.1 ELSE round(vy,6) END END', 4)} AS vy FROM states WHERE k%19<>0 AND k%17<>0"))
+@query("s06_epoch_block_orbit_ingest", oracle(f"SELECT {FILE} AS file, {iso_sql('t')} AS epoch_utc, {rsql('round(x/1000,6)*1000', 3)} AS x, {rsql('CASE WHEN k<>7 THEN round(clock,6) END', 6)} AS clock, {rsql('CASE WHEN k%5<>0 THEN CASE WHEN entity_id%2=0 THEN round(vy*10,6)*0.1 ELSE round(vy,6) END END', 4)} AS vy FROM states WHERE k%19<>0 AND k%17<>0"))
 def s06(spark, d):
     """Epoch blocks to states: units, sentinel, velocity join and per-file velocity unit."""
-    out, _ = orbits.parse_epoch_blocks(block_lines(spark, d), chunk=WIDE)
+    out, _ = orbits.parse_epoch_blocks(block_lines(spark, d))
     return out.select("file", iso("t").alias("epoch_utc"), rnd("x", 3).alias("x"), rnd("clock").alias("clock"), rnd("vy", 4).alias("vy"))
 
 
-@query("s06_epoch_block_ledger", oracle("SELECT CAST(entity_id AS VARCHAR) AS file, count(*) AS epoch_lines, count(*) FILTER (k%19=0) AS epoch_lines_rejected, count(*) FILTER (k%17<>0) AS p_records, count(*) FILTER (k%17=0) AS p_records_rejected, count(*) FILTER (k%5<>0) AS v_records, count(*) FILTER (k=7) AS clock_sentinel_rows, CASE WHEN count(*)<>count(*) FILTER (k%17<>0) THEN 'p_record_count_mismatch' ELSE '' END AS warning FROM states GROUP BY entity_id"))
+@query("s06_epoch_block_ledger", oracle(f"SELECT {FILE} AS file, count(*) AS epoch_lines, count(*) FILTER (k%19=0) AS epoch_lines_rejected, count(*) FILTER (k%17<>0) AS p_records, count(*) FILTER (k%17=0) AS p_records_rejected, count(*) FILTER (k%5<>0) AS v_records, count(*) FILTER (k=7) AS clock_sentinel_rows, CASE WHEN count(*)<>count(*) FILTER (k%17<>0) THEN 'p_record_count_mismatch' ELSE '' END AS warning FROM states GROUP BY 1"))
 def s06b(spark, d):
     """Counted lines of each file and the declared-count warning."""
-    _, led = orbits.parse_epoch_blocks(block_lines(spark, d), chunk=WIDE)
-    heads = R.states(spark, d).groupBy(F.col("entity_id").cast("string").alias("file")).agg(F.count("*").alias("num_epochs"), F.lit(1).alias("num_sats"))
+    _, led = orbits.parse_epoch_blocks(block_lines(spark, d))
+    file = F.concat_ws("-", F.expr(F_OF), F.floor(F.col("t") / PART_US).cast("string"))
+    heads = R.states(spark, d).groupBy(file.alias("file")).agg(F.count("*").alias("num_epochs"), F.lit(1).alias("num_sats"))
     w = orbits.count_check(led, heads).select("file", "warning")
     return led.join(w, "file").select("file", "epoch_lines", "epoch_lines_rejected", "p_records", "p_records_rejected", "v_records", "clock_sentinel_rows", "warning")
 
@@ -212,14 +229,14 @@ def s07(spark, d):
     return p.select(F.coalesce("reject_reason", F.lit("accepted")).alias("status"), iso("t").alias("epoch_utc"), rnd("x", 3).alias("x"), "non_nominal")
 
 
-@query("s08_format_routing_census", oracle("""SELECT format, count(*) AS files FROM (SELECT 'html_error_page' AS format FROM pages WHERE upper(ltrim(html)) LIKE '<!DOCTYPE%' OR upper(ltrim(html)) LIKE '<HTML%' UNION ALL SELECT CASE WHEN m.k%10 IN (0,1) THEN 'unknown' ELSE 'merit_monthly' END FROM (SELECT entity_id, arg_min(k, t) AS k FROM shot GROUP BY 1) m
- UNION ALL SELECT CASE WHEN k%9=0 OR k%4=0 OR k%7<>0 THEN 'crd' ELSE 'unknown' END FROM (SELECT entity_id, arg_min(k, t) AS k FROM shot GROUP BY 1) UNION ALL SELECT CASE WHEN k%3=0 THEN 'legacy_npt' ELSE 'unknown' END FROM (SELECT entity_id, arg_min(k, t) AS k FROM shot GROUP BY 1)) GROUP BY 1""", SHOT_CTE))
+@query("s08_format_routing_census", oracle(f"""SELECT format, count(*) AS files FROM (SELECT 'html_error_page' AS format FROM pages WHERE upper(ltrim(html)) LIKE '<!DOCTYPE%' OR upper(ltrim(html)) LIKE '<HTML%' UNION ALL SELECT CASE WHEN m.k%10 IN (0,1) THEN 'unknown' ELSE 'merit_monthly' END FROM (SELECT {FILE} AS file, arg_min(k, t) AS k FROM shot GROUP BY 1) m
+ UNION ALL SELECT CASE WHEN k%9=0 OR k%4=0 OR k%7<>0 THEN 'crd' ELSE 'unknown' END FROM (SELECT {FILE} AS file, arg_min(k, t) AS k FROM shot GROUP BY 1) UNION ALL SELECT CASE WHEN k%3=0 THEN 'legacy_npt' ELSE 'unknown' END FROM (SELECT {FILE} AS file, arg_min(k, t) AS k FROM shot GROUP BY 1)) GROUP BY 1""", SHOT_CTE))
 def s08(spark, d):
     """Every file, excluded ones too, classified by its first non-empty line."""
     pages = R.table(spark, d, "pages").select(F.concat(F.lit("page_"), F.col("page_id")).alias("file"), F.posexplode(F.split("html", "\n")).alias("line_no", "value")).withColumn("line_no", F.col("line_no").cast("bigint"))
     tag = lambda df, p: df.withColumn("file", F.concat(F.lit(p), F.col("file")))
-    lines = pages.unionByName(tag(fixed_lines(spark, d), "m_")).unionByName(tag(session_lines(spark, d), "c_")).unionByName(tag(pass_lines(spark, d), "l_"))
-    return ranging.detect_format(lines).groupBy("format").agg(F.count("*").alias("files"))
+    text = pages.unionByName(tag(fixed_lines(spark, d), "m_")).unionByName(tag(session_lines(spark, d), "c_")).unionByName(tag(pass_lines(spark, d), "l_"))
+    return ranging.detect_format(text).groupBy("format").agg(F.count("*").alias("files"))
 
 
 @query("s09_alias_tolerant_csv", oracle(f"SELECT CAST(entity_id AS VARCHAR) AS sat_id, {iso_sql('t')} AS epoch_utc, {rsql('x', 2)} AS x_m, NULL::DOUBLE AS vx_mps FROM states"))
@@ -304,10 +321,11 @@ def solution_lines(spark, d):
     est = lambda t, v: F.concat_ws(" ", F.lit("1"), F.lit(t), key, snx("s"), F.lit("m 2"), F.format_string("%.5f", v), F.lit("0.001"))
     rows = F.array(ep, *[est(t, v) for t, v in (("STAX", F.col("pos")), ("STAY", F.col("pos") * 2), ("STAZ", F.col("pos") * 3), ("VELX", F.col("vel")))])
     head = F.array(F.lit("+SOLUTION/EPOCHS"), F.lit("-SOLUTION/EPOCHS"), F.lit("+SOLUTION/ESTIMATE"), F.lit("-SOLUTION/ESTIMATE"))
-    base = F.col("soln") * 100
-    body = s.select(F.col("station_id").cast("string").alias("file"), F.posexplode(rows).alias("i", "value"), base.alias("b")).select("file", F.when(F.col("i") == 0, F.col("b") + 1).otherwise(F.lit(1_000_000) + F.col("b") + F.col("i")).cast("bigint").alias("line_no"), "value")
-    marks = s.select(F.col("station_id").cast("string").alias("file")).distinct().select("file", F.posexplode(head).alias("i", "value")).select("file", F.when(F.col("i") == 0, 0).when(F.col("i") == 1, 900_000).when(F.col("i") == 2, 900_001).otherwise(9_000_000).cast("bigint").alias("line_no"), "value")
-    return body.unionByName(marks)
+    file = s.select((F.col("station_id") % 4).cast("int").alias("f"), F.floor(F.col("station_id") / 4).cast("int").alias("part"), "*")
+    # blocks 0 to 5: opening, validity, closing, opening, coordinates, closing
+    body = file.select("f", "part", F.col("soln").cast("long").alias("at"), F.posexplode(rows).alias("i", "value")).withColumn("block", F.when(F.col("i") == 0, 1).otherwise(4))
+    marks = file.select("f", "part").distinct().select("f", "part", F.lit(0).cast("long").alias("at"), F.posexplode(head).alias("i", "value")).withColumn("block", F.element_at(F.array(*map(F.lit, (0, 2, 3, 5))), F.col("i") + 1))
+    return read_back(spark, body.unionByName(marks).withColumn("at", F.struct("block", "at")).drop("block"), "solutions")
 
 
 SOL_CTE = f"""sol AS (SELECT *, CASE WHEN nxt IS NULL THEN NULL WHEN soln%3=0 THEN s+(nxt-s)//2 ELSE nxt END AS e FROM (SELECT station_id, s, row_number() OVER (PARTITION BY station_id ORDER BY s) AS soln, lead(s) OVER (PARTITION BY station_id ORDER BY s) AS nxt,
@@ -322,17 +340,20 @@ def s14(spark, d):
 
 
 def observation_lines(spark, d):
-    f = R.orbit_files(spark, d)
+    """One observation file for each provider file's three days: a header, and the first and last epoch of every entity."""
+    f = R.orbit_files(spark, d).select(F.expr(F_OF).alias("f"), F.col("part").cast("int").alias("part"), "s", "e", "path")
     ts = lambda c: F.date_format(F.timestamp_micros(c), "yyyy MM dd HH mm ss.SSSSSS")
     lab = lambda body, label: F.concat(F.rpad(body, 60, " "), F.lit(label))
-    rows = F.array_compact(F.array(
-        lab(F.lit("     3.04           OBSERVATION DATA    M"), "RINEX VERSION / TYPE"), lab(ts("s"), "TIME OF FIRST OBS"), F.when(F.col("part") % 2 == 0, lab(ts("e"), "TIME OF LAST OBS")),
-        lab(F.lit(""), "END OF HEADER"), F.concat(F.lit("> "), ts("s"), F.lit("  0 12")), F.concat(F.lit("> "), ts("e"), F.lit("  0 12")),
+    whole = f.groupBy("f", "part").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    head = F.array_compact(F.array(
+        lab(F.lit("     3.04           OBSERVATION DATA    M"), "RINEX VERSION / TYPE"), lab(ts("s"), "TIME OF FIRST OBS"), F.when(F.col("part") % 2 == 0, lab(ts("e"), "TIME OF LAST OBS")), lab(F.lit(""), "END OF HEADER"),
     ))
-    return f.select(F.col("path").alias("file"), F.posexplode(rows).alias("line_no", "value")).select("file", F.col("line_no").cast("bigint").alias("line_no"), "value")
+    heads = whole.select("f", "part", F.lit(0).cast("long").alias("at"), F.posexplode(head).alias("i", "value"))
+    body = f.select("f", "part", F.explode(F.array("s", "e")).alias("at"), "path").select("f", "part", "at", F.lit(9).alias("i"), F.concat(F.lit("> "), ts("at"), F.lit("  0 12")).alias("value"))
+    return read_back(spark, heads.unionByName(body), "observations")
 
 
-@query("s15_observation_coverage_manifest", oracle(f"SELECT path AS file, '3.04' AS rinex_version, {iso_sql('s')} AS span_start_utc, {iso_sql('e')} AS span_end_utc, CASE WHEN part%2=0 THEN 'header' ELSE 'body_last_epoch' END AS last_obs_source FROM orbit_files"))
+@query("s15_observation_coverage_manifest", oracle(f"SELECT (entity_id//64*4 + entity_id%4) || '-' || part AS file, '3.04' AS rinex_version, {iso_sql('min(s)')} AS span_start_utc, {iso_sql('max(e)')} AS span_end_utc, CASE WHEN part%2=0 THEN 'header' ELSE 'body_last_epoch' END AS last_obs_source FROM orbit_files GROUP BY 1, part"))
 def s15(spark, d):
     """Observation spans from headers, else from the last epoch line; an invalid file stops the job."""
     m = stations.coverage_manifest(observation_lines(spark, d))

@@ -1,31 +1,45 @@
-"""Text files as (file, line_no, value) rows, and helpers for fixed-width fields."""
+"""Text files as (file, line_no, value) rows, and helpers for fixed-width fields.
+
+Files are read in splits like any other: plain ones of any size block by block, compressed ones one to a task. A line's
+number is the lines of all earlier blocks of its file plus its position within its own block, so numbers run through
+a file however it was split, and what parsers carry from line to line crosses block borders by number. LF, CRLF and CR
+end a line; a byte order mark at the start of a file is not part of its first line.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.scan import slot
+from orrery.session import cut
 
 CHUNK = 65_536
-MAX_FILE_BYTES = 256 * 1024 * 1024
+#: Blocks up to which their counts are broadcast to the lines; beyond, both sides are shuffled by block.
+BROADCAST_BLOCKS = 1_000_000
+
+
+def _positions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, at, value): ``at`` grows with the position in a block; which block a task reads follows from the
+    files and the settings alone, so two passes agree."""
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
 
 
-def read_lines(spark: SparkSession, path: str, *, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Numbered lines of small provider files; a file over the cap stops the job, since one file is one row here."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("_size"), "value")
-    fits = F.assert_true(F.col("_size") <= max_bytes, F.concat(F.lit("file over the size cap: "), F.col("file")))
-    raw = raw.select(F.coalesce(fits.cast("string"), F.col("file")).alias("file"), "value")
-    lines = raw.select("file", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("i", "value"))
-    return lines.select("file", F.col("i").cast("bigint").alias("line_no"), "value")
+def read_decoded(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, line_no, value, note): numbered lines of all files below a path, undecodable bytes replaced, their file noted."""
+    raw = _positions(spark, path)
+    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max(~F.is_valid_utf8("value")).alias("bad"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    note = F.when(F.max("bad").over(Window.partitionBy("file")), "non_utf8_sanitized_copy").otherwise("")
+    blocks = cut(blocks.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"), note.alias("note")))
+    blocks = F.broadcast(blocks) if blocks.count() <= BROADCAST_BLOCKS else blocks.hint("merge")
+    return raw.join(blocks, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line_no"), F.make_valid_utf8("value").alias("value"), "note")
 
 
-def read_decoded(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of files that may hold undecodable bytes: replaced, and the file is noted."""
-    raw = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("text"))
-    note = F.when(~F.is_valid_utf8("text"), "non_utf8_sanitized_copy").otherwise("")
-    raw = raw.select("file", note.alias("note"), F.make_valid_utf8("text").alias("text"))
-    return raw.select("file", "note", F.posexplode(F.split("text", "\r\n|\n|\r")).alias("line_no", "value"))
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, line_no, value) of all lines of all files below a path."""
+    return read_decoded(spark, path).drop("note")
 
 
 def chunk_of(width: int = CHUNK) -> Column:

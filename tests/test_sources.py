@@ -1,9 +1,12 @@
 """Hand-written provider text with its edge cases."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import time
+from orrery.sinks.lines import write_lines
 from orrery.sources import elements, filenames, lines, manoeuvres, orbits, ranging
 
 
@@ -93,9 +96,63 @@ def test_names(spark):
     assert m[0].s.e - m[0].s.s == 29 * day and m[1].s.e - m[1].s.s == day and m[2].s is None
 
 
-def test_file_cap_and_bytes(spark, tmp_path):
-    (tmp_path / "a.txt").write_bytes(b"one\ntwo\xff\n")
-    assert [r.value for r in lines.read_lines(spark, str(tmp_path)).orderBy("line_no").collect()][:1] == ["one"]
-    assert lines.read_decoded(spark, str(tmp_path)).first().note == "non_utf8_sanitized_copy"
-    with pytest.raises(Exception, match="size cap"):
-        lines.read_lines(spark, str(tmp_path), max_bytes=3).collect()
+def numbered(df):
+    return sorted((r.file.rsplit("/", 1)[1], r.line_no, r.value) for r in df.collect())
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_lines_of_split_compressed_marked_and_undecodable_files(spark, tmp_path, small_splits):
+    rows = [f"line {i} " + "x" * (i % 90) for i in range(400)] + ["", "last, without an end"]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.txt").write_bytes("\n".join(rows).encode())
+    (tmp_path / "sub" / "b.txt").write_bytes(b"\xef\xbb\xbf" + "\r\n".join(rows).encode())
+    (tmp_path / "c.txt.gz").write_bytes(gzip.compress("\n".join(rows).encode()))
+    (tmp_path / "d.txt").write_bytes(b"one\ntwo\xff\r\nthree\n" + b"long " * 900 + b"\nend\n")
+    (tmp_path / "empty.txt").write_bytes(b"")
+    want = [(f, i, v) for f in ("a.txt", "b.txt", "c.txt.gz") for i, v in enumerate(rows)] + [("d.txt", i, v) for i, v in enumerate(["one", "two\ufffd", "three", "long " * 900, "end"])]
+    got = lines.read_decoded(spark, str(tmp_path))
+    assert spark.read.text(str(tmp_path / "a.txt")).rdd.getNumPartitions() > 10
+    assert numbered(got) == sorted(want) == numbered(lines.read_lines(spark, str(tmp_path)))
+    assert {(r.file.rsplit("/", 1)[1], r.note) for r in got.collect()} == {("a.txt", ""), ("b.txt", ""), ("c.txt.gz", ""), ("d.txt", "non_utf8_sanitized_copy")}
+
+
+def test_lines_by_shuffle_equal_lines_by_broadcast(spark, tmp_path, small_splits, monkeypatch):
+    (tmp_path / "a.txt").write_text("\n".join(f"line {i}" for i in range(900)))
+    broadcast = numbered(lines.read_lines(spark, str(tmp_path)))
+    monkeypatch.setattr(lines, "BROADCAST_BLOCKS", 0)
+    assert numbered(lines.read_lines(spark, str(tmp_path))) == broadcast and len(broadcast) == 900
+
+
+def test_context_crosses_block_borders(spark, tmp_path, small_splits):
+    """The session of the first block dates rows many blocks on; line pairs may have their border between them."""
+    rows = ["H2 STA 7090 1", "H4 1 2020 02 29 00 00 00 2020 02 29 01 00 00"] + [f"10 {i} 0.01 std 2" for i in range(600)] + ["H8"] + [f"10 {i} 0.01 std 2" for i in range(30)]
+    (tmp_path / "s").write_text("\n".join(rows))
+    p = ranging.parse_sessions(lines.read_lines(spark, str(tmp_path / "s"))).orderBy("line_no").collect()
+    assert [r.reject_reason for r in p] == [None] * 600 + ["epoch_reference_missing"] * 30 and [r.line_no for r in p] == [*range(2, 602), *range(603, 633)]
+    assert all(r.t == 1582934400000000 + i * 1_000_000 and r.station_id == "7090" for i, r in enumerate(p[:600]))
+    (tmp_path / "e").write_text("\n".join([L1, L2] * 200))
+    q = elements.parse_pairs(lines.read_lines(spark, str(tmp_path / "e")))
+    assert {r.reason: r.n for r in elements.reject_ledger(q).collect()} == {"pairs_accepted": 200}
+
+
+def test_written_lines_keep_their_order(spark, tmp_path):
+    n = 3000
+    df = spark.range(n).select((F.col("id") % 2).cast("int").alias("f"), (F.col("id") % 3).cast("int").alias("part"), (n - F.col("id")).alias("at"), F.concat(F.lit("row "), n - F.col("id")).alias("value"))
+    write_lines(df.repartition(5), str(tmp_path / "w"), ["at"], compressed=F.col("part") == 1, crlf=F.col("f") == 1, marked=F.col("part") == 2)
+    files = [p for p in (tmp_path / "w").rglob("part-*") if not p.name.endswith(".crc")]
+    assert len(files) == 6
+    for p in files:
+        f, part = (int(x.split("=")[1]) for x in p.parts[-3:-1])
+        raw = gzip.decompress(p.read_bytes()) if part == 1 else p.read_bytes()
+        end = "\r\n" if f == 1 else "\n"
+        want = [f"row {n - i}" for i in range(n - 1, -1, -1) if i % 2 == f and i % 3 == part]
+        assert raw.decode() == "".join(x + end for x in ["\ufeff"] * (part == 2) + want)
