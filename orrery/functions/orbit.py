@@ -34,6 +34,12 @@ def sma_from_mean_motion(rad_per_min: Column) -> Column:
     return F.pow(F.lit(MU) / (n * n), F.lit(1.0 / 3.0))
 
 
+def circular_position(rad_per_min: Column, inclination: Column, node: Column, seconds: Column) -> tuple[Column, Column, Column]:
+    """Position (m) on the circular orbit of a mean motion, so many seconds after the body passed the angle ``node`` in its plane."""
+    a, u = sma_from_mean_motion(rad_per_min), node + rad_per_min / 60.0 * seconds
+    return a * F.cos(u), a * F.sin(u) * F.cos(inclination), a * F.sin(u) * F.sin(inclination)
+
+
 def altitude_km(rad_per_min: Column) -> Column:
     return sma_from_mean_motion(rad_per_min) / 1000.0 - EARTH_RADIUS_KM
 

@@ -1,4 +1,4 @@
-"""State interpolation: ten-point polynomial for coarse series, cubic spline for dense arcs."""
+"""State interpolation: ten-point polynomial for coarse series, cubic spline for dense or short ones."""
 
 from __future__ import annotations
 
@@ -8,16 +8,23 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.functions.orbit import LIGHT, norm3
 from orrery.operators.joins import Probe, asof_probes, count_probes
-from orrery.operators.scan import DAY_US, row_index, slot
+from orrery.operators.scan import DAY_US, neighbour, row_index, slot
 from orrery.session import cut
 
 NEIGHBOURS = 10
+LEAST_ROWS = 4
+DENSE_S = 5.0
 EDGE_US = 900_000_000
+#: Rows on either side of an event that its spline is built from. What lies beyond counts 0.27 per row: below rounding.
+REACH = 20
 SPLINE_CHUNK = 20_000
 HALO = 64
+#: Rows to a slot where rows are already numbered.
+NUMBERED = 65_536
 
 
 def _lagrange(y: str) -> tuple[Column, Column]:
@@ -29,36 +36,101 @@ def _lagrange(y: str) -> tuple[Column, Column]:
     return F.expr(value), F.expr(slope)
 
 
-def polynomial_states(events: DataFrame, states: DataFrame, key: Sequence[str], by: Sequence[str], t0: str, *, edge_us: int = EDGE_US, width_us: int = DAY_US) -> DataFrame:
-    """State and velocity at ``t0`` from the ten rows around it; NULL where the series is short or out of reach.
+def _series(states: DataFrame, by: list[str], width_us: int) -> tuple[DataFrame, DataFrame]:
+    """Numbered rows and one row per series: size, ends, whether it is coarse, whether an epoch repeats.
 
-    Row numbers make the neighbours an equi-join: an event meets exactly ten rows.
-    Up to ``edge_us`` beyond the ends is extrapolated and recorded.
+    Coarse means a median step over ``DENSE_S``. That needs no median: the number of short steps tells, and where they
+    are exactly half, the longest short and the shortest long one.
+    """
+    rows = row_index(states.select(*by, "t", "x", "y", "z"), by, ["t"], slot("t", width_us), "_pos")
+    before = neighbour(rows, by, ["_pos"], slot("_pos", NUMBERED), ["t"], name="_prev")
+    step = (F.col("t") - F.col("_prev.t")) / 1e6
+    short = step <= DENSE_S
+    span = before.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_z"), F.count_if(short).alias("_short"),
+        F.max(F.when(short, step)).alias("_under"), F.min(F.when(~short, step)).alias("_over"), (F.min(step) == 0).alias("_repeats"),
+    )
+    twice, steps = 2 * F.col("_short"), F.col("_n") - 1
+    coarse = (twice < steps) | ((twice == steps) & ((F.col("_under") + F.col("_over")) / 2 > DENSE_S))
+    span = span.where(F.col("_n") >= LEAST_ROWS).withColumn("_method", F.when(coarse & (F.col("_n") >= NEIGHBOURS), "polynomial").otherwise("spline"))
+    return rows, span.drop("_short", "_under", "_over")
+
+
+def interpolated_states(events: DataFrame, states: DataFrame, key: Sequence[str], by: Sequence[str], t0: str, *, edge_us: int = EDGE_US, width_us: int = DAY_US) -> DataFrame:
+    """Position and velocity at ``t0`` from the rows of the event's series around it.
+
+    Coarse series of ten rows or more: the polynomial through ten rows. Dense ones, and those of four to nine rows: the
+    not-a-knot cubic spline. NULL for shorter series, out of reach, or where an epoch repeats (anywhere for a
+    spline, among its ten rows for a polynomial). Up to ``edge_us`` beyond the ends is extrapolated and recorded.
+    Row numbers make the neighbours an equi-join: an event meets ten rows, or ``REACH`` on either side.
     """
     key, by = list(key), list(by)
-    s = states.select(*by, "t", "x", "y", "z")
-    span = s.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_z")).where(F.col("_n") >= NEIGHBOURS)
-    e = count_probes(events.select(*dict.fromkeys([*key, *by, t0])), s, key, by, "t", {"_below": Probe(t0, strict=True)}, width_us=width_us).join(span, by)
+    rows, span = _series(states, by, width_us)
+    rows = cut(rows)
+    e = count_probes(events.select(*dict.fromkeys([*key, *by, t0])), rows, key, by, "t", {"_below": Probe(t0, strict=True)}, width_us=width_us).join(span, by)
     beyond = F.greatest(F.col("_a") - F.col(t0), F.col(t0) - F.col("_z"), F.lit(0))
-    centre = F.least(F.greatest(F.col("_below"), F.lit(5)), F.col("_n") - 5)
-    first = F.greatest(F.lit(0), F.least(centre - 5, F.col("_n") - NEIGHBOURS))
-    e = e.withColumn("extrapolation_s", beyond / 1e6).where(beyond <= edge_us).withColumn("_pos", F.explode(F.sequence(first + 1, first + NEIGHBOURS)))
-    idx = row_index(s, by, ["t"], slot("t", width_us), "_pos")
-    near = e.join(idx, [*by, "_pos"])
+    poly, n = F.col("_method") == "polynomial", F.col("_n")
+    centre = F.least(F.greatest(F.col("_below"), F.lit(5)), n - 5)
+    first = F.when(poly, F.greatest(F.lit(0), F.least(centre - 5, n - NEIGHBOURS))).otherwise(F.greatest(F.lit(0), F.least(F.col("_below") - REACH, n - LEAST_ROWS)))
+    last = F.when(poly, first + NEIGHBOURS).otherwise(F.least(n, F.greatest(F.col("_below") + REACH, F.lit(LEAST_ROWS))))
+    e = e.withColumn("extrapolation_s", beyond / 1e6).where((beyond <= edge_us) & (poly | ~F.col("_repeats"))).withColumn("_pos", F.explode(F.sequence(first + 1, last)))
+    near = e.join(rows, [*by, "_pos"])
     pts = F.sort_array(F.collect_list(F.struct(((F.col("t") - F.col(t0)) / 1e6).alias("s"), "x", "y", "z")))
-    g = near.groupBy(*key, "extrapolation_s").agg(pts.alias("pts"))
-    cols = []
-    for a in "xyz":
+    g = near.groupBy(*key, "extrapolation_s", F.col("_method").alias("method")).agg(pts.alias("pts"))
+    g = g.where((F.col("method") == "spline") | (F.size(F.array_distinct("pts.s")) == NEIGHBOURS))
+    wide = []
+    for i, a in enumerate("xyz"):
         v, d = _lagrange(a)
-        cols += [v.alias(f"orbit_{a}_m"), d.alias(f"orbit_v{a}_mps")]
-    return events.join(g.select(*key, "extrapolation_s", *cols), key, "left").withColumn("orbit_state_status", F.when(F.col("orbit_x_m").isNull(), "insufficient_coverage").otherwise("computed"))
+        poly = F.col("method") == "polynomial"
+        wide += [F.when(poly, v).otherwise(F.col("_spline")[i]).alias(f"orbit_{a}_m"), F.when(poly, d).otherwise(F.col("_spline")[i + 3]).alias(f"orbit_v{a}_mps")]
+    g = g.withColumn("_spline", F.when(F.col("method") == "spline", spline_at_zero("pts"))).select(*key, "extrapolation_s", "method", *wide)
+    return events.join(g, key, "left").withColumn("orbit_state_status", F.when(F.col("orbit_x_m").isNull(), "insufficient_coverage").otherwise("computed"))
+
+
+STATE = [f"orbit_{v}{a}_{u}" for v, u in (("", "m"), ("v", "mps")) for a in "xyz"]
+
+
+def best_states(events: DataFrame, candidates: DataFrame, states: DataFrame, key: Sequence[str], arc: str, t0: str, **kw) -> DataFrame:
+    """The state of each event from the first of its candidate arcs that yields one.
+
+    ``candidates``: (key, arc, rank). An arc that cannot be interpolated is passed over, never an error of the event. All
+    candidates of all events are worked out in one pass; they are few for each event.
+    """
+    key = list(key)
+    tried = interpolated_states(candidates.join(events.select(*key, t0), key), states, [*key, arc], [arc], t0, **kw)
+    found = F.when(F.col("orbit_state_status") == "computed", F.col("rank"))
+    best = tried.groupBy(*key).agg(F.min_by(F.struct(arc, "rank", "method", "extrapolation_s", *STATE), found).alias("_best"), F.count(F.lit(1)).alias("candidates"))
+    status = F.when(F.col("candidates").isNull(), "missing_data").when(F.col("_best").isNull(), "insufficient_coverage").otherwise("computed")
+    return events.join(best, key, "left").select(*events.columns, status.alias("orbit_state_status"), F.coalesce("candidates", F.lit(0)).alias("candidates"), "_best.*")
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def spline_at_zero(points: pd.Series) -> pd.Series:
+    """Value and derivative at 0 of the not-a-knot spline through each row's points: x, y, z, vx, vy, vz. All splines of one length at once."""
+    out, sizes = np.empty(len(points), object), points.map(len, na_action="ignore")
+    for n in sizes.dropna().unique():
+        at = np.flatnonzero(sizes == n)
+        p = np.array([[[q["s"], q["x"], q["y"], q["z"]] for q in points.iloc[i]] for i in at])
+        t, y = p[:, :, 0], p[:, :, 1:]
+        m = spline_coefficients(np.moveaxis(t, 0, -1)[..., None], np.moveaxis(y, 0, 1))
+        i, lane = np.clip((t <= 0).sum(axis=1) - 1, 0, int(n) - 2), np.arange(len(at))
+        h = (t[lane, i + 1] - t[lane, i])[:, None]
+        a, u = t[lane, i + 1][:, None], -t[lane, i][:, None]
+        lo, hi, below, above = m[i, lane], m[i + 1, lane], y[lane, i], y[lane, i + 1]
+        value = (lo * a**3 + hi * u**3) / (6 * h) + (below / h - lo * h / 6) * a + (above / h - hi * h / 6) * u
+        slope = (hi * u**2 - lo * a**2) / (2 * h) + (above - below) / h - (hi - lo) * h / 6
+        for k, r in zip(at, np.concatenate([value, slope], axis=1), strict=True):
+            out[k] = r
+    return pd.Series(out)
 
 
 def spline_coefficients(t: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Second derivatives of the not-a-knot cubic spline through (t, y); y may have several columns."""
-    n, h = len(t), np.diff(t)
-    slope = np.diff(y, axis=0) / h[:, None]
-    lower, diag, upper, rhs = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros_like(y)
+    """Second derivatives of the not-a-knot cubic spline through (t, y) along the first axis; ``y`` may have more axes, ``t`` is
+    one-dimensional or fits them."""
+    t = t if t.ndim > 1 else t[:, None]
+    n, h = len(t), np.diff(t, axis=0)
+    slope = np.diff(y, axis=0) / h
+    lower, diag, upper, rhs = np.zeros_like(t), np.zeros_like(t), np.zeros_like(t), np.zeros_like(y)
     lower[1:-1], diag[1:-1], upper[1:-1] = h[:-1], 2 * (h[:-1] + h[1:]), h[1:]
     rhs[1:-1] = 6 * np.diff(slope, axis=0)
     # end conditions eliminated into the first and last inner equation
@@ -138,5 +210,5 @@ def holdout_errors(states: DataFrame, by: Sequence[str], per_file: int = 5, *, w
     x = cut(x.join(n, by))
     even, odd = x.where("_no % 2 = 1"), x.where("_no % 2 = 0 AND _no > 4 AND _no < _rows - 4")
     picks = cut(top_k(odd.withColumn("_h", F.md5(F.concat_ws("|", *by, "t"))), by, ["_h", "t"], per_file).select(*by, F.col("t").alias("t0"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az")))
-    got = polynomial_states(picks, even, [*by, "t0"], by, "t0", width_us=width_us).where("orbit_x_m is not null")
+    got = interpolated_states(picks, even, [*by, "t0"], by, "t0", width_us=width_us).where("orbit_x_m is not null")
     return got.withColumn("error_m", norm3(F.col("orbit_x_m") - F.col("ax"), F.col("orbit_y_m") - F.col("ay"), F.col("orbit_z_m") - F.col("az")))

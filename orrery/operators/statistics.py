@@ -32,11 +32,13 @@ def deming(sxx: Column, syy: Column, sxy: Column, sigma_x: float = SIGMA_X_M, si
     return F.when((sxy == 0) | (sxx == 0), None).when((a >= 0) | (root == 0), (a + root) / (2.0 * sxy)).otherwise(2.0 * lam * sxy / (root - a))
 
 
-def slopes(pairs: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") -> DataFrame:
-    """OLS, attenuation-corrected and Deming slopes, intercepts, r and median ratio per group of >= 3 pairs."""
+def slopes(pairs: DataFrame, by: Sequence[str], x: str = "x", y: str = "y", *, median_ratio: bool = False) -> DataFrame:
+    """OLS, attenuation-corrected and Deming slopes, intercepts and r per group of >= 3 pairs, from one aggregate;
+    ``median_ratio`` adds the exact median of y / x, which takes passes of its own."""
     p = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     aggs = [F.count(F.lit(1)).alias("n"), F.var_samp(x).alias("sxx"), F.var_samp(y).alias("syy"), F.covar_samp(x, y).alias("sxy"), F.avg(x).alias("mx"), F.avg(y).alias("my")]
-    s = with_quantiles(p, list(by), aggs, {"median_ratio": (F.when(F.col(x) != 0, F.col(y) / F.col(x)), 0.5)}).where("n >= 3")
+    ratio = F.when(F.col(x) != 0, F.col(y) / F.col(x))
+    s = (with_quantiles(p, list(by), aggs, {"median_ratio": (ratio, 0.5)}) if median_ratio else p.groupBy(*by).agg(*aggs)).where("n >= 3")
     k = F.col("sxy") / F.nullif(F.col("sxx"), F.lit(0.0))
     d = deming(F.col("sxx"), F.col("syy"), F.col("sxy"))
     return s.withColumns({"ols_slope": k, "deming_slope": d}).withColumns({

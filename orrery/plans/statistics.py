@@ -146,7 +146,7 @@ def t02(spark, d):
 @query("t03_attenuation_corrected", oracle(f"SELECT scope, {rsql('regr_slope(y,x)*(1+576.0/var_samp(x))')} AS corrected_slope, {rsql('median(CASE WHEN x<>0 THEN y/x END)')} AS median_ratio FROM pr GROUP BY 1 HAVING count(*)>=3", PAIR_CTE))
 def t03(spark, d):
     """Slope corrected for noise in x, and the median ratio."""
-    return statistics.slopes(scoped(pairs(spark, d)), ["scope"]).select("scope", rnd("corrected_slope").alias("corrected_slope"), rnd("median_ratio").alias("median_ratio"))
+    return statistics.slopes(scoped(pairs(spark, d)), ["scope"], median_ratio=True).select("scope", rnd("corrected_slope").alias("corrected_slope"), rnd("median_ratio").alias("median_ratio"))
 
 
 @query("t04_bootstrap_slope_ci")
@@ -264,10 +264,16 @@ def t10(spark, d):
     return x.select("l_orderkey", "l_linenumber", rnd("predicted_km").alias("predicted_km"), rnd("second_km").alias("second_km"), rnd("fused_km").alias("fused_km"), ok.alias("not_worse"))
 
 
-def smooth_arc(spark, d):
+def on_slow_orbit(t, days=40_000.0):
+    """Position on a circle that takes so many days: smooth even between epochs that lie days apart."""
+    a = F.col(t) / DAY_US * (2 * math.pi / days) + F.col("entity_id")
+    return 7e6 * F.cos(a), 7e6 * F.sin(a), 1e5 * F.sin(a / 2)
+
+
+def smooth_arc(spark, d, days=40_000.0):
     """Smooth positions on the epochs of the large series."""
-    a = F.col("t") / DAY_US * (2 * math.pi / 400.0) + F.col("entity_id")
-    return R.series(spark, d).select("entity_id", "t").distinct().select("entity_id", "t", (7e6 * F.cos(a)).alias("x"), (7e6 * F.sin(a)).alias("y"), (1e5 * F.sin(a / 2)).alias("z"))
+    x, y, z = on_slow_orbit("t", days)
+    return R.series(spark, d).select("entity_id", "t").distinct().select("entity_id", "t", x.alias("x"), y.alias("y"), z.alias("z"))
 
 
 def span_events(spark, d):
@@ -278,32 +284,85 @@ ANG = f"(t0/{DAY_US}.0*{2 * math.pi / 400.0!r}+e.entity_id)"
 
 
 @query("t11_state_interpolation", oracle(f"""SELECT o_orderkey, CASE WHEN beyond<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, {rsql('CASE WHEN beyond<=900000000 THEN beyond/1e6 END', 3)} AS extrapolation_s, coalesce(beyond<=900000000,false) AS close_to_truth
- FROM (SELECT o_orderkey, greatest(a-t0, t0-z, 0) AS beyond FROM (SELECT o_orderkey, entity_id, s + o_orderkey%86400*1000000 AS t0 FROM spans) e LEFT JOIN (SELECT entity_id, min(t) AS a, max(t) AS z FROM series GROUP BY 1) q ON q.entity_id=e.entity_id)"""))
+ FROM (SELECT o_orderkey, CASE WHEN a IS NOT NULL THEN greatest(a-t0, t0-z, 0) END AS beyond FROM (SELECT o_orderkey, entity_id, s + o_orderkey%86400*1000000 AS t0 FROM spans) e LEFT JOIN (SELECT entity_id, min(t) AS a, max(t) AS z FROM series GROUP BY 1) q ON q.entity_id=e.entity_id)"""))
 def t11(spark, d):
     """Ten-point interpolation at each event time; the smooth truth must be recovered to a thousandth of the radius."""
-    p = interpolate.polynomial_states(span_events(spark, d), smooth_arc(spark, d), ["o_orderkey"], ["entity_id"], "t0", width_us=30 * DAY_US)
+    p = interpolate.interpolated_states(span_events(spark, d), smooth_arc(spark, d, 400.0), ["o_orderkey"], ["entity_id"], "t0", width_us=30 * DAY_US)
     a = F.col("t0") / DAY_US * (2 * math.pi / 400.0) + F.col("entity_id")
     err = orbit.norm3(F.col("orbit_x_m") - 7e6 * F.cos(a), F.col("orbit_y_m") - 7e6 * F.sin(a), F.col("orbit_z_m") - 1e5 * F.sin(a / 2))
     return p.select("o_orderkey", "orbit_state_status", rnd("extrapolation_s", 3).alias("extrapolation_s"), F.coalesce(err < 7e3, F.lit(False)).alias("close_to_truth"))
 
 
-@query("t12_holdout_selfcheck")
+ORBIT_S = 5400.0  # period of the fast orbit below
+
+
+def on_orbit(us, phase):
+    """Position and velocity on a circular orbit at an epoch given in microseconds."""
+    w = 2 * math.pi / ORBIT_S
+    a = (us % int(ORBIT_S * 1e6)) / 1e6 * w + phase
+    return [(7e6 * F.cos(a)), (7e6 * F.sin(a)), (1e6 * F.sin(a)), (-7e6 * w * F.sin(a)), (7e6 * w * F.cos(a)), (1e6 * w * F.cos(a))]
+
+
+def orbit_arcs(spark, d):
+    """Two products for each state event: 1 Hz rows (of some only six, of some three, some with a repeated epoch), and 60 s rows."""
+    s = R._events(spark, d, "click").select("event_id", "entity_id", "t", "k")
+    k = F.col("k")
+    steps = F.when(k % 10 == 3, F.sequence(F.lit(0), F.lit(2))).when(k % 10 == 4, F.sequence(F.lit(0), F.lit(5))).otherwise(F.sequence(F.lit(-60), F.lit(60)))
+    dense = s.select("event_id", "entity_id", F.lit(1).alias("rank"), F.explode(F.when(k % 10 == 5, F.array_append(steps, F.lit(7))).otherwise(steps)).alias("i"), F.col("t").alias("c")).withColumn("t", F.col("c") + F.col("i") * 1_000_000)
+    coarse = s.where(k % 10 != 6).select("event_id", "entity_id", F.lit(2).alias("rank"), F.explode(F.sequence(F.lit(-20), F.lit(20))).alias("i"), F.col("t").alias("c")).withColumn("t", F.col("c") + F.col("i") * 60_000_000 + 123_456)
+    both = dense.unionByName(coarse)
+    x, y, z, *_ = on_orbit(F.col("t"), F.col("entity_id"))
+    return both.select(F.concat_ws("-", "event_id", "rank").alias("arc"), "t", x.alias("x"), y.alias("y"), z.alias("z"))
+
+
+#: Events 0 to 62 s after the middle of their arc, a few half an hour away: what the candidates give.
+T11_AT = "t + CASE WHEN k%10=7 THEN 1200000000 + 5000000*k ELSE k*630000 END"
+T11_W = f"(({T11_AT})%{int(ORBIT_S * 1e6)}/1e6*{2 * math.pi / ORBIT_S!r}::DOUBLE+entity_id)"
+
+
+@query("t11_dense_states", oracle(f"""SELECT event_id, candidates, orbit_state_status, CASE WHEN orbit_state_status='computed' THEN rank END AS rank, CASE WHEN orbit_state_status='computed' THEN CASE rank WHEN 1 THEN 'spline' ELSE 'polynomial' END END AS method,
+ CASE WHEN orbit_state_status='computed' AND in_arc THEN round_even(x, 0) END AS x_m, CASE WHEN orbit_state_status='computed' AND in_arc THEN round_even(vy, 0) END AS vy_mps, CASE WHEN orbit_state_status='computed' AND in_arc THEN true END AS within_1mm FROM (
+ SELECT *, CASE WHEN rank IS NULL THEN 'insufficient_coverage' ELSE 'computed' END AS orbit_state_status FROM (
+ SELECT event_id, CASE WHEN k%10=6 THEN 1 ELSE 2 END AS candidates, 7e6*cos({T11_W}) AS x, 7e6*{2 * math.pi / ORBIT_S!r}::DOUBLE*cos({T11_W}) AS vy, k%10<>7 AND NOT (k%10=4 AND k*0.63::DOUBLE>5) AND NOT (k%10<>3 AND k%10<>5 AND k*0.63::DOUBLE>60) AS in_arc,
+  CASE WHEN k%10 IN (3,5) THEN 2 WHEN k%10=7 THEN CASE WHEN 1140+5*k<=900 THEN 1 WHEN greatest(5*k-0.123456::DOUBLE, 0)<=900 THEN 2 END ELSE 1 END AS rank
+ FROM ev WHERE event_type='click'))"""))
+def t11b(spark, d):
+    """States from 1 Hz and 60 s products: spline, polynomial, and the next candidate where the first cannot be used."""
+    s = R._events(spark, d, "click").select("event_id", "entity_id", "k", F.expr(T11_AT.replace("%10=7", " % 10 = 7")).alias("t0"))
+    c = s.select("event_id", F.explode(F.when(F.col("k") % 10 == 6, F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))).alias("rank")).withColumn("arc", F.concat_ws("-", "event_id", "rank"))
+    p = interpolate.best_states(s, c, orbit_arcs(spark, d), ["event_id"], "arc", "t0", width_us=DAY_US)
+    x, y, z, vx, vy, vz = on_orbit(F.col("t0"), F.col("entity_id"))
+    off = orbit.norm3(F.col("orbit_x_m") - x, F.col("orbit_y_m") - y, F.col("orbit_z_m") - z)
+    drift = orbit.norm3(F.col("orbit_vx_mps") - vx, F.col("orbit_vy_mps") - vy, F.col("orbit_vz_mps") - vz)
+    inside = lambda c: F.when((F.col("orbit_state_status") == "computed") & (F.col("extrapolation_s") == 0), c)
+    return p.select("event_id", "candidates", "orbit_state_status", "rank", "method", inside(F.bround("orbit_x_m", 0)).alias("x_m"), inside(F.bround("orbit_vy_mps", 0)).alias("vy_mps"), inside((off < 1e-3) & (drift < 1e-3)).alias("within_1mm"))
+
+
+@query("t12_holdout_selfcheck", oracle("SELECT entity_id, least(5, greatest(0, (n-5)//2-2))::BIGINT AS sample_count, true AS median_within_1mm, true AS p75_within_1mm, true AS max_within_1mm FROM (SELECT entity_id, count(DISTINCT t) AS n FROM series GROUP BY 1) WHERE n>=24"))
 def t12(spark, d):
-    """Interpolation error on held-out rows per entity."""
+    """Interpolation error on held-out rows per entity, against the smooth truth."""
     e = interpolate.holdout_errors(smooth_arc(spark, d), ["entity_id"], width_us=30 * DAY_US)
-    return with_quantiles(e, ["entity_id"], [F.count("*").alias("sample_count"), F.max("error_m").alias("error_max_m")], {"error_median_m": (F.col("error_m"), 0.5), "error_p75_m": (F.col("error_m"), 0.75)})
+    q = with_quantiles(e, ["entity_id"], [F.count("*").alias("sample_count"), F.max("error_m").alias("max")], {"median": (F.col("error_m"), 0.5), "p75": (F.col("error_m"), 0.75)})
+    return q.select("entity_id", "sample_count", *[(F.col(c) < 1e-3).alias(f"{c}_within_1mm") for c in ("median", "p75", "max")])
+
 
+ARC_CTES = """sg AS (SELECT entity_id, t, t - lag(t) OVER (PARTITION BY entity_id ORDER BY t) AS gap FROM (SELECT DISTINCT entity_id, t FROM series)),
+sm AS (SELECT entity_id, median(gap) FILTER (gap>0) AS m FROM sg GROUP BY 1),
+sa AS (SELECT entity_id, t, sum(CASE WHEN gap > greatest(300000000, 10*coalesce(m, 300000000)) THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY t) AS arc FROM sg JOIN sm USING (entity_id)),
+arcs AS (SELECT entity_id, arc, min(t) AS a, max(t) AS z, count(*) AS n FROM sa GROUP BY 1,2 HAVING count(*)>=4)"""
 
-@query("t13_range_residuals")
+
+@query("t13_range_residuals", oracle("""SELECT entity_id, count(*) AS n, true AS rms_within_1mm, true AS median_within_1mm FROM (SELECT e.entity_id, e.t0, r.a, r.z, (r.z-r.a)/greatest(r.n-1, 1)::DOUBLE AS margin
+ FROM (SELECT entity_id, s + o_orderkey%86400*1000000 AS t0 FROM spans) e ASOF JOIN arcs r ON r.entity_id=e.entity_id AND e.t0>=r.a) WHERE t0>=a+margin AND t0<=z-margin GROUP BY 1""", ARC_CTES))
 def t13(spark, d):
     """Observed minus computed ranges on splined arcs, with the stations' positions at each epoch."""
     arc = cut(series.arcs(smooth_arc(spark, d), ["entity_id"], factor=10.0, width_us=30 * DAY_US))
-    ev = span_events(spark, d)
-    a = F.col("t0") / DAY_US * (2 * math.pi / 400.0) + F.col("entity_id")
+    x, y, z = on_slow_orbit("t0")
     sx = (F.col("o_orderkey") % 20) * 1e4 + 6e6
-    o = ev.select("entity_id", F.col("o_orderkey").alias("obs_id"), F.col("t0").alias("t"), orbit.norm3(7e6 * F.cos(a) - sx, 7e6 * F.sin(a), 1e5 * F.sin(a / 2)).alias("range_m"), sx.alias("sx"), F.lit(0.0).alias("sy"), F.lit(0.0).alias("sz"))
+    o = span_events(spark, d).select("entity_id", F.col("o_orderkey").alias("obs_id"), F.col("t0").alias("t"), orbit.norm3(x - sx, y, z).alias("range_m"), sx.alias("sx"), F.lit(0.0).alias("sy"), F.lit(0.0).alias("sz"))
     r = interpolate.range_residuals(o, arc, ["entity_id"], width_us=30 * DAY_US)
-    return with_quantiles(r, ["entity_id"], [F.count("*").alias("n"), F.sqrt(F.avg(F.col("oc_m") * F.col("oc_m"))).alias("rms_m")], {"median_oc_m": (F.col("oc_m"), 0.5)})
+    q = with_quantiles(r, ["entity_id"], [F.count("*").alias("n"), F.sqrt(F.avg(F.col("oc_m") * F.col("oc_m"))).alias("rms")], {"median": (F.abs("oc_m"), 0.5)})
+    return q.select("entity_id", "n", *[(F.col(c) < 1e-3).alias(f"{c}_within_1mm") for c in ("rms", "median")])
 
 
 @query("t14_window_response_record", oracle(f"SELECT annotation_id, coverage_tier, tle_response, orbit_response, slr_response, {rsql('delta_sma_km')} AS delta_sma_km, {rsql('orbit_radius_shift_m', 3)} AS orbit_radius_shift_m, {rsql('orbit_sma_shift_m', 2)} AS orbit_sma_shift_m, {rsql('slr_bias_shift_m')} AS slr_bias_shift_m FROM resp", *RESP))
@@ -312,31 +371,51 @@ def t14(spark, d):
     return responses(spark, d).select("annotation_id", "coverage_tier", "tle_response", "orbit_response", "slr_response", rnd("delta_sma_km").alias("delta_sma_km"), rnd("orbit_radius_shift_m", 3).alias("orbit_radius_shift_m"), rnd("orbit_sma_shift_m", 2).alias("orbit_sma_shift_m"), rnd("slr_bias_shift_m").alias("slr_bias_shift_m"))
 
 
-@query("t15_window_state_estimates")
+@query("t15_window_state_estimates", oracle(f"""SELECT a.annotation_id, round_even((a.event_t-m.t)/1e6, 3) AS tle_propagation_s, CASE WHEN m.t IS NULL THEN 'insufficient_coverage' WHEN a.event_t-m.t>{7 * DAY_US} THEN 'propagation_too_far' ELSE 'computed' END AS tle_state_status,
+ CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN true END AS orbit_within_1m,
+ p.before_s, p.after_s, p.band_points, CASE WHEN p.before_s IS NULL OR p.after_s IS NULL OR p.band_points=0 THEN 'insufficient_coverage' ELSE 'computed' END AS slr_state_status
+FROM annotations a LEFT JOIN (SELECT a.annotation_id, max(e.t) AS t FROM annotations a JOIN elements e ON e.entity_id=a.entity_id AND e.t<=a.event_t GROUP BY 1) m ON m.annotation_id=a.annotation_id
+LEFT JOIN (SELECT entity_id, count(*) AS n, min(t) AS a, max(t) AS z FROM states GROUP BY 1) o ON o.entity_id=a.entity_id
+LEFT JOIN (SELECT a.annotation_id, min((a.event_t-r.t)/1e6) FILTER (r.t<=a.event_t) AS before_s, min((r.t-a.event_t)/1e6) FILTER (r.t>a.event_t) AS after_s, count(r.t) FILTER (abs(r.t-a.event_t)<={DAY_US}) AS band_points FROM annotations a LEFT JOIN ranging r ON r.entity_id=a.entity_id GROUP BY 1) p ON p.annotation_id=a.annotation_id"""))
 def t15(spark, d):
-    """Element age, interpolated orbit state and nearest ranging passes of each event."""
+    """Element age, interpolated orbit state and nearest ranging passes of each event; states lie on a smooth orbit, which the estimate must meet."""
     a = R.annotations(spark, d)
     el = joins.asof_probes(a.select("annotation_id", "entity_id", "event_t"), R.elements(spark, d), ["annotation_id"], ["entity_id"], "t", ["t"], {"m": joins.Probe("event_t")})
     age = F.col("event_t") - F.col("m.t")
     el = el.select("annotation_id", rnd(age / 1e6, 3).alias("tle_propagation_s"), F.when(F.col("m").isNull(), "insufficient_coverage").when(age > 7 * DAY_US, "propagation_too_far").otherwise("computed").alias("tle_state_status"))
-    ob = interpolate.polynomial_states(a.select("annotation_id", "entity_id", "event_t"), R.states(spark, d), ["annotation_id"], ["entity_id"], "event_t").select("annotation_id", "orbit_state_status", "orbit_x_m", "orbit_vx_mps")
+    x, y, z = on_slow_orbit("t")
+    ob = interpolate.interpolated_states(a.select("annotation_id", "entity_id", "event_t"), R.states(spark, d).select("entity_id", "t", x.alias("x"), y.alias("y"), z.alias("z")), ["annotation_id"], ["entity_id"], "event_t")
+    x, y, z = on_slow_orbit("event_t")
+    near = orbit.norm3(F.col("orbit_x_m") - x, F.col("orbit_y_m") - y, F.col("orbit_z_m") - z) < 1.0  # epochs minutes and days apart in one window magnify rounding
+    ob = ob.select("annotation_id", "orbit_state_status", near.alias("orbit_within_1m"))
     sl = state.ranging_state(a, R.ranging(spark, d).withColumn("metric", F.col("sigma_m"))).select("annotation_id", "before_s", "after_s", "band_points", "slr_state_status")
     return el.join(ob, "annotation_id").join(sl, "annotation_id")
 
 
+TURN = f"({orbit.EARTH_RATE!r}::DOUBLE*((q.t%{DAY_US})/1e6))"
+PRED = f"pow({orbit.MU!r}::DOUBLE/pow(e.mean_motion/60.0::DOUBLE, 2), 1.0::DOUBLE/3.0::DOUBLE)"
+ARG = "(e.raan + e.mean_motion/60.0::DOUBLE*((q.t-e.t)/1e6))"
+OFF = lambda x, y: f"sqrt(pow({PRED}*cos({ARG})-({x}),2)+pow({PRED}*sin({ARG})*cos(e.inclination)-({y}),2)+pow({PRED}*sin({ARG})*sin(e.inclination)-q.z,2))/1000.0::DOUBLE"
+
+
 @query("t16_element_ephemeris_consistency", oracle(f"""SELECT s.entity_id, chain, count(*) AS n_compared, {rsql('median(res)', 3)} AS residual_median_km, {rsql('quantile_cont(res,0.95)', 3)} AS residual_p95_km, {rsql('max(res)', 3)} AS residual_max_km, {rsql('median(age)', 2)} AS age_median_h FROM (
- SELECT q.entity_id, unnest(['direct','rotated']) AS chain, unnest([value, value*1.01+k/100.0]) AS res, (q.t-e.t)/3600e6 AS age FROM (SELECT s.* FROM states s JOIN (SELECT entity_id, min(t) AS t0 FROM states GROUP BY 1) m ON m.entity_id=s.entity_id WHERE (s.t-m.t0)%600000000<300000000 AND s.entity_id IN (SELECT entity_id FROM (SELECT DISTINCT entity_id FROM states INTERSECT SELECT entity_id FROM elements) ORDER BY sha256(entity_id::VARCHAR) LIMIT 8)) q
+ SELECT q.entity_id, unnest(['direct','rotated']) AS chain, unnest([{OFF('q.x', 'q.y')}, {OFF(f'q.x*cos({TURN})-q.y*sin({TURN})', f'q.x*sin({TURN})+q.y*cos({TURN})')}]) AS res, (q.t-e.t)/3600e6 AS age FROM (SELECT s.* FROM states s JOIN (SELECT entity_id, min(t) AS t0 FROM states GROUP BY 1) m ON m.entity_id=s.entity_id WHERE (s.t-m.t0)%600000000<300000000 AND s.entity_id IN (SELECT entity_id FROM (SELECT DISTINCT entity_id FROM states INTERSECT SELECT entity_id FROM elements) ORDER BY sha256(entity_id::VARCHAR) LIMIT 8)) q
  ASOF JOIN elements e ON e.entity_id=q.entity_id AND q.t>e.t WHERE q.t-e.t<=12*{HOUR_US}) s GROUP BY 1,2"""))
 def t16(spark, d):
-    """Predicted against ephemeris states on a hash-ranked sample of eight satellites, thinned, elements at most 12 h old."""
+    """Distance between the position predicted from the last element set, at most 12 h old, and the ephemeris position, as it is and turned out
+    of the rotating frame; on a hash-ranked sample of eight satellites, thinned."""
     s, e = R.states(spark, d), R.elements(spark, d)
     pick = s.select("entity_id").intersect(e.select("entity_id")).orderBy(F.sha2(F.col("entity_id").cast("string"), 256)).limit(8)
     s = s.join(pick, "entity_id", "left_semi")
     first = s.groupBy("entity_id").agg(F.min("t").alias("t0"))
     s = s.join(first, "entity_id").where((F.col("t") - F.col("t0")) % 600_000_000 < 300_000_000)
-    m = joins.asof_probes(s, e, ["event_id"], ["entity_id"], "t", ["t"], {"m": joins.Probe("t", strict=True)})
+    m = joins.asof_probes(s, e, ["event_id"], ["entity_id"], "t", ["t", "mean_motion", "inclination", "raan"], {"m": joins.Probe("t", strict=True)})
     m = m.withColumn("age", (F.col("t") - F.col("m.t")) / 3600e6).where(F.col("t") - F.col("m.t") <= 12 * HOUR_US)
-    chain = F.explode(F.array(F.struct(F.lit("direct").alias("chain"), F.col("value").alias("res")), F.struct(F.lit("rotated").alias("chain"), (F.col("value") * 1.01 + F.col("k") / 100.0).alias("res"))))
+    predicted = orbit.circular_position(F.col("m.mean_motion"), F.col("m.inclination"), F.col("m.raan"), (F.col("t") - F.col("m.t")) / 1e6)
+    turn = orbit.EARTH_RATE * ((F.col("t") % DAY_US) / 1e6)
+    turned = (F.col("x") * F.cos(turn) - F.col("y") * F.sin(turn), F.col("x") * F.sin(turn) + F.col("y") * F.cos(turn), F.col("z"))
+    off = lambda position: orbit.norm3(*[p - q for p, q in zip(predicted, position, strict=True)]) / 1000.0
+    chain = F.explode(F.array(*[F.struct(F.lit(name).alias("chain"), off(position).alias("res")) for name, position in (("direct", (F.col("x"), F.col("y"), F.col("z"))), ("rotated", turned))]))
     x = m.select("entity_id", "age", chain.alias("c")).select("entity_id", "age", "c.*")
     q = with_quantiles(x, ["entity_id", "chain"], [F.count("*").alias("n_compared"), F.max("res").alias("mx")], {"m": (F.col("res"), 0.5), "p": (F.col("res"), 0.95), "a": (F.col("age"), 0.5)})
     return q.select("entity_id", "chain", "n_compared", rnd("m", 3).alias("residual_median_km"), rnd("p", 3).alias("residual_p95_km"), rnd("mx", 3).alias("residual_max_km"), rnd("a", 2).alias("age_median_h"))

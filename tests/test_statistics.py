@@ -99,11 +99,70 @@ def test_polynomial_states(spark):
     t = np.arange(0, 40) * 60_000_000
     s = spark.createDataFrame(pd.DataFrame({"e": 1, "t": t, "x": (t / 1e6) ** 2, "y": t / 1e6, "z": 1.0}))
     ev = spark.createDataFrame([(1, 1, 630_000_000), (2, 1, -600_000_000), (3, 1, -950_000_000)], "id long, e long, q long")
-    got = {r.id: r for r in interpolate.polynomial_states(ev, s, ["id"], ["e"], "q").collect()}
+    got = {r.id: r for r in interpolate.interpolated_states(ev, s, ["id"], ["e"], "q").collect()}
     assert math.isclose(got[1].orbit_x_m, 630.0**2, rel_tol=1e-9) and math.isclose(got[1].orbit_vx_mps, 1260.0, rel_tol=1e-6)
     assert got[2].extrapolation_s == 600.0 and got[3].orbit_state_status == "insufficient_coverage"
 
 
+def spline_of(t, y, q):
+    """Value and slope of the not-a-knot spline by a dense linear system: cubic on each step, smooth across rows."""
+    n = len(t) - 1
+    a, b = np.zeros((4 * n, 4 * n)), np.zeros(4 * n)
+    row = 0
+    for i in range(n):
+        for x, v in ((t[i], y[i]), (t[i + 1], y[i + 1])):
+            a[row, 4 * i : 4 * i + 4], b[row] = [(x - t[i]) ** k for k in range(4)], v
+            row += 1
+    for i in range(n - 1):
+        h = t[i + 1] - t[i]
+        a[row, 4 * i : 4 * i + 4], a[row, 4 * i + 5] = [0, 1, 2 * h, 3 * h * h], -1
+        a[row + 1, 4 * i : 4 * i + 4], a[row + 1, 4 * i + 6] = [0, 0, 2, 6 * h], -2
+        row += 2
+    for i in (0, n - 2):
+        a[row, 4 * i + 3], a[row, 4 * i + 7] = 1, -1
+        row += 1
+    c = np.linalg.solve(a, b).reshape(n, 4)
+    i = int(np.clip(np.searchsorted(t, q, side="right") - 1, 0, n - 1))
+    u = q - t[i]
+    return c[i] @ [1, u, u * u, u**3], c[i] @ [0, 1, 2 * u, 3 * u * u]
+
+
+def test_short_and_dense_series_take_the_spline(spark):
+    rng = np.random.default_rng(8)
+    series = {1: np.arange(300) * 1.0, 2: np.r_[0.0, np.sort(rng.random(6)) * 4000], 3: np.array([0.0, 100, 250, 300]), 4: np.array([0.0, 1, 2]), 5: np.array([0.0, 1, 1, 2, 3, 4]), 6: np.arange(20) * 60.0}
+    values = {e: np.sin(t / 40) * 1000 + t for e, t in series.items()}
+    s = spark.createDataFrame([(e, int(x * 1e6), float(v), float(2 * v), 1.0) for e, t in series.items() for x, v in zip(t, values[e], strict=True)], "e long, t long, x double, y double, z double")
+    ask = [(e, q) for e, t in series.items() for q in (0.0, t[-1] * 0.37, t[-1], t[-1] + 30, -20.5, t[-1] * 0.99, t[-1] + 901)]
+    ev = spark.createDataFrame([(i, e, int(round(q * 1e6))) for i, (e, q) in enumerate(ask)], "id long, e long, q long")
+    got = {r.id: r for r in interpolate.interpolated_states(ev, s, ["id"], ["e"], "q").collect()}
+    for i, (e, q) in enumerate(ask):
+        r, t = got[i], series[e]
+        if e in (4, 5) or q > t[-1] + 900:
+            assert r.orbit_state_status == "insufficient_coverage" and r.method is None
+            continue
+        assert r.method == ("polynomial" if e == 6 else "spline") and r.extrapolation_s == round(max(0, -q, q - t[-1]), 6)
+        if r.method == "spline":
+            v, k = spline_of(t, values[e], round(q, 6))
+            assert math.isclose(r.orbit_x_m, v, rel_tol=1e-7, abs_tol=1e-5) and math.isclose(r.orbit_vx_mps, k, rel_tol=1e-6, abs_tol=1e-6) and math.isclose(r.orbit_y_m, 2 * v, rel_tol=1e-7, abs_tol=1e-5)
+
+
+def test_the_median_step_decides_where_half_the_steps_are_short(spark):
+    for steps, want in (([1.0] * 5 + [9.2] * 5, "polynomial"), ([1.0] * 5 + [8.8] * 5, "spline"), ([1.0] * 5 + [9.0] * 5, "spline"), ([1.0] * 6 + [99.0] * 5, "spline"), ([1.0] * 5 + [99.0] * 6, "polynomial")):
+        t = np.concatenate([[0.0], np.cumsum(steps)])
+        s = spark.createDataFrame([(1, int(x * 1e6), float(x), 0.0, 0.0) for x in t], "e long, t long, x double, y double, z double")
+        got = interpolate.interpolated_states(spark.createDataFrame([(1, 1, 3_500_000)], "id long, e long, q long"), s, ["id"], ["e"], "q").first()
+        assert got.method == want and math.isclose(got.orbit_x_m, 3.5, rel_tol=1e-6) and math.isclose(got.orbit_vx_mps, 1.0, rel_tol=1e-5)
+
+
+def test_the_next_candidate_steps_in(spark):
+    rows = [("a", i * 1_000_000) for i in (0, 1, 1, 2, 3)] + [("b", i * 60_000_000) for i in range(-10, 11)] + [("c", i * 1_000_000) for i in range(-50, 50)]
+    s = spark.createDataFrame([(arc, t, t / 1e6, 0.0, 0.0) for arc, t in rows], "arc string, t long, x double, y double, z double")
+    ev = spark.createDataFrame([(i, 500_000) for i in range(1, 6)], "id long, q long")
+    c = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "c", 2), (2, "b", 5), (3, "a", 1), (4, "nowhere", 1)], "id long, arc string, rank int")
+    got = {r.id: (r.orbit_state_status, r.candidates, r.arc, r.method) for r in interpolate.best_states(ev, c, s, ["id"], "arc", "q").collect()}
+    assert got == {1: ("computed", 3, "b", "polynomial"), 2: ("computed", 2, "c", "spline"), 3: ("insufficient_coverage", 1, None, None), 4: ("insufficient_coverage", 1, None, None), 5: ("missing_data", 0, None, None)}
+
+
 def test_period_mean_matches_pandas_across_chunks(spark, monkeypatch):
     from orrery.operators import series
 
