@@ -48,21 +48,30 @@ def slopes(pairs: DataFrame, by: Sequence[str], x: str = "x", y: str = "y", *, m
     })
 
 
-def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = 2000, seed: int = 42) -> DataFrame:
+REPLICATES = 2000
+#: Fixed values of the replicates' hash: odd 32-bit multipliers of a lane and of the two mixing rounds.
+LANE, MIX_1, MIX_2 = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35
+#: Weights are Poisson of mean 1: the weight is the number of these that a uniform 32-bit number reaches.
+POISSON_STEPS = tuple(math.ceil(float(c) * 2**32) for c in np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(12)]))
+
+
+def replicate_weights(keys: np.ndarray, replicates: np.ndarray) -> np.ndarray:
+    """Poisson(1) weight of each row (key of 60 bits) in each replicate, from the two numbers alone: independent of partitioning and retries."""
+    low = np.uint64(0xFFFFFFFF)
+    keys, lanes = keys.astype(np.uint64)[:, None], (2 * replicates.astype(np.uint64) + np.uint64(1)) * np.uint64(LANE) & low
+    h = (((keys >> np.uint64(30)) + np.uint64(1)) * lanes + (keys & np.uint64((1 << 30) - 1))) & low
+    h = (h ^ (h >> np.uint64(16))) * np.uint64(MIX_1) & low
+    h = (h ^ (h >> np.uint64(13))) * np.uint64(MIX_2) & low
+    return np.searchsorted(np.array(POISSON_STEPS, np.uint64), h ^ (h >> np.uint64(16)), side="right")
+
+
+def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = REPLICATES) -> DataFrame:
     """OLS and Deming slope of each bootstrap replicate.
 
-    Every row draws a Poisson(1) weight per replicate from a hash of its ``key`` and the
-    replicate's number, so the result does not depend on partitioning or retries. A task keeps
+    Every row draws a Poisson(1) weight per replicate from its ``key``. A task keeps
     only six sums per replicate and emits one row each; rows are neither repeated nor gathered.
     """
-    steps = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(16)])  # distribution of the weights
-    lanes = np.random.default_rng(seed).integers(1, 2**63, replicates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def weights(keys: np.ndarray) -> np.ndarray:
-        h = (keys.astype(np.uint64)[:, None] + np.uint64(0x9E3779B97F4A7C15)) * lanes
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        return np.searchsorted(steps, (h >> np.uint64(11)).astype(float) / 2.0**53, side="right").astype(float)
+    every = np.arange(replicates)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((6, replicates))
@@ -70,8 +79,8 @@ def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = 2000, seed
             for lo in range(0, len(pdf), 256):
                 part = pdf.iloc[lo : lo + 256]
                 x, y = part["x"].to_numpy(), part["y"].to_numpy()
-                sums += np.vstack([np.ones_like(x), x, y, x * x, y * y, x * y]) @ weights(part[key].to_numpy())
-        yield pd.DataFrame(dict(zip(("n", "sx", "sy", "qxx", "qyy", "qxy"), sums), replicate=np.arange(replicates)))
+                sums += np.vstack([np.ones_like(x), x, y, x * x, y * y, x * y]) @ replicate_weights(part[key].to_numpy(), every).astype(float)
+        yield pd.DataFrame(dict(zip(("n", "sx", "sy", "qxx", "qyy", "qxy"), sums), replicate=every))
 
     clean = pairs.where("x is not null and y is not null").select(key, "x", "y")
     # shift by the means first: sums of squares of raw values would cancel
@@ -84,15 +93,47 @@ def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = 2000, seed
     return s.select("replicate", F.when(sxx > 0, sxy / sxx).alias("ols_slope"), F.when(sxx > 0, deming(sxx, syy, sxy)).alias("deming_slope"))
 
 
-def median_interval(values: DataFrame, column: str, level_z: float = 1.959963984540054) -> DataFrame:
-    """Median with the percentile-bootstrap interval in the limit of many resamples.
+def bootstrap_medians(values: DataFrame, key: str, column: str, *, replicates: int = REPLICATES, blocks: int = 25) -> DataFrame:
+    """(replicate, median) of ``replicates`` bootstrap resamples, exact.
 
-    A resampled median falls below the k-th order statistic with a binomial probability,
-    so its 2.5 and 97.5 percentiles are the order statistics at n/2 -+ z*sqrt(n)/2.
+    A resampled median stays within a few times sqrt(n) ranks of the middle. So one pass over all rows sums, for each replicate, the weights
+    of all rows and of those under a central interval of 8 standard deviations; only the rows inside, some 8 sqrt(n), are
+    ordered, by blocks of replicates in as many tasks. A median outside the interval stops the job.
     """
-    n = values.where(F.col(column).isNotNull()).count()
-    half = level_z / (2 * np.sqrt(max(n, 1)))
-    return exact_quantiles(values, [], {"median": (F.col(column), 0.5), "ci_low": (F.col(column), float(max(0.0, 0.5 - half))), "ci_high": (F.col(column), float(min(1.0, 0.5 + half)))}).withColumn("n", F.lit(n))
+    every = np.arange(replicates)
+    clean = values.where(F.col(column).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(column).cast("double").alias("v"))
+    n = clean.count()
+    half = min(0.5, 4.0 / math.sqrt(max(n, 1)))
+    bounds = exact_quantiles(clean, [], {"lo": (F.col("v"), 0.5 - half), "hi": (F.col("v"), 0.5 + half)})
+    lo, hi = bounds.first() if n else (0.0, 0.0)
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, under = np.zeros(replicates, np.int64), np.zeros(replicates, np.int64)
+        for pdf in batches:
+            for at in range(0, len(pdf), 256):
+                part = pdf.iloc[at : at + 256]
+                w = replicate_weights(part["key"].to_numpy(), every)
+                total += w.sum(axis=0)
+                under += w[(part["v"] < lo).to_numpy()].sum(axis=0)
+        yield pd.DataFrame({"replicate": every, "total": total, "under": under})
+
+    sums = clean.mapInPandas(totals, "replicate int, total long, under long").groupBy("replicate").agg(F.sum("total").alias("total"), F.sum("under").alias("under"))
+    sums = sums.withColumn("block", F.col("replicate") % blocks)
+    inside = clean.where(F.col("v").between(lo, hi)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def medians(rows: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("v", kind="stable")
+        v, keys, out = rows["v"].to_numpy(), rows["key"].to_numpy(), []
+        for r, total, under in zip(sums["replicate"], sums["total"], sums["under"], strict=True):
+            upto = under + np.cumsum(replicate_weights(keys, np.array([r]))[:, 0])
+            if total:
+                at = np.searchsorted(upto, [(total - 1) // 2, total // 2], side="right")
+                if under > (total - 1) // 2 or at[1] == len(v):
+                    raise ValueError(f"the median of replicate {r} lies outside the central interval")
+                out.append((r, v[at].mean()))
+        return pd.DataFrame(out, columns=["replicate", "median"]).astype({"replicate": "int32", "median": "float64"})
+
+    return inside.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(medians, "replicate int, median double")
 
 
 def ks_pairs(df: DataFrame, by: Sequence[str], group: str, value: str, bucket: Column, min_group: int = 5) -> DataFrame:

@@ -149,25 +149,53 @@ def t03(spark, d):
     return statistics.slopes(scoped(pairs(spark, d)), ["scope"], median_ratio=True).select("scope", rnd("corrected_slope").alias("corrected_slope"), rnd("median_ratio").alias("median_ratio"))
 
 
-@query("t04_bootstrap_slope_ci")
+def weighted_sql(rows: str, columns: str, replicates: str = "") -> str:
+    """Rows (key, columns) with their weight w in each replicate r, as in ``replicate_weights``. ``replicates``: where r comes from, if not
+    from the rows."""
+    low, c = "4294967295::UBIGINT", f"r, {columns}"
+    h = f"SELECT {c}, (((key::UBIGINT >> 30) + 1) * (((2*r+1)::UBIGINT * {statistics.LANE}::UBIGINT) & {low}) + (key::UBIGINT & {(1 << 30) - 1}::UBIGINT)) & {low} AS h FROM {rows}{replicates}"
+    h = f"SELECT {c}, (xor(h, h >> 16) * {statistics.MIX_1}::UBIGINT) & {low} AS h FROM ({h})"
+    h = f"SELECT {c}, (xor(h, h >> 13) * {statistics.MIX_2}::UBIGINT) & {low} AS h FROM ({h})"
+    h = f"SELECT {c}, xor(h, h >> 16) AS h FROM ({h})"
+    steps = " ".join(f"WHEN h < {t} THEN {k}" for k, t in enumerate(statistics.POISSON_STEPS))
+    return f"(SELECT {c}, CASE {steps} ELSE {len(statistics.POISSON_STEPS)} END AS w FROM ({h}))"
+
+
+EVERY = f", range({statistics.REPLICATES}) t(r)"
+ROW_KEY = "('0x' || substr(md5(l_orderkey || '|' || l_linenumber), 1, 15))::BIGINT"
+
+
+def row_key():
+    return F.conv(F.substring(F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber")), 1, 15), 16, 10).cast("long")
+
+
+@query("t04_bootstrap_slope_ci", oracle(f"""SELECT estimator, count(s) AS finite, {rsql('quantile_cont(s, 0.025)', 5)} AS ci_low, {rsql('quantile_cont(s, 0.975)', 5)} AS ci_high FROM (
+ SELECT unnest(['ols', 'deming']) AS estimator, unnest([sxy/sxx, CASE WHEN syy-{LAM}*sxx>=0 THEN (syy-{LAM}*sxx+sqrt(pow(syy-{LAM}*sxx,2)+4*{LAM}*sxy*sxy))/(2*sxy) ELSE 2*{LAM}*sxy/(sqrt(pow(syy-{LAM}*sxx,2)+4*{LAM}*sxy*sxy)-(syy-{LAM}*sxx)) END]) AS s FROM (
+ SELECT (qxx-sx*sx/n)/(n-1) AS sxx, (qyy-sy*sy/n)/(n-1) AS syy, (qxy-sx*sy/n)/(n-1) AS sxy FROM (SELECT r, sum(w) AS n, sum(w*x) AS sx, sum(w*y) AS sy, sum(w*x*x) AS qxx, sum(w*y*y) AS qyy, sum(w*x*y) AS qxy FROM (SELECT r, x, y, w::DOUBLE AS w FROM {weighted_sql('px', 'x, y', EVERY)}) GROUP BY r) WHERE n>2)) GROUP BY 1""",
+    f"p0 AS (SELECT {ROW_KEY} AS key, delta_sma_km*1000.0 AS x, orbit_shift_m AS y FROM effects WHERE delta_sma_km IS NOT NULL AND orbit_shift_m IS NOT NULL), px AS (SELECT key, x - (SELECT avg(x) FROM p0) AS x, y - (SELECT avg(y) FROM p0) AS y FROM p0)"))
 def t04(spark, d):
     """Bootstrap intervals of the OLS and Deming slope by Poisson resampling inside the scan."""
-    p = pairs(spark, d).withColumn("key", F.xxhash64("l_orderkey", "l_linenumber", "x").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)))
-    b = statistics.bootstrap_slopes(p, "key")
+    b = statistics.bootstrap_slopes(pairs(spark, d).withColumn("key", row_key()), "key")
     est = F.explode(F.array(F.struct(F.lit("ols").alias("estimator"), F.col("ols_slope").alias("s")), F.struct(F.lit("deming").alias("estimator"), F.col("deming_slope").alias("s"))))
     x = b.select(est.alias("e")).select("e.*")
     q = x.groupBy("estimator").agg(F.count("s").alias("finite"), F.percentile("s", F.array(F.lit(0.025), F.lit(0.975))).alias("ci"))  # one value per replicate
-    ok = F.col("finite") >= 100
-    return q.select("estimator", "finite", F.when(ok, F.col("ci")[0]).alias("ci_low"), F.when(ok, F.col("ci")[1]).alias("ci_high"))
+    ok = F.col("finite") >= statistics.REPLICATES / 2
+    return q.select("estimator", "finite", F.when(ok, rnd(F.col("ci")[0], 5)).alias("ci_low"), F.when(ok, rnd(F.col("ci")[1], 5)).alias("ci_high"))
 
 
-@query("t04_bootstrap_median_ci", oracle(f"""SELECT n, {rsql('l[floor(p1)::BIGINT+1]+(l[ceil(p1)::BIGINT+1]-l[floor(p1)::BIGINT+1])*(p1-floor(p1))')} AS median_m, {rsql('l[floor(p2)::BIGINT+1]+(l[ceil(p2)::BIGINT+1]-l[floor(p2)::BIGINT+1])*(p2-floor(p2))')} AS ci_low,
- {rsql('l[floor(p3)::BIGINT+1]+(l[ceil(p3)::BIGINT+1]-l[floor(p3)::BIGINT+1])*(p3-floor(p3))')} AS ci_high FROM (SELECT n, l, 0.5*(n-1) AS p1, (0.5-1.959963984540054::DOUBLE/(2*sqrt(n)))*(n-1) AS p2, (0.5+1.959963984540054::DOUBLE/(2*sqrt(n)))*(n-1) AS p3 FROM (SELECT count(m) AS n, list_sort(list(m) FILTER (m IS NOT NULL)) AS l FROM (SELECT abs(delta_sma_km)*1000.0 AS m FROM effects)))"""))
+@query("t04_bootstrap_median_ci", oracle(f"""SELECT (SELECT count(*) FROM v0) AS n, (SELECT {rsql('median(m)')} FROM v0) AS median_m, {rsql('quantile_cont(m, 0.025)')} AS ci_low, {rsql('quantile_cont(m, 0.975)')} AS ci_high FROM (
+ SELECT r, avg(m) AS m FROM (SELECT r, pos, min(m) AS m FROM (SELECT r, pos, m, before + sum(w) OVER (PARTITION BY r, pos ORDER BY m, i) AS upto FROM {weighted_sql('(SELECT * FROM mid JOIN v0 USING (cell))', 'pos, before, m, i')}) WHERE upto>pos GROUP BY 1, 2) GROUP BY 1)""",
+    f"v0 AS (SELECT *, i//256 AS cell FROM (SELECT {ROW_KEY} AS key, abs(delta_sma_km)*1000.0 AS m, row_number() OVER (ORDER BY abs(delta_sma_km)*1000.0, l_orderkey, l_linenumber) AS i FROM effects WHERE delta_sma_km IS NOT NULL))",
+    f"cw AS (SELECT r, cell, sum(w)::BIGINT AS w FROM {weighted_sql('v0', 'cell', EVERY)} GROUP BY 1, 2)",
+    "cc AS (SELECT r, cell, w, sum(w) OVER (PARTITION BY r ORDER BY cell) - w AS before, sum(w) OVER (PARTITION BY r) AS total FROM cw)",
+    "mid AS (SELECT DISTINCT r, cell, before, pos FROM (SELECT *, unnest([(total-1)//2, total//2]) AS pos FROM cc) WHERE before<=pos AND pos<before+w)"))
 def t04b(spark, d):
-    """Median response with its many-resample bootstrap interval."""
-    e = R.effects(spark, d).select((F.abs("delta_sma_km") * 1000.0).alias("m"))
-    q = statistics.median_interval(e, "m")
-    return q.select(F.col("n").cast("bigint").alias("n"), rnd("median").alias("median_m"), rnd("ci_low").alias("ci_low"), rnd("ci_high").alias("ci_high"))
+    """Median response with the interval of 2000 resampled medians."""
+    e = R.effects(spark, d).select(row_key().alias("key"), (F.abs("delta_sma_km") * 1000.0).alias("m"))
+    b = statistics.bootstrap_medians(e, "key", "m").agg(F.percentile("median", F.array(F.lit(0.025), F.lit(0.975))).alias("ci"))
+    n = e.agg(F.count("m").alias("n"))
+    q = exact_quantiles(e, [], {"median": (F.col("m"), 0.5)})
+    return n.join(q).join(b).select("n", rnd("median").alias("median_m"), rnd(F.col("ci")[0]).alias("ci_low"), rnd(F.col("ci")[1]).alias("ci_high"))  # three one-row tables
 
 
 KS_CTE = """ks0 AS (SELECT entity_id, lt, rt, max(abs(ca::DOUBLE/na-cb::DOUBLE/nb)) AS d, CAST(any_value(na) AS BIGINT) AS n_left, CAST(any_value(nb) AS BIGINT) AS n_right FROM (

@@ -74,6 +74,22 @@ def test_bootstrap_is_independent_of_partitioning(spark):
     assert np.allclose(a.ols_slope, b.ols_slope) and abs(a.ols_slope.mean() - 0.6) < 0.01
 
 
+def test_resampled_medians_are_those_of_the_repeated_rows(spark):
+    rng = np.random.default_rng(9)
+    for n in (0, 1, 2, 3, 40, 3000):
+        keys, v = rng.integers(0, 2**60, n), np.round(rng.normal(size=n) ** 3, 1)
+        df = spark.createDataFrame([(int(k), float(x)) for k, x in zip(keys, v, strict=True)] + [(5, None)], "key long, m double")
+        got = {r.replicate: r.median for r in statistics.bootstrap_medians(df, "key", "m", replicates=60, blocks=7).collect()}
+        w = statistics.replicate_weights(keys, np.arange(60))
+        assert got == {r: float(np.median(np.repeat(v, w[:, r]))) for r in range(60) if w[:, r].sum()}
+
+
+def test_replicate_weights_are_poisson(spark):
+    for keys in (np.arange(4000), np.random.default_rng(1).integers(0, 2**60, 4000)):
+        w = statistics.replicate_weights(keys, np.arange(300)).astype(float)
+        assert abs(w.mean() - 1) < 0.005 and abs(w.var() - 1) < 0.01 and np.abs(np.corrcoef(w.T) - np.eye(300)).max() < 0.12 and abs(w.sum(axis=0).std() / np.sqrt(4000) - 1) < 0.15
+
+
 def test_deming_limits(spark):
     r = spark.sql("select 1").select(
         statistics.deming(F.lit(4.0), F.lit(1.0), F.lit(1.0), 1.0, 1e-6).alias("x_errs"), statistics.deming(F.lit(4.0), F.lit(1.0), F.lit(1.0), 1e-6, 1.0).alias("y_errs"), statistics.deming(F.lit(4.0), F.lit(1.0), F.lit(0.0)).alias("none")
