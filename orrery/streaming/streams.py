@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from orrery.operators.dedup import keep_one
+from orrery.operators.scan import HOUR_US, neighbour, slot
 
 
 def effective_start(requested_us: int, end_us: int, last_end_us: int | None, overlap_us: int = 1_800_000_000) -> int | None:
@@ -28,9 +30,25 @@ def open_stream(spark: SparkSession, path: str, schema, *, files_per_trigger: in
     return (reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).parquet(path)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on disk, so it may outgrow the heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def drain_append(stream: DataFrame, out: str, checkpoint: str) -> None:
     """Process what has arrived and stop; exactly once through the file sink's log."""
-    stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with rocksdb_state(stream.sparkSession):
+        stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def drain_upsert(stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str) -> DataFrame:
@@ -75,42 +93,89 @@ def session_arcs(stream: DataFrame, by: Sequence[str], t: str, delay: str, gap:
     return g.select(*by, F.col("w.start").alias("arc_start"), "last_t", "n")
 
 
-# last closed row, then the rows still open to late arrivals
-_STATE = "last_us long, last_v double, seen long, open_us array<long>, open_v array<double>"
-_PAIRS = "entity_id long, prev_us long, t_us long, prev_v double, v double, late boolean"
-
-
-def _close_pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last_us, last_v, seen, open_us, open_v = state.get if state.exists else (0, 0.0, 0, [], [])
-    rows = list(zip(open_us, open_v))
-    for pdf in batches:
-        rows += list(zip(pdf["t_us"].tolist(), pdf["value"].tolist()))
-    rows.sort()
-    mark = state.getCurrentWatermarkMs() * 1000
-    out, keep = [], []
-    for us, v in rows:
-        if us > mark:
-            keep.append((us, v))
-            continue
-        if seen and us <= last_us:
-            out.append((key[0], None, us, None, v, True))
-            continue
-        if seen:
-            out.append((key[0], last_us, us, last_v, v, False))
-        last_us, last_v, seen = us, v, 1
-    state.update((last_us, last_v, seen, [u for u, _ in keep], [x for _, x in keep]))
-    if keep:
-        state.setTimeoutTimestamp(max(int(keep[-1][0] // 1000) + 1, state.getCurrentWatermarkMs() + 1))
-    names = ["entity_id", "prev_us", "t_us", "prev_v", "v", "late"]
-    yield pd.DataFrame(out, columns=names).astype({"prev_us": "Int64", "prev_v": "float64"})
-
-
-def consecutive_pairs(stream: DataFrame, t: str, delay: str) -> DataFrame:
-    """Consecutive rows of an entity across micro-batches, emitted once both are closed by the watermark.
-
-    ``stream`` has entity_id, the timestamp ``t``, ``t_us`` and ``value``. Rows may arrive in any
-    order within the delay; the state holds one closed row and the open ones. A row that comes after
-    later ones were closed forms no pair; it is returned marked ``late``, to be counted.
+def open_arcs(spark: SparkSession, checkpoint: str, by: Sequence[str]) -> DataFrame:
+    """Closing pass of ``session_arcs``: the arcs its state still holds open, read from the checkpoint."""
+    held = spark.read.format("statestore").load(checkpoint)
+    return held.select(*[F.col(f"key.{c}").alias(c) for c in by], F.col("value.session_window.start").alias("arc_start"), F.col("value.max").alias("last_t"), F.col("value.count").alias("n"))
+
+
+_PAIRS = "entity_id long, prev_us long, t_us long, prev_v double, v double, status string"
+_LAST = "t_us long, v double"
+_SLOT = "slot long"
+_ROWS = "t_us array<long>, v array<double>"
+
+
+class PairsByClosedSlots(StatefulProcessor):
+    """Holds the rows of each open time slot of an entity and the last row of the slots closed so far.
+
+    A slot is closed by an event-time timer at its end. Only closed slots are read back, each by itself, so a
+    micro-batch costs what it brings and what it closes, not what is open.
+    """
+
+    def __init__(self, width_us: int):
+        self.width_us = width_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", _LAST)
+        self.open = handle.getMapState("open", _SLOT, _ROWS)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        for batch in rows:
+            slot = batch["t_us"] // self.width_us
+            late = (slot + 1) * self.width_us <= mark
+            for n, part in batch[~late].groupby(slot[~late]):
+                n = int(n)
+                t, v = map(list, self.open.getValue((n,))) if self.open.containsKey((n,)) else ([], [])
+                self.open.updateValue((n,), (t + part["t_us"].tolist(), v + part["value"].tolist()))
+                self.handle.registerTimer((n + 1) * self.width_us // 1000)
+            if late.any():
+                yield _pair_rows(key[0], batch["t_us"][late], batch["value"][late], None, None, "late")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        for n in sorted(k[0] for k in self.open.keys() if (k[0] + 1) * self.width_us <= mark):
+            rows = pd.DataFrame(dict(zip(("t", "v"), self.open.getValue((n,))))).sort_values(["t", "v"], ignore_index=True)
+            before = self.last.get() if self.last.exists() else None
+            prev_t, prev_v = rows["t"].astype("Int64").shift(), rows["v"].shift()
+            if before is not None:
+                prev_t.iloc[0], prev_v.iloc[0] = before
+            self.last.update((int(rows["t"].iloc[-1]), float(rows["v"].iloc[-1])))
+            self.open.removeKey((n,))
+            found = prev_t.notna()
+            if found.any():
+                yield _pair_rows(key[0], rows["t"][found], rows["v"][found], prev_t[found], prev_v[found], "closed")
+
+    def close(self) -> None:
+        pass
+
+
+def _pair_rows(entity: int, t: pd.Series, v: pd.Series, prev_t: pd.Series | None, prev_v: pd.Series | None, status: str) -> pd.DataFrame:
+    none = pd.Series(pd.NA, index=t.index)
+    return pd.DataFrame({
+        "entity_id": entity, "prev_us": (none if prev_t is None else prev_t).astype("Int64"), "t_us": t,
+        "prev_v": (none if prev_v is None else prev_v).astype("Float64"), "v": v, "status": status,
+    })
+
+
+def consecutive_pairs(stream: DataFrame, t: str, delay: str, width_us: int = HOUR_US) -> DataFrame:
+    """Consecutive rows of an entity across micro-batches, emitted once their time slot is closed by the watermark.
+
+    ``stream`` has entity_id, the timestamp ``t``, ``t_us`` and ``value``, none of them NULL. Rows may arrive in any order
+    within the delay; equal times are ordered by value. A row whose slot is already closed forms no pair: it is returned with
+    status ``late``, all others are ``closed``. Pairs of slots still open are given by ``open_pairs``. Needs the RocksDB state store.
     """
-    s = stream.withWatermark(t, delay)
-    return s.groupBy("entity_id").applyInPandasWithState(_close_pairs, _PAIRS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    # the timestamp is dropped after the watermark is set, so that rows behind the watermark reach the operator and are counted
+    s = stream.withWatermark(t, delay).select("entity_id", "t_us", "value")
+    return s.groupBy("entity_id").transformWithStateInPandas(PairsByClosedSlots(width_us), _PAIRS, "append", "EventTime")
+
+
+def open_pairs(spark: SparkSession, checkpoint: str, width_us: int = HOUR_US) -> DataFrame:
+    """Closing pass of ``consecutive_pairs``: the pairs (status ``open``) that the stream's state still holds, read from its checkpoint."""
+    state = lambda name: spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+    last = state("last").select(F.col("key.entity_id").alias("entity_id"), F.col("value.t_us").alias("t_us"), F.col("value.v").alias("v"), F.lit(False).alias("is_open"))
+    held = state("open").select(F.col("key.entity_id").alias("entity_id"), F.explode(F.arrays_zip(F.col("user_map_value.t_us").alias("t_us"), F.col("user_map_value.v").alias("v"))).alias("r"))
+    rows = last.unionByName(held.select("entity_id", "r.t_us", "r.v", F.lit(True).alias("is_open")))
+    near = neighbour(rows, ["entity_id"], ["t_us", "is_open", "v"], slot("t_us", width_us), ["t_us", "v"]).where("is_open and prev is not null")
+    return near.select("entity_id", F.col("prev.t_us").alias("prev_us"), "t_us", F.col("prev.v").alias("prev_v"), "v", F.lit("open").alias("status"))

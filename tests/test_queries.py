@@ -11,7 +11,7 @@ from tools.check import TABLES, rows_of
 
 load_all()
 D = "/root/testdata/sf0.001"
-QUICK = "j01_ j05_ j06_ j17_ w02_ w04_ l02_ l04_ a12_ a15_ q01_ q16_ d04_ t01_ t05_ v04_ v09_ s01_ s02_ s04_ s06_ s14_ t04_ t11_d t15_ t16_ s16_ k03_ u03_ o02_".split()
+QUICK = "j01_ j05_ j06_ j17_ w02_ w04_ l02_ l04_ a12_ a15_ q01_ q16_ d04_ t01_ t05_ v04_ v09_ s01_ s02_ s04_ s06_ s14_ t04_ t11_d t15_ t16_ s16_ k03_ r03_ r06_ u03_ o02_".split()
 NAMES = [n for n in ORACLES if os.environ.get("ORRERY_ALL") or any(n.startswith(q) for q in QUICK)]
 
 
