@@ -34,6 +34,43 @@ def _asked(left: DataFrame, key: Sequence[str], by: Sequence[str], probes: dict[
     return left.select(*cols, F.explode(items).alias("_p")).select(*cols, "_p.*").withColumn("_b", slot("_t", width_us))
 
 
+def _edge_carries(rhs: DataFrame, slots_asked: DataFrame, by: Sequence[str], back: bool, fore: bool) -> DataFrame:
+    """For each asked (entity, slot) the last right payload of earlier slots (``_carry_b``) and the first of later ones (``_carry_f``)."""
+    edge_cols, carries = [], {}
+    if back:
+        past = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        edge_cols.append(F.max_by("_pay", "_kb").alias("_last"))
+        carries["_carry_b"] = F.last("_last", ignorenulls=True).over(past)
+    if fore:
+        later = Window.partitionBy(*by).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        edge_cols.append(F.min_by("_pay", "_kf").alias("_first"))
+        carries["_carry_f"] = F.last("_first", ignorenulls=True).over(later)
+    edges = rhs.groupBy(*by, "_b").agg(*edge_cols)
+    slots = edges.join(slots_asked.withColumn("_ask", F.lit(True)), [*by, "_b"], "full_outer")
+    return slots.withColumns(carries).where("_ask").select(*by, "_b", *carries)
+
+
+def _asof_rows(left: DataFrame, rhs: DataFrame, by: Sequence[str], probes: dict[str, Probe], width_us: int) -> DataFrame:
+    """As-of lookups at one time column: whole left rows stand among the right rows of their (entity, slot)."""
+    t = next(iter(probes.values())).t
+    lhs = left.select(F.struct(*left.columns).alias("_row"), *by, F.col(t).alias("_t")).withColumn("_b", slot("_t", width_us))
+    slots_asked = lhs.select(*by, "_b").distinct()
+    both = rhs.join(slots_asked, [*by, "_b"], "left_semi").unionByName(lhs, allowMissingColumns=True)
+    kinds = {(p.forward, p.strict) for p in probes.values()}
+    hits = {}
+    for forward, strict in sorted(kinds):
+        # at equal times a strict probe stands before the right rows, any other after them, in either direction
+        tag = F.when(F.col("_row").isNull(), 1).otherwise(0 if strict else 2)
+        order = (F.col("_t").desc(), tag, F.col("_kf").desc()) if forward else (F.col("_t"), tag, F.col("_kb"))
+        upto = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hits[f"_hit_{int(forward)}{int(strict)}"] = F.last("_pay", ignorenulls=True).over(upto)
+    local = both.withColumns(hits).where(F.col("_row").isNotNull()).select("_row", *by, "_b", *hits)
+    carry = _edge_carries(rhs, slots_asked, by, any(not f for f, _ in kinds), any(f for f, _ in kinds))
+    found = local.join(carry, [*by, "_b"], "left")
+    picks = [F.coalesce(f"_hit_{int(p.forward)}{int(p.strict)}", f"_carry_{'f' if p.forward else 'b'}").alias(n) for n, p in probes.items()]
+    return found.select("_row.*", *picks)
+
+
 def asof_probes(
     left: DataFrame,
     right: DataFrame,
@@ -53,41 +90,33 @@ def asof_probes(
     column of ``payload`` (NULL if nothing is found). Right rows are shuffled only
     for (entity, slot) pairs that hold a probe; every other slot contributes one
     map-side combined edge row, so no task sees a whole entity. Several probes
-    share one pass.
+    share one pass. Where all probes have one time column, the left row itself travels
+    through the windows, so a large left side is shuffled once and never joined back.
     """
     key, by = list(key), list(by)
-    asked = _asked(left, key, by, probes, width_us)
     fkey = F.struct(right_t, *(tie if tie_forward is None else tie_forward))
     rhs = (
         right.where(F.col(right_t).isNotNull())
         .select(*by, F.col(right_t).alias("_t"), F.struct(*payload).alias("_pay"), F.struct(right_t, *tie).alias("_kb"), fkey.alias("_kf"))
         .withColumn("_b", slot("_t", width_us))
     )
+    if len({p.t for p in probes.values()}) == 1:
+        return _asof_rows(left, rhs, by, probes, width_us)
+    asked = _asked(left, key, by, probes, width_us)
     slots_asked = asked.select(*by, "_b").distinct()
     near = rhs.join(slots_asked, [*by, "_b"], "left_semi").withColumn("_tag", F.lit(1))
     both = near.unionByName(asked, allowMissingColumns=True)
     back = [p for p in probes.values() if not p.forward]
     fore = [p for p in probes.values() if p.forward]
     frame = lambda *order: Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits, edge_cols = {}, []
+    hits = {}
     if back:
         hits["_hit_b"] = F.last("_pay", ignorenulls=True).over(frame("_t", "_tag", "_kb"))
-        edge_cols.append(F.max_by("_pay", "_kb").alias("_last"))
     if fore:
         hits["_hit_f"] = F.last("_pay", ignorenulls=True).over(frame(F.col("_t").desc(), "_tag", F.col("_kf").desc()))
-        edge_cols.append(F.min_by("_pay", "_kf").alias("_first"))
     local = both.withColumns(hits).where(F.col("_probe").isNotNull())
 
-    edges = rhs.groupBy(*by, "_b").agg(*edge_cols)
-    slots = edges.join(slots_asked.withColumn("_ask", F.lit(True)), [*by, "_b"], "full_outer")
-    carries = {}
-    if back:
-        past = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        carries["_carry_b"] = F.last("_last", ignorenulls=True).over(past)
-    if fore:
-        later = Window.partitionBy(*by).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        carries["_carry_f"] = F.last("_first", ignorenulls=True).over(later)
-    carry = slots.withColumns(carries).where("_ask").select(*by, "_b", *carries)
+    carry = _edge_carries(rhs, slots_asked, by, bool(back), bool(fore))
     found = local.join(carry, [*by, "_b"], "left")
     picks = []
     for i, (name, p) in enumerate(probes.items()):

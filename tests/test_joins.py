@@ -28,6 +28,29 @@ def test_asof_edges(spark, width):
     assert "NestedLoop" not in plan(out) and "Cartesian" not in plan(out)
 
 
+@pytest.mark.parametrize("width", [7, 1000])
+def test_left_rows_travel_once(spark, width):
+    """Repeated and NULL keys and times, ties and columns named like the right side's; every left row is kept, and moves once."""
+    rng = np.random.default_rng(1)
+    rows = [(i // 2, None if i % 29 == 0 else int(rng.integers(1, 4)), None if i % 31 == 0 else int(rng.integers(0, 60)), -i) for i in range(120)]
+    pts = [(int(rng.integers(1, 4)), int(rng.integers(0, 60)), i) for i in range(90)] + [(None, 5, 1000), (1, None, 1001)]
+    left, right = frame(spark, rows, "id long, e long, t long, v long"), frame(spark, pts, "e long, t long, n long")
+    p = {"b": Probe("t"), "bs": Probe("t", strict=True), "f": Probe("t", forward=True), "fs": Probe("t", forward=True, strict=True)}
+    out = asof_probes(left, right, ["id"], ["e"], "t", ["t", "n"], p, tie=["n"], width_us=width)
+    got = sorted(((r.v, *[r[k].n if r[k] else None for k in p]) for r in out.collect()))
+
+    def best(e, q, name):
+        if e is None or q is None:
+            return None
+        keep = {"b": lambda t: t <= q, "bs": lambda t: t < q, "f": lambda t: t >= q, "fs": lambda t: t > q}[name]
+        found = [(t, n) for k, t, n in pts if k == e and t is not None and keep(t)]
+        return None if not found else (max if name[0] == "b" else min)(found)[1]
+
+    assert got == sorted((v, *[best(e, t, k) for k in p]) for _, e, t, v in rows)
+    wide = [line for line in plan(out).splitlines() if "Exchange hashpartitioning(e" in line]
+    assert "Generate explode" not in plan(out) and "NestedLoop" not in plan(out) and wide
+
+
 def test_bracket_returns_same_row_for_empty_window(spark):
     w = frame(spark, [(1, 1, 10, 10)], "id long, e long, s long, f long")
     s = frame(spark, [(1, 10)], "e long, t long")
