@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.orbit import angle_delta, norm3, sma_from_mean_motion, vis_viva_sma, inertial_velocity
+from orrery.operators.dedup import keep_one
 from orrery.operators.joins import bracket_join, points_in_windows
 from orrery.operators.quantiles import exact_quantiles
 from orrery.operators.scan import HOUR_US
@@ -39,11 +40,55 @@ def element_response(windows: DataFrame, elements: DataFrame) -> DataFrame:
     return b.select(*windows.columns, *[c.alias(n) for n, c in cols.items()])
 
 
-def orbit_response(windows: DataFrame, states: DataFrame, margin_us: int = BAND_US) -> DataFrame:
-    """Median radius and vis-viva semi-major axis before and after each window."""
+def product_ledger(selected: DataFrame, refused: DataFrame) -> DataFrame:
+    """Files chosen for each window: how many, how many were refused, the first refusal, and whether the rest turn with the Earth.
+
+    ``selected`` has annotation_id, path, source_type and rotating (one row a file), ``refused`` path, assertion and row. Usable
+    files of a window must agree on the frame: their rows are analysed together, so a mixed window stops the query.
+    """
+    marked = selected.join(refused.select("path", F.struct("path", "assertion", "row").alias("refusal")), "path", "left")
+    usable = F.col("refusal").isNull()
+    turning = lambda f: f(F.when(usable, F.col("rotating")))
+    g = marked.groupBy("annotation_id").agg(
+        F.count(F.lit(1)).alias("orbit_file_count"), F.count("refusal").alias("orbit_parse_failure_count"), F.min("refusal").alias("first"),
+        F.min_by("source_type", "path").alias("orbit_source"), turning(F.min).alias("_lo"), turning(F.max).alias("_hi"),
+    )
+    mixed = F.raise_error(F.concat(F.lit("mixed_frame_orbit_products: files of a window disagree on the rotating frame: "), F.col("annotation_id").cast("string")))
+    return g.select(
+        "annotation_id", "orbit_file_count", "orbit_parse_failure_count", F.concat_ws(":", "first.path", "first.assertion", "first.row").alias("orbit_first_failure"),
+        "orbit_source", F.when(F.col("_lo") != F.col("_hi"), mixed.cast("boolean")).otherwise(F.col("_lo")).alias("rotating"),
+    )
+
+
+def product_response(windows: DataFrame, states: DataFrame, selected: DataFrame, refused: DataFrame, margin_us: int = BAND_US) -> DataFrame:
+    """Orbit response of each window from the usable files chosen for it, with the counts of ``product_ledger``.
+
+    ``states`` name their file in ``path``. Equal epochs of a window count once, from the first path. A window whose files are all
+    refused is ``parse_unavailable``.
+    """
+    ledger = cut(product_ledger(selected, refused))
+    chosen = selected.select("annotation_id", "path").join(refused.select("path"), "path", "left_anti").join(ledger.select("annotation_id", "rotating"), "annotation_id")
+    out = orbit_response(windows, states, margin_us, chosen)
+    files = F.coalesce(F.col("orbit_file_count"), F.lit(0))
+    failed = F.coalesce(F.col("orbit_parse_failure_count"), F.lit(0))
+    status = F.when((files > 0) & (files == failed), "parse_unavailable").otherwise(F.coalesce("orbit_status_response", F.lit("insufficient_coverage")))
+    return out.join(ledger.drop("rotating"), "annotation_id", "left").withColumns({"orbit_status_response": status, "orbit_file_count": files, "orbit_parse_failure_count": failed})
+
+
+def orbit_response(windows: DataFrame, states: DataFrame, margin_us: int = BAND_US, chosen: DataFrame | None = None) -> DataFrame:
+    """Median radius and vis-viva semi-major axis before and after each window.
+
+    States are Earth-fixed, unless ``chosen`` (annotation_id, path, rotating) says which files of a window count and in what frame.
+    """
     pos, vel = tuple(map(F.col, ("x", "y", "z"))), tuple(map(F.col, ("vx", "vy", "vz")))
-    pts = states.select("entity_id", "t", norm3(*pos).alias("radius"), vis_viva_sma(pos, inertial_velocity(pos, vel)).alias("sma"))
-    b = cut(band_samples(pts, windows, margin_us).where("band <> 'during'"))
+    radius, fixed = norm3(*pos).alias("radius"), vis_viva_sma(pos, inertial_velocity(pos, vel))
+    if chosen is None:
+        samples = band_samples(states.select("entity_id", "t", radius, fixed.alias("sma")), windows, margin_us)
+    else:
+        pts = states.select("entity_id", "t", "path", radius, fixed.alias("sma_fixed"), vis_viva_sma(pos, vel).alias("sma_inertial"))
+        samples = band_samples(pts, windows, margin_us).join(chosen, ["annotation_id", "path"]).withColumn("sma", F.when(F.col("rotating"), F.col("sma_fixed")).otherwise(F.col("sma_inertial")))
+        samples = keep_one(samples, ["annotation_id", "t"], ["path"])
+    b = cut(samples.where("band <> 'during'").select("annotation_id", "band", "radius", "sma"))
     n = b.groupBy("annotation_id").agg(
         *[F.count_if(F.col("band") == x).alias(f"orbit_samples_{x}") for x in ("before", "after")],
         *[F.count_if((F.col("band") == x) & F.col("sma").isNotNull()).alias(f"_n_{x}") for x in ("before", "after")],

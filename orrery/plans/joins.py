@@ -176,13 +176,17 @@ def file_pairs(spark, d):
     return joins.spans_over_windows(R.orbit_files(spark, d).withColumn("pr", file_priority()), a, ["entity_id"], "s", "e", "lo", "hi")
 
 
+def best_files(spark, d):
+    p = file_pairs(spark, d)
+    best = p.groupBy("annotation_id").agg(F.min("pr").alias("best"))
+    return p.join(best, "annotation_id").where(F.col("pr") == F.col("best")).select("annotation_id", "path", "source_type", "pr")
+
+
 @query("j08_best_priority_files", oracle(
     "SELECT annotation_id, path, pr AS priority FROM (SELECT *, rank() OVER (PARTITION BY annotation_id ORDER BY pr) AS rk FROM fp) WHERE rk=1", FILE_PAIRS_CTE))
 def j08(spark, d):
     """All overlapping files at the best product priority of each window."""
-    p = file_pairs(spark, d)
-    best = p.groupBy("annotation_id").agg(F.min("pr").alias("best"))
-    return p.join(best, "annotation_id").where(F.col("pr") == F.col("best")).select("annotation_id", "path", F.col("pr").alias("priority"))
+    return best_files(spark, d).select("annotation_id", "path", F.col("pr").alias("priority"))
 
 
 @query("j09_ranked_candidates", oracle(

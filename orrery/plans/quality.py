@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from orrery import roles as R
@@ -17,6 +18,7 @@ from orrery.plans.registry import query
 from orrery.plans.scalars import W
 from orrery.plans.summaries import QC_SQL
 from orrery.roles import iso_sql, oracle, rnd, rsql
+from orrery.session import scratch_dir
 
 INV = f"(2.0/sqrt(x*x+y*y+z*z) - (pow(vx-{W}*y,2)+pow(vy+{W}*x,2)+vz*vz)/3.986004418e14::DOUBLE)"
 CHK_CTE = f"""chk AS (SELECT *, t//(3*{DAY_US}) AS part, sqrt(x*x+y*y+z*z) AS r, CASE WHEN {INV}>0 THEN 1.0/{INV} END AS sma FROM states),
@@ -52,6 +54,21 @@ def q03(spark, d):
     return q.select("entity_id", "tof_identity", "range_in_band", "mission_span", "rejected_rows", rnd("m", 2).alias("range_median_m"))
 
 
+@query("q03_strict_snapshot", oracle(f"SELECT entity_id, count(*) FILTER (NOT bad) AS n, count(*) FILTER (bad) AS left_out, (SELECT count(*) FILTER (v1) FROM vr) AS all_tof_identity, (SELECT count(*) FILTER (v2) FROM vr) AS all_range_in_band, (SELECT count(*) FROM vr) AS all_rows FROM vr GROUP BY 1", f"vr AS (SELECT *, coalesce(v1, false) OR coalesce(v2, false) AS bad FROM (SELECT *, {VIOL} FROM ranging))"))
+def q03s(spark, d):
+    """Strict mode: accepted rows are written behind a guard that stops the job at any violation; the checks are counted in that same pass."""
+    c = qc.ranging_violations()
+    seen = Observation("ranging_checks")
+    path = scratch_dir(spark, "accepted") + "/ranging"
+    marked = R.ranging(spark, d).withColumn("rejected", qc.any_of(c))
+    marked = marked.observe(seen, F.count(F.lit(1)).alias("all_rows"), *[F.count_if(c[f"slr_{n}"]).alias(f"all_{n}") for n in ("tof_range_identity", "range_in_band")])
+    qc.enforce(marked, {n: bad & ~F.col("rejected") for n, bad in c.items()}, "entity_id").write.parquet(path)
+    got = seen.get
+    g = spark.read.parquet(path).groupBy("entity_id").agg(F.count_if(~F.col("rejected")).alias("n"), F.count_if("rejected").alias("left_out"))
+    total = lambda name, as_: F.lit(got[name]).cast("bigint").alias(as_)
+    return g.select("entity_id", "n", "left_out", total("all_tof_range_identity", "all_tof_identity"), total("all_range_in_band", "all_range_in_band"), total("all_rows", "all_rows"))
+
+
 @query("q04_record_triage", oracle(f"SELECT zero_fields, qc_rejected, count(*) AS n, count(*) FILTER (sigma_m>0.1) AS sigma_alerts FROM (SELECT *, CASE WHEN sigma_m=0 AND num_returns=0 THEN 'sigma+num_returns' WHEN sigma_m=0 THEN 'sigma' WHEN num_returns=0 THEN 'num_returns' ELSE '' END AS zero_fields, v1 OR v2 AS qc_rejected FROM (SELECT *, {VIOL} FROM ranging)) GROUP BY 1,2"))
 def q04(spark, d):
     """Rejected rows, unfilled source fields and large sigmas: marked and counted."""

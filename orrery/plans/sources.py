@@ -424,8 +424,8 @@ def s20(spark, d):
 def s21(spark, d):
     """Bounds of written files from their footers, and whether the files of an entity span the window."""
     path = scratch_dir(spark, "bounds") + "/states"
-    R.states(spark, d).select("entity_id", "t").repartition("entity_id").write.partitionBy("entity_id").parquet(path)
-    w = tables.full_window(tables.footer_bounds(spark, path).withColumn("entity_id", F.regexp_extract("path", r"entity_id=(\d+)/", 1).cast("bigint")), *CLIP)
+    R.states(spark, d).select("entity_id", "t").repartitionByRange("entity_id", "t").sortWithinPartitions("entity_id", "t").write.parquet(path)
+    w = tables.full_window(tables.footer_bounds(spark, path), *CLIP)
     return w.select("entity_id", iso("start_t").alias("start_utc"), iso("end_t").alias("end_utc"), "rows", "has_full_window")
 
 

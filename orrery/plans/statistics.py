@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from orrery import roles as R
 from orrery.functions import orbit
 from orrery.functions.time import iso
-from orrery.operators import interpolate, joins, names, series, state, statistics, summaries
+from orrery.operators import interpolate, joins, names, qc, response, series, state, statistics, summaries
 from orrery.operators.labels import top_k
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.scan import DAY_US, HOUR_US, neighbour, row_index, slot
-from orrery.plans.joins import SMA_SQL, station_solutions
+from orrery.plans.joins import FILE_PAIRS_CTE, SMA_SQL, best_files, station_solutions
+from orrery.plans.quality import CHK_CTE, checked
 from orrery.plans.registry import query
 from orrery.plans.summaries import BOUND, EST_CTE, FUSE_CTE, GROUP_SQL, RESP, bound, eval_group, fused_errors, responses, usable
 from orrery.roles import iso_sql, oracle, rnd, rsql
@@ -399,6 +400,30 @@ def t14(spark, d):
     return responses(spark, d).select("annotation_id", "coverage_tier", "tle_response", "orbit_response", "slr_response", rnd("delta_sma_km").alias("delta_sma_km"), rnd("orbit_radius_shift_m", 3).alias("orbit_radius_shift_m"), rnd("orbit_sma_shift_m", 2).alias("orbit_sma_shift_m"), rnd("slr_bias_shift_m").alias("slr_bias_shift_m"))
 
 
+STILL = "(2.0/c.r - (vx*vx+vy*vy+vz*vz)/3.986004418e14::DOUBLE)"
+PRODUCT_CTES = [FILE_PAIRS_CTE, CHK_CTE, f"""sel AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY annotation_id ORDER BY pr) AS rk FROM fp) WHERE rk=1),
+ref AS (SELECT entity_id, part, min((CASE WHEN bad_r THEN 2 ELSE 3 END, event_id)) AS f FROM chk2 WHERE bad_r OR bad_a GROUP BY 1,2),
+led AS (SELECT s.annotation_id, count(*) AS files, count(r.f) AS failed, arg_min(s.source_type, s.path) AS src, arg_min(s.path || ':' || CASE r.f[1] WHEN 2 THEN 'radius_in_leo_band' ELSE 'vis_viva_sma_in_leo_band' END || ':' || r.f[2], CASE WHEN r.f IS NOT NULL THEN s.path END) AS first
+ FROM sel s LEFT JOIN ref r ON r.entity_id=s.entity_id AND r.part=s.part GROUP BY 1),
+smp AS (SELECT a.annotation_id, c.t<a.ws AS b, c.r, CASE WHEN s.pr>0 THEN c.sma ELSE CASE WHEN {STILL}>0 THEN 1.0/{STILL} END END AS sma FROM annotations a JOIN sel s USING (annotation_id) LEFT JOIN ref ON ref.entity_id=s.entity_id AND ref.part=s.part
+ JOIN chk c ON c.entity_id=s.entity_id AND c.part=s.part AND ((c.t>=a.ws-{12 * HOUR_US} AND c.t<a.ws) OR (c.t>a.we AND c.t<=a.we+{12 * HOUR_US})) WHERE ref.f IS NULL),
+prd AS (SELECT annotation_id, count(*) FILTER (b)>=2 AND count(*) FILTER (NOT b)>=2 AS ok, count(sma) FILTER (b)>=2 AND count(sma) FILTER (NOT b)>=2 AS sok, median(r) FILTER (NOT b)-median(r) FILTER (b) AS dr, median(sma) FILTER (NOT b)-median(sma) FILTER (b) AS ds FROM smp GROUP BY 1)"""]
+
+
+@query("t14_window_products", oracle(f"""SELECT a.annotation_id, coalesce(files, 0) AS orbit_file_count, coalesce(failed, 0) AS orbit_parse_failure_count, coalesce(first, '') AS orbit_first_failure, src AS orbit_source,
+ CASE WHEN files=failed THEN 'parse_unavailable' WHEN ok THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_status, {rsql('CASE WHEN ok THEN dr END', 3)} AS orbit_radius_shift_m, {rsql('CASE WHEN ok AND sok THEN ds END', 2)} AS orbit_sma_shift_m
+FROM annotations a LEFT JOIN led USING (annotation_id) LEFT JOIN prd USING (annotation_id)""", *PRODUCT_CTES))
+def t14b(spark, d):
+    """Orbit response from the best files of each window: refused files counted with the first reason, one frame a window or the query stops."""
+    states = cut(checked(spark, d))  # read and checked once, for the refusals and for the samples
+    files = R.orbit_files(spark, d).select("entity_id", "part", "path")
+    refused = qc.reject_files(states, ["entity_id", "part"]).join(files, ["entity_id", "part"])
+    selected = best_files(spark, d).withColumn("rotating", F.col("pr") > 0)  # the best precise orbits are inertial, all others turn with the Earth
+    w = R.annotations(spark, d).select("annotation_id", "entity_id", "ws", "we")
+    p = response.product_response(w, states.join(files, ["entity_id", "part"]), selected, refused)
+    return p.select("annotation_id", "orbit_file_count", "orbit_parse_failure_count", F.coalesce("orbit_first_failure", F.lit("")).alias("orbit_first_failure"), "orbit_source", F.col("orbit_status_response").alias("orbit_status"), rnd("orbit_radius_shift_m", 3).alias("orbit_radius_shift_m"), rnd("orbit_sma_shift_m", 2).alias("orbit_sma_shift_m"))
+
+
 @query("t15_window_state_estimates", oracle(f"""SELECT a.annotation_id, round_even((a.event_t-m.t)/1e6, 3) AS tle_propagation_s, CASE WHEN m.t IS NULL THEN 'insufficient_coverage' WHEN a.event_t-m.t>{7 * DAY_US} THEN 'propagation_too_far' ELSE 'computed' END AS tle_state_status,
  CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN true END AS orbit_within_1m,
  p.before_s, p.after_s, p.band_points, CASE WHEN p.before_s IS NULL OR p.after_s IS NULL OR p.band_points=0 THEN 'insufficient_coverage' ELSE 'computed' END AS slr_state_status

@@ -68,25 +68,37 @@ def read_time_lists(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("entity_id", F.explode("timestamps").alias("x")).select("entity_id", micros(parse_utc(F.col("x"))).alias("xt"))
 
 
-def footer_bounds(spark: SparkSession, path: str, t: str = "t") -> DataFrame:
-    """(path, start_t, end_t, rows) of every parquet file below a folder, from its footer alone: the statistics of its
-    row groups. Files without rows or without statistics have NULL bounds."""
+def footer_bounds(spark: SparkSession, path: str, t: str = "t", entity: str = "entity_id") -> DataFrame:
+    """(path, entity, start_t, end_t, rows) for every file below a folder and every entity in it.
+
+    A row group that holds one entity is answered by its footer's statistics; only a group where entities meet, or one
+    without statistics, is read, its two columns alone. Files sorted by (entity, t) thus need no folder for each entity.
+    """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
+    schema = pa.schema([("path", pa.string()), (entity, pa.int64()), ("start_t", pa.int64()), ("end_t", pa.int64()), ("rows", pa.int64())])
+
+    def group_rows(file, i: int) -> pa.Table:
+        chunks = file.metadata.row_group(i)
+        stats = {chunks.column(c).path_in_schema: chunks.column(c).statistics for c in range(chunks.num_columns)}
+        e, s = stats[entity], stats[t]
+        known = all(x is not None and x.has_min_max and x.has_null_count for x in (e, s))
+        if known and e.null_count == 0 and e.min == e.max:
+            return pa.table({entity: [e.min], "start_t": [s.min], "end_t": [s.max], "rows": [chunks.num_rows]})
+        found = file.read_row_group(i, columns=[entity, t]).group_by(entity).aggregate([(t, "min"), (t, "max"), ([], "count_all")])
+        return pa.table({entity: found[entity], "start_t": found[f"{t}_min"], "end_t": found[f"{t}_max"], "rows": found["count_all"]})
 
     def read(batches):
         for b in batches:
-            rows = []
             for uri in b.column(0).to_pylist():
                 fs, name = pafs.FileSystem.from_uri(uri)
                 with fs.open_input_file(name) as f:
-                    meta = pq.read_metadata(f)
-                k = meta.schema.names.index(t)
-                stats = [meta.row_group(i).column(k).statistics for i in range(meta.num_row_groups)]
-                known = bool(stats) and all(x is not None and x.has_min_max for x in stats)
-                rows.append((uri, min(x.min for x in stats) if known else None, max(x.max for x in stats) if known else None, meta.num_rows))
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["path", "start_t", "end_t", "rows"])
-
-    return listed.mapInArrow(read, "path string, start_t bigint, end_t bigint, rows bigint")
+                    file = pq.ParquetFile(f)
+                    for i in range(file.num_row_groups):
+                        found = group_rows(file, i)
+                        found = found.add_column(0, "path", pa.array([uri] * found.num_rows, pa.string()))
+                        yield from found.cast(schema).to_batches()
+
+    return listed.mapInArrow(read, f"path string, {entity} bigint, start_t bigint, end_t bigint, rows bigint")
 
 
 def full_window(bounds: DataFrame, start_us: int, end_us: int) -> DataFrame:
