@@ -3,7 +3,7 @@
 A paragraph is a line; its leaves are the sentences in it, long ones cut every ``LEAF`` characters. A paragraph's
 hash covers its leaves' hashes. A section ends after a paragraph whose hash starts with 0 (so boundaries move with
 the content, not with positions), the root covers the sections. Equal roots mean equal texts; where roots differ,
-unequal sections and in them unequal paragraphs locate the edit (``changed_paragraphs``). A fingerprint is the
+unequal sections, in them unequal paragraphs and in these unequal leaves locate the edit (``located_edits``). A fingerprint is the
 root and the ``KEEP`` smallest leaf hashes, whose overlap estimates how alike two texts are.
 
 Cases: a null text is an empty one; an empty text has no leaves and a root of its own, is like an empty text (1)
@@ -25,8 +25,11 @@ BUCKET, FAN = 256, 4096
 PIECES = r"[^.!?]{1,%d}[.!?]*|[.!?]+" % LEAF
 
 
-def add_tree(df: DataFrame, text: str, prefix: str) -> DataFrame:
-    """Columns <prefix>root, <prefix>sections, <prefix>paragraphs (hashes) and <prefix>sketch (smallest leaf hashes)."""
+def add_tree(df: DataFrame, text: str, prefix: str, leaves: bool = False) -> DataFrame:
+    """Columns <prefix>root, <prefix>sections, <prefix>paragraphs (hashes) and <prefix>sketch (smallest leaf hashes).
+
+    With ``leaves`` also <prefix>lines, the leaf hashes of each paragraph.
+    """
     lines, sums, flat = f"{prefix}lines", f"{prefix}paragraphs", f"{prefix}leaves"
     df = df.withColumn(lines, F.transform(F.split(F.col(text), "\n"), lambda p: F.transform(F.regexp_extract_all(p, F.lit(PIECES), F.lit(0)), F.md5)))
     df = df.withColumn(sums, F.transform(F.col(lines), lambda leaves: F.sha2(F.array_join(leaves, ","), 256)))
@@ -34,7 +37,7 @@ def add_tree(df: DataFrame, text: str, prefix: str) -> DataFrame:
     chain = F.array_join(F.transform(F.col(sums), lambda h: F.concat(h, F.when(h.startswith("0"), "|").otherwise(","))), "")
     sections = F.transform(F.filter(F.split(chain, r"\|"), lambda s: s != ""), lambda s: F.sha2(s, 256))
     df = df.withColumn(f"{prefix}sections", sections).withColumn(f"{prefix}sketch", F.slice(F.sort_array(F.array_distinct(F.col(flat))), 1, KEEP))
-    return df.withColumn(f"{prefix}root", F.sha2(F.array_join(F.col(f"{prefix}sections"), ","), 256)).drop(lines, flat)
+    return df.withColumn(f"{prefix}root", F.sha2(F.array_join(F.col(f"{prefix}sections"), ","), 256)).drop(flat, *([] if leaves else [lines]))
 
 
 def fingerprint(root: str, sketch: str) -> Column:
@@ -55,6 +58,72 @@ def changed_paragraphs(prefix_a: str, prefix_b: str) -> Column:
     return F.when(F.col(f"{prefix_a}root") == F.col(f"{prefix_b}root"), F.array().cast("array<string>")).otherwise(F.array_except(a, b))
 
 
+def _alike_from_start(a: Column, b: Column) -> Column:
+    """Number of equal elements at the start of two arrays."""
+    at = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(at == 0, F.least(F.size(a), F.size(b))).otherwise(at - 1).cast("int")
+
+
+def _alike_at_end(a: Column, b: Column, start: Column) -> Column:
+    """Number of equal elements at the end, none of them among the ``start`` first."""
+    return F.least(_alike_from_start(F.reverse(a), F.reverse(b)), F.least(F.size(a), F.size(b)) - start)
+
+
+def _section_starts(paragraphs: Column) -> Column:
+    """Index of each section's first paragraph, then the number of paragraphs."""
+    ends = F.filter(F.transform(paragraphs, lambda h, i: F.when(h.startswith("0"), i + 1)), lambda i: i.isNotNull())
+    return F.concat(F.array(F.lit(0)), ends, F.array(F.size(paragraphs)))
+
+
+def located_edits(df: DataFrame, key: str, a: str = "a_", b: str = "b_") -> DataFrame:
+    """Where two texts of a row differ: one row per edited paragraph, found by descending both trees of ``add_tree`` (with leaves).
+
+    Equal roots end the descent. Else equal sections at either end are passed over, then equal paragraphs at either end of the
+    rest. Where the two remainders are equally long, they are compared place by place: ``replaced`` rows name the paragraph's
+    index in both texts and its differing leaves, [leaf_from, a_leaf_to) and [leaf_from, b_leaf_to); swapped paragraphs are two
+    of them. Otherwise each paragraph one remainder has more often than the other is ``removed`` (from a) or ``inserted`` (in b),
+    the last copies being the surplus. Roots that differ give at least one row. Indices count from 0.
+
+    Cases: rows without a text have no tree and give nothing; an empty text is one empty paragraph; repeated rows are answered
+    once. A long text's remainders are spread by paragraph, never compared all with all.
+    """
+    pa, pb = F.col(f"{a}paragraphs"), F.col(f"{b}paragraphs")
+    d = df.where(F.col(f"{a}root") != F.col(f"{b}root")).dropDuplicates([key, f"{a}root", f"{b}root"])
+    d = d.select(F.col(key), F.sha2(F.concat(f"{a}root", f"{b}root"), 256).alias("_pair"), *[F.col(f"{p}{c}") for p in (a, b) for c in ("sections", "paragraphs", "lines")])
+    d = d.withColumn("_head", _alike_from_start(F.col(f"{a}sections"), F.col(f"{b}sections")))
+    d = d.withColumn("_tail", _alike_at_end(F.col(f"{a}sections"), F.col(f"{b}sections"), F.col("_head")))
+    for p, par in ((a, pa), (b, pb)):
+        starts = _section_starts(par)
+        d = d.withColumns({f"_{p}lo": F.get(starts, F.col("_head")), f"_{p}hi": F.get(starts, F.size(f"{p}sections") - F.col("_tail"))})
+        d = d.withColumn(f"_{p}rest", F.slice(par, F.col(f"_{p}lo") + 1, F.col(f"_{p}hi") - F.col(f"_{p}lo")))
+    ra, rb = F.col(f"_{a}rest"), F.col(f"_{b}rest")
+    d = d.withColumn("_same", _alike_from_start(ra, rb))
+    d = d.withColumn("_end", _alike_at_end(ra, rb, F.col("_same")))
+    for p, rest in ((a, ra), (b, rb)):
+        d = d.withColumn(f"_{p}mid", F.slice(rest, F.col("_same") + 1, F.size(rest) - F.col("_same") - F.col("_end"))).withColumn(f"_{p}at", F.col(f"_{p}lo") + F.col("_same"))
+    ma, mb = F.col(f"_{a}mid"), F.col(f"_{b}mid")
+
+    level = d.where(F.size(ma) == F.size(mb)).select(key, f"{a}lines", f"{b}lines", f"_{a}at", f"_{b}at", F.posexplode(F.arrays_zip(ma.alias("x"), mb.alias("y"))).alias("i", "h")).where("h.x <> h.y")
+    level = level.select(key, F.lit("replaced").alias("kind"), (F.col(f"_{a}at") + F.col("i")).alias("a_index"), (F.col(f"_{b}at") + F.col("i")).alias("b_index"), F.col("h.x").alias("a_hash"), F.col("h.y").alias("b_hash"), f"{a}lines", f"{b}lines")
+    level = level.withColumns({"_x": F.get(f"{a}lines", F.col("a_index")), "_y": F.get(f"{b}lines", F.col("b_index"))}).withColumn("leaf_from", _alike_from_start(F.col("_x"), F.col("_y")))
+    level = level.withColumn("_z", _alike_at_end(F.col("_x"), F.col("_y"), F.col("leaf_from"))).withColumns({"a_leaf_to": F.size("_x") - F.col("_z"), "b_leaf_to": F.size("_y") - F.col("_z")})
+
+    def copies(p: str, side: str) -> DataFrame:
+        rows = d.where(F.size(ma) != F.size(mb)).select(key, "_pair", f"_{p}at", F.posexplode(f"_{p}mid").alias("i", "hash"))
+        nth = F.row_number().over(Window.partitionBy("_pair", key, "hash").orderBy("i"))
+        return rows.select(F.col(key), "_pair", "hash", nth.alias("nth"), (F.col(f"_{p}at") + F.col("i")).alias(f"{side}_index"))
+
+    odd = copies(a, "a").withColumn("_k", F.struct(key)).drop(key).join(copies(b, "b").withColumn("_k", F.struct(key)).drop(key), ["_pair", "_k", "hash", "nth"], "full_outer")
+    odd = odd.where(F.col("a_index").isNull() | F.col("b_index").isNull())
+    none = F.lit(None).cast("int")
+    odd = odd.select(
+        F.col(f"_k.{key}").alias(key), F.when(F.col("b_index").isNull(), "removed").otherwise("inserted").alias("kind"), "a_index", "b_index",
+        F.when(F.col("b_index").isNull(), F.col("hash")).alias("a_hash"), F.when(F.col("a_index").isNull(), F.col("hash")).alias("b_hash"),
+        none.alias("leaf_from"), none.alias("a_leaf_to"), none.alias("b_leaf_to"),
+    )
+    return level.select(*odd.columns).unionByName(odd)
+
+
 def next_lower(keys: DataFrame, level: int = 0) -> DataFrame:
     """(k, lower): for distinct keys k the next smaller one, null for the smallest.
 

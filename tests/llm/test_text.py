@@ -57,6 +57,55 @@ def test_likeness_and_located_edits(spark):
     assert len(set(r.a_sections) & set(r.b_sections)) >= len(r.a_sections) - 2
 
 
+def located(spark, pairs):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "doc_id long, a string, b string")
+    df = fingerprint.add_tree(fingerprint.add_tree(df, "a", "a_", leaves=True), "b", "b_", leaves=True)
+    out = {i: [] for i in range(len(pairs))}
+    for r in fingerprint.located_edits(df.unionByName(df), "doc_id").collect():
+        out[r.doc_id].append((r.kind, r.a_index, r.b_index, r.leaf_from, r.a_leaf_to, r.b_leaf_to))
+    return {i: sorted(x, key=str) for i, x in out.items()}
+
+
+def test_edits_are_located_by_descent(spark):
+    lines = [f"Line {k} begins. It goes on to {k * k}. It ends." for k in range(60)]
+    join = "\n".join
+    edit = [*lines[:20], "Line 20 begins. It turns to ash. It ends.", *lines[21:]]
+    swap = [*lines[:7], lines[9], lines[8], lines[7], *lines[10:]]
+    twice = [*lines[:31], lines[30], *lines[31:]]
+    cut = [*lines[:40], *lines[43:]]
+    both = ["New first line.", *lines[:50], *lines[51:], "New last line.", "And one more."]
+    got = located(spark, [(join(lines), join(x)) for x in (lines, edit, swap, twice, cut, both)] + [("", "a"), (None, "a"), ("a\n\na", "a\na")])
+    assert got[0] == [] and got[1] == [("replaced", 20, 20, 1, 2, 2)]
+    assert got[2] == [("replaced", 7, 7, 0, 2, 2), ("replaced", 9, 9, 0, 2, 2)]
+    assert got[3] == [("inserted", None, 31, None, None, None)]
+    assert got[4] == [("removed", i, None, None, None, None) for i in (40, 41, 42)]
+    assert got[5] == [("inserted", None, 0, None, None, None), ("inserted", None, 60, None, None, None), ("inserted", None, 61, None, None, None), ("removed", 50, None, None, None, None)]
+    assert got[6] == [("replaced", 0, 0, 0, 0, 1)] and got[7] == [] and got[8] == [("removed", 1, None, None, None, None)]
+
+
+def test_located_edits_against_a_multiset_difference(spark):
+    """On random texts of few distinct lines every edit is named, and nothing where the paragraphs agree."""
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(60):
+        a = [rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.randrange(1, 30))]
+        b = a[:]
+        for _ in range(rng.randrange(0, 4)):
+            k = rng.randrange(len(b) + 1)
+            b = b[:k] + rng.choice([[], [rng.choice("abxyz")]]) + b[k + rng.randrange(2):]
+        pairs.append(("\n".join(a), "\n".join(b)))
+    for i, edits in located(spark, pairs).items():
+        a, b = pairs[i][0].split("\n"), pairs[i][1].split("\n")
+        assert bool(edits) == (a != b)
+        if len(a) == len(b):
+            assert {e[:3] for e in edits} == {("replaced", k, k) for k in range(len(a)) if a[k] != b[k]}
+        else:
+            from collections import Counter
+
+            gone, new = Counter(a) - Counter(b), Counter(b) - Counter(a)
+            assert Counter(a[e[1]] for e in edits if e[0] == "removed") == gone and Counter(b[e[2]] for e in edits if e[0] == "inserted") == new
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = [(None, "alone"), (7, "same"), (7, "same"), (7, None), (2, "last")]
     got = fingerprint.fingerprints(docs_of(spark, rows)).collect()
