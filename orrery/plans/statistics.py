@@ -350,7 +350,7 @@ T11_W = f"(({T11_AT})%{int(ORBIT_S * 1e6)}/1e6*{2 * math.pi / ORBIT_S!r}::DOUBLE
 
 
 @query("t11_dense_states", oracle(f"""SELECT event_id, candidates, orbit_state_status, CASE WHEN orbit_state_status='computed' THEN rank END AS rank, CASE WHEN orbit_state_status='computed' THEN CASE rank WHEN 1 THEN 'spline' ELSE 'polynomial' END END AS method,
- CASE WHEN orbit_state_status='computed' AND in_arc THEN round_even(x, 0) END AS x_m, CASE WHEN orbit_state_status='computed' AND in_arc THEN round_even(vy, 0) END AS vy_mps, CASE WHEN orbit_state_status='computed' AND in_arc THEN true END AS within_1mm FROM (
+ CASE WHEN orbit_state_status='computed' AND in_arc THEN round_even(x, 0) END AS x_m, CASE WHEN orbit_state_status='computed' AND in_arc THEN round_even(vy, 0) END AS vy_mps, coalesce(orbit_state_status='computed' AND in_arc, false) AS within_1mm FROM (
  SELECT *, CASE WHEN rank IS NULL THEN 'insufficient_coverage' ELSE 'computed' END AS orbit_state_status FROM (
  SELECT event_id, CASE WHEN k%10=6 THEN 1 ELSE 2 END AS candidates, 7e6*cos({T11_W}) AS x, 7e6*{2 * math.pi / ORBIT_S!r}::DOUBLE*cos({T11_W}) AS vy, k%10<>7 AND NOT (k%10=4 AND k*0.63::DOUBLE>5) AND NOT (k%10<>3 AND k%10<>5 AND k*0.63::DOUBLE>60) AS in_arc,
   CASE WHEN k%10 IN (3,5) THEN 2 WHEN k%10=7 THEN CASE WHEN 1140+5*k<=900 THEN 1 WHEN greatest(5*k-0.123456::DOUBLE, 0)<=900 THEN 2 END ELSE 1 END AS rank
@@ -364,7 +364,7 @@ def t11b(spark, d):
     off = orbit.norm3(F.col("orbit_x_m") - x, F.col("orbit_y_m") - y, F.col("orbit_z_m") - z)
     drift = orbit.norm3(F.col("orbit_vx_mps") - vx, F.col("orbit_vy_mps") - vy, F.col("orbit_vz_mps") - vz)
     inside = lambda c: F.when((F.col("orbit_state_status") == "computed") & (F.col("extrapolation_s") == 0), c)
-    return p.select("event_id", "candidates", "orbit_state_status", "rank", "method", inside(F.bround("orbit_x_m", 0)).alias("x_m"), inside(F.bround("orbit_vy_mps", 0)).alias("vy_mps"), inside((off < 1e-3) & (drift < 1e-3)).alias("within_1mm"))
+    return p.select("event_id", "candidates", "orbit_state_status", "rank", "method", inside(F.bround("orbit_x_m", 0)).alias("x_m"), inside(F.bround("orbit_vy_mps", 0)).alias("vy_mps"), F.coalesce(inside((off < 1e-3) & (drift < 1e-3)), F.lit(False)).alias("within_1mm"))
 
 
 @query("t12_holdout_selfcheck", oracle("SELECT entity_id, least(5, greatest(0, (n-5)//2-2))::BIGINT AS sample_count, true AS median_within_1mm, true AS p75_within_1mm, true AS max_within_1mm FROM (SELECT entity_id, count(DISTINCT t) AS n FROM series GROUP BY 1) WHERE n>=24"))
@@ -425,7 +425,7 @@ def t14b(spark, d):
 
 
 @query("t15_window_state_estimates", oracle(f"""SELECT a.annotation_id, round_even((a.event_t-m.t)/1e6, 3) AS tle_propagation_s, CASE WHEN m.t IS NULL THEN 'insufficient_coverage' WHEN a.event_t-m.t>{7 * DAY_US} THEN 'propagation_too_far' ELSE 'computed' END AS tle_state_status,
- CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN true END AS orbit_within_1m,
+ CASE WHEN o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000 THEN 'computed' ELSE 'insufficient_coverage' END AS orbit_state_status, coalesce(o.n>=4 AND greatest(o.a-a.event_t, a.event_t-o.z, 0)<=900000000, false) AS orbit_within_1m,
  p.before_s, p.after_s, p.band_points, CASE WHEN p.before_s IS NULL OR p.after_s IS NULL OR p.band_points=0 THEN 'insufficient_coverage' ELSE 'computed' END AS slr_state_status
 FROM annotations a LEFT JOIN (SELECT a.annotation_id, max(e.t) AS t FROM annotations a JOIN elements e ON e.entity_id=a.entity_id AND e.t<=a.event_t GROUP BY 1) m ON m.annotation_id=a.annotation_id
 LEFT JOIN (SELECT entity_id, count(*) AS n, min(t) AS a, max(t) AS z FROM states GROUP BY 1) o ON o.entity_id=a.entity_id
@@ -440,7 +440,7 @@ def t15(spark, d):
     ob = interpolate.interpolated_states(a.select("annotation_id", "entity_id", "event_t"), R.states(spark, d).select("entity_id", "t", x.alias("x"), y.alias("y"), z.alias("z")), ["annotation_id"], ["entity_id"], "event_t")
     x, y, z = on_slow_orbit("event_t")
     near = orbit.norm3(F.col("orbit_x_m") - x, F.col("orbit_y_m") - y, F.col("orbit_z_m") - z) < 1.0  # epochs minutes and days apart in one window magnify rounding
-    ob = ob.select("annotation_id", "orbit_state_status", near.alias("orbit_within_1m"))
+    ob = ob.select("annotation_id", "orbit_state_status", F.coalesce(near, F.lit(False)).alias("orbit_within_1m"))
     sl = state.ranging_state(a, R.ranging(spark, d).withColumn("metric", F.col("sigma_m"))).select("annotation_id", "before_s", "after_s", "band_points", "slr_state_status")
     return el.join(ob, "annotation_id").join(sl, "annotation_id")
 
