@@ -1,63 +1,31 @@
-"""One-to-one greedy matching of two event lists per entity."""
+"""One-to-one greedy matching of two event lists per entity, in a number of rounds that grows with the logarithm of the data.
 
-from __future__ import annotations
+Pairs are taken by (|dt|, query, reference) while both sides are free. The points of an entity, in order of time, form
+runs of one side. As long as no free pair of an island is nearer than ``d``, pairs under ``3 d`` join neighbouring
+runs only, from the border outwards: the k-th point left of a border with the k-th point right of it. Each point
+then has at most one partner on either side, so the possible pairs form paths:
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+* a pair shorter than both neighbours on its path is taken;
+* a pair with one shorter neighbour is taken if that one is not: a chain, solved by pointer doubling;
+* a pair with two shorter neighbours is taken if neither is, and no other pair depends on it.
 
-from orrery.operators.joins import Probe, asof_probes
-from orrery.operators.scan import DAY_US, neighbour, prefix_scan, slot
-from orrery.session import ensure_checkpoints
+A round takes these pairs in all islands at once, each with its own ``d``. The next ``d`` is at least three times
+larger, so tolerances of days end within two dozen rounds, whatever the data, and a chain of n pairs takes log2(n) jumps.
+"""
 
-SMALL_ISLAND = 2_000
+from __future__ import annotations
 
+from functools import reduce
 
-def _greedy_island(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Accept pairs of one island by (|dt|, query, reference) while both sides are free."""
-    q, r = pdf[pdf.side == 0], pdf[pdf.side == 1]
-    dt = r.t.to_numpy()[None, :] - q.t.to_numpy()[:, None]
-    i, j = np.nonzero(np.abs(dt) <= pdf.tol.iloc[0])
-    qs, rs, d = q.seq.to_numpy()[i], r.seq.to_numpy()[j], dt[i, j]
-    taken_q, taken_r, out = set(), set(), []
-    for n in np.lexsort((rs, qs, np.abs(d))):
-        if i[n] not in taken_q and j[n] not in taken_r:
-            taken_q.add(i[n])
-            taken_r.add(j[n])
-            out.append((q.entity_id.iloc[0], qs[n], rs[n], d[n]))
-    return pd.DataFrame(out, columns=["entity_id", "query_seq", "reference_seq", "offset_us"])
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
+from orrery.operators.scan import DAY_US, neighbour, prefix_scan, row_index, slot
+from orrery.session import cut
 
-def _mutual_rounds(points: DataFrame) -> DataFrame:
-    """Same result for islands too large for one task: match mutual nearest pairs, drop them, repeat.
-
-    The pair order is total, so the pairs that are best for both sides are exactly
-    those greedy takes first. Each round is two as-of passes; lineage is cut between rounds.
-    """
-    ensure_checkpoints(points.sparkSession)
-    done, free = None, points.checkpoint()
-    while True:
-        best = []
-        for side in (0, 1):
-            left = free.where(F.col("side") == side).withColumn("lt", F.col("t"))
-            right = free.where(F.col("side") != side).withColumn("rank", -F.col("seq"))
-            probes = {"lo": Probe("lt"), "hi": Probe("lt", forward=True)}
-            out = asof_probes(left, right, ["entity_id", "seq"], ["entity_id"], "t", ["t", "seq"], probes, tie=["rank"], tie_forward=["seq"])
-            back, ahead = F.col("lt") - F.col("lo.t"), F.col("hi.t") - F.col("lt")
-            pick = F.when(F.col("lo").isNull() | (ahead < back) | ((ahead == back) & (F.col("hi.seq") < F.col("lo.seq"))), F.col("hi")).otherwise(F.col("lo"))
-            best.append(out.withColumn("m", pick).where(F.abs(F.col("m.t") - F.col("lt")) <= F.col("tol")).select("entity_id", "seq", F.col("m.seq").alias("other"), (F.col("m.t") - F.col("lt")).alias("d")))
-        a, b = best
-        pairs = a.join(b.select("entity_id", F.col("seq").alias("other"), F.col("other").alias("seq")), ["entity_id", "seq", "other"]).select(
-            "entity_id", F.col("seq").alias("query_seq"), F.col("other").alias("reference_seq"), F.col("d").alias("offset_us")
-        ).checkpoint()
-        if pairs.isEmpty():
-            return done if done is not None else pairs
-        done = pairs if done is None else done.unionByName(pairs)
-        used = pairs.select("entity_id", F.lit(0).alias("side"), F.col("query_seq").alias("seq")).unionByName(
-            pairs.select("entity_id", F.lit(1).alias("side"), F.col("reference_seq").alias("seq"))
-        )
-        free = free.join(used, ["entity_id", "side", "seq"], "left_anti").checkpoint()
+CELL = 50_000
+JUMPS = 2
+PAIR = "entity_id bigint, query_seq bigint, reference_seq bigint, offset_us bigint"
 
 
 def islands(points: DataFrame, gap_us: int, width_us: int = DAY_US) -> DataFrame:
@@ -68,21 +36,110 @@ def islands(points: DataFrame, gap_us: int, width_us: int = DAY_US) -> DataFrame
     return prefix_scan(near, ["entity_id"], order, slot("t", width_us), {"island": ("sum", fresh)}).drop("prev")
 
 
-def greedy_match(query: DataFrame, reference: DataFrame, q_t: str, r_t: str, tolerance_us: int, *, small: int = SMALL_ISLAND) -> DataFrame:
+def _runs(free: DataFrame, cell: int) -> DataFrame:
+    """Position ``p`` of each free point of its entity, and the first (``lo``) and last (``hi``) position of its run of one side."""
+    x = free.withColumn("_b", F.floor(F.col("row_no") / cell))
+    local = Window.partitionBy("entity_id", "_b").orderBy("row_no")
+    upto, after = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(1, Window.unboundedFollowing)
+    x = x.withColumn("_n", F.row_number().over(local)).withColumn("_turn", F.lag("side").over(local) != F.col("side"))
+    x = x.select("*", F.max(F.when(F.col("_turn"), F.col("_n"))).over(upto).alias("_lo"), F.min(F.when(F.col("_turn"), F.col("_n"))).over(after).alias("_next"))
+    cells = x.groupBy("entity_id", "_b").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min_by("side", "row_no").alias("_first"), F.max_by("side", "row_no").alias("_last"),
+        F.max(F.when(F.col("_turn"), F.col("_n"))).alias("_tail"), F.min(F.when(F.col("_turn"), F.col("_n"))).alias("_head"),
+    )
+    across = Window.partitionBy("entity_id").orderBy("_b")
+    back, ahead = across.rowsBetween(Window.unboundedPreceding, -1), across.rowsBetween(1, Window.unboundedFollowing)
+    cells = cells.select("*", F.coalesce(F.sum("_rows").over(back), F.lit(0)).alias("_off"), F.coalesce(F.lag("_last").over(across) != F.col("_first"), F.lit(True)).alias("_opens"))
+    starts = F.col("_off") + F.coalesce("_tail", F.when(F.col("_opens"), 1))
+    heads = F.col("_off") + F.when(F.col("_opens"), 1).otherwise(F.col("_head"))
+    whole = Window.partitionBy("entity_id")
+    cells = cells.select(
+        "entity_id", "_b", "_off",
+        F.when(F.col("_opens"), F.col("_off") + 1).otherwise(F.last(starts, ignorenulls=True).over(back)).alias("_lo_c"),
+        F.coalesce(F.first(heads, ignorenulls=True).over(ahead), F.sum("_rows").over(whole) + 1).alias("_next_c"),
+    )
+    x = x.join(cells, ["entity_id", "_b"])
+    return x.select(
+        *free.columns, (F.col("_off") + F.col("_n")).alias("p"),
+        F.coalesce(F.col("_off") + F.col("_lo"), "_lo_c").alias("lo"), (F.coalesce(F.col("_off") + F.col("_next"), "_next_c") - 1).alias("hi"),
+    )
+
+
+def _edges(free: DataFrame, tolerance_us: int, cell: int) -> DataFrame:
+    """Possible pairs: ``e`` and ``f`` are the positions of their left and right points, ``o`` their order."""
+    pts = _runs(free, cell)
+    left = pts.select("entity_id", "island", F.col("p").alias("e"), "hi", (2 * F.col("hi") - F.col("p") + 1).alias("f"), F.struct("side", "t", "seq").alias("a"))
+    right = pts.select("entity_id", F.col("p").alias("f"), F.col("lo"), F.struct("side", "t", "seq").alias("b"))
+    x = left.join(right, ["entity_id", "f"]).where((F.col("lo") == F.col("hi") + 1) & (F.col("b.t") - F.col("a.t") <= tolerance_us))
+    swap = F.col("a.side") == 1
+    x = x.withColumn("q", F.when(swap, F.col("b")).otherwise(F.col("a"))).withColumn("r", F.when(swap, F.col("a")).otherwise(F.col("b")))
+    return x.select("entity_id", "island", "e", "f", "q", "r", F.struct((F.col("b.t") - F.col("a.t")).alias("d"), F.col("q.t").alias("qt"), F.col("r.t").alias("rt")).alias("o"))
+
+
+def _take(edges: DataFrame) -> DataFrame:
+    """Pairs of this round: of lengths under three times the island's shortest, decided along their paths."""
+    least = edges.groupBy("entity_id", "island").agg(F.min("o.d").alias("_d"))
+    near = edges.join(least, ["entity_id", "island"]).where((F.col("o.d") == F.col("_d")) | (F.col("o.d") < 3 * F.col("_d"))).drop("_d")
+    before = near.select("entity_id", F.col("f").alias("e"), F.col("e").alias("e0"), F.col("o").alias("o0"))
+    behind = near.select("entity_id", F.col("e").alias("f"), F.col("e").alias("e1"), F.col("o").alias("o1"))
+    x = near.join(before, ["entity_id", "e"], "left").join(behind, ["entity_id", "f"], "left")
+    x = x.withColumn("e0", F.when(F.col("o0") < F.col("o"), F.col("e0"))).withColumn("e1", F.when(F.col("o1") < F.col("o"), F.col("e1"))).drop("o0", "o1")
+    x = cut(x)
+    chain = x.where("e0 is null or e1 is null").select("entity_id", "e", F.coalesce("e0", "e1", "e").alias("to"), F.coalesce("e0", "e1").isNull().alias("ends"), F.coalesce("e0", "e1").isNotNull().alias("odd"))
+    while True:
+        for _ in range(JUMPS):
+            there = chain.select("entity_id", F.col("e").alias("to"), F.col("to").alias("to2"), F.col("ends").alias("ends2"), F.col("odd").alias("odd2"))
+            # a solved row looks at itself, so that no position is asked for by more than a few rows
+            chain = chain.join(there, ["entity_id", "to"]).select(
+                "entity_id", "e", F.when(F.col("ends") | F.col("ends2"), F.col("e")).otherwise(F.col("to2")).alias("to"),
+                (F.col("ends") | F.col("ends2")).alias("ends"), F.when(F.col("ends"), F.col("odd")).otherwise(F.col("odd") != F.col("odd2")).alias("odd"),
+            )
+        chain = cut(chain)  # written, for its plan doubles with every jump
+        if chain.where("not ends").isEmpty():
+            break
+    known = chain.select("entity_id", "e", (~F.col("odd")).alias("taken"))
+    one = x.where("e0 is null or e1 is null").join(known.where("taken"), ["entity_id", "e"], "left_semi")
+    both = x.where("e0 is not null and e1 is not null")
+    for side in ("e0", "e1"):
+        both = both.join(known.where("not taken").select("entity_id", F.col("e").alias(side)), ["entity_id", side], "left_semi")
+    return one.unionByName(both).select("entity_id", "island", "q", "r", "o")
+
+
+def _numbers(taken: DataFrame, points: DataFrame, end: str, side: int) -> DataFrame:
+    """Points of one side at one time are alike until taken: the lowest number goes first."""
+    same = Window.partitionBy("entity_id", f"{end}.t")
+    x = taken.withColumn("_k", F.row_number().over(same.orderBy("o", "q.seq")))
+    at = Window.partitionBy("entity_id", "t").orderBy("seq")
+    y = points.where(F.col("side") == side).select("entity_id", F.col("t").alias(f"_t{side}"), F.row_number().over(at).alias("_k"), F.col("seq").alias(f"{end}_seq"))
+    return x.withColumn(f"_t{side}", F.col(f"{end}.t")).join(y, ["entity_id", f"_t{side}", "_k"]).drop("_k", f"_t{side}")
+
+
+def greedy_match(query: DataFrame, reference: DataFrame, q_t: str, r_t: str, tolerance_us: int, *, width_us: int = DAY_US, cell: int = CELL) -> DataFrame:
     """Bijective match within a tolerance, smallest |dt| first, ties by query then reference order.
 
-    ``seq`` numbers both sides per entity. Points farther apart than the tolerance
-    cannot interact, so each island is solved on its own: small ones as grouped maps,
-    large ones by distributed rounds. Returns entity_id, query_seq, reference_seq, offset_us.
+    ``seq`` numbers both sides per entity in order of time. Rows without entity or time match nothing. ``width_us`` is
+    the time slot of the first numbering, ``cell`` the rows of a cell of later scans; neither changes the result.
+    Returns entity_id, query_seq, reference_seq, offset_us.
     """
     def side(df: DataFrame, t: str, n: int) -> DataFrame:
-        return df.select("entity_id", F.lit(n).alias("side"), F.col("seq").cast("bigint").alias("seq"), F.col(t).alias("t"), F.lit(tolerance_us).alias("tol"))
-
-    pts = islands(side(query, q_t, 0).unionByName(side(reference, r_t, 1)), tolerance_us)
-    sizes = pts.groupBy("entity_id", "island").agg(F.count(F.lit(1)).alias("size"), F.countDistinct("side").alias("sides")).where("sides = 2")
-    pts = pts.join(sizes, ["entity_id", "island"])
-    schema = "entity_id bigint, query_seq bigint, reference_seq bigint, offset_us bigint"
-    pairs = pts.where(F.col("size") <= small).groupBy("entity_id", "island").applyInPandas(_greedy_island, schema)
-    if not sizes.where(F.col("size") > small).isEmpty():
-        pairs = pairs.unionByName(_mutual_rounds(pts.where(F.col("size") > small).select("entity_id", "side", "seq", "t", "tol")))
-    return pairs
+        return df.select("entity_id", F.lit(n).alias("side"), F.col("seq").cast("bigint").alias("seq"), F.col(t).alias("t")).dropna()
+
+    pts = islands(side(query, q_t, 0).unionByName(side(reference, r_t, 1)), tolerance_us, width_us)
+    mixed = pts.groupBy("entity_id", "island").agg(F.min("side").alias("_a"), F.max("side").alias("_z")).where("_a < _z")
+    pts = pts.join(mixed.select("entity_id", "island"), ["entity_id", "island"], "left_semi")
+    pts = cut(row_index(pts, ["entity_id"], ["t", "side", "seq"], slot("t", width_us)))
+    free, done = pts, []
+    while True:
+        edges = cut(_edges(free, tolerance_us, cell))
+        if edges.isEmpty():
+            break
+        taken = cut(_take(edges))
+        done.append(taken)
+        # an island without a possible pair is finished
+        used = taken.select("entity_id", F.lit(0).alias("side"), F.col("q.seq").alias("seq")).unionByName(taken.select("entity_id", F.lit(1).alias("side"), F.col("r.seq").alias("seq")))
+        free = cut(free.join(edges.select("entity_id", "island").distinct(), ["entity_id", "island"], "left_semi").join(used, ["entity_id", "side", "seq"], "left_anti"))
+    if not done:
+        return query.sparkSession.createDataFrame([], PAIR)
+    taken = reduce(DataFrame.unionByName, done)
+    taken = _numbers(_numbers(taken, pts, "q", 0), pts, "r", 1)
+    return taken.select("entity_id", F.col("q_seq").alias("query_seq"), F.col("r_seq").alias("reference_seq"), (F.col("r.t") - F.col("q.t")).alias("offset_us"))

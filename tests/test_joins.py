@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.operators.joins import Probe, asof_probes, bracket_join, count_overlaps, count_within, nearest_join, overlaps_merged, points_in_windows, spans_over_windows
+from orrery.operators import matching
 from orrery.operators.matching import greedy_match
 from orrery.operators.windows import merge_spans
 
@@ -102,11 +103,32 @@ def greedy(q, r, tol):
     return out
 
 
-@pytest.mark.parametrize("small", [2000, 2])
-def test_greedy_matching(spark, small):
+@pytest.mark.parametrize("cell, width", [(50_000, 1000), (3, 7)])
+def test_greedy_matching(spark, cell, width):
+    """Many crowded entities with ties, runs of one side and equal times, also where cells cut runs."""
     rng = np.random.default_rng(5)
-    q, r = sorted(map(int, rng.integers(0, 120, 14))), sorted(map(int, rng.integers(0, 120, 12)))
-    qd = frame(spark, [(1, i, t) for i, t in enumerate(q, 1)], "entity_id long, seq long, qt long")
-    rd = frame(spark, [(1, i, t) for i, t in enumerate(r, 1)], "entity_id long, seq long, rt long")
-    got = {(x.query_seq, x.reference_seq, x.offset_us) for x in greedy_match(qd, rd, "qt", "rt", 9, small=small).collect()}
-    assert got == greedy(q, r, 9)
+    qs, rs, want = [], [], set()
+    for e in range(60):
+        span = int(rng.choice([12, 60, 400]))
+        q, r = (sorted(map(int, rng.integers(0, span, int(n)))) for n in rng.integers(0, 25, 2))
+        qs += [(e, i, t) for i, t in enumerate(q, 1)]
+        rs += [(e, i, t) for i, t in enumerate(r, 1)]
+        want |= {(e, *m) for m in greedy(q, r, 20)}
+    qd = frame(spark, qs + [(None, 1, 5), (1, 99, None)], "entity_id long, seq long, qt long")
+    rd = frame(spark, rs + [(None, 1, 5)], "entity_id long, seq long, rt long")
+    got = [tuple(x) for x in greedy_match(qd, rd, "qt", "rt", 20, cell=cell, width_us=width).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert greedy_match(qd.limit(0), rd, "qt", "rt", 20).count() == 0
+
+
+def test_greedy_matching_of_a_ladder(spark, monkeypatch):
+    """20,000 points whose gaps shrink from end to end: the last pair decides all others, in one round of jumps."""
+    n, rounds = 20_000, []
+    take = matching._take
+    monkeypatch.setattr(matching, "_take", lambda edges: rounds.append(1) or take(edges))
+    # gaps 2n-1, 2n-2, ..., n+1 between sides in turn
+    pts = spark.range(n).withColumn("t", F.expr(f"id * {2 * n - 1} - (id * (id - 1)) div 2")).withColumn("entity_id", F.lit(1).cast("long"))
+    sides = [pts.where(f"id % 2 = {i}").select("entity_id", F.expr("id div 2").alias("seq"), "t") for i in (0, 1)]
+    out = greedy_match(*sides, "t", "t", 2 * n, cell=1500, width_us=1_000_000)
+    assert out.where("query_seq = reference_seq and offset_us = 2 * %d - 1 - 2 * query_seq" % n).count() == out.count() == n // 2
+    assert len(rounds) <= 2
