@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
+from orrery.operators.cells import ROWS, even_cells
 from orrery.operators.scan import prefix_scan
 from orrery.session import cut
 
@@ -215,15 +216,19 @@ def equivalence(df: DataFrame, by: Sequence[str], group: str, value: str, tolera
     return p.withColumn("verdict", verdict).drop("_cl", "_ch")
 
 
-def benjamini_hochberg(df: DataFrame, p: str, tie: Sequence[str], name: str = "p_adjusted", cells: int = 4096) -> DataFrame:
-    """Adjusted p-values: rank by a two-level scan, then the running minimum from the far end."""
-    cell = F.floor(F.col(p) * cells).cast("bigint")
+def benjamini_hochberg(df: DataFrame, p: str, tie: Sequence[str], name: str = "p_adjusted", rows: int = ROWS) -> DataFrame:
+    """Adjusted p-values: rank by a two-level scan, then the running minimum from the far end.
+
+    Cells follow the values, so p-values that crowd at 0 spread over as many tasks as any others.
+    """
+    cell = F.col("_even")
     order = [p, *tie]
-    x = prefix_scan(df, [], order, cell, {"_rank": ("sum", F.lit(1).cast("bigint"))})
+    x = even_cells(df, [], F.col(p), "_even", rows=rows)
+    x = prefix_scan(x, [], order, cell, {"_rank": ("sum", F.lit(1).cast("bigint"))})
     m = df.agg(F.count(F.lit(1)).alias("_m"))
     x = x.join(F.broadcast(m))  # one-row side
     x = prefix_scan(x, [], order, cell, {name: ("min", F.col(p) * F.col("_m") / F.col("_rank"))}, descending=True)
-    return x.withColumn(name, F.least(F.col(name), F.lit(1.0))).drop("_rank", "_m")
+    return x.withColumn(name, F.least(F.col(name), F.lit(1.0))).drop("_rank", "_m", "_even")
 
 
 def sigma_model(estimates: DataFrame) -> DataFrame:

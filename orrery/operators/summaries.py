@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions.orbit import altitude_km, norm3
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
+from orrery.operators.cells import ROWS, even_cells
 from orrery.operators.scan import DAY_US, neighbour, prefix_scan, slot
 from orrery.session import cut
 
@@ -89,10 +90,11 @@ def significant_bins(df: DataFrame, by: Sequence[str], bin_no: Column) -> DataFr
     return n.withColumn("_top", top).groupBy(*by).agg(F.count_if(F.col("_n") >= F.greatest(F.lit(1.0), F.col("_top") * 0.5)).alias("significant_bins"))
 
 
-def ecdf(df: DataFrame, by: Sequence[str], value: Column, bucket: Column) -> DataFrame:
-    """Distinct values with their cumulative share per group; ``bucket`` is monotone in the value."""
+def ecdf(df: DataFrame, by: Sequence[str], value: Column, *, rows: int = ROWS) -> DataFrame:
+    """Distinct values with their cumulative share per group, in cells of at most ``rows`` values."""
     n = df.where(value.isNotNull()).groupBy(*by, value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    run = prefix_scan(n, list(by), ["value"], bucket, {"cum": ("sum", F.col("n"))})
+    n = even_cells(n, by, F.col("value"), "_even", rows=rows)
+    run = prefix_scan(n, list(by), ["value"], F.col("_even"), {"cum": ("sum", F.col("n"))}).drop("_even")
     total = n.groupBy(*by).agg(F.sum("n").alias("total"))
     return run.join(total, list(by)).withColumn("ecdf", F.col("cum") / F.col("total"))
 

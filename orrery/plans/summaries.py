@@ -385,8 +385,10 @@ def a27(spark, d):
     """Match counts and rates at three tolerances, per entity and overall."""
     q, x = match_lists(spark, d)
     q, x = cut(q), cut(x)
-    parts = [matching.greedy_match(q, x, "event_t", "xt", int(t * DAY_US)).select("entity_id", F.lit(t).alias("tolerance_days")) for t in (0.5, 1.0, 2.0)]
-    pairs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # pairs are taken by distance, so the matches at a tolerance are those at the widest one up to that distance
+    widest = cut(matching.greedy_match(q, x, "event_t", "xt", 2 * DAY_US))
+    days = F.explode(F.array(*[F.lit(t) for t in (0.5, 1.0, 2.0)]))
+    pairs = widest.select("entity_id", "offset_us", days.alias("tolerance_days")).where(F.abs("offset_us") <= F.col("tolerance_days") * DAY_US)
     n = summaries.with_all(pairs, ["entity_id"]).groupBy("entity_id", "tolerance_days").agg(F.count(ONE).alias("matched"))
     total = summaries.with_all(x, ["entity_id"]).groupBy("entity_id").agg(F.count(ONE).alias("external"))
     return n.join(total, "entity_id", "left").select("entity_id", "tolerance_days", "matched", rnd(F.col("matched") / F.col("external"), 4).alias("rate"))
@@ -477,7 +479,7 @@ def a34(spark, d):
 @query("a35_ecdf_table", oracle(f"SELECT tier, {rsql('v')} AS value_m, {rsql('ecdf', 9)} AS ecdf FROM (SELECT DISTINCT tier, abs(delta_sma_km)*1000.0 AS v, cume_dist() OVER (PARTITION BY tier ORDER BY abs(delta_sma_km)*1000.0) AS ecdf FROM effects WHERE delta_sma_km IS NOT NULL)"))
 def a35(spark, d):
     """Empirical distribution of responses per tier."""
-    e = summaries.ecdf(R.effects(spark, d), ["tier"], F.abs("delta_sma_km") * 1000.0, F.floor(F.col("value") * 8).cast("bigint"))
+    e = summaries.ecdf(R.effects(spark, d), ["tier"], F.abs("delta_sma_km") * 1000.0)
     return e.select("tier", rnd("value").alias("value_m"), rnd("ecdf", 9).alias("ecdf"))
 
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from orrery.operators.cells import even_cells
 from orrery.operators.scan import fill_forward, neighbour, prefix_scan, row_index, slot
 
 
@@ -34,3 +35,26 @@ def test_scans(points, width):
     assert np.allclose(nxt.p, g.t.shift(-1), equal_nan=True)
     fill = fill_forward(df, ["e"], ["t"], b, {"f": F.col("v")}).orderBy("e", "t").toPandas()
     assert np.allclose(fill.f, g.v.ffill(), equal_nan=True)
+
+
+@pytest.mark.parametrize("rows", [50, 10_000])
+def test_cells_follow_the_data(spark, rows):
+    """One entity with nine tenths of its rows in one day, values crowded at 0, a value that repeats, NULL keys, an empty table."""
+    rng = np.random.default_rng(7)
+    day = 86_400
+    t = np.concatenate([rng.integers(50 * day, 51 * day, 2700), rng.integers(0, 400 * day, 300)])
+    p = np.concatenate([rng.random(2000) ** 40, np.full(1000, 0.5)])
+    pdf = pd.DataFrame({"e": np.where(np.arange(3000) % 10 == 0, 2, 1), "t": t, "p": rng.permutation(p), "i": range(3000)})
+    df = spark.createDataFrame(pdf).withColumn("p", F.when(F.col("i") % 500 != 3, F.col("p")))
+    df = df.withColumn("e", F.when(F.col("e") == 1, F.col("e")))  # the smaller group has no key
+    for by, key in ((["e"], "t"), ([], "p")):
+        got = even_cells(df, by, F.col(key), "cell", rows=rows).toPandas()
+        assert len(got) == 3000 and list(got.columns) == ["e", "t", "p", "i", "cell"]
+        for _, g in got.groupby(by or (lambda _: 0), dropna=False):
+            assert g.sort_values(key, na_position="first").cell.is_monotonic_increasing
+            for _, c in g.groupby("cell"):
+                assert len(c) <= rows or c[key].nunique(dropna=False) == 1
+    assert even_cells(df.limit(0), ["e"], F.col("t"), "cell", rows=rows).count() == 0
+    df = df.dropna(subset=["e"])
+    got = row_index(even_cells(df, ["e"], F.col("t"), "cell", rows=rows), ["e"], ["t", "i"], F.col("cell")).toPandas().sort_values(["e", "t", "i"])
+    assert (got.row_no.to_numpy() == (got.groupby("e").cumcount() + 1).to_numpy()).all()

@@ -60,7 +60,7 @@ def test_benjamini_hochberg_monotone(spark):
     rng = np.random.default_rng(2)
     p = np.round(rng.random(200) ** 3, 4)
     df = spark.createDataFrame(pd.DataFrame({"i": range(200), "p": p}))
-    got = statistics.benjamini_hochberg(df, "p", ["i"], cells=7).orderBy("p", "i").toPandas()
+    got = statistics.benjamini_hochberg(df, "p", ["i"], rows=7).orderBy("p", "i").toPandas()
     q = np.minimum(np.minimum.accumulate((got.p.to_numpy() * 200 / np.arange(1, 201))[::-1])[::-1], 1)
     assert np.allclose(got.p_adjusted, q) and (np.diff(got.p_adjusted) >= 0).all()
 
