@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.operators.scan import DAY_US, neighbour, prefix_scan, row_index, slot
+from orrery.operators.cells import even_cells
+from orrery.operators.scan import neighbour, prefix_scan, row_index
 from orrery.session import cut
 
 CELL = 50_000
@@ -28,12 +29,12 @@ JUMPS = 2
 PAIR = "entity_id bigint, query_seq bigint, reference_seq bigint, offset_us bigint"
 
 
-def islands(points: DataFrame, gap_us: int, width_us: int = DAY_US) -> DataFrame:
+def islands(points: DataFrame, gap_us: int, bucket: Column) -> DataFrame:
     """Number runs of rows of an entity whose neighbours are at most ``gap_us`` apart."""
     order = ["t", "side", "seq"]
-    near = neighbour(points, ["entity_id"], order, slot("t", width_us), ["t"])
+    near = neighbour(points, ["entity_id"], order, bucket, ["t"])
     fresh = F.when(F.col("prev").isNull() | (F.col("t") - F.col("prev.t") > gap_us), 1).otherwise(0).cast("bigint")
-    return prefix_scan(near, ["entity_id"], order, slot("t", width_us), {"island": ("sum", fresh)}).drop("prev")
+    return prefix_scan(near, ["entity_id"], order, bucket, {"island": ("sum", fresh)}).drop("prev")
 
 
 def _runs(free: DataFrame, cell: int) -> DataFrame:
@@ -114,20 +115,21 @@ def _numbers(taken: DataFrame, points: DataFrame, end: str, side: int) -> DataFr
     return x.withColumn(f"_t{side}", F.col(f"{end}.t")).join(y, ["entity_id", f"_t{side}", "_k"]).drop("_k", f"_t{side}")
 
 
-def greedy_match(query: DataFrame, reference: DataFrame, q_t: str, r_t: str, tolerance_us: int, *, width_us: int = DAY_US, cell: int = CELL) -> DataFrame:
+def greedy_match(query: DataFrame, reference: DataFrame, q_t: str, r_t: str, tolerance_us: int, *, cell: int = CELL) -> DataFrame:
     """Bijective match within a tolerance, smallest |dt| first, ties by query then reference order.
 
-    ``seq`` numbers both sides per entity in order of time. Rows without entity or time match nothing. ``width_us`` is
-    the time slot of the first numbering, ``cell`` the rows of a cell of later scans; neither changes the result.
+    ``seq`` numbers both sides per entity in order of time. Rows without entity or time match nothing. ``cell`` is
+    the rows of a scan's cell and does not change the result.
     Returns entity_id, query_seq, reference_seq, offset_us.
     """
     def side(df: DataFrame, t: str, n: int) -> DataFrame:
         return df.select("entity_id", F.lit(n).alias("side"), F.col("seq").cast("bigint").alias("seq"), F.col(t).alias("t")).dropna()
 
-    pts = islands(side(query, q_t, 0).unionByName(side(reference, r_t, 1)), tolerance_us, width_us)
+    pts = even_cells(side(query, q_t, 0).unionByName(side(reference, r_t, 1)), ["entity_id"], F.col("t"), "_even", rows=cell)
+    pts = islands(pts, tolerance_us, F.col("_even"))
     mixed = pts.groupBy("entity_id", "island").agg(F.min("side").alias("_a"), F.max("side").alias("_z")).where("_a < _z")
     pts = pts.join(mixed.select("entity_id", "island"), ["entity_id", "island"], "left_semi")
-    pts = cut(row_index(pts, ["entity_id"], ["t", "side", "seq"], slot("t", width_us)))
+    pts = cut(row_index(pts, ["entity_id"], ["t", "side", "seq"], F.col("_even")).drop("_even"))
     free, done = pts, []
     while True:
         edges = cut(_edges(free, tolerance_us, cell))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.functions.orbit import MU
+from orrery.operators.cells import ROWS, even_cells
 from orrery.operators.names import ramp
 from orrery.operators.quantiles import exact_quantiles
 from orrery.operators.scan import DAY_US, neighbour, prefix_scan, row_index, slot
@@ -25,8 +26,9 @@ def steps(series: DataFrame, by: Sequence[str], order: Sequence[str], value: str
     return near.withColumns({"delta": F.col(value) - F.col(f"prev.{value}"), "prev_t": F.col(f"prev.{order[0]}")}).drop("prev")
 
 
-def median_step_s(series: DataFrame, by: Sequence[str], width_us: int = DAY_US) -> DataFrame:
-    near = neighbour(series.select(*by, "t"), by, ["t"], slot("t", width_us), ["t"])
+def median_step_s(series: DataFrame, by: Sequence[str], bucket: Column | None = None) -> DataFrame:
+    b = slot("t", DAY_US) if bucket is None else bucket
+    near = neighbour(series.select(*by, "t", b.alias("_slot")), by, ["t"], F.col("_slot"), ["t"])
     return exact_quantiles(near, by, {"step_s": ((F.col("t") - F.col("prev.t")) / 1e6, 0.5)})
 
 
@@ -45,15 +47,17 @@ def chunked(series: DataFrame, by: Sequence[str], order: Sequence[str], width: C
     return out.withColumn("_core", F.col("_chunk") == F.col("_c0")).drop("_p", "_c0")
 
 
-def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], value: str, *, period_s: Column | None = None, width_us: int = DAY_US, name: str = "period_mean") -> DataFrame:
+def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], value: str, *, period_s: Column | None = None, rows: int = ROWS, name: str = "period_mean") -> DataFrame:
     """Centred mean over one period of rows; NULL with too few values, or fewer than 8 rows in the series.
 
     The window is max(2, round(period / median step)) rows and needs half of it
     filled; an even window reaches one row further back than ahead. A window's sum is
-    the difference of two running sums, found by row number.
+    the difference of two running sums, found by row number. Sums run in cells of at most ``rows`` rows, however
+    unevenly a series is sampled.
     """
     by = list(by)
-    stats = exact_quantiles(series, by, {"_a": (F.col(value), 0.5)}).join(median_step_s(series, by, width_us), by)
+    marked = even_cells(series, by, F.col(order[0]), "_even", rows=rows)
+    stats = exact_quantiles(series, by, {"_a": (F.col(value), 0.5)}).join(median_step_s(marked, by, F.col("_even")), by)
     count = series.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_valid"))
     period = 2 * math.pi * F.sqrt(F.pow("_a", F.lit(3.0)) / MU) if period_s is None else period_s
     plan = stats.join(count, by).where("step_s > 0 and _valid >= 8").select(*by, "_a", "_rows", F.greatest(F.lit(2), F.bround(period / F.col("step_s"))).cast("bigint").alias("_w"))
@@ -61,7 +65,7 @@ def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], valu
     # running sums around the median: small numbers, so differences of sums keep their digits
     off = F.coalesce(F.col(value) - F.col("_a"), F.lit(0.0))
     sums = {"_pos": ("sum", F.lit(1).cast("bigint")), "_s": ("sum", off), "_n": ("sum", F.col(value).isNotNull().cast("bigint"))}
-    x = prefix_scan(series.join(plan, by), by, order, slot(order[0], width_us), sums)
+    x = prefix_scan(marked.join(plan, by), by, order, F.col("_even"), sums)
     x = x.withColumns({"_lo": F.col("_pos") - F.floor(F.col("_w") / 2) - 1, "_hi": F.least(F.col("_rows"), F.col("_pos") + F.col("_w") - 1 - F.floor(F.col("_w") / 2))})
     x = cut(x)
     at = lambda tag: x.select(*by, F.col("_pos").alias(f"_{tag}"), F.col("_s").alias(f"_s{tag}"), F.col("_n").alias(f"_n{tag}"))

@@ -11,6 +11,7 @@ from orrery.functions.ids import quiet_id
 from orrery.functions.time import iso_milli_form
 from orrery.operators.coverage import span_coverage
 from orrery.operators.joins import overlaps_merged, points_in_windows
+from orrery.operators.cells import ROWS, even_cells
 from orrery.operators.scan import DAY_US, HOUR_US, neighbour, prefix_scan, row_index, slot
 from orrery.session import cut
 
@@ -24,15 +25,16 @@ def event_windows(annotations: DataFrame, t: str = "event_t") -> DataFrame:
     return annotations.withColumns({"ws": F.col(t) - PRE_US, "we": F.col(t) + POST_US, "event_label": F.lit("event"), "confidence_tier": F.lit("C")})
 
 
-def merge_spans(spans: DataFrame, by: Sequence[str], s: str, e: str, width_us: int = 30 * DAY_US) -> DataFrame:
+def merge_spans(spans: DataFrame, by: Sequence[str], s: str, e: str, *, rows: int = ROWS) -> DataFrame:
     """Union of overlapping or touching spans: one row per merged span with its member count.
 
     The running maximum of earlier ends and the running island number are two-level
-    scans, so an entity with very many spans stays spread over its time slots.
+    scans in cells of at most ``rows`` spans, so an entity with very many spans stays spread, also where most start in one hour.
     """
     by = list(by)
     plain = spans.groupBy(*by, s, e).agg(F.count(F.lit(1)).alias("_n"))
-    order, b = [s, e], slot(s, width_us)
+    order, b = [s, e], F.col("_even")
+    plain = even_cells(plain, by, F.col(s), "_even", rows=rows)
     seen = prefix_scan(plain, by, order, b, {"_reach": ("max", F.col(e))}, inclusive=False)
     fresh = F.when(F.col("_reach").isNull() | (F.col(s) > F.col("_reach")), 1).otherwise(0).cast("bigint")
     numbered = prefix_scan(seen, by, order, b, {"_island": ("sum", fresh)})

@@ -81,7 +81,7 @@ def test_counts_against_brute_force(spark):
     assert pairs.count() == sum(got.values()) and "NestedLoop" not in plan(pairs)
     pts = points_in_windows(sd, wd, ["e"], "s", "lo", "hi", width_us=17)
     assert pts.count() == sum(inside.values()) and "NestedLoop" not in plan(pts)
-    merged = merge_spans(sd, ["e"], "s", "f", width_us=23)
+    merged = merge_spans(sd, ["e"], "s", "f", rows=25)
     flag = {r.id: r.overlaps for r in overlaps_merged(wd, merged, ["id"], ["e"], "lo", "hi", "s", "f").collect()}
     proper = {i: any(e == e2 and a < hi and b > lo for e2, a, b in [(r.e, r.s, r.f) for r in merged.collect()]) for i, e, lo, hi in w}
     assert flag == proper
@@ -89,7 +89,7 @@ def test_counts_against_brute_force(spark):
 
 def test_touching_spans(spark):
     s = frame(spark, [(1, 0, 10), (1, 10, 20), (1, 25, 30), (1, 2, 5)], "e long, s long, f long")
-    assert sorted((r.s, r.f, r.members) for r in merge_spans(s, ["e"], "s", "f", width_us=4).collect()) == [(0, 20, 3), (25, 30, 1)]
+    assert sorted((r.s, r.f, r.members) for r in merge_spans(s, ["e"], "s", "f", rows=2).collect()) == [(0, 20, 3), (25, 30, 1)]
     w = frame(spark, [(1, 1, 20, 25)], "id long, e long, lo long, hi long")
     assert count_overlaps(w, s, ["id"], ["e"], "lo", "hi", "s", "f").first().n_spans == 0
 
@@ -103,8 +103,8 @@ def greedy(q, r, tol):
     return out
 
 
-@pytest.mark.parametrize("cell, width", [(50_000, 1000), (3, 7)])
-def test_greedy_matching(spark, cell, width):
+@pytest.mark.parametrize("cell", [50_000, 3])
+def test_greedy_matching(spark, cell):
     """Many crowded entities with ties, runs of one side and equal times, also where cells cut runs."""
     rng = np.random.default_rng(5)
     qs, rs, want = [], [], set()
@@ -116,7 +116,7 @@ def test_greedy_matching(spark, cell, width):
         want |= {(e, *m) for m in greedy(q, r, 20)}
     qd = frame(spark, qs + [(None, 1, 5), (1, 99, None)], "entity_id long, seq long, qt long")
     rd = frame(spark, rs + [(None, 1, 5)], "entity_id long, seq long, rt long")
-    got = [tuple(x) for x in greedy_match(qd, rd, "qt", "rt", 20, cell=cell, width_us=width).collect()]
+    got = [tuple(x) for x in greedy_match(qd, rd, "qt", "rt", 20, cell=cell).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert greedy_match(qd.limit(0), rd, "qt", "rt", 20).count() == 0
 
@@ -129,6 +129,6 @@ def test_greedy_matching_of_a_ladder(spark, monkeypatch):
     # gaps 2n-1, 2n-2, ..., n+1 between sides in turn
     pts = spark.range(n).withColumn("t", F.expr(f"id * {2 * n - 1} - (id * (id - 1)) div 2")).withColumn("entity_id", F.lit(1).cast("long"))
     sides = [pts.where(f"id % 2 = {i}").select("entity_id", F.expr("id div 2").alias("seq"), "t") for i in (0, 1)]
-    out = greedy_match(*sides, "t", "t", 2 * n, cell=1500, width_us=1_000_000)
+    out = greedy_match(*sides, "t", "t", 2 * n, cell=1500)
     assert out.where("query_seq = reference_seq and offset_us = 2 * %d - 1 - 2 * query_seq" % n).count() == out.count() == n // 2
     assert len(rounds) <= 2
