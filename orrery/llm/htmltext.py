@@ -3,9 +3,11 @@
 A tree builder keeps the stack of open elements. Start tags imply the end of others (a block ends a paragraph, an
 item an item, a cell a cell, a row a row) and missing rows are made; whatever is open at the end of the page is
 closed there. Elements that are not rendered (head, script, style, template, ``hidden``, ``display:none``,
-``visibility:hidden``, ...) give no text. Blocks start on a line of their own, paragraphs, headings, lists, tables
+``visibility:hidden``, ``noscript``, embedded media, drawing definitions) give no text; options, labels of drawings, formulas
+and image maps do. Blocks start on a line of their own, paragraphs, headings, lists, tables
 and quotes keep a blank line around them; list items get their bullet or number and indent what they hold; cells of
-a table are aligned in columns; preformatted text keeps its spaces; other white space collapses.
+a table are blocks of lines aligned in columns, also across ``colspan`` (1,000 at most, as the standard has it) and ``rowspan``;
+a row is as high as its tallest cell; preformatted text keeps its spaces; other white space collapses.
 
 The rules run on one page at a time inside Arrow batches; pages are not shuffled. Nested elements share the buffer
 of the nearest item, cell or quote, so depth costs no recursion.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HIDDEN = frozenset("head title script style template noscript iframe object noembed noframes datalist audio video canvas svg math area map select".split())
+HIDDEN = frozenset("head title script style template noscript iframe object noembed noframes datalist audio video canvas area annotation annotation-xml metadata defs desc symbol".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript".split())
 HEAD = frozenset("base basefont bgsound link meta title script style noscript template".split())  # what a head may hold
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,10 +75,20 @@ class Buffer:
 
 
 class Element:
-    __slots__ = ("tag", "hidden", "buffer", "rows", "number", "span")
+    __slots__ = ("tag", "hidden", "buffer", "rows", "number", "span", "depth", "held", "at")
 
     def __init__(self, tag: str):
         self.tag, self.hidden, self.buffer, self.rows, self.number, self.span = tag, False, None, None, None, 1
+        self.depth, self.held, self.at = 1, {}, 0
+
+    def place(self, cell: Element, lines: list[str]) -> None:
+        """Put a cell of this table into the first column that no cell above it still covers."""
+        while self.at in self.held:
+            self.at += 1
+        self.rows[-1][self.at] = lines
+        if cell.depth > 1:
+            self.held.update(dict.fromkeys(range(self.at, self.at + cell.span), cell.depth))
+        self.at += cell.span
 
 
 class Page:
@@ -125,6 +137,8 @@ class Page:
                 self.buffers[-1].flush(even_empty=True)
             return
         if tag in BLOCK:
+            self.end_open(("svg", "math"), WALLS | {"foreignobject"})
+        if tag in BLOCK and tag not in ("option", "optgroup"):
             self.end_open(("p",), WALLS | {"li", "dd", "dt", "blockquote", "button"} if tag != "li" else WALLS | {"ul", "ol", "blockquote"})
         if tag in ENDS:
             while self.end_open(*ENDS[tag]):
@@ -147,11 +161,17 @@ class Page:
         if tag in ("li", "td", "th", "blockquote"):
             e.buffer = Buffer()
             self.buffers.append(e.buffer)
-            e.span = min(int(given["colspan"]), 100) if given.get("colspan", "").isdecimal() else 1
+            wide, high = (re.fullmatch(r"\s*0*(\d{1,9})\s*", given.get(a, "")) for a in ("colspan", "rowspan"))
+            e.span = min(max(int(wide[1]), 1), 1000) if wide else 1
+            e.depth = min(int(high[1]) or 65_534, 65_534) if high else 1  # 0: to the end of the row group
         elif tag == "table":
             e.rows = []
         elif tag == "tr" and (table := self.table()) is not None:
-            table.rows.append([])
+            table.rows.append({})
+            table.at = 0
+            table.held = {c: n - 1 for c, n in table.held.items() if n > 1}
+        elif tag in ("tbody", "thead", "tfoot") and (table := self.table()) is not None:
+            table.held = {}
         elif tag == "ol":
             e.number = int(given["start"]) if re.fullmatch(r"-?\d{1,9}", given.get("start", "")) else 1
         elif tag in ("pre", "listing"):
@@ -189,13 +209,12 @@ class Page:
                     out.put(["  " + x if x else "" for x in lines])
             else:
                 table = self.table()
-                cell = " ".join(x.strip() for x in lines if x)
                 if table is None:
-                    out.run.append(" " + cell + " ")
+                    out.run.append(" " + " ".join(x.strip() for x in lines if x) + " ")
                 else:
                     if not table.rows:
-                        table.rows.append([])
-                    table.rows[-1] += [cell, *[""] * (e.span - 1)]
+                        table.rows.append({})
+                    table.place(e, lines)
         if e.rows is not None:
             self.buffers[-1].space(True)
             self.buffers[-1].put(aligned(e.rows))
@@ -203,6 +222,8 @@ class Page:
             self.pre -= 1
         elif tag == "q":
             self.buffers[-1].run.append('"')
+        elif tag == "text":  # a label of a drawing
+            self.buffers[-1].run.append(" ")
         if tag in BLOCK and tag not in ("td", "th"):
             self.buffers[-1].space(tag in SPACED and not (tag in ("ul", "ol") and bool(self.open) and self.open[-1].tag == "li"))
 
@@ -213,11 +234,19 @@ class Page:
             self.end_open((tag,), WALLS - {tag} if tag not in ("table", "tr", "tbody", "thead", "tfoot") else {"table", "html"} - {tag})
 
 
-def aligned(rows: list[list[str]]) -> list[str]:
-    """Cells of each column on the same position, two blanks apart; rows without text are left out."""
-    rows = [r for r in rows if any(r)]
-    widths = [max(len(r[k]) for r in rows if k < len(r)) for k in range(max(map(len, rows), default=0))]
-    return ["  ".join(c.ljust(w) for c, w in zip(r, widths, strict=False)).rstrip() for r in rows]
+def aligned(rows: list[dict[int, list[str]]]) -> list[str]:
+    """Cells (column -> lines) of each column on the same position, two blanks apart; rows and columns without text are left out."""
+    widths: dict[int, int] = {}
+    for row in rows:
+        for column, lines in row.items():
+            widths[column] = max(widths.get(column, 0), max(map(len, lines), default=0))
+    columns, out = sorted(c for c, w in widths.items() if w), []
+    for row in rows:
+        if any(map(any, row.values())):
+            for i in range(max(map(len, row.values()))):
+                cells = ((row[c][i] if c in row and i < len(row[c]) else "").ljust(widths[c]) for c in columns)
+                out.append("  ".join(cells).rstrip())
+    return out
 
 
 def visible_text(html: str) -> str:

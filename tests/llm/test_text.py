@@ -207,7 +207,7 @@ def test_layout():
 
 @pytest.mark.parametrize(("html", "want"), [
     ("", ""), ("<", "<"), ("<!--", ""), ("<p", ""), ("</>", ""), ("a<br><br>b", "a\n\nb"), ("<title>t</title>b", "b"), ("<td>loose", "loose"), ("<textarea>seen</textarea>", "seen"),
-    ("<p></div>t</p></table>", "t"), ("<svg><p>no</svg>yes", "yes"), ("<div>" * 3000 + "x", "x"), ("<ul><ul><li>q</ul></ul>", "- q"), ("<head><script>x</script> hi", "hi"), ("<a b='c", ""), ("x<script>y", "x"),
+    ("<p></div>t</p></table>", "t"), ("<svg><title>t</title><text>a</text><text>b</text><p>no</svg>yes", "a b\n\nnoyes"), ("<div>" * 3000 + "x", "x"), ("<ul><ul><li>q</ul></ul>", "- q"), ("<head><script>x</script> hi", "hi"), ("<a b='c", ""), ("x<script>y", "x"),
 ])
 def test_broken_markup(html, want):
     assert htmltext.visible_text(html) == want
@@ -289,3 +289,17 @@ def test_short_items_with_changed_words(length, changed):
         doc = "a b c " + " ".join("swap" if k in swap else w for k, w in enumerate(item)) + " d e f"
         got = decontaminate.overlaps(block, lexicon.hashes(decontaminate.tokens(doc)))
         assert max(o[5] for o in got) == length - changed
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<p>Pick <select><option>one<option selected>two</select> now", "Pick\none\ntwo\nnow"),
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>", "x=2"),
+    ("<map name=m><area href=x>see <a>here</a></map>", "see here"),
+    ("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b  c\n   d  e\nf  g"),
+    ("<table><tr><td rowspan=0>a<td>b<tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td><p>one<p>two<ul><li>x<li>y</ul><td>side</table>", "one  side\n\ntwo\n\n- x\n- y"),
+    ("<table><tr><td colspan=2000>wide<td>z<tr><td>p<td>q</table>", "wide     z\np     q"),
+    ("<table><tr><td>l<td><table><tr><td>1<td>2<tr><td>3<td>4</table><td>r</table>", "l  1  2  r\n   3  4"),
+])
+def test_layout_by_hand(html, want):
+    assert htmltext.visible_text(html) == want
