@@ -483,9 +483,12 @@ def a35(spark, d):
     return e.select("tier", rnd("value").alias("value_m"), rnd("ecdf", 9).alias("ecdf"))
 
 
-@query("a35_log_histogram_and_pivot", oracle("SELECT decade, count(*) FILTER (tier='A') AS a, count(*) FILTER (tier='B') AS b, count(*) FILTER (tier='C') AS c, count(*) FILTER (m>40) AS overflow FROM (SELECT *, floor(log10(m)*4)/4 AS decade FROM (SELECT tier, round_even(abs(delta_sma_km)*1000.0,3) AS m FROM effects) WHERE m>0) GROUP BY 1"))
+@query("a35_log_histogram_and_pivot", oracle("SELECT decade, count(*) FILTER (tier='A') AS a, count(*) FILTER (tier='B') AS b, count(*) FILTER (tier='C') AS c, count(*) FILTER (m>40) AS overflow FROM (SELECT *, floor(log10(m)*4)/4 AS decade FROM (SELECT tier, (v-rest+CASE WHEN rest>0.0005 OR (rest=0.0005 AND (v-rest)%0.002>0) THEN 0.001 ELSE 0.000 END)::DECIMAL(18,3)::DOUBLE AS m FROM (SELECT *, v%0.001 AS rest FROM (SELECT tier, (abs(delta_sma_km)*1000.0)::VARCHAR::DECIMAL(38,20) AS v FROM effects))) WHERE m>0) GROUP BY 1"))
 def a35b(spark, d):
-    """Log-spaced histogram pivoted by tier with the number of values beyond the drawn range."""
+    """Log-spaced histogram pivoted by tier with the number of values beyond the drawn range.
+
+    Values are rounded half-even to three digits of their decimal form; a product with 1000 could move them onto a tie.
+    """
     e = R.effects(spark, d).select("tier", F.bround(F.abs("delta_sma_km") * 1000.0, 3).alias("m")).where("m > 0")
     e = e.withColumn("decade", F.floor(F.log10("m") * 4) / 4)
     p = e.groupBy("decade").pivot("tier", ["A", "B", "C"]).count()

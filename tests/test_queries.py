@@ -30,3 +30,19 @@ def test_against_sql(spark, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) >= 211
+
+
+def test_values_just_below_a_tie_fall_in_the_same_decade(spark, tmp_path):
+    import duckdb
+    from __spark_entry__ import oracle_sql, queries
+
+    ties = [(2498.75, 0.09), (995.0, 0.06), (995.0, 0.04), (24998.75, 0.09), (100001.25, 0.09), (80001.0, 0.1), (1234.56, 0.05), (24997.5, 0.09), (98765.43, 0.0)]
+    rows = ", ".join(f"({p!r}::DOUBLE, {q!r}::DOUBLE)" for p, q in ties)
+    small = "/root/testdata/sf0.001"
+    duckdb.execute(f"COPY (SELECT l.* REPLACE (p AS l_extendedprice, q AS l_discount, 1 AS l_linenumber) FROM (SELECT * FROM '{small}/lineitem.parquet' LIMIT 20) l, (VALUES {rows}) x(p, q)) TO '{tmp_path}/lineitem.parquet'")
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path if t == 'lineitem' else small}/{t}.parquet'")
+    got = queries()["a35_log_histogram_and_pivot"](spark, str(tmp_path))
+    want = con.execute(oracle_sql()["a35_log_histogram_and_pivot"]).df()[got.columns]
+    assert sorted(map(tuple, got.collect())) == sorted(want.itertuples(index=False, name=None))
