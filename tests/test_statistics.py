@@ -202,3 +202,15 @@ def test_five_dedup_rules(spark):
     best, dropped = prioritised(spark.createDataFrame(rows, "t long, origin int, family int, arc long, name string"), ["t"])
     assert {r.t: r.name for r in best.collect()} == {1: "SWOT_POR_b", 2: "POEORB"}
     assert {(r.t, r.rule): r.dropped for r in dropped.collect()} == {(1, "parsed_over_published"): 1, (1, "por_beats_vor"): 1, (1, "later_arc_start"): 1, (1, "same_arc_tiebreak"): 1, (2, "poeorb_beats_moeorb"): 1}
+
+
+def test_large_ids_add_no_noise_to_the_smooth_truth(spark):
+    from orrery.operators import interpolate
+    from orrery.plans.statistics import on_slow_orbit
+
+    x, y, z = on_slow_orbit("t")
+    step = F.when(F.col("i") % 7 == 0, F.col("i") * 86_400).otherwise(F.col("i") * 86_400 + F.col("i") * 7919 % 80_000)
+    s = spark.range(60).select(F.explode(F.array(F.lit(3), F.lit(90_003))).alias("entity_id"), F.col("id").alias("i"))
+    s = s.select("entity_id", ((1_700_000_000 + step) * 1_000_000).cast("bigint").alias("t")).select("entity_id", "t", x.alias("x"), y.alias("y"), z.alias("z"))
+    worst = {r[0]: r[1] for r in interpolate.holdout_errors(s, ["entity_id"]).groupBy("entity_id").agg(F.max("error_m")).collect()}
+    assert set(worst) == {3, 90_003} and max(worst.values()) < 1e-5, worst
