@@ -123,9 +123,12 @@ def even_samples(df: DataFrame, by: list[str], order: list[str], bucket: Column,
     """Rows at evenly spaced (half-even rounded) positions of each group, at most ``limit``."""
     n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     x = row_index(df, by, order, bucket, "_pos").join(n, by)
-    take = F.least(F.col("_n"), F.lit(limit)).cast("int")
-    wanted = F.transform(F.sequence(F.lit(0), take - 1), lambda i: F.bround(i * (F.col("_n") - 1) / F.greatest(take - 1, F.lit(1))).cast("bigint"))
-    return x.where(F.array_contains(wanted, F.col("_pos") - 1)).drop("_pos", "_n")
+    take = F.least(F.col("_n"), F.lit(limit))
+    pos, last, steps = F.col("_pos") - 1, F.greatest(F.col("_n") - 1, F.lit(1)), F.greatest(take - 1, F.lit(1))
+    # at most one sample is as near as half a row; its number is the row's share of the steps, rounded either way
+    near = F.floor(pos * steps / last)
+    wanted = [(i >= 0) & (i < take) & (F.rint(i * (F.col("_n") - 1) / steps) == pos) for i in (near - 1, near, near + 1)]
+    return x.where(wanted[0] | wanted[1] | wanted[2]).drop("_pos", "_n")
 
 
 def slice_plan(df: DataFrame, order: list[str], start: int, count: int | None) -> DataFrame:

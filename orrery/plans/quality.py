@@ -18,7 +18,7 @@ from orrery.plans.registry import query
 from orrery.plans.scalars import W
 from orrery.plans.summaries import QC_SQL
 from orrery.roles import iso_sql, oracle, rnd, rsql
-from orrery.session import scratch_dir
+from orrery.session import cut, scratch_dir
 
 INV = f"(2.0/sqrt(x*x+y*y+z*z) - (pow(vx-{W}*y,2)+pow(vy+{W}*x,2)+vz*vz)/3.986004418e14::DOUBLE)"
 CHK_CTE = f"""chk AS (SELECT *, t//(3*{DAY_US}) AS part, sqrt(x*x+y*y+z*z) AS r, CASE WHEN {INV}>0 THEN 1.0/{INV} END AS sma FROM states),
@@ -213,7 +213,8 @@ def q19(spark, d):
     e = R.estimates(spark, d)
     dx, dy, dz = (F.col(f"i{a}") - F.col(f"o{a}") for a in "xyz")
     e = e.withColumn("res", F.sqrt(dx * dx + dy * dy + dz * dz) / 1000.0)
-    s = names.even_samples(e, ["entity_id"], ["t", "l_orderkey", "l_linenumber", "ox", "oy", "oz"], slot("t", 30 * DAY_US), 101)
+    order = ["t", "l_orderkey", "l_linenumber", "ox", "oy", "oz"]
+    s = cut(names.even_samples(e.select("entity_id", *order, "res"), ["entity_id"], order, slot("t", 30 * DAY_US), 101).select("entity_id", "res"))
     q = with_quantiles(s, ["entity_id"], [F.count("*").alias("n_samples"), F.max("res").alias("mx")], {"m": (F.col("res"), 0.5)})
     return q.select("entity_id", "n_samples", rnd("m").alias("median_km"), rnd("mx").alias("max_km"), (F.col("m") > 0.7).alias("alert"))
 

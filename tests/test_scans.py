@@ -58,3 +58,15 @@ def test_cells_follow_the_data(spark, rows):
     df = df.dropna(subset=["e"])
     got = row_index(even_cells(df, ["e"], F.col("t"), "cell", rows=rows), ["e"], ["t", "i"], F.col("cell")).toPandas().sort_values(["e", "t", "i"])
     assert (got.row_no.to_numpy() == (got.groupby("e").cumcount() + 1).to_numpy()).all()
+
+
+def test_even_samples_are_found_without_listing_them_for_each_row(spark):
+    from orrery.operators.names import even_samples
+
+    sizes = [1, 2, 3, 6, 7, 8, 13, 50, 99, 100, 101, 250]
+    rows = spark.createDataFrame([(n,) for n in sizes], "e long").select("e", F.explode(F.sequence(F.lit(0), F.col("e") - 1)).alias("t"))
+    for limit in (1, 7, 100):
+        s = even_samples(rows, ["e"], ["t"], F.floor(F.col("t") / 16), limit)
+        want = {(n, round(i * (n - 1) / max(min(n, limit) - 1, 1))) for n in sizes for i in range(min(n, limit))}
+        assert sorted(map(tuple, s.select("e", "t").collect())) == sorted(want)
+        assert "lambdafunction" not in s._jdf.queryExecution().optimizedPlan().toString()
