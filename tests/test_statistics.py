@@ -214,3 +214,11 @@ def test_large_ids_add_no_noise_to_the_smooth_truth(spark):
     s = s.select("entity_id", ((1_700_000_000 + step) * 1_000_000).cast("bigint").alias("t")).select("entity_id", "t", x.alias("x"), y.alias("y"), z.alias("z"))
     worst = {r[0]: r[1] for r in interpolate.holdout_errors(s, ["entity_id"]).groupBy("entity_id").agg(F.max("error_m")).collect()}
     assert set(worst) == {3, 90_003} and max(worst.values()) < 1e-5, worst
+
+
+def test_arcs_of_entities_without_events_are_left_out(spark):
+    from orrery.plans.statistics import with_events
+
+    rows = spark.range(40).select((F.col("id") % 8).alias("entity_id"), F.col("id").alias("t"))
+    events = spark.createDataFrame([(3, 1), (3, 2), (5, 1), (77, 1)], "entity_id long, t0 long")
+    assert sorted(r.entity_id for r in with_events(rows, events).collect()) == [3] * 5 + [5] * 5
