@@ -222,3 +222,25 @@ def test_arcs_of_entities_without_events_are_left_out(spark):
     rows = spark.range(40).select((F.col("id") % 8).alias("entity_id"), F.col("id").alias("t"))
     events = spark.createDataFrame([(3, 1), (3, 2), (5, 1), (77, 1)], "entity_id long, t0 long")
     assert sorted(r.entity_id for r in with_events(rows, events).collect()) == [3] * 5 + [5] * 5
+
+
+def test_state_rows_are_never_broadcast(spark):
+    """Spark takes rows that an explode made for as few as they came from; a hash table of all of them filled every task."""
+    s = spark.range(40).select((F.col("id") % 4).alias("e"), F.explode(F.sequence(F.lit(0), F.lit(200))).alias("i"))
+    a = F.col("i") * 0.01
+    s = s.select("e", (F.col("i").cast("long") * 60_000_000 + F.col("e") * 10).alias("t"), F.cos(a).alias("x"), F.sin(a).alias("y"), a.alias("z")).distinct()
+    ev = spark.createDataFrame([(i, i % 4, 3_000_000_000 + i) for i in range(8)], "id long, e long, q long")
+    got = interpolate.interpolated_states(ev, s, ["id"], ["e"], "q")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[e#\d+L, _pos#\d+L?\], \[e#\d+L, _pos#\d+L?\]", plan)
+    assert all(abs(r.orbit_z_m - 0.5) < 1e-6 and r.method == "polynomial" for r in got.collect())
+
+
+def test_polynomial_at_zero_matches_numpy():
+    rng = np.random.default_rng(3)
+    t, y = np.sort(rng.normal(size=(5, 10)), axis=1), rng.normal(size=(5, 10, 3))
+    got = interpolate.polynomial_at_zero(t, y)
+    for k in range(5):
+        for a in range(3):
+            c = np.linalg.solve(np.vander(t[k], increasing=True), y[k, :, a])
+            assert np.allclose([got[k, a], got[k, 3 + a]], c[:2], rtol=1e-6, atol=1e-6)
