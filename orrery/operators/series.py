@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from orrery.functions.orbit import MU
 from orrery.operators.cells import ROWS, even_cells
 from orrery.operators.names import ramp
-from orrery.operators.quantiles import exact_quantiles
+from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.scan import DAY_US, neighbour, prefix_scan, row_index, slot
 from orrery.session import cut
 
@@ -55,26 +56,51 @@ def period_mean(series: DataFrame, by: Sequence[str], order: Sequence[str], valu
     the difference of two running sums, found by row number. Sums run in cells of at most ``rows`` rows, however
     unevenly a series is sampled.
     """
-    by = list(by)
+    return period_means(series, by, order, {name: F.col(value)}, period_s=period_s, rows=rows)
+
+
+def period_means(series: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, Column], *, period_s: Column | None = None, rows: int = ROWS, wanted: Column | None = None) -> DataFrame:
+    """:func:`period_mean` of several values of the same rows, side by side in one pass.
+
+    ``wanted`` rows only are returned; all others count in the windows and steps, but are looked up by none.
+    """
+    by, n_of = list(by), range(len(values))
+    wanted = F.lit(True) if wanted is None else wanted
     marked = even_cells(series, by, F.col(order[0]), "_even", rows=rows)
-    stats = exact_quantiles(series, by, {"_a": (F.col(value), 0.5)}).join(median_step_s(marked, by, F.col("_even")), by)
-    count = series.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_valid"))
-    period = 2 * math.pi * F.sqrt(F.pow("_a", F.lit(3.0)) / MU) if period_s is None else period_s
-    plan = stats.join(count, by).where("step_s > 0 and _valid >= 8").select(*by, "_a", "_rows", F.greatest(F.lit(2), F.bround(period / F.col("step_s"))).cast("bigint").alias("_w"))
-    plan = cut(plan)
-    # running sums around the median: small numbers, so differences of sums keep their digits
-    off = F.coalesce(F.col(value) - F.col("_a"), F.lit(0.0))
-    sums = {"_pos": ("sum", F.lit(1).cast("bigint")), "_s": ("sum", off), "_n": ("sum", F.col(value).isNotNull().cast("bigint"))}
+    step = median_step_s(marked, by, F.col("_even"))
+    per = [F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_valid{i}") for i, c in enumerate(values.values())]]
+    if period_s is None:
+        plan = with_quantiles(series, by, per, {f"_a{i}": (c, 0.5) for i, c in enumerate(values.values())})
+        periods = [2 * math.pi * F.sqrt(F.pow(f"_a{i}", F.lit(3.0)) / MU) for i in n_of]
+    else:  # any middle of the values will do
+        plan, periods = series.groupBy(*by).agg(*per, *[F.avg(c).alias(f"_a{i}") for i, c in enumerate(values.values())]), [period_s]
+    widths = [F.greatest(F.lit(2), F.bround(p / F.col("step_s"))).cast("bigint").alias(f"_w{j}") for j, p in enumerate(periods)]
+    most = F.greatest(*[F.col(f"_valid{i}") for i in n_of]) if len(values) > 1 else F.col("_valid0")
+    plan = cut(plan.join(step, by).where((F.col("step_s") > 0) & (most >= 8)).select(*by, "_rows", *[f"_{k}{i}" for i in n_of for k in ("a", "valid")], *widths))
+    # running sums around the middle: small numbers, so differences of sums keep their digits
+    sums = {"_pos": ("sum", F.lit(1).cast("bigint"))}
+    for i, c in enumerate(values.values()):
+        sums |= {f"_s{i}": ("sum", F.coalesce(c - F.col(f"_a{i}"), F.lit(0.0))), f"_n{i}": ("sum", c.isNotNull().cast("bigint"))}
     x = prefix_scan(marked.join(plan, by), by, order, F.col("_even"), sums)
-    x = x.withColumns({"_lo": F.col("_pos") - F.floor(F.col("_w") / 2) - 1, "_hi": F.least(F.col("_rows"), F.col("_pos") + F.col("_w") - 1 - F.floor(F.col("_w") / 2))})
+    for j in range(len(widths)):
+        half = F.floor(F.col(f"_w{j}") / 2)
+        x = x.withColumns({f"_lo{j}": F.col("_pos") - half - 1, f"_hi{j}": F.least(F.col("_rows"), F.col("_pos") + F.col(f"_w{j}") - 1 - half)})
     x = cut(x)
-    at = lambda tag: x.select(*by, F.col("_pos").alias(f"_{tag}"), F.col("_s").alias(f"_s{tag}"), F.col("_n").alias(f"_n{tag}"))
-    both = x.join(at("hi"), [*by, "_hi"]).join(at("lo"), [*by, "_lo"], "left")
-    n = F.col("_nhi") - F.coalesce("_nlo", F.lit(0))
-    mean = F.col("_a") + (F.col("_shi") - F.coalesce("_slo", F.lit(0.0))) / n
-    smoothed = both.select(*series.columns, F.when(n >= F.greatest(F.lit(2), F.floor(F.col("_w") / 2)), mean).alias(name))
-    short = series.join(plan, by, "left_anti").withColumn(name, F.lit(None).cast("double"))
-    return smoothed.unionByName(short)
+    asked = x.where(wanted)
+    reach = asked.groupBy(*by).agg(*[f(f"_{e}{j}").alias(f"_{e}_{j}") for j in range(len(widths)) for f, e in ((F.min, "lo"), (F.max, "hi"))])
+    inside = [F.col("_pos").between(F.col(f"_lo_{j}"), F.col(f"_hi_{j}")) for j in range(len(widths))]
+    near, both = x.join(reach, by), asked
+    for j in range(len(widths)):
+        mine = [j] if period_s is None else list(n_of)
+        at = lambda tag: near.where(inside[j]).select(*by, F.col("_pos").alias(f"_{tag}{j}"), *[F.col(f"_{k}{i}").alias(f"_{k}{tag}{i}") for i in mine for k in "sn"])  # noqa: B023, E731
+        both = both.join(at("hi"), [*by, f"_hi{j}"], "left").join(at("lo"), [*by, f"_lo{j}"], "left")
+    means = []
+    for i, name in enumerate(values):
+        n = F.coalesce(f"_nhi{i}", F.lit(0)) - F.coalesce(f"_nlo{i}", F.lit(0))
+        enough = (F.col(f"_valid{i}") >= 8) & (n >= F.greatest(F.lit(2), F.floor(F.col(f"_w{i if period_s is None else 0}") / 2)))
+        means.append(F.when(enough, F.col(f"_a{i}") + (F.col(f"_shi{i}") - F.coalesce(f"_slo{i}", F.lit(0.0))) / n).alias(name))
+    short = series.where(wanted).join(plan, by, "left_anti").select(*series.columns, *[F.lit(None).cast("double").alias(n) for n in values])
+    return both.select(*series.columns, *means).unionByName(short)
 
 
 def backward_mean(series: DataFrame, by: Sequence[str], t: str, value: str, span_us: int, name: str = "backward_mean") -> DataFrame:
@@ -116,28 +142,27 @@ def injected_responses(
 
     The orbit estimator is the difference of band medians around the window, the catalogue
     estimator the difference of backward means at the bracket epochs. ``hour_us`` sets the
-    time unit. Amount 0 is the baseline; the grid is a fixed list, so rows grow by its length only.
+    time unit. Amount 0 is the baseline; the grid is a fixed list, a column to each amount.
     """
-    by = list(by)
+    by, levels = list(by), (0.0, *map(float, amounts))
     mid = series.groupBy(*by).agg(((F.min("t") + F.max("t")) / 2).alias("_t0"))
-    grid = F.explode(F.array(*[F.lit(float(a)) for a in (0.0, *amounts)]))
-    h = (F.col("t") - F.col("_t0")) / hour_us
-    x = series.join(mid, by).withColumn("amount", grid).withColumn(value, F.col(value) + F.col("amount") * ramp(h, F.lit(ramp_h)))
-    keys = [*by, "amount"]
-    p = cut(period_mean(cut(x.select(*keys, "t", "_t0", value)), keys, ["t"], value, period_s=period_s))
-    hh, m = (F.col("t") - F.col("_t0")) / hour_us, F.col("period_mean")
-    before = F.when((hh >= -pre_h - band_h) & (hh < -pre_h), m)
-    after = F.when((hh > post_h) & (hh <= post_h + band_h), m)
-    orbit = exact_quantiles(p, keys, {"_ob": (before, 0.5), "_oa": (after, 0.5)})
-    catalog = []
+    hh = (F.col("t") - F.col("_t0")) / hour_us
+    bands = {"_b": (hh >= -pre_h - band_h) & (hh < -pre_h), "_a": (hh > post_h) & (hh <= post_h + band_h)}
     for i, spacing in enumerate(spacings_h):
         slack = max(0.0, (spacing - pre_h - post_h) / 2)
         q0, q1 = -(pre_h + slack), post_h + slack
-        mean = lambda q: F.avg(F.when((hh >= q - fit_h) & (hh <= q), m))
-        catalog.append((mean(q1) - mean(q0)).alias(f"_c{i}"))
-    est = p.groupBy(*keys).agg(*catalog).join(orbit, keys, "left")
-    rows = F.array(*[F.struct(F.lit(float(s)).alias("spacing_h"), F.col(f"_c{i}").alias("catalog")) for i, s in enumerate(spacings_h)])
-    est = cut(est).select(*keys, (F.col("_oa") - F.col("_ob")).alias("orbit"), F.explode(rows).alias("r")).select(*keys, "orbit", "r.*")
-    base = est.where("amount = 0").select(*by, "spacing_h", F.col("orbit").alias("_bo"), F.col("catalog").alias("_bc"))
-    out = est.where("amount <> 0").join(base, [*by, "spacing_h"])
-    return out.select(*by, "amount", "spacing_h", (F.col("orbit") - F.col("_bo")).alias("orbit_estimate"), (F.col("catalog") - F.col("_bc")).alias("catalog_estimate"))
+        bands |= {f"_q{i}": (hh >= q0 - fit_h) & (hh <= q0), f"_r{i}": (hh >= q1 - fit_h) & (hh <= q1)}
+    # the injected copies differ in value only, so they are columns of a row, and means are looked up in the bands alone
+    x = cut(series.join(mid, by).select(*by, "t", "_t0", value))
+    injected = {f"_m{k}": F.col(value) + a * ramp(hh, F.lit(ramp_h)) for k, a in enumerate(levels)}
+    p = cut(period_means(x, by, ["t"], injected, period_s=period_s, wanted=reduce(Column.__or__, bands.values())).select(*by, "t", "_t0", *injected))
+    orbit = exact_quantiles(p, by, {f"{b}{k}": (F.when(bands[b], F.col(f"_m{k}")), 0.5) for b in ("_b", "_a") for k in range(len(levels))})
+    mean = lambda b, k: F.avg(F.when(bands[b], F.col(f"_m{k}")))
+    catalog = p.groupBy(*by).agg(*[(mean(f"_r{i}", k) - mean(f"_q{i}", k)).alias(f"_c{i}_{k}") for i in range(len(spacings_h)) for k in range(len(levels))])
+    est = mid.select(*by).join(catalog, by, "left").join(orbit, by, "left")
+    change = lambda k: F.col(f"_a{k}") - F.col(f"_b{k}")
+    rows = [
+        F.struct(F.lit(a).alias("amount"), F.lit(float(s)).alias("spacing_h"), (change(k) - change(0)).alias("orbit_estimate"), (F.col(f"_c{i}_{k}") - F.col(f"_c{i}_0")).alias("catalog_estimate"))
+        for k, a in enumerate(levels) if k for i, s in enumerate(spacings_h)
+    ]
+    return est.select(*by, F.explode(F.array(*rows)).alias("_r")).select(*by, "_r.*")

@@ -244,3 +244,25 @@ def test_polynomial_at_zero_matches_numpy():
         for a in range(3):
             c = np.linalg.solve(np.vander(t[k], increasing=True), y[k, :, a])
             assert np.allclose([got[k, a], got[k, 3 + a]], c[:2], rtol=1e-6, atol=1e-6)
+
+
+def test_injected_copies_are_columns(spark, monkeypatch):
+    """One row for each row of the series goes through the windows, whatever the number of amounts; an entity without a row in a band stays."""
+    from orrery.operators import series
+
+    rng = np.random.default_rng(8)
+    hour = 3_600_000_000
+    pdf = pd.DataFrame({"e": 1, "t": np.arange(-200, 201) * hour, "v": 7e6 + rng.random(401)})
+    pdf = pd.concat([pdf, pd.DataFrame({"e": 2, "t": [0, 10_000 * hour], "v": [7e6, 7e6]})])
+    made = []
+    monkeypatch.setattr(series, "cut", lambda df: made.append(cut(df)) or made[-1])
+    got = series.injected_responses(spark.createDataFrame(pdf), ["e"], "v", amounts=(10.0, 100.0, 1000.0), spacings_h=(12.0, 72.0), hour_us=hour, ramp_h=40.0, period_s=F.lit(5 * 3600.0)).toPandas()
+    assert max(df.count() for df in made) <= len(pdf)
+    one, h = pdf[pdf.e == 1], pdf[pdf.e == 1].t.to_numpy() / hour
+    for r in got[got.e == 1].itertuples():
+        m = [(one.v + a * np.clip(h / 40.0, 0, 1)).rolling(5, center=True, min_periods=2).mean().to_numpy() for a in (0.0, r.amount)]
+        orbit = [np.median(x[(h > 24) & (h <= 36)]) - np.median(x[(h >= -18) & (h < -6)]) for x in m]
+        q0, q1 = (-6, 24) if r.spacing_h == 12 else (-27, 45)
+        catalog = [x[(h >= q1 - 24) & (h <= q1)].mean() - x[(h >= q0 - 24) & (h <= q0)].mean() for x in m]
+        assert np.allclose([r.orbit_estimate, r.catalog_estimate], [orbit[1] - orbit[0], catalog[1] - catalog[0]], atol=1e-6)
+    assert len(got) == 12 and got[got.e == 2][["orbit_estimate", "catalog_estimate"]].isna().all().all()
