@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.cells import ROWS, even_cells
 from orrery.operators.scan import prefix_scan
-from orrery.session import cut
+from orrery.session import cut, deal
 
 # Noise floors (m), uncertainty fit bins (days), coverage references, tolerances.
 SIGMA_X_M, SIGMA_Y_M = 24.0, 1.1
@@ -53,17 +53,34 @@ REPLICATES = 2000
 #: Fixed values of the replicates' hash: odd 32-bit multipliers of a lane and of the two mixing rounds.
 LANE, MIX_1, MIX_2 = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35
 #: Weights are Poisson of mean 1: the weight is the number of these that a uniform 32-bit number reaches.
-POISSON_STEPS = tuple(math.ceil(float(c) * 2**32) for c in np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(12)]))
+POISSON_STEPS = np.array([math.ceil(float(c) * 2**32) for c in np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(12)])], np.uint64)
+
+
+#: The weight by the upper half of the number; ``SPLIT`` where a step lies within.
+SPLIT = 255
+HALVES = np.arange(1 << 16, dtype=np.uint64) << np.uint64(16)
+BY_HALF = np.where(
+    np.searchsorted(POISSON_STEPS, HALVES, side="right") == np.searchsorted(POISSON_STEPS, HALVES + np.uint64(0xFFFF), side="right"),
+    np.searchsorted(POISSON_STEPS, HALVES, side="right"), SPLIT,
+).astype(np.uint8)
+#: Rows to a task, each drawing its weights.
+RESAMPLED = 500_000
 
 
 def replicate_weights(keys: np.ndarray, replicates: np.ndarray) -> np.ndarray:
     """Poisson(1) weight of each row (key of 60 bits) in each replicate, from the two numbers alone: independent of partitioning and retries."""
-    low = np.uint64(0xFFFFFFFF)
-    keys, lanes = keys.astype(np.uint64)[:, None], (2 * replicates.astype(np.uint64) + np.uint64(1)) * np.uint64(LANE) & low
-    h = (((keys >> np.uint64(30)) + np.uint64(1)) * lanes + (keys & np.uint64((1 << 30) - 1))) & low
-    h = (h ^ (h >> np.uint64(16))) * np.uint64(MIX_1) & low
-    h = (h ^ (h >> np.uint64(13))) * np.uint64(MIX_2) & low
-    return np.searchsorted(np.array(POISSON_STEPS, np.uint64), h ^ (h >> np.uint64(16)), side="right")
+    keys, lanes = keys.astype(np.uint64)[:, None], (2 * replicates.astype(np.uint64) + np.uint64(1)).astype(np.uint32) * np.uint32(LANE)
+    # numbers of 32 bits wrap by themselves
+    h = ((keys >> np.uint64(30)) + np.uint64(1)).astype(np.uint32) * lanes
+    h += (keys & np.uint64((1 << 30) - 1)).astype(np.uint32)
+    for shift, mix in ((16, MIX_1), (13, MIX_2)):
+        h ^= h >> np.uint32(shift)
+        h *= np.uint32(mix)
+    h ^= h >> np.uint32(16)
+    w = BY_HALF[h >> np.uint32(16)]
+    split = w == SPLIT
+    w[split] = np.searchsorted(POISSON_STEPS, h[split].astype(np.uint64), side="right")
+    return w
 
 
 def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = REPLICATES) -> DataFrame:
@@ -87,7 +104,7 @@ def bootstrap_slopes(pairs: DataFrame, key: str, *, replicates: int = REPLICATES
     # shift by the means first: sums of squares of raw values would cancel
     mean = clean.agg(F.avg("x").alias("_mx"), F.avg("y").alias("_my"))
     centred = clean.join(F.broadcast(mean)).select(key, (F.col("x") - F.col("_mx")).alias("x"), (F.col("y") - F.col("_my")).alias("y"))  # one-row side
-    part = centred.mapInPandas(partial, "n double, sx double, sy double, qxx double, qyy double, qxy double, replicate int")
+    part = deal(centred, RESAMPLED, key).mapInPandas(partial, "n double, sx double, sy double, qxx double, qyy double, qxy double, replicate int")
     s = part.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "qxx", "qyy", "qxy")]).where("n > 2")
     cov = lambda q, a, b: (F.col(q) - F.col(a) * F.col(b) / F.col("n")) / (F.col("n") - 1)
     sxx, syy, sxy = cov("qxx", "sx", "sx"), cov("qyy", "sy", "sy"), cov("qxy", "sx", "sy")
@@ -113,12 +130,12 @@ def bootstrap_medians(values: DataFrame, key: str, column: str, *, replicates: i
         for pdf in batches:
             for at in range(0, len(pdf), 256):
                 part = pdf.iloc[at : at + 256]
-                w = replicate_weights(part["key"].to_numpy(), every)
-                total += w.sum(axis=0)
-                under += w[(part["v"] < lo).to_numpy()].sum(axis=0)
+                both = np.stack([np.ones(len(part)), part["v"] < lo]) @ replicate_weights(part["key"].to_numpy(), every).astype(float)
+                total += both[0].astype(np.int64)
+                under += both[1].astype(np.int64)
         yield pd.DataFrame({"replicate": every, "total": total, "under": under})
 
-    sums = clean.mapInPandas(totals, "replicate int, total long, under long").groupBy("replicate").agg(F.sum("total").alias("total"), F.sum("under").alias("under"))
+    sums = deal(clean, RESAMPLED, "key").mapInPandas(totals, "replicate int, total long, under long").groupBy("replicate").agg(F.sum("total").alias("total"), F.sum("under").alias("under"))
     sums = sums.withColumn("block", F.col("replicate") % blocks)
     inside = clean.where(F.col("v").between(lo, hi)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
@@ -126,7 +143,7 @@ def bootstrap_medians(values: DataFrame, key: str, column: str, *, replicates: i
         rows = rows.sort_values("v", kind="stable")
         v, keys, out = rows["v"].to_numpy(), rows["key"].to_numpy(), []
         for r, total, under in zip(sums["replicate"], sums["total"], sums["under"], strict=True):
-            upto = under + np.cumsum(replicate_weights(keys, np.array([r]))[:, 0])
+            upto = under + np.cumsum(replicate_weights(keys, np.array([r]))[:, 0], dtype=np.int64)
             if total:
                 at = np.searchsorted(upto, [(total - 1) // 2, total // 2], side="right")
                 if under > (total - 1) // 2 or at[1] == len(v):

@@ -266,3 +266,18 @@ def test_injected_copies_are_columns(spark, monkeypatch):
         catalog = [x[(h >= q1 - 24) & (h <= q1)].mean() - x[(h >= q0 - 24) & (h <= q0)].mean() for x in m]
         assert np.allclose([r.orbit_estimate, r.catalog_estimate], [orbit[1] - orbit[0], catalog[1] - catalog[0]], atol=1e-6)
     assert len(got) == 12 and got[got.e == 2][["orbit_estimate", "catalog_estimate"]].isna().all().all()
+
+
+def test_resampling_spreads_rows_and_draws_the_same_weights(spark):
+    """A table in one split was resampled by one task."""
+    df = spark.range(300).select(F.col("id").alias("key"), (F.col("id") * 0.5).alias("x"), (F.col("id") % 7).cast("double").alias("y")).coalesce(1)
+    plan = statistics.bootstrap_slopes(df, "key", replicates=20)._jdf.queryExecution().executedPlan().toString()
+    assert f"{4 * spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in plan
+    keys, low = np.random.default_rng(5).integers(0, 1 << 60, 400), 0xFFFFFFFF
+    got = statistics.replicate_weights(keys, np.arange(0, 2000, 97))
+    for i, key in enumerate(keys.tolist()):
+        for j, r in enumerate(range(0, 2000, 97)):
+            h = (((key >> 30) + 1) * ((2 * r + 1) * statistics.LANE & low) + (key & ((1 << 30) - 1))) & low
+            h = (h ^ (h >> 16)) * statistics.MIX_1 & low
+            h = (h ^ (h >> 13)) * statistics.MIX_2 & low
+            assert got[i, j] == sum((h ^ (h >> 16)) >= int(step) for step in statistics.POISSON_STEPS)
