@@ -1,12 +1,14 @@
 """Scan cells that follow the data: no cell of an ordered scan outgrows a task, wherever the rows crowd.
 
 Fixed slots and value cells (``scan.slot``) suit evenly spread keys. Where one day holds nearly all rows of an entity,
-or values crowd at one end, cells are cut at quantiles of the key instead, found by a mergeable sketch.
+or values crowd at one end, cells are the partitions of a range partitioning by group and key instead. A partition that a
+repeated key fills beyond the bound is cut at quantiles of the key, found by a mergeable sketch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,16 +39,24 @@ def _split(x: DataFrame, keys: list[str], wide: DataFrame) -> DataFrame:
 def even_cells(df: DataFrame, by: Sequence[str], key: Column, name: str, *, rows: int = ROWS) -> DataFrame:
     """``df`` with ``name``: a number that never falls as ``key`` rises within a group, shared by at most ``rows`` rows of it.
 
-    Only rows of one single key may share a cell beyond that; NULL keys come first, with the lowest keys. A group of at
-    most ``rows`` rows is one cell, found by one count; larger ones are cut up to ``2 * SPLITS + 1`` ways a pass. An
-    empty table has no cells.
+    Only rows of one single key may share a cell beyond that; NULL keys come first, with the lowest keys. Where no group
+    has more than ``rows`` rows, found by one count, each is one cell. Otherwise rows are dealt by range of group and key
+    to partitions of half as many; one that is still too large is cut up to ``2 * SPLITS + 1`` ways a pass. An empty table
+    has no cells.
     """
     # a struct of NULL keys equals itself, so rows without a group are cut like any other group
     group = F.struct(*by) if by else F.lit(0)
     x, keys = df.withColumns({"_v": key, "_group": group, "_cell": F.lit(0).cast("bigint")}), ["_group", "_cell"]
+    dealt = False
     while True:
         size = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         wide = size.where((F.col("_n") > rows) & (F.col("_lo") < F.col("_hi"))).select(*keys)
         if wide.isEmpty():
             return x.withColumn(name, F.col("_cell")).drop("_v", "_group", "_cell")
-        x = cut(_split(x, keys, cut(wide)))
+        if dealt:
+            x = cut(_split(x, keys, cut(wide)))
+        else:
+            # written, for the range bounds come from a sample
+            parts = ceil(2 * size.agg(F.sum("_n")).first()[0] / rows)
+            order = [F.asc_nulls_first(c) for c in (*by, "_v")]
+            x, dealt = cut(x.repartitionByRange(parts, *order).withColumn("_cell", F.spark_partition_id().cast("bigint"))), True

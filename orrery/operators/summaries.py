@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orrery.functions.orbit import altitude_km, norm3
 from orrery.operators.quantiles import exact_quantiles, with_quantiles
 from orrery.operators.cells import ROWS, even_cells
-from orrery.operators.scan import DAY_US, neighbour, prefix_scan, slot
+from orrery.operators.scan import DAY_US, neighbour, slot
 from orrery.session import cut
 
 
@@ -92,11 +92,17 @@ def significant_bins(df: DataFrame, by: Sequence[str], bin_no: Column) -> DataFr
 
 def ecdf(df: DataFrame, by: Sequence[str], value: Column, *, rows: int = ROWS) -> DataFrame:
     """Distinct values with their cumulative share per group, in cells of at most ``rows`` values."""
-    n = df.where(value.isNotNull()).groupBy(*by, value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    by = list(by)
+    n = cut(df.where(value.isNotNull()).groupBy(*by, value.alias("value")).agg(F.count(F.lit(1)).alias("n")))
     n = even_cells(n, by, F.col("value"), "_even", rows=rows)
-    run = prefix_scan(n, list(by), ["value"], F.col("_even"), {"cum": ("sum", F.col("n"))}).drop("_even")
-    total = n.groupBy(*by).agg(F.sum("n").alias("total"))
-    return run.join(total, list(by)).withColumn("ecdf", F.col("cum") / F.col("total"))
+    whole = Window.partitionBy(*by)
+    earlier = whole.orderBy("_even").rowsBetween(Window.unboundedPreceding, -1)
+    cells = n.groupBy(*by, "_even").agg(F.sum("n").alias("_n"))
+    cells = cells.select(*by, "_even", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from"), F.sum("_n").over(whole).alias("total"))
+    upto = Window.partitionBy(*by, "_even").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # joined by cell, as the window is dealt, so the values move once and never by group alone
+    run = n.withColumn("cum", F.sum("n").over(upto)).join(cells, [*by, "_even"])
+    return run.select(*by, "value", "n", (F.col("_from") + F.col("cum")).alias("cum"), "total", ((F.col("_from") + F.col("cum")) / F.col("total")).alias("ecdf"))
 
 
 def right_closed_bin(x: Column, edges: Sequence[float]) -> Column:

@@ -60,6 +60,22 @@ def test_cells_follow_the_data(spark, rows):
     assert (got.row_no.to_numpy() == (got.groupby("e").cumcount() + 1).to_numpy()).all()
 
 
+def test_cells_of_distinct_keys_are_ranges(spark, monkeypatch):
+    """Rows are dealt to cells by one range partitioning; no row looks for its place among splitters."""
+    from orrery.operators import cells
+    from orrery.operators.summaries import ecdf
+
+    monkeypatch.setattr(cells, "_split", lambda *_: pytest.fail("rows joined to splitters"))
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"g": np.where(rng.random(6000) < 0.9, "A", "B"), "v": rng.lognormal(0, 9, 6000)})
+    pdf.loc[rng.random(6000) < 0.02, "v"] = 1.5
+    got = ecdf(spark.createDataFrame(pdf), ["g"], F.col("v"), rows=500).toPandas().sort_values(["g", "value"])
+    for g, x in pdf.groupby("g"):
+        want = x.v.rank(method="max", pct=True).groupby(x.v).first()
+        mine = got[got.g == g]
+        assert (mine.value.to_numpy() == want.index.to_numpy()).all() and np.allclose(mine.ecdf, want, rtol=1e-15) and (mine.total == len(x)).all()
+
+
 def test_even_samples_are_found_without_listing_them_for_each_row(spark):
     from orrery.operators.names import even_samples
 
