@@ -1,21 +1,22 @@
-"""Exact linear-interpolated quantiles without gathering a group in one task.
+"""Exact linear-interpolated quantiles without gathering a large group in one task.
 
-One combined count decides: if every group has at most ``BOUND`` rows, ``percentile`` answers all measures in a
-single aggregation. Otherwise values are narrowed to the cells that hold a wanted rank:
+Groups of at most ``BOUND`` rows, found by one combined count, are shuffled by group and put in order there: one sorted
+list for each measure. Of the larger groups, which are few, only values near a wanted rank are kept:
 
-1. Equal values of a group are counted first (combined before the shuffle, which hashes the value too).
-2. Groups of more than ``BOUND`` distinct values get ``FAN`` - 1 splitters from a mergeable sketch. Such groups are
-   few against the values; they are copied ``SALTS`` times and joined on (group, salt), so the values of one group
-   spread over that many tasks.
-3. Values are counted by (group, cell), and only cells that hold a wanted rank keep their values, by a join on
-   (group, cell). Splitters follow the values' own distribution, so tails cost nothing.
+1. A mergeable sketch brackets each wanted rank, 1/``FAN`` of the rows to either side; no value is shuffled for it.
+2. Brackets, one row for each group of more than ``BOUND`` rows, are broadcast. One combined aggregate counts the rows by
+   place between the brackets' ends and, inside a bracket, by value. A rank outside its bracket widens all brackets.
+3. A kept place of more than ``BOUND`` distinct values gets ``FAN`` - 1 splitters from a sketch; they are copied
+   ``SALTS`` times and joined on (group, salt), values are counted by (group, cell), and only cells that hold a wanted
+   rank keep their values, by a join on (group, cell). Splitters follow the values' own distribution, so tails cost nothing.
 4. This repeats on the kept cells until the largest has at most ``BOUND`` values, checked by an aggregate; only
    then are values put in order, within a cell.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,24 +60,49 @@ def _keep(values: DataFrame, keys: list[str]) -> DataFrame:
     return values.drop("_below", "_ks").join(hit, [*keys, "_c"])
 
 
-def _narrowed(df: DataFrame, by: list[str], measures: list[Column], ps: list[float], bound: int) -> DataFrame:
+def _bracketed(df: DataFrame, by: list[str], columns: list[Column], ps: list[float], reach: float) -> tuple[DataFrame, DataFrame]:
+    """(by, _m, _total), and the rows counted by (by, _m, _c): ``_c`` is the place between bracket ends, ``_v`` the value inside a bracket."""
+    shares = sorted({min(max(p + s * reach, 0.0), 1.0) for p in ps for s in (-1, 1)})
+    grid = F.array(*[F.lit(s) for s in shares])
+    sketch = df.groupBy(*by).agg(*[f for i, c in enumerate(columns) for f in (F.count(c).alias(f"_n{i}"), F.percentile_approx(c, grid, F.lit(8 * FAN)).alias(f"_e{i}"))])
+    sketch = cut(sketch)  # so that a task run again after a loss sees the same brackets
+    packed = []
+    for i, c in enumerate(columns):
+        ends = [F.get(F.col(f"_e{i}"), F.lit(k)) for k in range(len(shares))]
+        # an end's own value lies between two places, so a value that fills a place is parted from its neighbours
+        place = sum((F.when(e <= c, 1).otherwise(0) + F.when(e < c, 1).otherwise(0) for e in ends), F.lit(0))
+        inside = F.lit(False)
+        for p in ps:
+            lo, hi = (ends[shares.index(min(max(p + s * reach, 0.0), 1.0))] for s in (-1, 1))
+            inside = inside | ((c >= lo) & (c <= hi))
+        packed.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("m"), place.alias("c"), F.when(inside, c).alias("v"))))
+    long = df.join(F.broadcast(sketch), by).select(*by, F.explode(F.filter(F.array(*packed), lambda x: x.isNotNull())).alias("_p"))
+    counts = long.groupBy(*by, F.col("_p.m").alias("_m"), F.col("_p.c").alias("_c"), F.col("_p.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    totals = sketch.select(*by, F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col(f"_n{i}").alias("n")) for i in range(len(columns))])).alias("_p"))
+    return totals.select(*by, F.col("_p.m").alias("_m"), F.col("_p.n").alias("_total")).where("_total > 0"), cut(counts)
+
+
+def _between(pos: Column, at: Callable[[Column], Column]) -> Column:
+    """Value at position ``pos`` from 0, linear between the neighbours ``at`` it."""
+    lo, hi = at(F.floor(pos).cast("bigint")), at(F.ceil(pos).cast("bigint"))
+    return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos)))
+
+
+def _narrowed(df: DataFrame, by: list[str], columns: list[Column], ps: list[float], bound: int) -> DataFrame:
     """(by, _m, _q): for each group and measure the quantiles ``ps``."""
-    if len(measures) == 1:
-        long = df.select(*by, F.lit(0).alias("_m"), measures[0].alias("_v"))
-    else:
-        packed = F.array(*[F.struct(F.lit(i).alias("m"), c.alias("v")) for i, c in enumerate(measures)])
-        long = df.select(*by, F.explode(packed).alias("_p")).select(*by, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
-    keys = [*by, "_m"]
-    counts = cut(long.where(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranks = F.array_distinct(F.array(*[f(F.lit(p) * (F.col("_total") - 1)).cast("bigint") + 1 for p in ps for f in (F.floor, F.ceil)]))
-
-    values = _assign(counts, keys, bound)
-    cells = values.groupBy(*keys, "_c").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_d"))
-    upto = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # FAN rows at most
-    cells = cells.withColumn("_cum", F.sum("_rows").over(upto)).join(totals.withColumn("_ks", ranks), keys)
-    hit = cells.withColumn("_ks", F.expr("filter(_ks, k -> k <= _cum and k > _cum - _rows)")).where(F.size("_ks") > 0)
-    kept = cut(values.join(hit.select(*keys, "_c", (F.col("_cum") - F.col("_rows")).alias("_below"), "_ks", "_d"), [*keys, "_c"]))
+    keys, reach = [*by, "_m"], 1.0 / FAN
+    while True:
+        totals, counts = _bracketed(df, by, columns, ps, reach)
+        ranks = F.array_distinct(F.array(*[f(F.lit(p) * (F.col("_total") - 1)).cast("bigint") + 1 for p in ps for f in (F.floor, F.ceil)]))
+        cells = counts.groupBy(*keys, "_c").agg(F.sum("_n").alias("_rows"), F.count("_v").alias("_d"))
+        upto = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a few rows for each p
+        cells = cells.withColumn("_cum", F.sum("_rows").over(upto)).join(totals.withColumn("_ks", ranks), keys)
+        hit = cells.withColumn("_ks", F.expr("filter(_ks, k -> k <= _cum and k > _cum - _rows)")).where(F.size("_ks") > 0)
+        # a sketch's error is an eighth of the reach, and a reach of 1 keeps every value
+        if hit.where("_d = 0").isEmpty():
+            break
+        reach *= 16
+    kept = counts.join(hit.select(*keys, "_c", (F.col("_cum") - F.col("_rows")).alias("_below"), "_ks", "_d"), [*keys, "_c"])
     path = [*keys, "_c"]
     while (kept.agg(F.max("_d")).first()[0] or 0) > bound:
         cell = f"_c{len(path)}"
@@ -86,13 +112,13 @@ def _narrowed(df: DataFrame, by: list[str], measures: list[Column], ps: list[flo
     ordered = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = kept.withColumn("_cum", F.col("_below") + F.sum("_n").over(ordered)).withColumn("_k", F.explode(F.expr("filter(_ks, k -> k <= _cum and k > _cum - _n)")))
     table = at.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("_k", "_v"))).alias("_at")).join(totals, keys)  # two ranks for each p
+    return table.select(*keys, F.array(*[_between(F.lit(p) * (F.col("_total") - 1), lambda k: F.col("_at")[k + 1]) for p in ps]).alias("_q"))
 
-    def value(p: float) -> Column:
-        pos = F.lit(p) * (F.col("_total") - 1)
-        lo, hi = (F.col("_at")[f(pos).cast("bigint") + 1] for f in (F.floor, F.ceil))
-        return lo + (hi - lo) * (pos - F.floor(pos))
 
-    return table.select(*keys, F.array(*[value(p) for p in ps]).alias("_q"))
+def _sorted(df: DataFrame, by: list[str], measures: int) -> DataFrame:
+    """(by, _s0, _s1, ...): the values of each measure in order. Rows move once, so that no list is built or moved in parts."""
+    lists = df.repartition(*by).groupBy(*by).agg(*[F.sort_array(F.collect_list(f"_v{i}")).alias(f"_s{i}") for i in range(measures)])
+    return lists.where(reduce(Column.__or__, [F.size(f"_s{i}") > 0 for i in range(measures)]))
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], outputs: dict[str, tuple[Column, float]], *, bound: int = BOUND) -> DataFrame:
@@ -116,14 +142,25 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], outputs: dict[str, tuple[C
     df = df.select(*by, *[F.when(~F.isnan(c.cast("double")), c.cast("double")).alias(f"_v{i}") for i, c in enumerate(measures)])
     columns = [F.col(f"_v{i}") for i in range(len(measures))]
     ps = sorted({p for _, p in outputs.values()})
-    if (df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) <= bound:
-        every = F.array(*[F.lit(p) for p in ps])
-        some = F.coalesce(*columns).isNotNull()
-        q = df.where(some).groupBy(*by).agg(*[F.percentile(c, every).alias(f"_q{i}") for i, c in enumerate(columns)])
-        out = q.select(*by, *[F.get(F.col(f"_q{where[a]}"), F.lit(ps.index(p))).alias(a) for a, (_, p) in outputs.items()])
-    else:
-        q = _narrowed(df, by, columns, ps, bound)
-        out = q.groupBy(*by).agg(*[F.max(F.when(F.col("_m") == where[a], F.get("_q", F.lit(ps.index(p))))).alias(a) for a, (_, p) in outputs.items()])
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    least, most = sizes.agg(F.min("_rows"), F.max("_rows")).first()
+    parts = []
+    large = small = df
+    if (least or 0) <= bound < (most or 0):
+        # one row for each more than ``bound`` rows of input; groups without a key are met by the struct
+        group = F.struct(*by)
+        named = F.broadcast(cut(sizes.where(F.col("_rows") > bound).select(group.alias("_group"))))
+        large, small = (df.withColumn("_group", group).join(named, "_group", how).drop("_group") for how in ("left_semi", "left_anti"))
+    if (least or 0) <= bound:
+        def listed(a: str, p: float) -> Column:
+            s = F.col(f"_s{where[a]}")
+            return _between(F.lit(p) * (F.size(s) - 1), lambda k: F.get(s, k.cast("int")))
+
+        parts.append(_sorted(small, by, len(columns)).select(*by, *[listed(a, p).alias(a) for a, (_, p) in outputs.items()]))
+    if (most or 0) > bound:
+        q = _narrowed(large, by, columns, ps, bound)
+        parts.append(q.groupBy(*by).agg(*[F.max(F.when(F.col("_m") == where[a], F.get("_q", F.lit(ps.index(p))))).alias(a) for a, (_, p) in outputs.items()]))
+    out = reduce(DataFrame.unionByName, parts)
     return out.drop("_g") if whole else out
 
 

@@ -51,6 +51,34 @@ def test_large_groups_are_never_in_one_task(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_wanted_ranks_are_bracketed_without_dealing_the_values(spark, monkeypatch):
+    """Groups of both sizes, one without a key, a value that fills a bracket: no value looks for its cell among many."""
+    rng = np.random.default_rng(6)
+    v = np.concatenate([rng.lognormal(0, 14, 20_000), np.where(rng.random(20_000) < 0.6, 0.0, rng.normal(size=20_000)), rng.normal(size=40)])
+    pdf = pd.DataFrame({"g": np.repeat([1, 2, 3], [20_000, 20_000, 40]), "h": np.arange(40_040) % 20 == 0, "v": v})
+    df = spark.createDataFrame(pdf).select(F.nullif("g", F.lit(2)).alias("g"), "h", "v", F.when(F.col("h"), F.col("v")).alias("w"))
+    monkeypatch.setattr(quantiles, "_assign", lambda *_: pytest.fail("values dealt to cells"))
+    got = exact_quantiles(df, ["g"], {"m": (F.col("v"), 0.5), "q": (F.col("v"), 0.99), "w": (F.col("w"), 0.25)}, bound=1000)
+    want = {(None if g == 2 else g, x.v.quantile(0.5), x.v.quantile(0.99), x.v[x.h].quantile(0.25)) for g, x in pdf.groupby("g")}
+    assert {tuple(r) for r in got.collect()} - {r for r in want if r[0] is None} == {r for r in want if r[0] is not None}
+    reached, plain = [], quantiles._bracketed
+    # brackets that miss their ranks are widened
+    monkeypatch.setattr(quantiles, "_bracketed", lambda *a: reached.append(a[-1]) or plain(*a[:-1], a[-1] if len(reached) > 1 else 1e-9))
+    got = exact_quantiles(df.dropna(subset=["g"]), ["g"], {"m": (F.col("v"), 0.5), "q": (F.col("v"), 0.99), "w": (F.col("w"), 0.25)}, bound=1000)
+    assert {tuple(r) for r in got.collect()} == {r for r in want if r[0] is not None} and len(reached) == 2
+
+
+def test_small_groups_move_once_and_are_never_built_in_parts(spark):
+    pdf = pd.DataFrame({"g": np.arange(4000) % 1000, "v": np.random.default_rng(8).random(4000)})
+    got = exact_quantiles(spark.createDataFrame(pdf), ["g"], {"a": (F.col("v"), 0.5), "b": (F.col("v"), 0.75)})
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchange = [i for i, x in enumerate(plan) if "Exchange" in x]
+    assert len(exchange) == 1 and not [x for x in plan[exchange[0]:] if "Aggregate" in x]
+    want = pdf.groupby("g").v.quantile([0.5, 0.75]).unstack()
+    got = got.toPandas().set_index("g").sort_index()
+    assert np.allclose(got[["a", "b"]], want, rtol=1e-15)
+
+
 def test_student_t():
     # fixed table values
     assert np.allclose(statistics.student_t_cdf(np.array([0.0, 1.812461, -2.228139, 12.7062]), np.array([5.0, 10.0, 10.0, 1.0])), [0.5, 0.95, 0.025, 0.975], atol=1e-6)
