@@ -14,6 +14,7 @@ from orrery.operators.scan import DAY_US, HOUR_US, row_index, slot
 from orrery.operators.windows import merge_spans
 from orrery.plans.registry import query
 from orrery.roles import iso_sql, oracle, rnd, rsql
+from orrery.session import cut
 
 EL = ["t", "mean_motion", "inclination", "eccentricity", "bstar"]
 SMA_SQL = "pow(3.986004418e14::DOUBLE/(({0}/60.0)*({0}/60.0)), 1.0/3.0)"
@@ -203,9 +204,10 @@ def numbered(df, t, extra=()):
 
 
 def match_lists(spark, d):
+    """Both lists with their numbers, written: a match reads them several times, and its caller once more."""
     q = numbered(R.annotations(spark, d), "event_t", ["annotation_id"])
     x = numbered(R.external_times(spark, d), "xt", ["event_id"])
-    return q, x
+    return cut(q), cut(x)
 
 
 GREEDY_CTE = """qn AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY event_t, annotation_id) AS seq FROM annotations),

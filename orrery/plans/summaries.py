@@ -384,7 +384,6 @@ def a26_events(spark, d):
 def a27(spark, d):
     """Match counts and rates at three tolerances, per entity and overall."""
     q, x = match_lists(spark, d)
-    q, x = cut(q), cut(x)
     # pairs are taken by distance, so the matches at a tolerance are those at the widest one up to that distance
     widest = cut(matching.greedy_match(q, x, "event_t", "xt", 2 * DAY_US))
     days = F.explode(F.array(*[F.lit(t) for t in (0.5, 1.0, 2.0)]))

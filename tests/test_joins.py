@@ -121,6 +121,13 @@ def test_greedy_matching(spark, cell):
     assert greedy_match(qd.limit(0), rd, "qt", "rt", 20).count() == 0
 
 
+def test_matched_lists_are_numbered_once(spark):
+    from orrery.plans.joins import match_lists
+
+    for side in match_lists(spark, "/root/testdata/sf0.001"):
+        assert "parquet" not in plan(side) and "Window" not in plan(side) and side.count()
+
+
 def test_greedy_matching_of_a_ladder(spark, monkeypatch):
     """20,000 points whose gaps shrink from end to end: the last pair decides all others, in one round of jumps."""
     n, rounds = 20_000, []
