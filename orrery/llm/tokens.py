@@ -19,6 +19,10 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import lru_cache
+from operator import add
+from string import punctuation
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,9 @@ GROUP_IDS = 1 << 22
 #: A file should hold a 200th of all characters, within these bounds.
 FILE_PART, FILE_LEAST, FILE_MOST = 200, 20_000_000, 2_000_000_000
 #: Pieces a task remembers, as many stems, and the longest piece it does.
-PIECES, PIECE_CHARS = 150_000, 64
-#: Texts a task takes out of an Arrow batch at once.
-TEXTS = 128
+PIECES, PIECE_CHARS = 400_000, 64
+#: Texts a task takes out of an Arrow batch at once, and characters of which it looks for new pieces at once.
+TEXTS, CHARS = 128, 400_000
 
 
 class Tokens:
@@ -52,43 +56,79 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {}
-        self.marks = dict(zip(("", ",", "."), self.ids(["", ",", "."]), strict=True))
+        self.stems: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def ids(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """As ``ids``, for pieces of letters alone: each is one word to the tokenizer, so they go as one text, and the ids
+        are parted behind those that end a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4") if words else np.empty(0, "<u4")
+        end = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(end) != len(words):  # a letter that is more than one word once its case or form is changed
+            return self.ids(words)
+        flat = ids.tobytes()
+        return [flat[4 * i : 4 * j] for i, j in zip([0, *end], end, strict=False)]
+
     def learn(self, pieces: list[str]) -> None:
         """Remember new pieces. The tokenizer lowers case and parts letters and digits from marks, so ``Word.`` is
         ``word`` and the mark, and many pieces share a stem."""
-        if len(self.known) + len(pieces) > PIECES:
-            self.known = {"": b""}
-        if len(self.stems) + len(pieces) > PIECES:
-            self.stems = {}
-        stem_of = {}
+        if len(self.stems) + 2 * len(pieces) > PIECES:
+            self.stems = {"": b""}
+        stems, marks = [], []
         for p in pieces:
-            end = p[-1] if p[-1] in ",." else ""
-            stem = p[:-1] if end else p
-            stem_of[p] = (stem.lower(), end) if stem.isascii() and stem.isalnum() else (p, "")
-        new = [s for s in {s for s, _ in stem_of.values()} if s not in self.stems]
-        self.stems.update(zip(new, self.ids(new), strict=True))
-        for p, (stem, end) in stem_of.items():
-            self.known[p] = self.stems[stem] + self.marks[end]
+            stem = p.rstrip(punctuation)
+            if stem.isascii() and stem.isalnum():
+                stems.append(stem.lower())
+            elif stem.isalpha() and normalize("NFC", stem).lower().isalpha():  # no accent of its own that the marks would join
+                stems.append(stem)
+            else:
+                stem = p
+                stems.append(p)
+            marks.append(p[len(stem) :])
+        new = {*stems, *marks} - self.stems.keys()
+        letters = [s for s in new if s.isalpha()]
+        rest = [s for s in new if not s.isalpha()]
+        self.stems.update(zip(letters, self.words(letters), strict=True))
+        self.stems.update(zip(rest, self.ids(rest), strict=True))
+        self.known.update(zip(pieces, map(add, map(self.stems.__getitem__, stems), map(self.stems.__getitem__, marks)), strict=True))
+
+    def some(self, texts: list[list[str]]):
+        """The ids of each of some texts, given as pieces."""
+        every = set().union(*texts)
+        new = every - self.known.keys()
+        if len(self.known) + len(new) > PIECES:
+            self.known = {"": b""}
+            new = every - {""}
+        self.learn([p for p in new if len(p) <= PIECE_CHARS])
+        whole = [p for p in new if len(p) > PIECE_CHARS]
+        self.known.update(zip(whole, self.ids(whole), strict=True))
+        for pieces in texts:
+            yield b"".join(map(self.known.__getitem__, pieces))
+        for p in whole:
+            del self.known[p]
 
     def encode(self, batch: list[str]):
         """The ids of each text of a batch."""
+        texts, chars = [], 0
         for text in batch:
-            pieces = text.replace("\n", " ").replace("\t", " ").split(" ")
-            new = {p for p in pieces if p not in self.known}
-            if new:
-                whole = [p for p in new if len(p) > PIECE_CHARS]
-                self.learn([p for p in new if len(p) <= PIECE_CHARS])
-                if whole or any(p not in self.known for p in pieces):  # long pieces, and pieces dropped as the table was emptied
-                    missing = sorted({p for p in pieces if p not in self.known})
-                    own = dict(zip(missing, self.ids(missing), strict=True))
-                    yield b"".join([self.known[p] if p in self.known else own[p] for p in pieces])
-                    continue
-            yield b"".join(map(self.known.__getitem__, pieces))
+            if texts and chars + len(text) > CHARS:
+                yield from self.some(texts)
+                texts, chars = [], 0
+            texts.append(text.replace("\n", " ").replace("\t", " ").split(" "))
+            chars += len(text)
+        if texts:
+            yield from self.some(texts)
+
+
+@lru_cache(maxsize=1)
+def tokens_of(path: str) -> Tokens:
+    """One for all tasks of a worker, so that pieces stay known; its tables are bounded."""
+    return Tokens(path)
 
 
 class FileWriter:
@@ -148,7 +188,7 @@ def write(docs: DataFrame, base: str, tokenizer: str | None = None, end_id: int
         for b in batches:
             if b.num_rows and out is None:
                 out = FileWriter(base, f"ids-{TaskContext.get().partitionId():06d}.bin")
-                tokens = Tokens(tokenizer)
+                tokens = tokens_of(tokenizer)
             for i in range(0, b.num_rows, TEXTS):
                 some = b.slice(i, TEXTS)
                 for doc_id, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist()), strict=True):

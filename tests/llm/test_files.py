@@ -76,6 +76,20 @@ def test_no_pieces_are_lost_when_the_table_is_emptied(monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in t.encode(texts)] == [own.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_new_pieces_of_letters_are_tokenized_as_one_text(monkeypatch):
+    """Letters that the tokenizer makes more than one word of (a dotted capital I, half-width marks) included."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, calls = Tokenizer.from_file(path), []
+    t = tokens.Tokens(path)
+    plain = t.ids
+    monkeypatch.setattr(t, "ids", lambda pieces: calls.extend(pieces) or plain(pieces))
+    for odd in ([], ["İstanbul İ< İ, \u0958, \ufb1d! ﬁx ΑΣ ñandú. é###", "ʼn ǰ ΐ ㎏ ªº " + "z" * 80, "가나 각 e\u0301 it's don't"]):
+        texts = ["Ein Satz, drei Wörter. Xq", "zweiter satz\nmit neuem", *odd]
+        assert [np.frombuffer(x, "<u4").tolist() for x in t.encode(texts)] == [own.encode(x, add_special_tokens=False).ids for x in texts]
+        if not odd:
+            assert not {"satz", "ein", "xq"} & set(calls)
+
+
 def pages(spark, rows, parts=3):
     return spark.createDataFrame([(i, u, h, "t", "p") for i, u, h in rows], "page_id long, url string, html string, record_type string, payload string").repartition(parts)
 
