@@ -13,7 +13,7 @@ from orrery.operators.quantiles import exact_quantiles
 from orrery.operators.scan import DAY_US, HOUR_US, row_index, slot
 from orrery.operators.windows import merge_spans
 from orrery.plans.registry import query
-from orrery.roles import iso_sql, oracle, rnd, rsql
+from orrery.roles import iso_sql, oracle, rnd, rnd_span, rsql
 from orrery.session import cut
 
 EL = ["t", "mean_motion", "inclination", "eccentricity", "bstar"]
@@ -62,7 +62,7 @@ def j02(spark, d):
     out = joins.asof_probes(a, e, ["annotation_id"], ["entity_id"], "t", ["t"], probes)
     age = F.col("event_t") - F.col("m.t")
     return out.select(
-        "annotation_id", iso("m.t").alias("element_utc"), rnd(age / 1e6, 3).alias("age_s"),
+        "annotation_id", iso("m.t").alias("element_utc"), rnd_span(age / 1e6).alias("age_s"),
         F.when(F.col("m").isNull(), "no_prior_element").when(age > 7 * DAY_US, "propagation_too_far").otherwise("computed").alias("state_status"),
         F.coalesce(F.col("event_t") - F.col("s.t") < 12 * HOUR_US, F.lit(False)).alias("fresh_12h"),
     )
@@ -79,7 +79,7 @@ SELECT annotation_id, CASE WHEN lo IS NULL OR hi-event_t < event_t-lo THEN hi_id
 def j03(spark, d):
     """Elements closest in time to each event; equal distances keep the earlier."""
     out = joins.nearest_join(R.annotations(spark, d), R.elements(spark, d), ["annotation_id"], ["entity_id"], "event_t", "t", ["event_id"])
-    return out.select("annotation_id", F.col("nearest.event_id").alias("element_id"), rnd(F.abs(F.col("nearest.t") - F.col("event_t")) / 1e6, 3).alias("abs_dt_s"))
+    return out.select("annotation_id", F.col("nearest.event_id").alias("element_id"), rnd_span(F.abs(F.col("nearest.t") - F.col("event_t")) / 1e6).alias("abs_dt_s"))
 
 
 @query("j04_nearest_within_tolerance", oracle(f"""

@@ -16,7 +16,7 @@ from orrery.plans.joins import BRACKET_CTE, GREEDY_CTE, NEAREST_CTE, PRESENCE_CT
 from orrery.plans.registry import query
 from orrery.plans.scalars import SHELL_SQL, W
 from orrery.plans.windows import LAB, labelled, quiet
-from orrery.roles import iso_sql, oracle, rnd, rsql
+from orrery.roles import iso_sql, oracle, rnd, rnd_span, rsql
 from orrery.session import cut
 
 ONE = "*"
@@ -376,7 +376,7 @@ def a26_events(spark, d):
     near = near.select("annotation_id", "entity_id", "seq", "value", F.abs(F.col("nearest.xt") - F.col("event_t")).alias("near"))
     e = near.join(m.select("entity_id", F.col("query_seq").alias("seq"), "offset_us"), ["entity_id", "seq"], "left")
     status = F.when(F.col("offset_us").isNotNull(), "matched").when(F.col("near").isNull(), "no_external").when(F.col("near") <= DAY_US, "taken").otherwise("out_of_tolerance")
-    return e.select("annotation_id", "entity_id", status.alias("status"), rnd(F.col("offset_us") / 60e6, 3).alias("offset_min"), rnd(F.col("near") / 60e6, 3).alias("nearest_min"), F.col("value").alias("magnitude"))
+    return e.select("annotation_id", "entity_id", status.alias("status"), rnd_span(F.col("offset_us") / 60e6).alias("offset_min"), rnd_span(F.col("near") / 60e6).alias("nearest_min"), F.col("value").alias("magnitude"))
 
 
 @query("a27_tolerance_sweep", oracle(f"""SELECT n.entity_id, days::DOUBLE AS tolerance_days, matched, {rsql('matched/external', 4)} AS rate FROM (SELECT coalesce(CAST(entity_id AS VARCHAR),'ALL') AS entity_id, days, count(*) AS matched FROM gx GROUP BY GROUPING SETS ((entity_id, days), (days))) n

@@ -274,6 +274,51 @@ def test_polynomial_at_zero_matches_numpy():
             assert np.allclose([got[k, a], got[k, 3 + a]], c[:2], rtol=1e-6, atol=1e-6)
 
 
+def test_crowded_points_magnify_no_rounding():
+    evenly = np.arange(10)[None] * 60.0 - 1440.0  # an event 900 s beyond the last row keeps all ten
+    y = np.cos(evenly / 5400 * 2 * np.pi)[..., None] * 7e6
+    c = np.polynomial.polynomial.Polynomial.fit(evenly[0], y[0, :, 0], 9)
+    assert np.allclose(interpolate.polynomial_at_zero(evenly, y)[0], [c(0), c.deriv()(0)], rtol=0, atol=0.1)
+    days = np.array([0, 2, 4, 6, 8, 8, 8, 14, 16, 18])
+    for gaps in ([0, 1, 2], [0, 1, 3], [0, 0, 1]):  # the last ones two rows a microsecond apart
+        t = (days * 86_400.0)[None] - 1e6
+        t[0, 4:7] += gaps
+        t[0, 5] += 1e-6
+        angle = lambda s: s / (86_400 * 40_000) * 2 * np.pi + 3.7
+        got = interpolate.polynomial_at_zero(t, np.stack([7e6 * np.cos(angle(t)), 7e6 * np.sin(angle(t))], axis=-1))[0]
+        speed = 7e6 * 2 * np.pi / (86_400 * 40_000)
+        assert np.allclose(got, [7e6 * np.cos(angle(0)), 7e6 * np.sin(angle(0)), -speed * np.sin(angle(0)), speed * np.cos(angle(0))], rtol=0, atol=0.1)
+
+
+def test_window_state_estimates_between_crowded_epochs(spark, tmp_path):
+    import duckdb
+    from __spark_entry__ import oracle_sql, queries
+
+    days = [0, 2, 4, 6, 8, 8 + 2 / 86_400, 8 + 3 / 86_400, 8 + 5 / 86_400, 14, 16, 18, 20]
+    rows = [("click", d) for d in days] + [("error", d) for d in (1, 7.2, 11.3, 17)] + [("view", 3), ("purchase", 5)]
+    events = pd.DataFrame({"event_id": range(len(rows)), "ts": pd.to_datetime("2024-01-01") + pd.to_timedelta([d for _, d in rows], unit="D").round("us"), "user_id": 7, "event_type": [k for k, _ in rows], "value": 1.5, "props": '{"k": 3}'})
+    events["ts"] = events["ts"].astype("datetime64[us]")
+    con = duckdb.connect()
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet'")
+    for t in ("customer", "supplier", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    want = con.execute(oracle_sql()["t15_window_state_estimates"]).df()
+    got = queries()["t15_window_state_estimates"](spark, str(tmp_path)).toPandas()[list(want.columns)]
+    key = "annotation_id"
+    assert got.orbit_within_1m.all() and len(got) == 4
+    pd.testing.assert_frame_equal(got.sort_values(key, ignore_index=True), want.sort_values(key, ignore_index=True), check_dtype=False)
+
+
+def test_spans_on_a_decimal_tie_are_rounded_as_in_sql(spark):
+    import duckdb
+    from orrery.roles import rnd_span, rsql
+
+    spans = [527_480_948_500, 500, 1_500, 2_500, 1_005_000, 604_799_999_500, 86_399_000_500, 0]
+    got = spark.createDataFrame([(s,) for s in spans], "s long").select("s", rnd_span(F.col("s") / 1e6), rnd_span(F.col("s") / 60e6)).collect()
+    for s, second, minute in got:
+        assert (second, minute) == duckdb.execute(f"SELECT {rsql(f'{s}::BIGINT/1e6', 3)}, {rsql(f'{s}::BIGINT/60e6', 3)}").fetchone()
+
+
 def test_injected_copies_are_columns(spark, monkeypatch):
     """One row for each row of the series goes through the windows, whatever the number of amounts; an entity without a row in a band stays."""
     from orrery.operators import series
