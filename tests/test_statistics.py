@@ -274,6 +274,34 @@ def test_polynomial_at_zero_matches_numpy():
             assert np.allclose([got[k, a], got[k, 3 + a]], c[:2], rtol=1e-6, atol=1e-6)
 
 
+@pytest.mark.parametrize("most", [1_000, 30, 2])
+def test_short_series_travel_as_lists(spark, monkeypatch, most):
+    """The rows of all products were stored with their numbers and shuffled twice; only those of long series are now."""
+    rng, made = np.random.default_rng(4), []
+    monkeypatch.setattr(interpolate, "LIST_ROWS", most)
+    monkeypatch.setattr(interpolate, "cut", lambda df: made.append(cut(df)) or made[-1])
+    sizes = [2, 4, 5, 9, 10, 11, 30, 31, 60, 200]
+    rows = [(f"a{n}", int(t * 1e6)) for n in sizes for t in (np.arange(n) * 1.0 if n % 3 else np.cumsum(rng.integers(3, 90, n)))] + [("twice", 0), *[("twice", i * 60_000_000) for i in range(20)]]
+    s = spark.createDataFrame([(a, t, 7e6 * math.cos(t / 9e8), 7e6 * math.sin(t / 9e8), t / 1e6) for a, t in rows], "arc string, t long, x double, y double, z double")
+    ev = spark.createDataFrame([(i, int(q * 1e6)) for i, q in enumerate((-901.0, -3.0, 0.5, 7.25, 31.0, 400.0, 2_000.0))], "id long, q long")
+    c = ev.select("id", F.explode(F.array(*[F.lit(f"a{n}") for n in sizes], F.lit("twice"))).alias("arc")).withColumn("rank", F.lit(1))
+    key = ["id", "arc"]
+    got = interpolate.interpolated_states(c.join(ev, "id"), s, key, ["arc"], "q", short=True).toPandas().sort_values(key, ignore_index=True)
+    stored = max(df.count() for df in made)
+    want = interpolate.interpolated_states(c.join(ev, "id"), s, key, ["arc"], "q").toPandas().sort_values(key, ignore_index=True)
+    pd.testing.assert_frame_equal(got, want)
+    assert (got.orbit_state_status == "computed").any() and (got.method == "polynomial").any() and (got.method == "spline").any()
+    assert stored <= max(sum(n for n in [*sizes, 21] if n > most), len(c.collect()))
+
+
+def test_products_of_events_are_dealt_once(spark):
+    from orrery.plans import statistics as plans
+
+    arcs = plans.orbit_arcs(spark, "/root/testdata/sf0.001")
+    lists = arcs.groupBy("arc").agg(F.collect_list("t"))
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange") == arcs._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_crowded_points_magnify_no_rounding():
     evenly = np.arange(10)[None] * 60.0 - 1440.0  # an event 900 s beyond the last row keeps all ten
     y = np.cos(evenly / 5400 * 2 * np.pi)[..., None] * 7e6
